@@ -1,0 +1,26 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded count proves it holds at most
+``max_rows`` rows; beyond that the join is left to the planner (sort-merge or
+shuffle-hash, with AQE converting to broadcast or splitting skewed partitions
+from measured shuffle sizes). The check reads at most ``max_rows + 1`` rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension rows of a few narrow columns: ~100 bytes each, so 500k rows stay
+# well under the default broadcast limit of an executor.
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """TRUE when ``df`` has at most ``max_rows`` rows (reads ≤ max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when its row count is proven ≤ ``max_rows``, else ``df``."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
