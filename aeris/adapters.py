@@ -164,9 +164,10 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_measurements(spark: SparkSession, sf_dir: str, with_event_id: bool = False) -> DataFrame:
     """Measurement documents (request key attached) from ``events``."""
     ev = table(spark, sf_dir, "events")
+    extra = [F.col("event_id")] if with_event_id else []
     pid = parameter_id(F.col("event_type"))
     ts_text = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss")
     to_text = F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss")
@@ -187,6 +188,7 @@ def raw_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("float").alias("percentComplete"),
             F.lit(None).cast("float").alias("percentCoverage"),
         ).alias("coverage"),
+        *extra,
     )
 
 
@@ -210,3 +212,69 @@ def communes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((n + 1) * 1000).cast("int").alias("population"),
         ring.alias("ring"),
     )
+
+
+# ---------------------------------------------------------------- landing zones
+
+def _day_page() -> Column:
+    """Measurement pages: one per sensor and local day (yyyymmdd)."""
+    return F.regexp_replace(F.substring(F.col("period.datetimeFrom.local"), 1, 10), "-", "").cast("int")
+
+
+def land_locations(spark: SparkSession, sf_dir: str, path: str) -> None:
+    from aeris.sources.landed import write_pages
+
+    write_pages(raw_locations(spark, sf_dir), path, F.floor(F.col("id") / 100).cast("int"))
+
+
+def land_broken_location_pages(spark: SparkSession, sf_dir: str, path: str, every: int = 5) -> None:
+    """Append a truncated copy of every ``every``-th location page (bad JSON)."""
+    docs = raw_locations(spark, sf_dir).withColumn("page", F.floor(F.col("id") / 100).cast("int"))
+    body = [c for c in docs.columns if c != "page"]
+    pages = (
+        docs.where(F.pmod(F.col("page"), F.lit(every)) == 0)
+        .groupBy("page")
+        .agg(F.to_json(F.struct(F.collect_list(F.struct(*body)).alias("results"))).alias("value"))
+    )
+    pages.select("page", F.expr("substring(value, 1, length(value) div 2)").alias("value")).write.mode(
+        "append"
+    ).partitionBy("page").text(path)
+
+
+def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folders: bool = False) -> None:
+    """Land measurement pages.
+
+    ``sensor_folders=True``: the per-sensor request layout
+    ``sensor_id=<id>/page=<yyyymmdd>`` (key only in the folder name; one small
+    file per sensor-day). Default: bulk pages of 1000 documents that carry
+    ``sensor_id`` themselves.
+    """
+    from aeris.sources.landed import write_pages
+
+    if sensor_folders:
+        write_pages(raw_measurements(spark, sf_dir), path, _day_page(), partition_by=["sensor_id"])
+    else:
+        write_pages(raw_measurements(spark, sf_dir, with_event_id=True), path,
+                    F.floor(F.col("event_id") / 1000).cast("int"), drop=["event_id"])
+
+
+def land_all(spark: SparkSession, sf_dir: str, root: str):
+    """Land every stand-in source under ``root``; return an ``etl.Landing``."""
+    from aeris.plans.etl import Landing
+    from aeris.sources.landed import write_pages
+
+    root = root.rstrip("/")
+    write_pages(raw_parameters(spark, sf_dir), f"{root}/parameters", F.lit(0))
+    write_pages(raw_countries(spark, sf_dir), f"{root}/countries", F.floor(F.col("id") / 10).cast("int"))
+    write_pages(raw_providers(spark, sf_dir), f"{root}/providers", F.floor(F.col("id") / 100).cast("int"))
+    land_locations(spark, sf_dir, f"{root}/locations")
+    land_measurements(spark, sf_dir, f"{root}/measurements")
+    communes(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/communes")
+    return Landing(
+        parameters=f"{root}/parameters",
+        countries=f"{root}/countries",
+        providers=f"{root}/providers",
+        locations=f"{root}/locations",
+        measurements=f"{root}/measurements",
+        communes=f"{root}/communes",
+    )

@@ -43,3 +43,7 @@ __all__ = [
     "sensors_dim",
     "sized_broadcast",
 ]
+
+from aeris.operators.geo import assign_communes, commune_cells  # noqa: E402
+
+__all__ += ["assign_communes", "commune_cells"]

@@ -12,11 +12,12 @@ from aeris.functions.time import day_text, local_timestamp
 from aeris.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 
-def raw_measurements(raw: DataFrame, time_mode: str = "reference") -> DataFrame:
+def raw_measurements(raw: DataFrame, time_mode: str = "reference", keep: list[str] | tuple = ()) -> DataFrame:
     """Flatten measurement documents into the raw fact.
 
     ``period_datetime_local`` follows the original job by default (negative
     offsets stripped, others converted to UTC, see ``local_timestamp``).
+    ``keep`` names extra input columns to carry along (e.g. a partition column).
     """
     return raw.select(
         "sensor_id",
@@ -27,6 +28,7 @@ def raw_measurements(raw: DataFrame, time_mode: str = "reference") -> DataFrame:
         F.col("parameter.units").alias("parameter_units"),
         F.col("coverage.expectedCount").alias("coverage_expectedCount"),
         F.col("coverage.observedCount").alias("coverage_observedCount"),
+        *keep,
     )
 
 

@@ -266,3 +266,159 @@ ORACLE_SQL = {
                       "WHERE location_id IS NULL OR location_id NOT IN (SELECT location_id FROM active)",
     "duplicate_keys": f"WITH {CP} SELECT parameter_id, count(*) AS n FROM cp GROUP BY parameter_id HAVING count(*) > 1",
 }
+
+
+# ---------------------------------------------------------------- sources, loads, ETL, geo
+# These reports land the stand-in documents as files under the shared
+# checkpoint folder (a fresh sub-folder per call) and read them back.
+
+def paged_ingest(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.session import scratch_path
+    from aeris.sources import landed
+
+    path = scratch_path(spark, "pages")
+    A.land_locations(spark, d, path)
+    return op.locations_dim(landed.read_locations(spark, path))
+
+
+def paged_measurements(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.session import scratch_path
+    from aeris.sources import landed
+
+    path = scratch_path(spark, "measurements")
+    A.land_measurements(spark, d, path)
+    return op.raw_measurements(landed.read_measurements(spark, path))
+
+
+def quarantined_pages(spark: SparkSession, d: str) -> DataFrame:
+    from aeris import schemas
+    from aeris.session import scratch_path
+    from aeris.sources import landed
+
+    path = scratch_path(spark, "bad-pages")
+    A.land_locations(spark, d, path)
+    A.land_broken_location_pages(spark, d, path, every=5)
+    _, quarantine = landed.split_pages(spark, path, schemas.LOCATION)
+    return quarantine.select("page", "reason")
+
+
+def _warehouse(spark: SparkSession, label: str):
+    from aeris.plans.load import Warehouse
+    from aeris.session import scratch_path
+
+    return Warehouse(spark, "path", root=scratch_path(spark, label))
+
+
+def load_create_skip_append(spark: SparkSession, d: str) -> DataFrame:
+    """Dimension created then skipped; fact days loaded, re-loaded and extended.
+
+    The final fact must hold every (day, sensor, parameter) exactly once.
+    """
+    from aeris.plans.load import load_step
+
+    wh = _warehouse(spark, "load")
+    params = lambda: parameters_dim(spark, d)
+    first = load_step(wh, "parameters", params)
+    again = load_step(wh, "parameters", lambda: (_ for _ in ()).throw(AssertionError("dimension rebuilt")))
+    assert (first.action, again.action) == ("created", "skipped"), (first.action, again.action)
+    daily = daily_sensor_stats(spark, d)
+    early = lambda: daily.where(F.col("day") < "2024-01-16")
+    late = lambda: daily.where(F.col("day") >= "2024-01-16")
+    actions = [
+        load_step(wh, "agg_measurements", early, kind="fact", partition_by=["day"]).action,
+        load_step(wh, "agg_measurements", early, kind="fact", partition_by=["day"]).action,
+        load_step(wh, "agg_measurements", late, kind="fact", partition_by=["day"]).action,
+        load_step(wh, "agg_measurements", early, kind="fact", partition_by=["day"]).action,
+    ]
+    assert actions == ["created", "replaced", "replaced", "replaced"], actions
+    return wh.read("agg_measurements")
+
+
+def export_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.session import scratch_path
+
+    wh = _warehouse(spark, "export")
+    wh.write(daily_sensor_stats(spark, d), "agg_measurements", partition_by=["day"])
+    stored = wh.read("agg_measurements")
+    path = scratch_path(spark, "csv")
+    wh.export("agg_measurements", path)
+    return spark.read.schema(stored.schema).option("header", True).csv(path)
+
+
+_ETL_RUNS: dict = {}
+
+
+def _etl(spark: SparkSession, d: str):
+    """Land every stand-in source and run the daily ETL once per session and input."""
+    from aeris.plans.etl import run_daily_etl
+    from aeris.session import scratch_path
+
+    key = (id(spark), d)
+    if key not in _ETL_RUNS:
+        landing = A.land_all(spark, d, scratch_path(spark, "landing"))
+        wh = _warehouse(spark, "etl")
+        _ETL_RUNS[key] = run_daily_etl(
+            spark, landing, wh, run_date="2024-02-01", window=("2024-01-01", "2024-02-01"),
+            country_id=COUNTRY, since=SINCE, cell_size=0.5, exact=True)
+    return _ETL_RUNS[key]
+
+
+def etl_agg_measurements(spark: SparkSession, d: str) -> DataFrame:
+    return _etl(spark, d)["agg_measurements"].table
+
+
+def etl_france_sensors(spark: SparkSession, d: str) -> DataFrame:
+    return _etl(spark, d)["france_sensors"].table
+
+
+def assign_communes(spark: SparkSession, d: str) -> DataFrame:
+    points = op.location_points(locations_dim(spark, d))
+    return op.assign_communes(points, A.communes(spark, d), cell_size=0.5)
+
+
+def cities_of_locations(spark: SparkSession, d: str) -> DataFrame:
+    return op.city_points(assign_communes(spark, d))
+
+
+REPORTS.update({
+    "paged_ingest": paged_ingest,
+    "paged_measurements": paged_measurements,
+    "quarantined_pages": quarantined_pages,
+    "load_create_skip_append": load_create_skip_append,
+    "export_round_trip": export_round_trip,
+    "etl_agg_measurements": etl_agg_measurements,
+    "etl_france_sensors": etl_france_sensors,
+    "assign_communes": assign_communes,
+    "cities_of_locations": cities_of_locations,
+})
+
+COM = f"""com AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS nom,
+         CASE WHEN n_nationkey % 4 = 0 THEN CAST([] AS VARCHAR[]) ELSE [CAST(n_nationkey AS VARCHAR)] END AS codesPostaux,
+         CAST((n_nationkey + 1) * 1000 AS INTEGER) AS population,
+         CAST((n_nationkey % 5) * 2 AS DOUBLE) AS x0, CAST((n_nationkey // 5) * 2 AS DOUBLE) AS y0
+  FROM nation)"""
+
+ASSIGN = f"""assigned AS (
+  SELECT p.location_id, p.longitude, p.latitude, c.nom, c.code, c.codesPostaux, c.population,
+         row_number() OVER (PARTITION BY p.location_id ORDER BY c.code) AS rn
+  FROM loc p LEFT JOIN com c
+    ON CAST(p.longitude AS DOUBLE) >= c.x0 AND CAST(p.longitude AS DOUBLE) < c.x0 + CAST(1.8 AS DOUBLE)
+   AND CAST(p.latitude AS DOUBLE) >= c.y0 AND CAST(p.latitude AS DOUBLE) < c.y0 + CAST(1.8 AS DOUBLE))"""
+
+ORACLE_SQL.update({
+    "paged_ingest": ORACLE_SQL["locations_dim"],
+    "paged_measurements": ORACLE_SQL["raw_measurements"],
+    "quarantined_pages": "SELECT DISTINCT CAST(c_custkey // 100 AS INTEGER) AS page, 'malformed' AS reason "
+                         "FROM customer WHERE (c_custkey // 100) % 5 = 0",
+    "load_create_skip_append": ORACLE_SQL["daily_sensor_stats"],
+    "export_round_trip": ORACLE_SQL["daily_sensor_stats"],
+    "etl_agg_measurements": f"""WITH {M}, {DAILY}, {LOC}, {ACTIVE}, {SENS}
+  SELECT * FROM daily WHERE sensor_id IN (SELECT sensor_id FROM sens JOIN active USING (location_id))""",
+    "etl_france_sensors": ORACLE_SQL["country_sensors"],
+    "assign_communes": f"WITH {LOC}, {COM}, {ASSIGN} SELECT location_id, longitude, latitude, nom, code, "
+                       "codesPostaux, population FROM assigned WHERE rn = 1",
+    "cities_of_locations": f"WITH {LOC}, {COM}, {ASSIGN} SELECT location_id, latitude, longitude, nom AS city_name, "
+                           "code AS city_insee_code, codesPostaux[1] AS city_postcode, population AS city_population "
+                           "FROM assigned WHERE rn = 1",
+})
