@@ -278,3 +278,62 @@ def land_all(spark: SparkSession, sf_dir: str, root: str):
         measurements=f"{root}/measurements",
         communes=f"{root}/communes",
     )
+
+
+# ---------------------------------------------------------------- limits cells
+
+def limit_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of regulatory-limit tables from ``part``: table = p_partkey div 8,
+    row = p_partkey % 8; row 0 holds a title, later rows indicator / limit
+    text / criterion, in the shapes found in the printed tables (titles with
+    subscripts on a second line, several values per cell, empty and missing
+    indicators, non-breaking spaces)."""
+    p = table(spark, sf_dir, "part")
+    k, s = F.col("p_partkey"), F.col("p_size")
+
+    def txt(c: Column) -> Column:
+        return c.cast("string")
+
+    nl = F.lit("\n")
+    t = F.col("p_type")
+    title = (
+        F.when(s % 6 == 0, F.concat(t, F.lit(" (CH)"), nl, F.lit("6 6")))
+        .when(s % 6 == 1, F.lit(None).cast("string"))
+        .when(s % 6 == 2, F.upper(F.col("p_name")))
+        .when(s % 6 == 3, F.concat(t, nl, txt(s % 10)))
+        .when(s % 6 == 4, F.concat(t, F.lit(" ( "), F.col("p_brand"), F.lit(" "), txt(s % 10), F.lit(" )"), nl,
+                                   F.lit(" "), txt(s % 7), F.lit(" "), txt(s % 5), F.lit(" "), nl, F.lit("extra")))
+        .otherwise(F.concat(t, F.lit(" (PM"), txt(s % 10), F.lit(","), txt(s % 3), F.lit(")")))
+    )
+    indicator = (
+        F.when(s % 5 == 0, F.lit(""))
+        .when(s % 5 == 1, F.lit(None).cast("string"))
+        .when(s % 5 == 2, F.concat(F.lit("Valeur limite"), nl, F.col("p_name")))
+        .when(s % 5 == 3, F.lit(" "))
+        .otherwise(F.concat(F.lit("Moyenne "), t))
+    )
+    measure = (
+        F.when(s % 7 == 0, F.lit("aucune valeur"))
+        .when(s % 7 == 1, F.lit(""))
+        .when(s % 7 == 2, F.lit(None).cast("string"))
+        .when(s % 7 == 3, F.concat(txt(s), F.lit("\u00a0mg/m3 (UE)")))
+        .when(s % 7 == 4, F.concat(txt(s), F.lit(" µg/m³ (FR)"), nl, F.lit(" "), txt(k % 50), F.lit(","),
+                                   txt(s % 10), F.lit("  µg/m3 (UE)")))
+        .when(s % 7 == 5, F.concat(F.lit("Seuil: "), txt(s), F.lit(" ng/m³ (FR) et "), txt(k % 9),
+                                   F.lit(".5 mg/m³(UE)")))
+        .otherwise(F.concat(F.lit("  "), F.col("p_name"), nl, nl, F.col("p_brand"), F.lit("  ")))
+    )
+    criterion = (
+        F.when(k % 4 == 0, F.lit(None).cast("string"))
+        .when(k % 4 == 1, F.concat(F.lit("Critère"), nl, F.col("p_brand")))
+        .when(k % 4 == 2, F.lit(""))
+        .otherwise(F.lit(" Année civile "))
+    )
+    row = (k % 8).cast("int")
+    return p.select(
+        F.floor(k / 8).cast("int").alias("table_no"),
+        row.alias("row_no"),
+        F.when(row == 0, title).otherwise(indicator).alias("c0"),
+        F.when(row == 0, F.lit(None).cast("string")).otherwise(measure).alias("c1"),
+        F.when(row == 0, F.lit(None).cast("string")).otherwise(criterion).alias("c2"),
+    )

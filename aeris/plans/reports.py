@@ -422,3 +422,149 @@ ORACLE_SQL.update({
                            "code AS city_insee_code, codesPostaux[1] AS city_postcode, population AS city_population "
                            "FROM assigned WHERE rn = 1",
 })
+
+
+# ---------------------------------------------------------------- limits
+
+def limits_rows(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.operators.limits import limit_rows
+
+    return limit_rows(A.limit_cells(spark, d))
+
+
+def limits_document(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.operators.limits import limits_document as doc
+
+    out = doc(A.limit_cells(spark, d))
+    return out.select(
+        "table_no",
+        "nom",
+        F.size("informations").alias("n_informations"),
+        F.array_join(F.transform("informations", lambda i: i["indicateur"]), " | ").alias("indicateurs"),
+        F.array_join(F.transform("informations", lambda i: i["valeurs"]), " | ").alias("valeurs"),
+    )
+
+
+def limits_document_json(spark: SparkSession, d: str) -> DataFrame:
+    """Write the document as JSON lines and read it back (nested schema kept)."""
+    from aeris.operators.limits import limits_document as doc
+    from aeris.operators.limits import write_limits_document
+    from aeris.session import scratch_path
+
+    built = doc(A.limit_cells(spark, d))
+    path = scratch_path(spark, "limits-json")
+    write_limits_document(built, path)
+    back = spark.read.schema(built.schema).json(path)
+    return back.select(
+        "table_no",
+        "nom",
+        F.size("informations").alias("n_informations"),
+        F.array_join(F.transform("informations", lambda i: i["indicateur"]), " | ").alias("indicateurs"),
+        F.array_join(F.transform("informations", lambda i: i["valeurs"]), " | ").alias("valeurs"),
+    )
+
+
+REPORTS.update({
+    "limits_rows": limits_rows,
+    "limits_document": limits_document,
+    "limits_document_json": limits_document_json,
+})
+
+# Python's whitespace set for RE2 (whose \s is ASCII only).
+DWS = (r"[\t\n\x{0b}\f\r \x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+       r"\x{202f}\x{205f}\x{3000}]")
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{DWS}+|{DWS}+$', '', 'g')"
+
+
+def _clean(x: str) -> str:
+    return _strip(f"replace({x}, chr(10), ' ')")
+
+
+_MEASURE = r"([0-9,.]+" + DWS + r"*(?:µg/m³|µg/m3|mg/m³|mg/m3|ng/m³|ng/m3))" + DWS + r"*\((FR|UE)\)"
+_FIX = ("'(' || translate(regexp_replace(regexp_replace(regexp_replace(substring(t, 2, length(t) - 2), "
+        f"'{DWS}+', '', 'g'), 'CH66', 'C6H6', 'gi'), 'CH₆₆', 'C6H6', 'gi'), '0123456789', '₀₁₂₃₄₅₆₇₈₉') || ')'")
+
+CELLS = """cells AS (
+  SELECT CAST(p_partkey // 8 AS INTEGER) AS table_no, CAST(p_partkey % 8 AS INTEGER) AS row_no,
+    CASE WHEN p_partkey % 8 = 0 THEN
+      CASE p_size % 6
+        WHEN 0 THEN p_type || ' (CH)' || chr(10) || '6 6'
+        WHEN 1 THEN NULL
+        WHEN 2 THEN upper(p_name)
+        WHEN 3 THEN p_type || chr(10) || CAST(p_size % 10 AS VARCHAR)
+        WHEN 4 THEN p_type || ' ( ' || p_brand || ' ' || CAST(p_size % 10 AS VARCHAR) || ' )' || chr(10) || ' '
+                    || CAST(p_size % 7 AS VARCHAR) || ' ' || CAST(p_size % 5 AS VARCHAR) || ' ' || chr(10) || 'extra'
+        ELSE p_type || ' (PM' || CAST(p_size % 10 AS VARCHAR) || ',' || CAST(p_size % 3 AS VARCHAR) || ')'
+      END
+    ELSE
+      CASE p_size % 5
+        WHEN 0 THEN '' WHEN 1 THEN NULL
+        WHEN 2 THEN 'Valeur limite' || chr(10) || p_name
+        WHEN 3 THEN ' '
+        ELSE 'Moyenne ' || p_type
+      END
+    END AS c0,
+    CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE
+      CASE p_size % 7
+        WHEN 0 THEN 'aucune valeur' WHEN 1 THEN '' WHEN 2 THEN NULL
+        WHEN 3 THEN CAST(p_size AS VARCHAR) || chr(160) || 'mg/m3 (UE)'
+        WHEN 4 THEN CAST(p_size AS VARCHAR) || ' µg/m³ (FR)' || chr(10) || ' ' || CAST(p_partkey % 50 AS VARCHAR) || ','
+                    || CAST(p_size % 10 AS VARCHAR) || '  µg/m3 (UE)'
+        WHEN 5 THEN 'Seuil: ' || CAST(p_size AS VARCHAR) || ' ng/m³ (FR) et ' || CAST(p_partkey % 9 AS VARCHAR)
+                    || '.5 mg/m³(UE)'
+        ELSE '  ' || p_name || chr(10) || chr(10) || p_brand || '  '
+      END
+    END AS c1,
+    CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE
+      CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Critère' || chr(10) || p_brand WHEN 2 THEN ''
+        ELSE ' Année civile ' END
+    END AS c2
+  FROM part)"""
+
+LIMITS = f"""{CELLS},
+  t0 AS (SELECT table_no, c0, string_split(c0, chr(10)) AS parts FROM cells WHERE row_no = 0),
+  t1 AS (SELECT table_no, c0, {_strip('parts[1]')} AS main, parts[2] AS second FROM t0),
+  t2 AS (SELECT table_no, c0, main, second, replace({_strip('second')}, ' ', '') AS idx,
+                length(main) - strpos(reverse(main), ')') + 1 AS lp FROM t1),
+  t3 AS (SELECT table_no,
+           CASE WHEN c0 IS NULL OR c0 = '' THEN 'Inconnu'
+                WHEN second IS NULL THEN main
+                WHEN strpos(main, ')') = 0 THEN main || idx
+                ELSE substring(main, 1, lp - 1) || idx || substring(main, lp) END AS named FROM t2),
+  t4 AS (SELECT table_no,
+           regexp_replace(regexp_replace(named, '\\({DWS}+', '(', 'g'), '{DWS}+\\)', ')', 'g') AS s FROM t3),
+  titles AS (SELECT table_no, array_to_string(list_transform(regexp_extract_all(s, '\\(.*?\\)|[^(]+|\\(', 0),
+             lambda t: CASE WHEN starts_with(t, '(') AND length(t) >= 2 THEN {_FIX} ELSE t END), '') AS nom
+             FROM t4),
+  b AS (SELECT table_no, row_no, c2,
+          coalesce(last_value(CASE WHEN coalesce(c0, '') <> '' THEN c0 END IGNORE NULLS) OVER (
+            PARTITION BY table_no ORDER BY row_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS filled,
+          trim(regexp_replace(coalesce(c1, ''), '{DWS}+', ' ', 'g')) AS n
+        FROM cells WHERE row_no > 0),
+  v AS (SELECT *, regexp_extract_all(n, '{_MEASURE}', 1) AS vals, regexp_extract_all(n, '{_MEASURE}', 2) AS origs
+        FROM b),
+  r AS (SELECT table_no, row_no,
+          {_clean('filled')} AS indicateur,
+          {_clean("CASE WHEN len(vals) > 0 THEN array_to_string(vals, ' ; ') ELSE n END")} AS valeurs,
+          {_clean("CASE WHEN len(vals) > 0 THEN array_to_string(origs, ' ; ') ELSE '' END")} AS origine,
+          {_clean("coalesce(c2, '')")} AS critere
+        FROM v)"""
+
+ORACLE_SQL.update({
+    "limits_rows": f"""WITH {LIMITS}
+  SELECT r.table_no, r.row_no, coalesce(t.nom, 'Inconnu') AS nom, indicateur, valeurs, origine, critere
+  FROM r LEFT JOIN titles t USING (table_no) WHERE valeurs <> ''""",
+    "limits_document": f"""WITH {LIMITS},
+  g AS (SELECT table_no, CAST(count(*) AS INTEGER) AS n_informations,
+          string_agg(indicateur, ' | ' ORDER BY row_no) AS indicateurs,
+          string_agg(valeurs, ' | ' ORDER BY row_no) AS valeurs
+        FROM r WHERE valeurs <> '' GROUP BY table_no),
+  tabs AS (SELECT DISTINCT table_no FROM cells)
+  SELECT tabs.table_no, coalesce(t.nom, 'Inconnu') AS nom, coalesce(g.n_informations, 0) AS n_informations,
+         coalesce(g.indicateurs, '') AS indicateurs, coalesce(g.valeurs, '') AS valeurs
+  FROM tabs LEFT JOIN titles t USING (table_no) LEFT JOIN g USING (table_no)""",
+})
+ORACLE_SQL["limits_document_json"] = ORACLE_SQL["limits_document"]
