@@ -568,3 +568,28 @@ ORACLE_SQL.update({
   FROM tabs LEFT JOIN titles t USING (table_no) LEFT JOIN g USING (table_no)""",
 })
 ORACLE_SQL["limits_document_json"] = ORACLE_SQL["limits_document"]
+
+
+# ---------------------------------------------------------------- streaming
+
+def stream_daily_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Land the measurements, run the stream to the end of the landed files,
+    and read the sink: the days whose window closed under a 1-day watermark."""
+    from aeris.session import scratch_path
+    from aeris.streaming.daily import run_daily_stats_stream
+
+    source = scratch_path(spark, "stream-src")
+    A.land_measurements(spark, d, source)
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    q = run_daily_stats_stream(spark, source, sink, ckpt, lateness="1 day", exact=True)
+    q.awaitTermination()
+    schema = "day string, sensor_id int, parameter_id int, value double, min_value double, max_value double, " \
+             "stddev_value double, median_value double, observed_count bigint, expected_count int"
+    return spark.read.schema(schema).parquet(sink)
+
+
+REPORTS["stream_daily_stats"] = stream_daily_stats
+ORACLE_SQL["stream_daily_stats"] = (
+    f"WITH {M}, {DAILY} SELECT * FROM daily WHERE CAST(day AS TIMESTAMP) + INTERVAL 2 DAY "
+    "<= (SELECT max(wall_clock_ts) FROM m)"
+)
