@@ -1,0 +1,60 @@
+from pyspark.sql import functions as F
+
+from aeris import operators as op
+from aeris import schemas
+
+
+def _countries(spark):
+    rows = [
+        {"id": 1, "code": "A", "name": "a", "parameters": [{"id": 2}, {"id": 2}, None]},
+        {"id": 2, "code": "B", "name": "b", "parameters": []},
+        {"id": 3, "code": "C", "name": "c", "parameters": None},
+    ]
+    return spark.createDataFrame(rows, schemas.COUNTRY)
+
+
+def test_bridge_explode_semantics(spark):
+    key = lambda t: (t[0], t[1] is None, t[1] or 0)
+    got = sorted((tuple(r) for r in op.country_parameters(_countries(spark)).collect()), key=key)
+    # NULL / empty arrays give no row, duplicates kept, a NULL element gives a NULL id
+    assert got == [(1, 2), (1, 2), (1, None)]
+
+
+def test_countries_projection(spark):
+    assert op.countries_dim(_countries(spark)).columns == [
+        "country_id", "country_code", "date_first_measure", "date_last_measure", "country_name"]
+
+
+def test_locations_dim_wall_clock(spark):
+    doc = {"id": 7, "name": "st", "isMonitor": True, "provider": {"id": 1, "name": "p"},
+           "country": {"id": 22, "code": "FR", "name": "France"},
+           "coordinates": {"latitude": 48.5, "longitude": 2.25},
+           "datetimeLast": {"utc": "2025-03-01T09:00:00Z", "local": "2025-03-01T10:00:00+01:00"}, "sensors": []}
+    bad = dict(doc, id=8, datetimeLast={"utc": None, "local": "garbage"})
+    r = {x.location_id: x for x in op.locations_dim(spark.createDataFrame([doc, bad], schemas.LOCATION)).collect()}
+    assert str(r[7].location_datetime_last_local) == "2025-03-01 10:00:00"
+    assert r[8].location_datetime_last_local is None
+    assert (r[7].provider_id, r[7].location_country_id, r[7].latitude) == (1, 22, 48.5)
+
+
+def test_sensors_dim(spark):
+    doc = {"id": 7, "name": "st", "sensors": [
+        {"id": 71, "name": "s1", "parameter": {"id": 2, "displayName": "PM2.5"}},
+        {"id": 72, "name": "s2", "parameter": None}]}
+    got = op.sensors_dim(spark.createDataFrame([doc], schemas.LOCATION)).collect()
+    assert [tuple(r) for r in got] == [(7, 71, "s1", 2, "PM2.5"), (7, 72, "s2", None, None)]
+
+
+def test_city_points_first_postcode(spark):
+    rows = [(1, 1.0, 2.0, "n", "c", ["a", "b"], 5), (2, 1.0, 2.0, "n", "c", [], 5), (3, 1.0, 2.0, "n", "c", None, 5)]
+    df = spark.createDataFrame(rows, "location_id int, longitude double, latitude double, nom string, "
+                                     "code string, codesPostaux array<string>, population int")
+    got = [r.city_postcode for r in op.city_points(df).orderBy("location_id").collect()]
+    assert got == ["a", None, None]
+
+
+def test_location_points(spark):
+    df = spark.createDataFrame([(1, 2.0, 3.0)], "location_id int, latitude double, longitude double")
+    r = op.location_points(df).collect()[0]
+    assert (r.location_id, r.city_longitude, r.city_latitude) == (1, 3.0, 2.0)
+    assert F is not None

@@ -1,0 +1,54 @@
+import random
+
+from pyspark.sql import functions as F
+
+from aeris import operators as op
+from aeris.functions.geometry import point_in_ring
+
+
+def _communes(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(25):
+        cx, cy = rnd.uniform(0, 10), rnd.uniform(0, 10)
+        ring = [{"x": cx + rnd.uniform(-2, 2), "y": cy + rnd.uniform(-2, 2)} for _ in range(rnd.choice([3, 4, 5, 6]))]
+        rows.append((f"{i:03d}", f"c{i}", [f"{i:05d}"] if i % 3 else [], 100 * i, ring))
+    # two squares sharing the border x = 5
+    rows.append(("900", "left", ["l"], 1, [{"x": 4.0, "y": 4.0}, {"x": 5.0, "y": 4.0}, {"x": 5.0, "y": 5.0}, {"x": 4.0, "y": 5.0}]))
+    rows.append(("901", "right", ["r"], 1, [{"x": 5.0, "y": 4.0}, {"x": 6.0, "y": 4.0}, {"x": 6.0, "y": 5.0}, {"x": 5.0, "y": 5.0}]))
+    return spark.createDataFrame(rows, "code string, nom string, codesPostaux array<string>, population int, "
+                                       "ring array<struct<x:double,y:double>>")
+
+
+def _points(spark):
+    rnd = random.Random(3)
+    pts = [(i, rnd.uniform(-1, 11), rnd.uniform(-1, 11)) for i in range(2000)]
+    pts += [(5000, 5.0, 4.5), (5001, 20.0, 20.0), (5002, None, 1.0)]
+    return spark.createDataFrame(pts, "location_id int, city_longitude double, city_latitude double")
+
+
+def test_grid_join_equals_brute_force(spark):
+    communes, points = _communes(spark), _points(spark)
+    for cell in (0.3, 1.0, 4.0):
+        got = op.assign_communes(points, communes, cell_size=cell)
+        inside = point_in_ring(F.col("ring"), F.col("city_longitude"), F.col("city_latitude"))
+        brute = (points.crossJoin(communes).where(inside)
+                 .groupBy("location_id").agg(F.min("code").alias("code")))
+        want = points.join(brute, "location_id", "left").select("location_id", "code")
+        assert got.count() == points.count()
+        assert got.select("location_id", "code").exceptAll(want).count() == 0
+
+
+def test_shared_border_and_outside(spark):
+    got = {r.location_id: r for r in op.assign_communes(_points(spark), _communes(spark), cell_size=0.5).collect()}
+    assert got[5000].code == "901"  # on x = 5: belongs to the square to its right only
+    assert got[5001].code is None and got[5002].code is None
+
+
+def test_overlap_lowest_code_wins(spark):
+    sq = [{"x": 0.0, "y": 0.0}, {"x": 2.0, "y": 0.0}, {"x": 2.0, "y": 2.0}, {"x": 0.0, "y": 2.0}]
+    communes = spark.createDataFrame([("20", "b", [], 1, sq), ("10", "a", [], 1, sq)],
+                                     "code string, nom string, codesPostaux array<string>, population int, "
+                                     "ring array<struct<x:double,y:double>>")
+    pts = spark.createDataFrame([(1, 1.0, 1.0)], "location_id int, city_longitude double, city_latitude double")
+    assert op.assign_communes(pts, communes, cell_size=0.7).collect()[0].code == "10"
