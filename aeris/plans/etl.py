@@ -19,8 +19,9 @@ step  table                     kind       built from
 12    agg_measurements          fact       daily statistics of the same measurements
 ====  ========================  =========  =============================================
 
-Steps read the *stored* upstream tables (not re-parsed JSON), so each source is
-parsed once and a failure never re-runs finished steps. Facts are partitioned
+Each landed source is parsed at most once per run, into a Parquet staging
+table (``staged_<source>``) that the steps and the quarantine read; steps read
+the *stored* upstream tables, so a failure never re-runs finished steps. Facts are partitioned
 by ``day`` and replace the days of the batch, so re-running a day is
 idempotent. Pages that cannot be read land in ``quarantine_pages``.
 """
@@ -33,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeris import operators as op
+from aeris import schemas
 from aeris.functions.time import day_text
 from aeris.plans.load import StepResult, Warehouse, load_step
 from aeris.sources import landed
@@ -51,23 +53,53 @@ class Landing:
     one_page_per_file: bool = True
 
 
-def _quarantine(spark: SparkSession, landing: Landing, run_date: str) -> DataFrame:
-    from aeris import schemas
+SOURCES = {
+    "parameters": schemas.PARAMETER,
+    "countries": schemas.COUNTRY,
+    "providers": schemas.PROVIDER,
+    "locations": schemas.LOCATION,
+    "measurements": schemas.MEASUREMENT,
+}
 
-    parts = []
-    for source, path, entity in (
-        ("parameters", landing.parameters, schemas.PARAMETER),
-        ("countries", landing.countries, schemas.COUNTRY),
-        ("providers", landing.providers, schemas.PROVIDER),
-        ("locations", landing.locations, schemas.LOCATION),
-        ("measurements", landing.measurements, schemas.MEASUREMENT),
-    ):
-        q = landed.split_pages(spark, path, entity, landing.one_page_per_file)[1]
-        parts.append(q.select(F.lit(source).alias("source"), "source_file", "raw_text", "reason"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("run_date", F.lit(run_date))
+
+class _Staging:
+    """Parse each landed source at most once per run, into ``staged_<source>``.
+
+    Only sources whose steps actually build are parsed (a skipped dimension's
+    pages are not read). Rows and the quarantine both come from the staged
+    Parquet, so a page is parsed once although several steps use it.
+    """
+
+    def __init__(self, spark: SparkSession, landing: Landing, warehouse: Warehouse):
+        self.spark, self.landing, self.warehouse = spark, landing, warehouse
+        self.done: list[str] = []
+
+    def pages(self, source: str) -> DataFrame:
+        name = f"staged_{source}"
+        if source not in self.done:
+            parsed = landed.parse_pages(self.spark, getattr(self.landing, source), SOURCES[source],
+                                        self.landing.one_page_per_file)
+            self.warehouse.write(parsed, name, mode="overwrite")
+            self.done.append(source)
+        return self.warehouse.read(name)
+
+    def rows(self, source: str) -> DataFrame:
+        rows = landed.page_rows(self.pages(source))
+        return landed.measurement_rows(rows) if source == "measurements" else rows
+
+    def quarantine(self, run_date: str) -> DataFrame:
+        parts = [
+            landed.page_quarantine(self.pages(src)).select(
+                F.lit(src).alias("source"), "source_file", "raw_text", "reason")
+            for src in self.done
+        ]
+        if not parts:
+            return self.spark.createDataFrame(
+                [], "source string, source_file string, raw_text string, reason string, run_date string")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out.withColumn("run_date", F.lit(run_date))
 
 
 def run_daily_etl(
@@ -92,7 +124,7 @@ def run_daily_etl(
     from aeris.functions.time import run_window
 
     start, end = window or run_window(run_date)
-    kw = {"one_page_per_file": landing.one_page_per_file}
+    stage = _Staging(spark, landing, warehouse)
     dim = {"kind": "dimension", "refresh": refresh_dimensions}
     res: dict[str, StepResult] = {}
 
@@ -100,15 +132,13 @@ def run_daily_etl(
         res[name] = load_step(warehouse, name, build, **{**dim, **extra})
         return res[name].table
 
-    step("parameters", lambda: op.parameters_dim(landed.read_parameters(spark, landing.parameters, **kw)))
-    step("countries", lambda: op.countries_dim(landed.read_countries(spark, landing.countries, **kw)))
-    step("parameters_per_country",
-         lambda: op.country_parameters(landed.read_countries(spark, landing.countries, **kw)))
-    step("providers", lambda: op.providers_dim(landed.read_providers(spark, landing.providers, **kw)))
-    step("param_per_providers",
-         lambda: op.provider_parameters(landed.read_providers(spark, landing.providers, **kw)))
-    step("world_locations", lambda: op.locations_dim(landed.read_locations(spark, landing.locations, **kw)))
-    step("world_sensors", lambda: op.sensors_dim(landed.read_locations(spark, landing.locations, **kw)))
+    step("parameters", lambda: op.parameters_dim(stage.rows("parameters")))
+    step("countries", lambda: op.countries_dim(stage.rows("countries")))
+    step("parameters_per_country", lambda: op.country_parameters(stage.rows("countries")))
+    step("providers", lambda: op.providers_dim(stage.rows("providers")))
+    step("param_per_providers", lambda: op.provider_parameters(stage.rows("providers")))
+    step("world_locations", lambda: op.locations_dim(stage.rows("locations")))
+    step("world_sensors", lambda: op.sensors_dim(stage.rows("locations")))
     locations = step("france_locations",
                      lambda: op.active_locations(warehouse.read("world_locations"), country_id, since))
     sensors = step("france_sensors",
@@ -118,8 +148,7 @@ def run_daily_etl(
             op.location_points(locations), spark.read.parquet(landing.communes), cell_size=cell_size)))
 
     def selected() -> DataFrame:
-        m = landed.read_measurements(spark, landing.measurements, **kw)
-        m = m.withColumn("day", day_text(F.col("period.datetimeFrom.local")))
+        m = stage.rows("measurements").withColumn("day", day_text(F.col("period.datetimeFrom.local")))
         m = m.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
         return op.measurements_of_sensors(m, sensors)
 
@@ -128,6 +157,5 @@ def run_daily_etl(
     step("agg_measurements",
          lambda: op.daily_sensor_stats(selected(), expected_per_day=expected_per_day, exact=exact), **fact)
     res["quarantine_pages"] = load_step(
-        warehouse, "quarantine_pages", lambda: _quarantine(spark, landing, run_date),
-        kind="fact", partition_by=["run_date"])
+        warehouse, "quarantine_pages", lambda: stage.quarantine(run_date), kind="fact", partition_by=["run_date"])
     return res

@@ -18,6 +18,7 @@ lost executor never re-runs upstream steps).
 
 from __future__ import annotations
 
+import time
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Callable
@@ -90,14 +91,20 @@ class Warehouse:
     def _schema_marker(self, name: str) -> str:
         return f"{self.root}/_schemas/{name}"
 
-    def _stored_schema(self, name: str):
-        """Schema of a path-backend table, or None when the table is absent."""
+    def _marker_schema(self, name: str):
         try:
             return self.spark.read.parquet(self._schema_marker(name)).schema
         except AnalysisException as e:
             if (e.getCondition() or "") != "PATH_NOT_FOUND":
                 raise
-        try:  # a table written by someone else, without a marker
+        return None
+
+    def _stored_schema(self, name: str):
+        """Schema of a path-backend table, or None when the table is absent."""
+        marker = self._marker_schema(name)
+        if marker is not None:
+            return marker
+        try:  # unpartitioned tables (and tables written elsewhere) carry their own
             return self.spark.read.parquet(self.location(name)).schema
         except AnalysisException as e:
             if (e.getCondition() or "") == "PATH_NOT_FOUND":
@@ -139,8 +146,10 @@ class Warehouse:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.location(name))
-        if mode != "append" or self._stored_schema(name) is None:
-            # An empty, unpartitioned Parquet file keeps the table's schema.
+        if mode == "overwrite" or self._marker_schema(name) is None:
+            # A partitioned table whose batch was empty has no file to carry its
+            # schema; an empty, unpartitioned Parquet file next to it keeps it
+            # (rewritten with every overwrite, so it never goes stale).
             empty = self.spark.createDataFrame([], df.schema)
             empty.coalesce(1).write.mode("overwrite").parquet(self._schema_marker(name))
 
@@ -160,6 +169,7 @@ class StepResult:
     action: str  # created | skipped | replaced | appended | merged | refreshed
     rows: int | None
     table: DataFrame = field(repr=False)
+    seconds: float = 0.0
 
 
 @contextmanager
@@ -205,6 +215,7 @@ def load_step(
         raise ValueError(f"unknown kind {kind!r}")
     spark = warehouse.spark
     partition_by = list(partition_by or [])
+    started = time.perf_counter()
     with job_group(spark, name, description or f"load {name}"):
         present = warehouse.exists(name)
         if present and kind == "dimension" and not refresh:
@@ -234,7 +245,7 @@ def load_step(
                 warehouse.write(df, name, mode=mode, partition_by=partition_by if kind == "fact" else None)
         table = warehouse.read(name)
         rows = table.count() if count else None
-    return StepResult(name, action, rows, table)
+    return StepResult(name, action, rows, table, round(time.perf_counter() - started, 3))
 
 
 def _merge_with_stored(warehouse: Warehouse, name: str, batch: DataFrame, partition_by: list[str],

@@ -1,7 +1,11 @@
 """Sources: landed API pages, cell tables, warehouse tables."""
 
 from aeris.sources.landed import (
+    measurement_rows,
+    page_quarantine,
+    page_rows,
     parse_documents,
+    parse_pages,
     read_countries,
     read_locations,
     read_measurements,
@@ -13,7 +17,11 @@ from aeris.sources.landed import (
 )
 
 __all__ = [
+    "measurement_rows",
+    "page_quarantine",
+    "page_rows",
     "parse_documents",
+    "parse_pages",
     "read_countries",
     "read_locations",
     "read_measurements",

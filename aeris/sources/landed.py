@@ -43,36 +43,62 @@ def _read_text(spark: SparkSession, path: str, one_page_per_file: bool) -> DataF
     return reader.text(path)
 
 
-def split_pages(
+def parse_pages(
     spark: SparkSession, path: str, entity: T.StructType, one_page_per_file: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine) of the pages under ``path``.
-
-    rows: the ``results`` elements with the entity's top-level columns, plus any
-    partition columns of the layout. quarantine: ``source_file``,
-    ``raw_text``, ``reason`` (``malformed`` when the text is not JSON of the
-    envelope, ``no_results`` when it parses but has no ``results`` array).
-    An empty ``results`` array is an empty page: no row, no quarantine.
+) -> DataFrame:
+    """Parse every page under ``path`` once.
+
+    Columns: the layout's partition columns (renamed ``<c>__key`` when they
+    collide with an entity field), ``source_file``, ``results`` (NULL when the
+    page is unreadable), ``reason`` (NULL, ``malformed`` when the text is not
+    JSON of the envelope, ``no_results`` when it parses without a ``results``
+    array) and ``raw_text`` (kept for unreadable pages only). Written as
+    Parquet, it is the staging table that rows and quarantine are read from.
     """
     text = _read_text(spark, path, one_page_per_file)
     extra = [c for c in text.columns if c != "value"]
+    names = set(entity.fieldNames())
+    env = F.from_json(F.col("value"), _envelope(entity), {"columnNameOfCorruptRecord": CORRUPT})
     parsed = text.select(
-        *extra,
+        *[F.col(c).alias(f"{c}__key" if c in names else c) for c in extra],
         F.col("_metadata.file_path").alias("source_file"),
-        F.col("value").alias("raw_text"),
-        F.from_json(F.col("value"), _envelope(entity), {"columnNameOfCorruptRecord": CORRUPT}).alias("__env"),
+        F.col("value"),
+        env.alias("__env"),
     )
-    results = F.col("__env.results")
-    names = set(entity.fieldNames())
-    keys = [F.col(c).alias(f"{c}__key" if c in names else c) for c in extra]
-    rows = parsed.where(results.isNotNull()).select(*keys, F.inline(results))
-    quarantine = parsed.where(results.isNull()).select(
-        *extra,
-        "source_file",
-        "raw_text",
-        F.when(F.col(f"__env.{CORRUPT}").isNotNull(), F.lit("malformed")).otherwise(F.lit("no_results")).alias("reason"),
+    bad = F.col("__env.results").isNull()
+    return parsed.select(
+        *[c for c in parsed.columns if c not in ("value", "__env")],
+        F.col("__env.results").alias("results"),
+        F.when(bad & F.col(f"__env.{CORRUPT}").isNotNull(), F.lit("malformed"))
+        .when(bad, F.lit("no_results")).alias("reason"),
+        F.when(bad, F.col("value")).alias("raw_text"),
     )
-    return rows, quarantine
+
+
+def page_rows(pages: DataFrame) -> DataFrame:
+    """Rows of the readable pages of ``parse_pages`` output (``inline`` of results)."""
+    keys = [c for c in pages.columns if c not in ("source_file", "results", "reason", "raw_text")]
+    return pages.where(F.col("results").isNotNull()).select(*keys, F.inline("results"))
+
+
+def page_quarantine(pages: DataFrame) -> DataFrame:
+    """Unreadable pages of ``parse_pages`` output: keys, source_file, raw_text, reason."""
+    keys = [c for c in pages.columns if c not in ("source_file", "results", "reason", "raw_text")]
+    return pages.where(F.col("results").isNull()).select(*keys, "source_file", "raw_text", "reason")
+
+
+def split_pages(
+    spark: SparkSession, path: str, entity: T.StructType, one_page_per_file: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of the pages under ``path``.
+
+    rows: the ``results`` elements with the entity's top-level columns, plus any
+    partition columns of the layout. quarantine: ``source_file``,
+    ``raw_text``, ``reason``. An empty ``results`` array is an empty page: no
+    row, no quarantine.
+    """
+    pages = parse_pages(spark, path, entity, one_page_per_file)
+    return page_rows(pages), page_quarantine(pages)
 
 
 def read_pages(spark: SparkSession, path: str, entity: T.StructType, one_page_per_file: bool = True) -> DataFrame:
@@ -98,12 +124,15 @@ def read_locations(spark: SparkSession, path: str, **kw) -> DataFrame:
 
 
 def read_measurements(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """Measurements landed as ``<path>/sensor_id=<id>/…`` pages.
+    """Measurements landed as ``<path>/sensor_id=<id>/…`` pages (or pages whose
+    documents carry ``sensor_id``). See ``measurement_rows``."""
+    return measurement_rows(read_pages(spark, path, schemas.MEASUREMENT, **kw))
 
-    ``sensor_id`` is the request key from the folder; a ``sensor_id`` inside a
-    document wins when present (as in the original dict merge).
-    """
-    rows = read_pages(spark, path, schemas.MEASUREMENT, **kw)
+
+def measurement_rows(rows: DataFrame) -> DataFrame:
+    """Attach the request key: ``sensor_id`` from the folder name, unless the
+    document carries its own (the document wins, as in the original dict
+    merge). Other layout columns follow the document columns."""
     doc_cols = [c for c in schemas.MEASUREMENT.fieldNames() if c != "sensor_id"]
     others = [c for c in rows.columns if c not in schemas.MEASUREMENT.fieldNames() and c != "sensor_id__key"]
     key = F.col("sensor_id")
