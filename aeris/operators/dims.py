@@ -35,10 +35,20 @@ def countries_dim(raw: DataFrame) -> DataFrame:
     )
 
 
+def explode_fields(owner: F.Column, array: str, fields: dict[str, str]) -> list:
+    """``explode`` of selected fields of an array of structs.
+
+    Same rows as exploding the array (NULL or empty array → no row, duplicates
+    kept, a NULL element → a row of NULLs), but written as ``arrays_zip`` of the
+    field arrays so Parquet reads only those nested fields.
+    """
+    zipped = F.arrays_zip(*[F.col(f"{array}.{path}").alias(name) for name, path in fields.items()])
+    return [owner, F.explode(zipped).alias("__e")]
+
+
 def _owner_parameters(raw: DataFrame, owner: str) -> DataFrame:
-    # explode: an owner with a NULL or empty array yields no row, duplicates kept.
-    return raw.select(F.col("id").alias(owner), F.explode("parameters").alias("p")).select(
-        owner, F.col("p.id").alias("parameter_id")
+    return raw.select(*explode_fields(F.col("id").alias(owner), "parameters", {"parameter_id": "id"})).select(
+        owner, "__e.parameter_id"
     )
 
 
@@ -87,12 +97,14 @@ def locations_dim(raw: DataFrame, time_mode: str = "wall_clock") -> DataFrame:
 
 def sensors_dim(raw: DataFrame) -> DataFrame:
     """Sensors of each location (explode ``sensors``)."""
-    return raw.select(F.col("id").alias("location_id"), F.explode("sensors").alias("s")).select(
-        "location_id",
-        F.col("s.id").alias("sensor_id"),
-        F.col("s.name").alias("sensor_name"),
-        F.col("s.parameter.id").alias("sensor_parameter_id"),
-        F.col("s.parameter.displayName").alias("sensor_parameter_displayName"),
+    fields = {
+        "sensor_id": "id",
+        "sensor_name": "name",
+        "sensor_parameter_id": "parameter.id",
+        "sensor_parameter_displayName": "parameter.displayName",
+    }
+    return raw.select(*explode_fields(F.col("id").alias("location_id"), "sensors", fields)).select(
+        "location_id", *[f"__e.{k}" for k in fields]
     )
 
 

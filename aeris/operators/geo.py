@@ -62,16 +62,22 @@ def assign_communes(
     lon: str = "city_longitude",
     lat: str = "city_latitude",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_vertices: int = 4_000_000,
 ) -> DataFrame:
     """Points (location_id, city_longitude, city_latitude) → one row per point:
     location_id, longitude, latitude, nom, code, codesPostaux, population.
 
     ``cell_size`` is in coordinate units (degrees); it only affects speed.
+    The cell table is broadcast only when it has at most
+    ``max_broadcast_rows`` cells and ``max_broadcast_vertices`` ring vertices
+    in total (~16 bytes each); otherwise both sides shuffle on the cell.
     """
     size = F.lit(float(cell_size))
     px, py = F.col(lon), F.col(lat)
     pts = points.withColumn("cx", F.floor(px.cast("double") / size)).withColumn("cy", F.floor(py.cast("double") / size))
-    cells = sized_broadcast(commune_cells(communes, cell_size), max_broadcast_rows)
+    cells = commune_cells(communes, cell_size)
+    vertices = F.aggregate(F.transform("candidates", lambda c: F.size(c["ring"])), F.lit(0), lambda a, b: a + b)
+    cells = sized_broadcast(cells, max_broadcast_rows, weight=vertices, max_weight=max_broadcast_vertices)
     joined = pts.join(cells, ["cx", "cy"], "left")
     hit = F.get(F.filter(F.col("candidates"), lambda c: point_in_ring(c["ring"], px, py)), 0)
     return joined.select(

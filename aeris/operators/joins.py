@@ -8,7 +8,7 @@ from measured shuffle sizes). The check reads at most ``max_rows + 1`` rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Dimension rows of a few narrow columns: ~100 bytes each, so 500k rows stay
@@ -21,6 +21,21 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven ≤ ``max_rows``, else ``df``."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def size_at_most(df: DataFrame, max_rows: int, weight: Column | None = None, max_weight: int | None = None) -> bool:
+    """Row bound, plus a bound on ``sum(weight)`` for rows of variable width
+    (e.g. polygon vertices). Reads at most ``max_rows + 1`` rows."""
+    if weight is None or max_weight is None:
+        return row_count_at_most(df, max_rows)
+    head = df.limit(max_rows + 1)
+    n, w = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+    return n <= max_rows and w <= max_weight
+
+
+def sized_broadcast(
+    df: DataFrame,
+    max_rows: int = DEFAULT_BROADCAST_ROWS,
+    weight: Column | None = None,
+    max_weight: int | None = None,
+) -> DataFrame:
+    """``F.broadcast(df)`` when its size is proven within the bounds, else ``df``."""
+    return F.broadcast(df) if size_at_most(df, max_rows, weight, max_weight) else df

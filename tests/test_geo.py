@@ -52,3 +52,17 @@ def test_overlap_lowest_code_wins(spark):
                                      "ring array<struct<x:double,y:double>>")
     pts = spark.createDataFrame([(1, 1.0, 1.0)], "location_id int, city_longitude double, city_latitude double")
     assert op.assign_communes(pts, communes, cell_size=0.7).collect()[0].code == "10"
+
+
+def test_large_cell_table_is_not_broadcast(spark):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    df = op.assign_communes(_points(spark), _communes(spark), cell_size=0.5, max_broadcast_vertices=10)
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert "BroadcastHashJoin" not in buf.getvalue() or "AdaptiveSparkPlan" in buf.getvalue()
+    communes, points = _communes(spark), _points(spark)
+    want = op.assign_communes(points, communes, cell_size=0.5)
+    assert df.select("location_id", "code").exceptAll(want.select("location_id", "code")).count() == 0
