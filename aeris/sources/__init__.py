@@ -1,5 +1,6 @@
 """Sources: landed API pages, cell tables, warehouse tables."""
 
+from aeris.sources.cells import read_limit_cells, union_batches
 from aeris.sources.landed import (
     measurement_rows,
     page_quarantine,
@@ -30,4 +31,6 @@ __all__ = [
     "read_providers",
     "split_pages",
     "write_pages",
+    "read_limit_cells",
+    "union_batches",
 ]

@@ -64,3 +64,18 @@ def test_parse_documents(spark):
     df = spark.createDataFrame([('{"id": 3, "name": "no2"}',), ("nope",)], "j string")
     got = landed.parse_documents(df, "j", schemas.PARAMETER).collect()
     assert (got[0].id, got[0].name) == (3, "no2") and got[1].id is None
+
+
+def test_read_limit_cells_and_union(spark, scratch):
+    from aeris.sources import read_limit_cells, union_batches
+
+    root = scratch("cells")
+    _write(root, "c.json", "\n".join(json.dumps(r) for r in [
+        {"table_no": 1, "row_no": 0, "c0": "OZONE\n3"}, {"table_no": 1, "row_no": 1, "c0": "a", "c1": "5 µg/m3 (UE)",
+                                                          "c2": "x", "extra": 1}]) + "\n")
+    cells = read_limit_cells(spark, root)
+    assert cells.columns == ["table_no", "row_no", "c0", "c1", "c2"] and cells.count() == 2
+    a = spark.createDataFrame([(1, "x")], "k int, a string")
+    b = spark.createDataFrame([(2, 3.0)], "k int, b double")
+    u = union_batches([a, b])
+    assert sorted(u.columns) == ["a", "b", "k"] and u.count() == 2
