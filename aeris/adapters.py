@@ -46,6 +46,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def ntz_text(ts: Column, chars: int = 19) -> Column:
+    """ISO text ``yyyy-MM-ddTHH:mm:ss`` (or its first ``chars``) of a
+    ``timestamp_ntz``, without passing through the session time zone."""
+    return F.replace(F.substring(ts.cast("timestamp_ntz").cast("string"), 1, chars), F.lit(" "), F.lit("T"))
+
+
 def parameter_id(event_type: Column) -> Column:
     expr = None
     for name, pid in PARAMETER_IDS:
@@ -146,7 +152,7 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.array_sort(F.collect_list(_sensor_struct(F.col("user_id"), F.col("event_type")))).alias("sensors"))
     )
     k = F.col("c_custkey")
-    day = F.date_format(F.col("last_order"), "yyyy-MM-dd")
+    day = ntz_text(F.col("last_order"), 10)
     local = F.concat(day, F.lit("T12:00:00"), offset(k))
     joined = (
         cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"], "left")
@@ -184,8 +190,8 @@ def raw_measurements(spark: SparkSession, sf_dir: str, with_event_id: bool = Fal
     ev = table(spark, sf_dir, "events")
     extra = [F.col("event_id")] if with_event_id else []
     pid = parameter_id(F.col("event_type"))
-    ts_text = F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm:ss")
-    to_text = F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss")
+    ts_text = ntz_text(F.col("ts"))
+    to_text = ntz_text(F.col("ts") + F.expr("INTERVAL 1 HOUR"))
     k = F.get_json_object(F.col("props"), "$.k").try_cast("int")
     return ev.select(
         (F.col("user_id") * 10 + pid).cast("int").alias("sensor_id"),

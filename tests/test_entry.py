@@ -35,3 +35,16 @@ def test_oracles_match_at_smallest_scale(spark):
         want = sorted(map(repr, (tuple(r[i] for i in idx) for r in rel.fetchall())))
         assert len(got) == len(want), name
         assert sorted(df.columns) == sorted(cols), name
+
+
+def test_reports_do_not_depend_on_session_zone(spark):
+    names = ["raw_measurements", "locations_dim", "daily_sensor_stats"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        results = {}
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            results[zone] = {n: sorted(map(repr, E.queries()[n](spark, SF001).collect())) for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert results["UTC"] == results["America/New_York"] == results["Asia/Kolkata"]
