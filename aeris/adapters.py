@@ -238,8 +238,10 @@ def communes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- landing zones
 
 def _day_page() -> Column:
-    """Measurement pages: one per sensor and local day (yyyymmdd)."""
-    return F.regexp_replace(F.substring(F.col("period.datetimeFrom.local"), 1, 10), "-", "").cast("int")
+    """Per-sensor pages: local day and a block of 1000 event ids (``yyyymmdd-k``),
+    so a page holds at most 1000 documents even for a hot sensor-day."""
+    day = F.regexp_replace(F.substring(F.col("period.datetimeFrom.local"), 1, 10), "-", "")
+    return F.concat(day, F.lit("-"), F.floor(F.col("event_id") / 1000).cast("string"))
 
 
 def land_locations(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -266,14 +268,15 @@ def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folder
     """Land measurement pages.
 
     ``sensor_folders=True``: the per-sensor request layout
-    ``sensor_id=<id>/page=<yyyymmdd>`` (key only in the folder name; one small
-    file per sensor-day). Default: bulk pages of 1000 documents that carry
+    ``sensor_id=<id>/page=<yyyymmdd-k>`` (key only in the folder name; one
+    small file per sensor-day). Default: bulk pages of 1000 documents that carry
     ``sensor_id`` themselves.
     """
     from aeris.sources.landed import write_pages
 
     if sensor_folders:
-        write_pages(raw_measurements(spark, sf_dir), path, _day_page(), partition_by=["sensor_id"])
+        write_pages(raw_measurements(spark, sf_dir, with_event_id=True), path, _day_page(),
+                    partition_by=["sensor_id"], drop=["event_id"])
     else:
         write_pages(raw_measurements(spark, sf_dir, with_event_id=True), path,
                     F.floor(F.col("event_id") / 1000).cast("int"), drop=["event_id"])

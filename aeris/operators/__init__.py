@@ -14,6 +14,7 @@ from aeris.operators.dims import (
 from aeris.operators.joins import sized_broadcast
 from aeris.operators.measurements import (
     daily_sensor_stats,
+    daily_stats_of_raw_fact,
     measurements_between,
     measurements_of_sensors,
     raw_measurements,
@@ -28,6 +29,7 @@ __all__ = [
     "country_parameters",
     "country_sensors",
     "daily_sensor_stats",
+    "daily_stats_of_raw_fact",
     "duplicate_keys",
     "enrich_measurements",
     "location_points",

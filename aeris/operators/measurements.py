@@ -73,17 +73,29 @@ def daily_sensor_stats(raw: DataFrame, expected_per_day: int = 24, exact: bool =
     on the group key, final aggregation. No global sort: order belongs to the
     reader's query, and the writer clusters by day.
     """
+    flat = raw.select(
+        day_text(F.col("period.datetimeFrom.local")).alias("day"),
+        "sensor_id",
+        F.col("parameter.id").alias("parameter_id"),
+        "value",
+        F.col("coverage.observedCount").alias("observed"),
+    )
+    return _daily(flat, expected_per_day, exact)
+
+
+def daily_stats_of_raw_fact(fact: DataFrame, expected_per_day: int = 24, exact: bool = False) -> DataFrame:
+    """The same statistics from the stored raw fact (flat columns, ``day``
+    partition column), so a day-window filter prunes partitions and only five
+    narrow columns are read."""
+    flat = fact.select("day", "sensor_id", "parameter_id", "value", F.col("coverage_observedCount").alias("observed"))
+    return _daily(flat, expected_per_day, exact)
+
+
+def _daily(flat: DataFrame, expected_per_day: int, exact: bool) -> DataFrame:
     rnd = rounder(exact)
     v = F.col("value")
-    stats = (
-        raw.select(
-            day_text(F.col("period.datetimeFrom.local")).alias("day"),
-            "sensor_id",
-            F.col("parameter.id").alias("parameter_id"),
-            "value",
-            F.col("coverage.observedCount").alias("observed"),
-        )
-        .groupBy("day", "sensor_id", "parameter_id")
+    return (
+        flat.groupBy("day", "sensor_id", "parameter_id")
         .agg(
             rnd(F.avg(v), 2).alias("value"),
             rnd(F.min(v), 2).alias("min_value"),
@@ -94,4 +106,3 @@ def daily_sensor_stats(raw: DataFrame, expected_per_day: int = 24, exact: bool =
         )
         .withColumn("expected_count", F.lit(expected_per_day))
     )
-    return stats

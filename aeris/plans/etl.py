@@ -16,7 +16,7 @@ step  table                     kind       built from
 9     france_sensors            dimension  world_sensors ⋈ france_locations
 10    france_cities_sensors     dimension  spatial join of station points with communes
 11    raw_measurements          fact       landed measurements ⋉ france_sensors, in window
-12    agg_measurements          fact       daily statistics of the same measurements
+12    agg_measurements          fact       daily statistics of the window's raw fact
 ====  ========================  =========  =============================================
 
 Each landed source is parsed at most once per run, into a Parquet staging
@@ -154,8 +154,11 @@ def run_daily_etl(
 
     fact = {"kind": "fact", "partition_by": ["day"], "refresh": False}
     step("raw_measurements", lambda: op.raw_measurements(selected(), keep=["day"]), **fact)
-    step("agg_measurements",
-         lambda: op.daily_sensor_stats(selected(), expected_per_day=expected_per_day, exact=exact), **fact)
+    # The aggregate reads the raw fact just written for this window (pruned to
+    # its days, five flat columns) instead of parsing and joining again.
+    step("agg_measurements", lambda: op.daily_stats_of_raw_fact(
+        op.measurements_between(warehouse.read("raw_measurements"), start, end, column="day"),
+        expected_per_day=expected_per_day, exact=exact), **fact)
     res["quarantine_pages"] = load_step(
         warehouse, "quarantine_pages", lambda: stage.quarantine(run_date), kind="fact", partition_by=["run_date"])
     return res
