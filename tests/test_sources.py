@@ -79,3 +79,17 @@ def test_read_limit_cells_and_union(spark, scratch):
     b = spark.createDataFrame([(2, 3.0)], "k int, b double")
     u = union_batches([a, b])
     assert sorted(u.columns) == ["a", "b", "k"] and u.count() == 2
+
+
+def test_page_files_equal_one_json_lines_file(spark, scratch):
+    from aeris import adapters as A
+    from tests.conftest import SF001
+
+    pages = scratch("pages")
+    A.land_locations(spark, SF001, pages)
+    lines = scratch("lines")
+    spark.read.text(pages, wholetext=True).select("value").coalesce(1).write.text(lines)
+    a = landed.read_locations(spark, pages).drop("page")
+    b = landed.read_locations(spark, lines, one_page_per_file=False)
+    assert a.count() == b.count() == 150
+    assert a.exceptAll(b).count() == 0

@@ -30,3 +30,30 @@ def test_restart_is_exactly_once(spark, scratch):
     n = spark.read.parquet(sink).count()
     run_daily_stats_stream(spark, src, sink, ckpt).awaitTermination()  # nothing new: nothing rewritten
     assert spark.read.parquet(sink).count() == n
+
+
+def test_late_rows_after_the_watermark_are_dropped(spark, scratch):
+    import json
+    import os
+
+    from aeris.session import local_fs_path
+
+    src, sink, ckpt = scratch("src"), scratch("sink"), scratch("ckpt")
+
+    def doc(day, hour, value):
+        return {"sensor_id": 1, "value": value, "parameter": {"id": 2},
+                "period": {"datetimeFrom": {"local": f"2025-03-{day:02d}T{hour:02d}:00:00+01:00"}},
+                "coverage": {"observedCount": 1}}
+
+    def land(name, docs):
+        os.makedirs(local_fs_path(src), exist_ok=True)
+        with open(os.path.join(local_fs_path(src), name), "w") as f:
+            f.write(json.dumps({"results": docs}))
+
+    land("a.json", [doc(1, 10, 1.0), doc(1, 11, 3.0), doc(5, 10, 7.0)])  # watermark → 03-04T10
+    run_daily_stats_stream(spark, src, sink, ckpt).awaitTermination()
+    land("b.json", [doc(1, 12, 100.0), doc(6, 10, 8.0)])  # day 1 is late now; day 6 advances the clock
+    run_daily_stats_stream(spark, src, sink, ckpt).awaitTermination()
+    got = {str(r.day): r for r in spark.read.parquet(sink).collect()}
+    assert got["2025-03-01"].value == 2.0 and got["2025-03-01"].observed_count == 2  # the late 100.0 was dropped, day 1 written once
+    assert "2025-03-06" not in got  # still open
