@@ -135,9 +135,15 @@ class Warehouse:
             writer = writer.mode(mode)
         if self.backend == "catalog":
             if mode == "replace_partitions" and self.exists(name):
+                # insertInto resolves columns by position: align to the table.
                 target = self.spark.read.table(self.location(name)).columns
-                self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-                df.select(*target).write.mode("overwrite").insertInto(self.location(name))
+                key = "spark.sql.sources.partitionOverwriteMode"
+                before = self.spark.conf.get(key, "static")
+                self.spark.conf.set(key, "dynamic")
+                try:
+                    df.select(*target).write.mode("overwrite").insertInto(self.location(name))
+                finally:
+                    self.spark.conf.set(key, before)
                 return
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
