@@ -244,15 +244,20 @@ def _day_page() -> Column:
     return F.concat(day, F.lit("-"), F.floor(F.col("event_id") / 1000).cast("string"))
 
 
-def land_locations(spark: SparkSession, sf_dir: str, path: str) -> None:
+# Fixed value: the API's location page size.
+LOCATION_PAGE_SIZE = 1000
+
+
+def land_locations(spark: SparkSession, sf_dir: str, path: str, page_size: int = LOCATION_PAGE_SIZE) -> None:
     from aeris.sources.landed import write_pages
 
-    write_pages(raw_locations(spark, sf_dir), path, F.floor(F.col("id") / 100).cast("int"))
+    write_pages(raw_locations(spark, sf_dir), path, F.floor(F.col("id") / page_size).cast("int"))
 
 
-def land_broken_location_pages(spark: SparkSession, sf_dir: str, path: str, every: int = 5) -> None:
+def land_broken_location_pages(spark: SparkSession, sf_dir: str, path: str, every: int = 5,
+                               page_size: int = LOCATION_PAGE_SIZE) -> None:
     """Append a truncated copy of every ``every``-th location page (bad JSON)."""
-    docs = raw_locations(spark, sf_dir).withColumn("page", F.floor(F.col("id") / 100).cast("int"))
+    docs = raw_locations(spark, sf_dir).withColumn("page", F.floor(F.col("id") / page_size).cast("int"))
     body = [c for c in docs.columns if c != "page"]
     pages = (
         docs.where(F.pmod(F.col("page"), F.lit(every)) == 0)

@@ -296,8 +296,8 @@ def quarantined_pages(spark: SparkSession, d: str) -> DataFrame:
     from aeris.sources import landed
 
     path = scratch_path(spark, "bad-pages")
-    A.land_locations(spark, d, path)
-    A.land_broken_location_pages(spark, d, path, every=5)
+    A.land_locations(spark, d, path, page_size=100)  # small pages: many pages to quarantine from
+    A.land_broken_location_pages(spark, d, path, every=5, page_size=100)
     _, quarantine = landed.split_pages(spark, path, schemas.LOCATION)
     return quarantine.select("page", "reason")
 

@@ -32,7 +32,7 @@ def test_etl_twice_is_idempotent(spark, scratch):
     assert stored.count() == direct.count() > 0
     assert stored.exceptAll(direct).count() == 0
     q = wh.read("quarantine_pages")
-    assert q.where(F.col("source") == "locations").count() == 3  # pages 0, 7, 14 of 15
+    assert q.where(F.col("source") == "locations").count() == 1  # page 0 of pages 0-1
     assert q.where(F.col("reason") != "malformed").count() == 0
     # stations geocoded: every active location has exactly one city row
     assert wh.read("france_cities_sensors").count() == wh.read("france_locations").count()

@@ -86,7 +86,7 @@ def test_page_files_equal_one_json_lines_file(spark, scratch):
     from tests.conftest import SF001
 
     pages = scratch("pages")
-    A.land_locations(spark, SF001, pages)
+    A.land_locations(spark, SF001, pages, page_size=10)
     lines = scratch("lines")
     spark.read.text(pages, wholetext=True).select("value").coalesce(1).write.text(lines)
     a = landed.read_locations(spark, pages).drop("page")
