@@ -32,16 +32,16 @@ FIXED_SIZE_TABLES = ("nation", "region")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Each test file is a single Parquet row group, i.e. a single
-    scan task; when the scan has fewer partitions than the session's cores the
-    rows are spread round-robin so the stand-in construction (string
-    formatting, JSON) runs on every core. On real inputs (many files / row
-    groups) the scan already has enough partitions and nothing is added."""
+    """A test table. Each test table is one Parquet file of a single row group,
+    i.e. a single scan task; when a table has fewer files than the session has
+    cores, its rows are spread round-robin so the stand-in construction (string
+    formatting, JSON) runs on every core. Inputs of many files already scan in
+    parallel and get nothing added."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in FIXED_SIZE_TABLES:
         return df
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if len(df.inputFiles()) < cores:
         df = df.repartition(cores)
     return df
 

@@ -38,6 +38,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Settings this engine is designed for on a large cluster (apply at
+    session build; the library itself never sets them).
+
+    * AQE decides shuffle sizes at runtime: start with many shuffle partitions
+      (~3 per core) and let it coalesce to ~256 MB each, split skewed partitions
+      of joins, and convert to broadcast from measured sizes.
+    * Scan splits of 256 MB keep per-task memory flat for large Parquet files.
+    * Dynamic partition overwrite makes fact loads replace only their days.
+    * The RocksDB state store keeps streaming state off the JVM heap.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(3 * executors * cores_per_executor),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
