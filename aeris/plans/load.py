@@ -37,7 +37,13 @@ class Warehouse:
         database: str | None = None,
         jdbc_url: str | None = None,
         jdbc_properties: dict | None = None,
+        jdbc_batchsize: int = 10_000,
+        jdbc_write_partitions: int | None = None,
     ):
+        """``jdbc_properties`` carry driver, user and password. Writes send
+        ``jdbc_batchsize`` rows per round trip, an overwrite truncates instead
+        of dropping the table (keeps its DDL and grants), and
+        ``jdbc_write_partitions`` caps concurrent connections."""
         if backend not in ("path", "catalog", "jdbc"):
             raise ValueError(f"unknown backend {backend!r}")
         if backend == "path" and not root:
@@ -50,6 +56,9 @@ class Warehouse:
         self.database = database
         self.jdbc_url = jdbc_url
         self.jdbc_properties = dict(jdbc_properties or {})
+        self.jdbc_write_properties = {**self.jdbc_properties, "batchsize": str(jdbc_batchsize), "truncate": "true"}
+        if jdbc_write_partitions:
+            self.jdbc_write_properties["numPartitions"] = str(jdbc_write_partitions)
 
     # ------------------------------------------------------------ naming
     def location(self, name: str) -> str:
@@ -126,7 +135,7 @@ class Warehouse:
         if self.backend == "jdbc":
             if mode == "replace_partitions":
                 raise NotImplementedError("JDBC tables cannot replace partitions; use mode='append'")
-            df.write.jdbc(self.jdbc_url, self.location(name), mode=mode, properties=self.jdbc_properties)
+            df.write.jdbc(self.jdbc_url, self.location(name), mode=mode, properties=self.jdbc_write_properties)
             return
         writer = df.write
         if mode == "replace_partitions":
