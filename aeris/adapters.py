@@ -86,19 +86,33 @@ def raw_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country documents from ``nation``; parameters p with (n + p) % 3 = 0,
-    an empty list when n % 7 = 0."""
-    n = F.col("n_nationkey")
-    params = F.when(F.pmod(n, F.lit(7)) == 0, F.array().cast(_PARAM_ARRAY)).otherwise(
-        F.filter(_all_parameters(), lambda p: F.pmod(n + p["id"], F.lit(3)) == 0)
+    """Country documents: every nation that has stations (customers), with the
+    parameters measured at its stations (distinct event types of its
+    customers' events, by id; empty when none)."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    kinds = table(spark, sf_dir, "events").select("user_id", "event_type").distinct()
+    measured = (
+        cust.join(kinds, cust["c_custkey"] == kinds["user_id"])
+        .select("c_nationkey", "event_type")
+        .distinct()
+        .groupBy("c_nationkey")
+        .agg(F.array_sort(F.collect_list(parameter_struct(parameter_id(F.col("event_type")),
+                                                          F.col("event_type")))).alias("parameters"))
     )
-    return table(spark, sf_dir, "nation").select(
-        n.cast("int").alias("id"),
-        F.concat(F.lit("N"), n.cast("string")).alias("code"),
-        F.lit(None).cast("string").alias("datetimeFirst"),
-        F.lit(None).cast("string").alias("datetimeLast"),
-        F.col("n_name").alias("name"),
-        params.alias("parameters"),
+    countries = cust.select("c_nationkey").distinct()
+    n = F.col("c_nationkey")
+    return (
+        countries.join(nation, countries["c_nationkey"] == nation["n_nationkey"], "left")
+        .join(measured, "c_nationkey", "left")
+        .select(
+            n.cast("int").alias("id"),
+            F.concat(F.lit("N"), n.cast("string")).alias("code"),
+            F.lit(None).cast("string").alias("datetimeFirst"),
+            F.lit(None).cast("string").alias("datetimeLast"),
+            F.col("n_name").alias("name"),
+            F.coalesce(F.col("parameters"), F.array().cast(_PARAM_ARRAY)).alias("parameters"),
+        )
     )
 
 

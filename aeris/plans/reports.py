@@ -211,10 +211,9 @@ ACTIVE = f"""active AS (
   SELECT * FROM loc WHERE location_country_id = {COUNTRY}
     AND location_datetime_last_local >= TIMESTAMP '{SINCE} 00:00:00')"""
 
-CP = """cp AS (
-  SELECT n_nationkey AS country_id, p AS parameter_id
-  FROM nation, (VALUES (1), (2), (3), (4), (5)) t(p)
-  WHERE n_nationkey % 7 <> 0 AND (n_nationkey + p) % 3 = 0)"""
+CP = f"""cp AS (
+  SELECT DISTINCT c.c_nationkey AS country_id, {PID} AS parameter_id
+  FROM customer c JOIN (SELECT DISTINCT user_id, event_type FROM events) e ON c.c_custkey = e.user_id)"""
 
 ORACLE_SQL = {
     "daily_sensor_stats": f"WITH {M}, {DAILY} SELECT * FROM daily",
@@ -224,9 +223,11 @@ ORACLE_SQL = {
                             f"AND period_datetime_local < TIMESTAMP '{WINDOW[1]} 00:00:00'",
     "parameters_dim": f"SELECT DISTINCT {PID} AS param_id, event_type AS param_name, 'u' || {PID} AS param_units, "
                       "upper(event_type) AS param_displayName, CAST(NULL AS VARCHAR) AS param_description FROM events",
-    "countries_dim": "SELECT n_nationkey AS country_id, 'N' || CAST(n_nationkey AS VARCHAR) AS country_code, "
+    "countries_dim": "SELECT c.c_nationkey AS country_id, 'N' || CAST(c.c_nationkey AS VARCHAR) AS country_code, "
                      "CAST(NULL AS VARCHAR) AS date_first_measure, CAST(NULL AS VARCHAR) AS date_last_measure, "
-                     "n_name AS country_name FROM nation",
+                     "n.n_name AS country_name "
+                     "FROM (SELECT DISTINCT c_nationkey FROM customer) c "
+                     "LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey",
     "country_parameters": f"WITH {CP} SELECT * FROM cp",
     "providers_dim": "SELECT CAST(s_suppkey AS INTEGER) AS provider_id, s_name AS provider_name, "
                      "lower(s_name) AS provider_source_name, CAST(NULL AS VARCHAR) AS provider_datetime_added, "
@@ -353,7 +354,7 @@ def _etl(spark: SparkSession, d: str):
     from aeris.plans.etl import run_daily_etl
     from aeris.session import scratch_path
 
-    key = (id(spark), d)
+    key = (spark.sparkContext.applicationId, id(spark), d)
     if key not in _ETL_RUNS:
         landing = A.land_all(spark, d, scratch_path(spark, "landing"))
         wh = _warehouse(spark, "etl")
