@@ -152,7 +152,7 @@ def run_daily_etl(
         m = m.where((F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end)))
         return op.measurements_of_sensors(m, sensors)
 
-    fact = {"kind": "fact", "partition_by": ["day"], "refresh": False}
+    fact = {"kind": "fact", "partition_by": ["day"], "cluster_by": ["sensor_id"], "refresh": False}
     step("raw_measurements", lambda: op.raw_measurements(selected(), keep=["day"]), **fact)
     # The aggregate reads the raw fact just written for this window (pruned to
     # its days, five flat columns) instead of parsing and joining again.

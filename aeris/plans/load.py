@@ -121,17 +121,21 @@ class Warehouse:
             raise
 
     # ------------------------------------------------------------ SNK1
-    def write(self, df: DataFrame, name: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+    def write(self, df: DataFrame, name: str, mode: str = "overwrite", partition_by: list[str] | None = None,
+              cluster_by: list[str] | None = None) -> None:
         """Write ``df`` as table ``name``.
 
         ``mode="replace_partitions"`` overwrites only the partitions present in
         ``df`` (dynamic partition overwrite); other modes are Spark's.
+        Rows are sorted inside each task by ``partition_by`` then ``cluster_by``
+        (no shuffle, no global sort): each task writes one file per partition
+        value, and Parquet min/max statistics on ``cluster_by`` let readers skip
+        row groups (e.g. one sensor's history).
         """
         partition_by = list(partition_by or [])
-        if partition_by:
-            # Cluster rows of a partition value inside each task so every task
-            # writes few, well-ordered files; no global sort, no single-key shuffle.
-            df = df.sortWithinPartitions(*partition_by)
+        order = partition_by + [c for c in (cluster_by or []) if c not in partition_by]
+        if order:
+            df = df.sortWithinPartitions(*order)
         if self.backend == "jdbc":
             if mode == "replace_partitions":
                 raise NotImplementedError("JDBC tables cannot replace partitions; use mode='append'")
@@ -211,6 +215,7 @@ def load_step(
     writer: Callable[[DataFrame, str], None] | None = None,
     count: bool = True,
     description: str | None = None,
+    cluster_by: list[str] | None = None,
 ) -> StepResult:
     """Create / skip / load one table.
 
@@ -224,7 +229,8 @@ def load_step(
       an old day); ``"append"`` the original plain append.
 
     ``build`` runs only when needed. ``writer(df, name)`` replaces the default
-    writer. The step's jobs are labelled with ``name``.
+    writer; ``cluster_by`` orders rows inside each written file. The step's
+    jobs are labelled with ``name``.
     """
     if kind not in ("dimension", "fact"):
         raise ValueError(f"unknown kind {kind!r}")
@@ -257,7 +263,8 @@ def load_step(
             if writer is not None:
                 writer(df, name)
             else:
-                warehouse.write(df, name, mode=mode, partition_by=partition_by if kind == "fact" else None)
+                warehouse.write(df, name, mode=mode, partition_by=partition_by if kind == "fact" else None,
+                                cluster_by=cluster_by)
         table = warehouse.read(name)
         rows = table.count() if count else None
     return StepResult(name, action, rows, table, round(time.perf_counter() - started, 3))

@@ -85,3 +85,12 @@ def test_limits_one_shuffle_by_table(spark):
     p = plan(limit_rows(A.limit_cells(spark, SF001)))
     assert "hashpartitioning(table_no" in p
     assert F is not None
+
+
+def test_fact_files_are_clustered_for_row_group_skipping(spark, scratch):
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    daily = op.daily_sensor_stats(A.raw_measurements(spark, SF001))
+    wh.write(daily, "agg", partition_by=["day"], cluster_by=["sensor_id"])
+    p = plan(wh.read("agg").where(F.col("sensor_id") == 42))
+    assert "PushedFilters: [IsNotNull(sensor_id), EqualTo(sensor_id,42)]" in p
+    assert wh.read("agg").count() == daily.count()
