@@ -5,45 +5,77 @@ document (``schemas.LIMIT_CELLS``); row 0 of a table holds the pollutant title
 in ``c0``, later rows hold indicator, measurement text and criterion.
 
 The fill-forward of empty indicators is a running ``last(..., ignorenulls)``
-window per table; the nested list per pollutant is an aggregate over the same
-partitioning, so the plan shuffles the cells once (by table). A table is one
-printed table of a document, so its rows are few.
+window inside bounded buckets of rows, with the value carried across buckets
+from per-bucket summaries, so a huge table is spread over many tasks. The
+nested document holds, by definition, one record per table with all its kept
+rows (a printed table of a document).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeris.functions import text as X
+from aeris.operators.joins import sized_broadcast
 
 INFO_FIELDS = ("indicateur", "valeurs", "origine", "critere")
 
 
-def limit_rows(cells: DataFrame, keep_dropped: bool = False) -> DataFrame:
+def fill_forward(df: DataFrame, key: str, order: str, value: Column, name: str,
+                 bucket_rows: int = 100_000) -> DataFrame:
+    """Add ``name`` = the last non-NULL ``value`` at or before each row, per ``key``
+    in ``order`` (an integer position).
+
+    Skew-proof: rows are cut into buckets of ``bucket_rows`` positions; the
+    running ``last`` runs inside each bucket (a task holds at most one
+    bucket), each bucket's last value is pre-aggregated, and the value carried
+    into a bucket comes from a window over those per-bucket summaries (one row
+    per bucket). So one huge ``key`` never lands in a single task.
+    """
+    bucket = F.floor(F.col(order) / F.lit(bucket_rows))
+    d = df.withColumn("__b", bucket).withColumn("__v", value)
+    inside = Window.partitionBy(key, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("__in", F.last("__v", ignorenulls=True).over(inside))
+    summary = d.where(F.col("__v").isNotNull()).groupBy(key, "__b").agg(
+        F.max_by("__v", F.col(order)).alias("__last"))
+    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(key, "__b", "__last").unionByName(
+        d.select(key, "__b").distinct().withColumn("__last", F.lit(None).cast(summary.schema["__last"].dataType))
+    ).groupBy(key, "__b").agg(F.max("__last").alias("__last"))
+    carry = carry.withColumn("__carry", F.last("__last", ignorenulls=True).over(before)).select(key, "__b", "__carry")
+    return (
+        d.join(carry, [key, "__b"], "left")
+        .withColumn(name, F.coalesce(F.col("__in"), F.col("__carry")))
+        .drop("__b", "__v", "__in", "__carry")
+    )
+
+
+def limit_rows(cells: DataFrame, keep_dropped: bool = False, bucket_rows: int = 100_000) -> DataFrame:
     """Clean body rows: table_no, row_no, nom, indicateur, valeurs, origine, critere.
 
     Empty indicators take the last non-empty indicator above them (raw text, so
     ``" "`` counts as non-empty); rows whose cleaned value is empty are dropped
-    (``keep_dropped=True`` keeps them with ``kept = false``).
+    (``keep_dropped=True`` keeps them with ``kept = false``). The fill-forward
+    is bucketed (``fill_forward``) and the title is joined from the title rows
+    (one per table, size-checked broadcast), so no step holds a whole table in
+    one task.
     """
-    running = Window.partitionBy("table_no").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("table_no")
-    body = F.col("row_no") > 0
+    titles = cells.where(F.col("row_no") == 0).select(
+        "table_no", X.pollutant_title(F.col("c0")).alias("__title"))
+    body = cells.where(F.col("row_no") > 0)
     raw_ind = F.coalesce(F.col("c0"), F.lit(""))
-    filled = F.coalesce(F.last(F.when(body & (raw_ind != ""), raw_ind), ignorenulls=True).over(running), F.lit(""))
-    title = F.max(F.when(F.col("row_no") == 0, X.pollutant_title(F.col("c0")))).over(whole)
-    rows = cells.select(
+    body = fill_forward(body, "table_no", "row_no", F.when(raw_ind != "", raw_ind), "__filled", bucket_rows)
+    rows = body.join(sized_broadcast(titles), "table_no", "left").select(
         "table_no",
         "row_no",
-        F.coalesce(title, F.lit(X.UNKNOWN_POLLUTANT)).alias("nom"),
-        X.clean_field(filled).alias("indicateur"),
+        F.coalesce(F.col("__title"), F.lit(X.UNKNOWN_POLLUTANT)).alias("nom"),
+        X.clean_field(F.coalesce(F.col("__filled"), F.lit(""))).alias("indicateur"),
         X.clean_field(X.measurement_values(F.col("c1"))).alias("valeurs"),
         X.clean_field(X.measurement_origins(F.col("c1"))).alias("origine"),
         X.clean_field(F.coalesce(F.col("c2"), F.lit(""))).alias("critere"),
-        body.alias("__body"),
     )
-    rows = rows.withColumn("kept", F.col("__body") & (F.col("valeurs") != "")).where("__body").drop("__body")
+    rows = rows.withColumn("kept", F.col("valeurs") != "")
     return rows if keep_dropped else rows.where("kept").drop("kept")
 
 

@@ -55,3 +55,24 @@ def test_document_keeps_empty_pollutant(spark, scratch):
     write_limits_document(doc, path)
     back = spark.read.schema(doc.schema).json(path)
     assert back.exceptAll(doc).count() == 0
+
+
+def test_bucketed_fill_forward_equals_single_bucket(spark):
+    from aeris import adapters as A
+    from tests.conftest import SF001
+
+    cells = A.limit_cells(spark, SF001).unionByName(_cells(spark).withColumn("table_no", F.col("table_no") + 10_000))
+    whole = limit_rows(cells, bucket_rows=1_000_000)
+    for b in (2, 3):
+        small = limit_rows(cells, bucket_rows=b)
+        assert small.count() == whole.count()
+        assert small.exceptAll(whole).count() == 0
+
+
+def test_fill_forward_across_empty_buckets(spark):
+    from aeris.operators.limits import fill_forward
+
+    df = spark.createDataFrame([(1, 0, "a"), (1, 5, None), (1, 9, None), (1, 12, "b"), (1, 13, None), (2, 3, None)],
+                               "k int, pos int, v string")
+    got = {(r.k, r.pos): r.f for r in fill_forward(df, "k", "pos", F.col("v"), "f", bucket_rows=2).collect()}
+    assert got == {(1, 0): "a", (1, 5): "a", (1, 9): "a", (1, 12): "b", (1, 13): "b", (2, 3): None}
