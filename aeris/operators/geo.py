@@ -6,13 +6,15 @@ commune reference table (``schemas.COMMUNE``):
 1. every commune is listed in each grid cell its bounding box touches
    (``sequence`` + ``explode``), and each cell keeps its candidate communes
    sorted by code — a cell row is small because a cell only meets the
-   communes around it;
-2. every point looks up its single cell with an equi-join (broadcast when the
-   cell table passes the size check, else a shuffle join that AQE can split for
-   a hot cell) — a many-to-one join, so points are never multiplied;
-3. the first candidate (lowest code) whose ring contains the point wins
-   (crossing-number test in higher-order functions, inside codegen); no hit
-   keeps the point with NULL commune fields.
+   communes around it; communes much larger than a cell go to a coarser grid
+   so that no polygon is copied into many cells;
+2. every point looks up its single cell on each grid with an equi-join
+   (broadcast when the cell table passes the size check, else a shuffle join
+   that AQE can split for a hot cell) — many-to-one joins, so points are never
+   multiplied and no groupBy follows;
+3. the lowest-code candidate whose ring contains the point wins
+   (crossing-number test in higher-order functions); no hit keeps the point
+   with NULL commune fields.
 
 A point inside a polygon is inside its bounding box, so its cell is among the
 commune's cells: the grid only prunes, the result equals testing every
@@ -23,9 +25,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aeris.functions.geometry import point_in_ring, ring_bounds
-from aeris.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from aeris.operators.joins import DEFAULT_BROADCAST_ROWS, measure
 
 
 def _by_code(a: Column, b: Column) -> Column:
@@ -55,12 +58,21 @@ def commune_cells(communes: DataFrame, cell_size: float) -> DataFrame:
     )
 
 
+def cells_spanned(ring: Column, cell_size: float) -> Column:
+    """Number of grid cells a ring's bounding box touches."""
+    minx, miny, maxx, maxy = ring_bounds(ring)
+    size = F.lit(float(cell_size))
+    return (F.floor(maxx / size) - F.floor(minx / size) + 1) * (F.floor(maxy / size) - F.floor(miny / size) + 1)
+
+
 def assign_communes(
     points: DataFrame,
     communes: DataFrame,
     cell_size: float = 0.05,
     lon: str = "city_longitude",
     lat: str = "city_latitude",
+    max_cells: int = 64,
+    coarse_factor: int = 16,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     max_broadcast_vertices: int = 4_000_000,
 ) -> DataFrame:
@@ -68,18 +80,43 @@ def assign_communes(
     location_id, longitude, latitude, nom, code, codesPostaux, population.
 
     ``cell_size`` is in coordinate units (degrees); it only affects speed.
-    The cell table is broadcast only when it has at most
-    ``max_broadcast_rows`` cells and ``max_broadcast_vertices`` ring vertices
-    in total (~16 bytes each); otherwise both sides shuffle on the cell.
+    Communes whose bounding box spans more than ``max_cells`` cells are listed
+    on a second grid ``coarse_factor`` times coarser, so a very large polygon
+    is not copied into thousands of cells; each point looks up its cell on
+    both grids (two many-to-one joins) and the lowest code among the
+    containing candidates of both wins. Each cell table is broadcast only when
+    it has at most ``max_broadcast_rows`` cells and ``max_broadcast_vertices``
+    ring vertices in total (~16 bytes each); otherwise both sides shuffle on
+    the cell.
     """
-    size = F.lit(float(cell_size))
     px, py = F.col(lon), F.col(lat)
-    pts = points.withColumn("cx", F.floor(px.cast("double") / size)).withColumn("cy", F.floor(py.cast("double") / size))
-    cells = commune_cells(communes, cell_size)
-    vertices = F.aggregate(F.transform("candidates", lambda c: F.size(c["ring"])), F.lit(0), lambda a, b: a + b)
-    cells = sized_broadcast(cells, max_broadcast_rows, weight=vertices, max_weight=max_broadcast_vertices)
-    joined = pts.join(cells, ["cx", "cy"], "left")
-    hit = F.get(F.filter(F.col("candidates"), lambda c: point_in_ring(c["ring"], px, py)), 0)
+    candidate = communes.select(F.struct("code", "nom", "codesPostaux", "population", "ring")).schema[0].dataType
+    span = cells_spanned(F.col("ring"), cell_size)
+    levels = [
+        ("fine", float(cell_size), communes.where(span <= max_cells)),
+        ("coarse", float(cell_size) * coarse_factor, communes.where(~(span <= max_cells))),
+    ]
+    joined = points
+    for name, size, subset in levels:
+        cx, cy = f"__{name}_x", f"__{name}_y"
+        joined = joined.withColumn(cx, F.floor(px.cast("double") / F.lit(size))).withColumn(
+            cy, F.floor(py.cast("double") / F.lit(size)))
+        cells = commune_cells(subset, size).select(
+            F.col("cx").alias(cx), F.col("cy").alias(cy), F.col("candidates").alias(f"__{name}"))
+        vertices = F.aggregate(F.transform(f"__{name}", lambda c: F.size(c["ring"])), F.lit(0), lambda a, b: a + b)
+        n, v = measure(cells, max_broadcast_rows, vertices)
+        if n == 0:  # no commune on this grid: no join
+            joined = joined.withColumn(f"__{name}", F.lit(None).cast(T.ArrayType(candidate)))
+        else:
+            small = n <= max_broadcast_rows and v <= max_broadcast_vertices
+            joined = joined.join(F.broadcast(cells) if small else cells, [cx, cy], "left")
+        joined = joined.drop(cx, cy)
+    empty = F.array().cast(T.ArrayType(candidate))
+    hits = F.concat(*[
+        F.filter(F.coalesce(F.col(f"__{name}"), empty), lambda c: point_in_ring(c["ring"], px, py))
+        for name, _, _ in levels
+    ])
+    hit = F.get(F.array_sort(hits, _by_code), 0)
     return joined.select(
         "location_id",
         px.alias("longitude"),

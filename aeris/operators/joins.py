@@ -21,13 +21,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def measure(df: DataFrame, max_rows: int, weight: Column | None = None) -> tuple[int, int]:
+    """(rows, sum of ``weight``) of at most the first ``max_rows + 1`` rows."""
+    head = df.limit(max_rows + 1)
+    w = F.coalesce(F.sum(weight), F.lit(0)) if weight is not None else F.lit(0)
+    n, total = head.agg(F.count(F.lit(1)), w).first()
+    return int(n), int(total)
+
+
 def size_at_most(df: DataFrame, max_rows: int, weight: Column | None = None, max_weight: int | None = None) -> bool:
     """Row bound, plus a bound on ``sum(weight)`` for rows of variable width
     (e.g. polygon vertices). Reads at most ``max_rows + 1`` rows."""
     if weight is None or max_weight is None:
         return row_count_at_most(df, max_rows)
-    head = df.limit(max_rows + 1)
-    n, w = head.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
+    n, w = measure(df, max_rows, weight)
     return n <= max_rows and w <= max_weight
 
 

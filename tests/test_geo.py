@@ -66,3 +66,12 @@ def test_large_cell_table_is_not_broadcast(spark):
     communes, points = _communes(spark), _points(spark)
     want = op.assign_communes(points, communes, cell_size=0.5)
     assert df.select("location_id", "code").exceptAll(want.select("location_id", "code")).count() == 0
+
+
+def test_large_polygons_use_the_coarse_grid(spark):
+    communes, points = _communes(spark), _points(spark)
+    base = op.assign_communes(points, communes, cell_size=0.3, max_cells=10_000)
+    for max_cells in (1, 4, 20):  # force many communes onto the coarse grid
+        got = op.assign_communes(points, communes, cell_size=0.3, max_cells=max_cells, coarse_factor=8)
+        assert got.count() == points.count()
+        assert got.select("location_id", "code").exceptAll(base.select("location_id", "code")).count() == 0
