@@ -184,11 +184,28 @@ class Warehouse:
 
 @dataclass
 class StepResult:
+    """Outcome of one load step.
+
+    ``table`` reads the stored table (fresh on each access, so it stays valid
+    after later loads rewrite files); ``rows`` counts it on first access, not
+    during the run — on a large fact that is a scan of every file.
+    """
+
     name: str
     action: str  # created | skipped | replaced | appended | merged | refreshed
-    rows: int | None
-    table: DataFrame = field(repr=False)
-    seconds: float = 0.0
+    seconds: float
+    warehouse: Warehouse = field(repr=False)
+    _rows: int | None = field(default=None, repr=False)
+
+    @property
+    def table(self) -> DataFrame:
+        return self.warehouse.read(self.name)
+
+    @property
+    def rows(self) -> int:
+        if self._rows is None:
+            self._rows = self.table.count()
+        return self._rows
 
 
 @contextmanager
@@ -213,7 +230,7 @@ def load_step(
     merge_keys: list[str] | None = None,
     refresh: bool = False,
     writer: Callable[[DataFrame, str], None] | None = None,
-    count: bool = True,
+    count: bool = False,
     description: str | None = None,
     cluster_by: list[str] | None = None,
 ) -> StepResult:
@@ -230,7 +247,8 @@ def load_step(
 
     ``build`` runs only when needed. ``writer(df, name)`` replaces the default
     writer; ``cluster_by`` orders rows inside each written file. The step's
-    jobs are labelled with ``name``.
+    jobs are labelled with ``name``; ``count=True`` counts the stored table
+    inside the step (otherwise ``StepResult.rows`` counts on first access).
     """
     if kind not in ("dimension", "fact"):
         raise ValueError(f"unknown kind {kind!r}")
@@ -265,9 +283,10 @@ def load_step(
             else:
                 warehouse.write(df, name, mode=mode, partition_by=partition_by if kind == "fact" else None,
                                 cluster_by=cluster_by)
-        table = warehouse.read(name)
-        rows = table.count() if count else None
-    return StepResult(name, action, rows, table, round(time.perf_counter() - started, 3))
+    result = StepResult(name, action, round(time.perf_counter() - started, 3), warehouse)
+    if count:
+        result.rows  # noqa: B018 - count now, on request
+    return result
 
 
 def _merge_with_stored(warehouse: Warehouse, name: str, batch: DataFrame, partition_by: list[str],
