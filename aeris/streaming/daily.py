@@ -22,9 +22,16 @@ from aeris import schemas
 from aeris.functions.numeric import rounder
 
 
-def measurement_stream(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
-    """Streaming rows of landed measurement pages (documents carry ``sensor_id``)."""
+def measurement_stream(spark: SparkSession, path: str, one_page_per_file: bool = True,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming rows of landed measurement pages (documents carry ``sensor_id``).
+
+    ``max_files_per_trigger`` bounds a micro-batch, so a backlog is worked off
+    in batches of bounded size instead of one giant batch.
+    """
     reader = spark.readStream.option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     text = reader.text(path, wholetext=one_page_per_file)
     env = T.StructType(schemas.envelope(schemas.MEASUREMENT).fields)
     return text.select(F.from_json("value", env).alias("p")).select(F.inline("p.results"))
@@ -79,6 +86,7 @@ def run_daily_stats_stream(
     exact: bool = False,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ):
     """Start the stream from ``source`` into a ``day``-partitioned Parquet sink.
 
@@ -86,7 +94,8 @@ def run_daily_stats_stream(
     daily run); otherwise it runs every ``processing_time``. Returns the
     ``StreamingQuery``.
     """
-    out = daily_stats_stream(measurement_stream(spark, source), lateness=lateness, exact=exact)
+    rows = measurement_stream(spark, source, max_files_per_trigger=max_files_per_trigger)
+    out = daily_stats_stream(rows, lateness=lateness, exact=exact)
     writer = (
         out.writeStream.format("parquet")
         .outputMode("append")
