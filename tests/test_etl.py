@@ -42,3 +42,19 @@ def test_etl_small_input_runs(spark, scratch):
     landing = A.land_all(spark, SF001, scratch("landing"))
     res = _run(spark, landing, Warehouse(spark, "path", root=scratch("wh")))
     assert res["world_locations"].rows == 150 and res["agg_measurements"].rows == 0
+
+
+def test_command_line_entry(spark, scratch, capsys):
+    from aeris.__main__ import main
+
+    root = scratch("landing")
+    A.land_all(spark, SF001, root)
+    wh = scratch("wh")
+    args = ["--landing", root, "--warehouse", wh, "--run-date", "2024-02-01", "--start", "2024-01-01",
+            "--end", "2024-02-01", "--since", "2001-01-01", "--cell-size", "0.5"]
+    assert main(args, spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "agg_measurements" in out and "created" in out
+    assert main(args, spark=spark) == 0
+    assert "skipped" in capsys.readouterr().out
+    assert Warehouse(spark, "path", root=wh).read("world_locations").count() == 150
