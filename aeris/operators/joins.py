@@ -1,9 +1,11 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded count proves it holds at most
-``max_rows`` rows; beyond that the join is left to the planner (sort-merge or
-shuffle-hash, with AQE converting to broadcast or splitting skewed partitions
-from measured shuffle sizes). The check reads at most ``max_rows + 1`` rows.
+A side is broadcast only after one bounded job proves it holds at most
+``max_rows`` rows and at most ``max_bytes`` estimated bytes (or another
+weight, such as polygon vertices); beyond that the join is left to the
+planner (sort-merge or shuffle-hash, with AQE converting to broadcast or
+splitting skewed partitions from measured shuffle sizes). The check reads at
+most ``max_rows + 1`` rows of the small side.
 """
 
 from __future__ import annotations
@@ -11,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimension rows of a few narrow columns: ~100 bytes each, so 500k rows stay
-# well under the default broadcast limit of an executor.
+# Bounds for a broadcast side: rows, and bytes estimated from the JSON text
+# of each row (an over-estimate of Spark's binary row size for most types).
 DEFAULT_BROADCAST_ROWS = 500_000
+DEFAULT_BROADCAST_BYTES = 256 << 20
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -29,9 +32,14 @@ def measure(df: DataFrame, max_rows: int, weight: Column | None = None) -> tuple
     return int(n), int(total)
 
 
+def json_bytes(df: DataFrame) -> Column:
+    """Per-row size estimate: length of the row as JSON text."""
+    return F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+
+
 def size_at_most(df: DataFrame, max_rows: int, weight: Column | None = None, max_weight: int | None = None) -> bool:
-    """Row bound, plus a bound on ``sum(weight)`` for rows of variable width
-    (e.g. polygon vertices). Reads at most ``max_rows + 1`` rows."""
+    """Row bound, plus a bound on ``sum(weight)`` (bytes, vertices, ...). One
+    job reading at most ``max_rows + 1`` rows."""
     if weight is None or max_weight is None:
         return row_count_at_most(df, max_rows)
     n, w = measure(df, max_rows, weight)
@@ -43,6 +51,14 @@ def sized_broadcast(
     max_rows: int = DEFAULT_BROADCAST_ROWS,
     weight: Column | None = None,
     max_weight: int | None = None,
+    max_bytes: int | None = DEFAULT_BROADCAST_BYTES,
 ) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven within the bounds, else ``df``."""
+    """``F.broadcast(df)`` when its size is proven within the bounds, else ``df``.
+
+    Bounds: at most ``max_rows`` rows and at most ``max_bytes`` estimated bytes
+    (``json_bytes``), or, when ``weight`` is given, ``sum(weight) <=
+    max_weight`` instead of the byte bound.
+    """
+    if weight is None and max_bytes is not None:
+        weight, max_weight = json_bytes(df), max_bytes
     return F.broadcast(df) if size_at_most(df, max_rows, weight, max_weight) else df

@@ -94,3 +94,18 @@ def test_fact_files_are_clustered_for_row_group_skipping(spark, scratch):
     p = plan(wh.read("agg").where(F.col("sensor_id") == 42))
     assert "PushedFilters: [IsNotNull(sensor_id), EqualTo(sensor_id,42)]" in p
     assert wh.read("agg").count() == daily.count()
+
+
+def test_broadcast_needs_row_and_byte_bounds(spark):
+    from aeris.operators.joins import sized_broadcast
+
+    def hinted(df) -> bool:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="extended")
+        return "strategy=broadcast" in buf.getvalue()
+
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("pad"))  # ~100 KB as JSON
+    assert not hinted(sized_broadcast(wide, max_bytes=50_000))
+    assert hinted(sized_broadcast(wide, max_bytes=10_000_000))
+    assert not hinted(sized_broadcast(wide, max_rows=50))
