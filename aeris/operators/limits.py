@@ -37,13 +37,11 @@ def fill_forward(df: DataFrame, key: str, order: str, value: Column, name: str,
     d = df.withColumn("__b", bucket).withColumn("__v", value)
     inside = Window.partitionBy(key, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("__in", F.last("__v", ignorenulls=True).over(inside))
-    summary = d.where(F.col("__v").isNotNull()).groupBy(key, "__b").agg(
-        F.max_by("__v", F.col(order)).alias("__last"))
+    # The running value at a bucket's last row is the bucket's last value. The
+    # window output is already partitioned by (key, bucket): no new shuffle.
+    summary = d.groupBy(key, "__b").agg(F.max_by("__in", F.col(order)).alias("__last"))
     before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(key, "__b", "__last").unionByName(
-        d.select(key, "__b").distinct().withColumn("__last", F.lit(None).cast(summary.schema["__last"].dataType))
-    ).groupBy(key, "__b").agg(F.max("__last").alias("__last"))
-    carry = carry.withColumn("__carry", F.last("__last", ignorenulls=True).over(before)).select(key, "__b", "__carry")
+    carry = summary.select(key, "__b", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
     return (
         d.join(carry, [key, "__b"], "left")
         .withColumn(name, F.coalesce(F.col("__in"), F.col("__carry")))
