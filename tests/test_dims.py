@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from aeris import operators as op
 from aeris import schemas
@@ -57,4 +56,3 @@ def test_location_points(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "location_id int, latitude double, longitude double")
     r = op.location_points(df).collect()[0]
     assert (r.location_id, r.city_longitude, r.city_latitude) == (1, 3.0, 2.0)
-    assert F is not None

@@ -84,7 +84,6 @@ def test_limits_one_shuffle_by_table(spark):
 
     p = plan(limit_rows(A.limit_cells(spark, SF001)))
     assert "hashpartitioning(table_no" in p
-    assert F is not None
 
 
 def test_fact_files_are_clustered_for_row_group_skipping(spark, scratch):
