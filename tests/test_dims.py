@@ -1,4 +1,3 @@
-
 from aeris import operators as op
 from aeris import schemas
 
