@@ -12,18 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the limits document.
+# Fixed values of the limits document (they must equal the original's):
+# subscript digits for 0-9, the limit-value pattern (number + unit + origin),
+# the name of an untitled pollutant, the misprinted benzene formulas and their
+# fix (case-insensitive), and the separator of several values in one cell.
 SUBSCRIPT_DIGITS = "₀₁₂₃₄₅₆₇₈₉"
-UNITS = ["µg/m³", "µg/m3", "mg/m³", "mg/m3", "ng/m³", "ng/m3"]
-ORIGINS = ["FR", "UE"]
+MEASURE_PATTERN = r"([\d,.]+\s*(?:µg/m³|µg/m3|mg/m³|mg/m3|ng/m³|ng/m3))\s*\((FR|UE)\)"
 UNKNOWN_POLLUTANT = "Inconnu"
-BENZENE_FIXES = ["CH66", "CH₆₆"]  # both become C6H6 (case-insensitive)
+BENZENE_FIXES = ["CH66", "CH₆₆"]
 BENZENE = "C6H6"
 JOIN = " ; "
 
 # Python's notion of whitespace, in Java regex syntax (use with (?U)).
 WS = r"[\s\x1c-\x1f]"
-MEASURE = r"(?U)([\d,.]+\s*(?:" + "|".join(UNITS) + r"))\s*\((" + "|".join(ORIGINS) + r")\)"
+# (?U): Unicode \d and \s in Java, as in Python.
+MEASURE = "(?U)" + MEASURE_PATTERN
 # Tokens that cover a string left to right: a parenthesised group as Python's
 # non-greedy r"\((.*?)\)" would match it, a run without "(", or a lone "(".
 TOKENS = r"(?d)\(.*?\)|[^(]+|\("
