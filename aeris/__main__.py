@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if spark is None:
         builder = SparkSession.builder.appName("aeris-daily")
         spark = builder.getOrCreate()
+        # existence probes of absent tables are expected; keep their warnings out of the log
+        spark.sparkContext.setLogLevel("ERROR")
         explicit = spark.sparkContext.getConf()
         for key, value in cluster_conf().items():  # fill only what the cluster config left unset
             if not explicit.contains(key):
