@@ -55,3 +55,49 @@ def test_text_functions_invariants(spark, values):
         assert "\n" not in r.f and r.f == r.f.strip()
     for r in twice.collect():
         assert r.c == r.cc  # normalising a normalised name changes nothing
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 60), st.one_of(st.none(), st.sampled_from("abc"))),
+                min_size=1, max_size=80, unique_by=lambda t: (t[0], t[1])),
+       st.integers(1, 9))
+def test_fill_forward_matches_running_last(spark, rows, bucket):
+    from aeris.operators.limits import fill_forward
+
+    df = spark.createDataFrame(rows, "k int, pos int, v string")
+    got = {(r.k, r.pos): r.f for r in fill_forward(df, "k", "pos", F.col("v"), "f", bucket_rows=bucket).collect()}
+    want, last = {}, {}
+    for k, pos, v in sorted(rows):
+        if v is not None:
+            last[k] = v
+        want[(k, pos)] = last.get(k)
+    assert got == want
+
+
+def _inside(ring, x, y):
+    """Plain crossing-number test (left/bottom edges inside, right/top outside)."""
+    inside = False
+    n = len(ring)
+    for i in range(n):
+        ax, ay = ring[i]
+        bx, by = ring[i - 1]
+        if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+            inside = not inside
+    return inside if n >= 3 else False
+
+
+coords = st.integers(-20, 20).map(lambda v: v / 4)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.lists(st.tuples(coords, coords), min_size=0, max_size=7), coords, coords),
+                min_size=20, max_size=60))
+def test_point_in_ring_matches_python(spark, cases):
+    from aeris.functions.geometry import point_in_ring
+
+    rows = [(i, [{"x": a, "y": b} for a, b in ring], x, y) for i, (ring, x, y) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, ring array<struct<x:double,y:double>>, x double, y double")
+    got = {r.i: r.inside for r in df.select("i", point_in_ring(F.col("ring"), F.col("x"), F.col("y")).alias("inside"))
+           .collect()}
+    for i, (ring, x, y) in enumerate(cases):
+        assert got[i] == _inside(ring, x, y), (ring, x, y)
