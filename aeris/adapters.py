@@ -262,10 +262,12 @@ def _day_page() -> Column:
 LOCATION_PAGE_SIZE = 1000
 
 
-def land_locations(spark: SparkSession, sf_dir: str, path: str, page_size: int = LOCATION_PAGE_SIZE) -> None:
+def land_locations(spark: SparkSession, sf_dir: str, path: str, page_size: int = LOCATION_PAGE_SIZE,
+                   one_page_per_file: bool = True) -> None:
     from aeris.sources.landed import write_pages
 
-    write_pages(raw_locations(spark, sf_dir), path, F.floor(F.col("id") / page_size).cast("int"))
+    write_pages(raw_locations(spark, sf_dir), path, F.floor(F.col("id") / page_size).cast("int"),
+                one_page_per_file=one_page_per_file)
 
 
 def land_broken_location_pages(spark: SparkSession, sf_dir: str, path: str, every: int = 5,
@@ -283,7 +285,8 @@ def land_broken_location_pages(spark: SparkSession, sf_dir: str, path: str, ever
     ).partitionBy("page").text(path)
 
 
-def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folders: bool = False) -> None:
+def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folders: bool = False,
+                      one_page_per_file: bool = True) -> None:
     """Land measurement pages.
 
     ``sensor_folders=True``: the per-sensor request layout
@@ -298,20 +301,24 @@ def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folder
                     partition_by=["sensor_id"], drop=["event_id"])
     else:
         write_pages(raw_measurements(spark, sf_dir, with_event_id=True), path,
-                    F.floor(F.col("event_id") / 1000).cast("int"), drop=["event_id"])
+                    F.floor(F.col("event_id") / 1000).cast("int"), drop=["event_id"],
+                    one_page_per_file=one_page_per_file)
 
 
-def land_all(spark: SparkSession, sf_dir: str, root: str):
-    """Land every stand-in source under ``root``; return an ``etl.Landing``."""
+def land_all(spark: SparkSession, sf_dir: str, root: str, one_page_per_file: bool = True):
+    """Land every stand-in source under ``root``; return an ``etl.Landing``.
+
+    ``one_page_per_file=False`` lands JSON lines (many pages per file)."""
     from aeris.plans.etl import Landing
     from aeris.sources.landed import write_pages
 
     root = root.rstrip("/")
-    write_pages(raw_parameters(spark, sf_dir), f"{root}/parameters", F.lit(0))
-    write_pages(raw_countries(spark, sf_dir), f"{root}/countries", F.floor(F.col("id") / 10).cast("int"))
-    write_pages(raw_providers(spark, sf_dir), f"{root}/providers", F.floor(F.col("id") / 100).cast("int"))
-    land_locations(spark, sf_dir, f"{root}/locations")
-    land_measurements(spark, sf_dir, f"{root}/measurements")
+    kw = {"one_page_per_file": one_page_per_file}
+    write_pages(raw_parameters(spark, sf_dir), f"{root}/parameters", F.lit(0), **kw)
+    write_pages(raw_countries(spark, sf_dir), f"{root}/countries", F.floor(F.col("id") / 10).cast("int"), **kw)
+    write_pages(raw_providers(spark, sf_dir), f"{root}/providers", F.floor(F.col("id") / 100).cast("int"), **kw)
+    land_locations(spark, sf_dir, f"{root}/locations", **kw)
+    land_measurements(spark, sf_dir, f"{root}/measurements", **kw)
     communes(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/communes")
     return Landing(
         parameters=f"{root}/parameters",
@@ -320,6 +327,7 @@ def land_all(spark: SparkSession, sf_dir: str, root: str):
         locations=f"{root}/locations",
         measurements=f"{root}/measurements",
         communes=f"{root}/communes",
+        one_page_per_file=one_page_per_file,
     )
 
 

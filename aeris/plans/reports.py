@@ -356,7 +356,7 @@ def _etl(spark: SparkSession, d: str):
 
     key = (spark.sparkContext.applicationId, id(spark), d)
     if key not in _ETL_RUNS:
-        landing = A.land_all(spark, d, scratch_path(spark, "landing"))
+        landing = A.land_all(spark, d, scratch_path(spark, "landing"), one_page_per_file=False)  # JSON lines
         wh = _warehouse(spark, "etl")
         _ETL_RUNS[key] = run_daily_etl(
             spark, landing, wh, run_date="2024-02-01", window=("2024-01-01", "2024-02-01"),

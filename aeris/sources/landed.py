@@ -144,7 +144,7 @@ def measurement_rows(rows: DataFrame) -> DataFrame:
 
 
 def write_pages(docs: DataFrame, path: str, page: Column, partition_by: list[str] | None = None,
-                mode: str = "overwrite", drop: list[str] | None = None) -> None:
+                mode: str = "overwrite", drop: list[str] | None = None, one_page_per_file: bool = True) -> None:
     """Land documents as API pages: one ``{"results": [...]}`` file per page.
 
     ``page`` assigns each document to a page of bounded size (e.g. id div
@@ -152,6 +152,7 @@ def write_pages(docs: DataFrame, path: str, page: Column, partition_by: list[str
     names (``sensor_id=…/page=…``) and are not repeated inside the documents.
     Used to build landing zones from tables (tests, stand-in inputs, backfill).
     ``drop`` names helper columns used by ``page`` that are not document fields.
+    ``one_page_per_file=False`` writes JSON lines (one page per line).
     """
     partition_by = list(partition_by or [])
     body = [c for c in docs.columns if c not in partition_by and c not in (drop or [])]
@@ -160,4 +161,7 @@ def write_pages(docs: DataFrame, path: str, page: Column, partition_by: list[str
         .groupBy(*partition_by, "page")
         .agg(F.to_json(F.struct(F.collect_list(F.struct(*body)).alias("results"))).alias("value"))
     )
-    pages.write.mode(mode).partitionBy(*partition_by, "page").text(path)
+    if one_page_per_file:
+        pages.write.mode(mode).partitionBy(*partition_by, "page").text(path)
+    else:  # JSON lines: one page envelope per line, many pages per file
+        pages.select(*partition_by, "value").write.mode(mode).partitionBy(*partition_by).text(path)
