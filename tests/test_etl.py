@@ -58,3 +58,15 @@ def test_command_line_entry(spark, scratch, capsys):
     assert main(args, spark=spark) == 0
     assert "skipped" in capsys.readouterr().out
     assert Warehouse(spark, "path", root=wh).read("world_locations").count() == 150
+
+
+def test_etl_over_json_lines_landing(spark, scratch):
+    a = A.land_all(spark, SF01, scratch("pages"))
+    b = A.land_all(spark, SF01, scratch("lines"), one_page_per_file=False)
+    assert not b.one_page_per_file
+    wa, wb = Warehouse(spark, "path", root=scratch("wa")), Warehouse(spark, "path", root=scratch("wb"))
+    ra, rb = _run(spark, a, wa), _run(spark, b, wb)
+    for name in ("world_locations", "world_sensors", "france_sensors", "agg_measurements"):
+        ta, tb = ra[name].table, rb[name].table
+        assert ta.count() == tb.count() > 0, name
+        assert ta.exceptAll(tb.select(*ta.columns)).count() == 0, name
