@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from aeris.llm import exact_dedup, simhash
+from aeris.llm import chat_format, exact_dedup, html_extract, language_id, simhash
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op4_chat_format": chat_format.op4_chat_format,
     "op7_simhash": simhash.op7_simhash,
+    "op10_html_extract": html_extract.op10_html_extract,
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,

@@ -1,0 +1,84 @@
+import numpy as np
+import pytest
+
+from aeris.llm import language_id as L
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_codewords_keep_their_distance():
+    for n in (2, 3, 4, 6, 7, 30):
+        code = L.codewords(n)
+        assert code.shape[0] == n and set(np.unique(code)) <= {1, -1}
+        assert L.min_distance(code) >= (1 if n == 2 else 2 if n == 3 else 4)
+        assert (np.abs(code.astype(int).sum(0)) < n).all()  # every bit splits the languages
+
+
+def test_ngrams_do_not_depend_on_chunks(monkeypatch):
+    text = L.letters("Straße und Öl, été là " * 50)
+    whole = L.ngram_counts(text)
+    monkeypatch.setattr(L, "_CHUNK", 17)
+    assert (L.ngram_counts(text) == whole).all()
+    n = len(text)
+    assert whole.sum() == n + (n - 1) + (n - 2)
+
+
+def test_decoding_corrects_a_wrong_bit_and_flags_ambiguity():
+    counts = {x: np.zeros(L.BUCKETS, dtype=np.int64) for x in "abcd"}
+    words = {"a": "alpha", "b": "bravo", "c": "colic", "d": "dunno"}
+    for x, w in words.items():
+        counts[x] += 50 * L.ngram_counts(w)
+    model = L.LanguageModel.from_counts(counts)
+    assert model.radius == 1
+    for x, w in words.items():
+        assert model.predict(w)[0] == x
+    weights = model.weights
+    model.weights = weights.copy()
+    model.weights[:, 3] *= -1  # one classifier is always wrong
+    for x, w in words.items():
+        lang, score, unsure, wrong = model.predict(w)
+        assert lang == x and wrong == 1 and 0 <= score <= 1
+    model.weights = weights
+    assert model.predict("zzz qqq")[2] or model.predict("alpha bravo")[2]
+
+
+def test_edge_rows(spark, docs):
+    train = spark.createDataFrame([("the cat sat on the mat", "en"), ("der hund und die katze", "de"), (None, "en"),
+                                   ("x", None)], "text string, lang string")
+    model = L.fit(train)
+    assert model.languages == ["de", "en"]
+    rows = [(1, "the cat"), (1, "the cat"), (2, None), (3, ""), (4, "123 ²½ _!"), (None, "die Katze"), (5, "the mat " * 200_000)]
+    got = [(r.doc_id, r.lang_pred, r.score) for r in L.identify(docs(rows, extra=["lang_pred", "score"]), model).collect()]
+    assert sorted((i or 0, p) for i, p, _ in got) == [(0, "de"), (1, "en"), (1, "en"), (2, "und"), (3, "und"), (4, "und"), (5, "en")]
+    assert all(0 <= s <= 1 for *_, s in got)
+    assert L.identify(docs([]), model).count() == 0
+
+
+def test_without_labels_all_is_unknown(docs):
+    model = L.fit(docs([]))
+    assert model.predict("the cat") == ("und", 0.0, True, 0)
+
+
+def test_one_language(spark):
+    model = L.fit(spark.createDataFrame([("the cat", "en")], "text string, lang string"))
+    assert model.predict("anything")[:2] == ("en", 1.0)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    got = L.op1_language_id(spark, SF).join(docs, "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == docs.count() and 0.1 < len(held) / len(got) < 0.4
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held)
+
+
+def test_labels_of_held_out_rows_are_not_learned(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    import zlib
+
+    from pyspark.sql import functions as F
+    flipped = docs.withColumn("lang", F.when(L.held_out(), F.lit("zz")).otherwise(F.col("lang")))
+    monkeypatch.setattr(L, "table", lambda *a: flipped)
+    got = {r.doc_id: r for r in L.op1_language_id(spark, SF).collect()}
+    assert "zz" not in {r.lang_pred for r in got.values()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
