@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,12 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps now: it does so when the driver's garbage is
+    collected, which may otherwise come long after the executors' disks are full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a new folder under the cluster's shared checkpoint folder and read it back: the lineage
     ends there, so a lost executor costs no recomputation of what came before."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
