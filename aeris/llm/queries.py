@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from aeris.llm import chat_format, exact_dedup, html_extract, language_id, simhash
+from aeris.llm import chat_format, exact_dedup, html_extract, language_id, packing, simhash, suffix_dedup
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op4_chat_format": chat_format.op4_chat_format,
+    "op6_packing": packing.op6_packing,
     "op7_simhash": simhash.op7_simhash,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_html_extract": html_extract.op10_html_extract,
 }
 ORACLE_SQL = {
