@@ -6,7 +6,8 @@ import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aeris.session import scratch_path
 
@@ -34,6 +35,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> list[Column]:
+    """k1 and k2, 128 bits that name a row by doc_id and text wherever and however often it is read. Rows that repeat
+    both share the name; nothing depends on which of them is meant."""
+    return [F.xxhash64("doc_id", "text", F.lit(1)).alias("k1"), F.xxhash64("text", F.lit(2), "doc_id").alias("k2")]
+
+
+def pick_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each (k1, k2) of ``keys`` that it has. Rows that repeat a key are
+    reduced in the task that reads them, so that however many there are, few are shuffled."""
+    whole = docs.select(*row_key(), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    return (whole.groupBy("k1", "k2").agg(F.first("doc").alias("doc")).join(keys.select("k1", "k2"), ["k1", "k2"], "left_semi")
+            .select("doc.*"))
+
+
 def map_rows(df: DataFrame, fn: Callable[[list[dict]], dict[str, list]], schema: str, slice_rows: int = 512) -> DataFrame:
     """``fn`` over slices of each Arrow batch. ``fn`` gets {column: values} and returns {column: values} of any
     length in the order of ``schema``. A slice bounds what Python holds besides the batch itself."""

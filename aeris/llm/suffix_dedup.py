@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import stored, table
+from aeris.llm.common import row_key, stored, table
 
 THRESHOLD = 200
 #: Window starts of a range in the rounds after the first; the last must be 1.
@@ -144,21 +144,22 @@ def next_names(ranks: Ranks, places: np.ndarray, cut: int) -> tuple[np.ndarray,
     return core, union, _packed(anchor, lo, hi)
 
 
-_NAMES = "core long, `union` long, row_id long, place long"
+_NAMES = "core long, `union` long, k1 long, k2 long, place long"
 
 
-def _emit(rows: Iterator[tuple[int, int, tuple]]) -> Iterator[pa.RecordBatch]:
-    """Batches of the names of several texts: (row_id, bytes of text, (core, union, place))."""
+def _emit(rows: Iterator[tuple[tuple[int, int], int, tuple]]) -> Iterator[pa.RecordBatch]:
+    """Batches of the names of several texts: (row key, bytes of text, (core, union, place))."""
     held, size = [], 0
 
     def batch():
-        ids = np.repeat([r for r, _ in held], [len(n[0]) for _, n in held])
+        keys = np.repeat(np.array([k for k, _ in held], dtype=np.int64), [len(n[0]) for _, n in held], axis=0)
         core, union, place = (np.concatenate(c) for c in zip(*(n for _, n in held)))
         return pa.RecordBatch.from_arrays([pa.array(core.view(np.int64)), pa.array(union.view(np.int64)),
-                                           pa.array(ids, pa.int64()), pa.array(place)], ["core", "union", "row_id", "place"])
+                                           pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(place)],
+                                          ["core", "union", "k1", "k2", "place"])
 
-    for row_id, size_of, names in rows:
-        held.append((row_id, names))
+    for key, size_of, names in rows:
+        held.append((key, names))
         size += size_of
         if size >= _FLUSH:
             yield batch()
@@ -171,62 +172,52 @@ def _raw(text) -> bytes:
     return text.as_buffer().to_pybytes() if text.is_valid else b""
 
 
-def _rows_of(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row_id"))
-
-
-def _with_text(docs: DataFrame, info: DataFrame, how: str = "inner") -> DataFrame:
-    """Texts beside what is known of their row; the small side is hashed, so no text is sorted."""
-    texts = _rows_of(docs).select("row_id", "text")
-    return texts.join(info.hint("shuffle_hash"), "row_id", how)
-
-
 def settle(names: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(settled, open) ranges (row_id, place): those repeated as a whole, and one of each union under a shared core
+    """(settled, open) ranges (k1, k2, place): those repeated as a whole, and one of each union under a shared core
     that has several."""
     kinds = (names.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("union").alias("lo"), F.max("union").alias("hi"))
              .where("n > 1").select(F.col("core").alias("k"), (F.col("lo") == F.col("hi")).alias("alike")))
-    shared = stored(names.join(kinds, F.col("core") == F.col("k")).select("core", "union", "row_id", "place", "alike"), "shared")
+    shared = stored(names.join(kinds, F.col("core") == F.col("k")).select("core", "union", "k1", "k2", "place", "alike"), "shared")
     mixed = shared.where("not alike")
-    classes = stored(mixed.groupBy("core", "union").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_id", "place")).alias("one")),
+    classes = stored(mixed.groupBy("core", "union").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one")),
                      "unions")
     twice = classes.where("n > 1").select(F.col("core").alias("c"), F.col("union").alias("u"))
     again = mixed.join(twice, (F.col("core") == F.col("c")) & (F.col("union") == F.col("u")))
-    return (shared.where("alike").select("row_id", "place").union(again.select("row_id", "place")),
-            classes.select("one.row_id", "one.place"))
+    return (shared.where("alike").select("k1", "k2", "place").union(again.select("k1", "k2", "place")),
+            classes.select("one.k1", "one.k2", "one.place"))
 
 
 def _by_row(ranges: DataFrame) -> DataFrame:
-    """The ranges of a row as a list, which the row's text bounds."""
-    return ranges.groupBy("row_id").agg(F.collect_list("place").alias("places"))
+    """The ranges of a row as a list, which the row's text bounds however often the row is repeated."""
+    return ranges.groupBy("k1", "k2").agg(F.collect_set("place").alias("places")).hint("shuffle_hash")
 
 
 def repeated_starts(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(row_id, place) of ranges of window starts whose string of ``threshold`` bytes occurs more than once."""
-    rows = _rows_of(docs).select("row_id", "text")
+    """(k1, k2, place) of ranges of window starts whose string of ``threshold`` bytes occurs more than once."""
+    rows = docs.select("text", *row_key())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def named():
             for batch in batches:
-                for row_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for text, *key in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:])):
                     raw = _raw(text)
                     if len(raw) >= threshold:
-                        yield row_id, len(raw), first_names(Ranks(raw, threshold))
+                        yield key, len(raw), first_names(Ranks(raw, threshold))
         return _emit(named())
 
     def cutting(cut: int):
         def scan_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def named():
                 for batch in batches:
-                    for row_id, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                    for text, places, *key in zip(batch.column(0), batch.column(1), *(c.to_pylist() for c in batch.columns[2:])):
                         raw = _raw(text)
-                        yield row_id, len(raw), next_names(Ranks(raw, threshold), np.sort(places.values.to_numpy()), cut)
+                        yield key, len(raw), next_names(Ranks(raw, threshold), np.sort(places.values.to_numpy()), cut)
             return _emit(named())
         return scan_open
 
     found, still_open = settle(stored(rows.mapInArrow(scan, _NAMES), "names"))
     for cut in CUTS:
-        texts = _with_text(docs, _by_row(still_open)).select("row_id", "text", "places")
+        texts = rows.join(_by_row(still_open), ["k1", "k2"]).select("text", "places", "k1", "k2")
         settled, still_open = settle(stored(texts.mapInArrow(cutting(cut), _NAMES), "names"))
         found = found.union(settled)
     return found
@@ -249,44 +240,50 @@ def _whole_characters(raw: bytes, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
+def cut_text(raw: bytes, places: np.ndarray, threshold: int) -> tuple[int, int, str, str]:
+    """(bytes removed, spans, digest of the remaining bytes, text without the characters that a span covers wholly)"""
+    starts, ends = _spans(places, threshold)
+    digest, kept, at, at_text = hashlib.sha256(), [], 0, 0
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        digest.update(raw[at:a])
+        at = b
+        a, b = _whole_characters(raw, a, b)
+        kept.append(raw[at_text:a])
+        at_text = b
+    digest.update(raw[at:])
+    kept.append(raw[at_text:])
+    return int((ends - starts).sum()), len(starts), digest.hexdigest(), b"".join(kept).decode("utf-8")
+
+
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text; other columns are ignored) from which something is removed:
-    row_id, n_bytes, n_removed, n_spans, kept_sha256 (remaining bytes), kept_text (the text without the characters that lie
-    wholly in a removed span). A byte goes if a string of ``threshold`` bytes that covers it also starts anywhere else, in
-    the same text or another; both places lose it. Null and shorter texts have no such string. Rows that repeat a
-    text lose all of it. row_id is the row's ``monotonically_increasing_id`` in ``docs``, which must be read from
-    stored files. An empty table gives an empty table."""
-    info = _by_row(stored(repeated_starts(docs, threshold), "repeats"))
+    """The rows of ``docs`` as a struct ``doc`` of all their columns, with n_bytes, n_removed, n_spans, kept_sha256
+    (digest of the remaining bytes) and kept_text (the text without the characters that lie wholly in a removed span).
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = {k: [] for k in ("row_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
-            for row_id, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                raw = _raw(text)
-                starts, ends = _spans(places.values.to_numpy(), threshold)
-                digest, kept, at, at_text = hashlib.sha256(), [], 0, 0
-                for a, b in zip(starts.tolist(), ends.tolist()):
-                    digest.update(raw[at:a])
-                    at = b
-                    a, b = _whole_characters(raw, a, b)
-                    kept.append(raw[at_text:a])
-                    at_text = b
-                digest.update(raw[at:])
-                kept.append(raw[at_text:])
-                for k, v in zip(out, (row_id, len(raw), int((ends - starts).sum()), len(starts), digest.hexdigest(),
-                                      b"".join(kept).decode("utf-8"))):
-                    out[k].append(v)
-            yield pa.RecordBatch.from_pydict(out)
-
-    return _with_text(docs, info).select("row_id", "text", "places").mapInArrow(
-        cut, "row_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    A byte of the UTF-8 text goes if a string of ``threshold`` bytes that covers it also starts anywhere else, in the same
+    text or another; both places lose it. Null texts count as empty; texts below the threshold keep all. Rows
+    that repeat a text lose all of it. An empty table gives an empty table."""
+    info = _by_row(stored(repeated_starts(docs, threshold), "repeats"))
+    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
+
+    @F.arrow_udf(schema)
+    def cut(text: pa.Array, places: pa.Array) -> pa.Array:
+        out = []
+        for t, p in zip(text, places):
+            raw = _raw(t)
+            if p.is_valid:
+                gone, spans, digest, kept = cut_text(raw, p.values.to_numpy(), threshold)
+            else:
+                gone, spans, digest, kept = 0, 0, hashlib.sha256(raw).hexdigest(), None
+            out.append({"n_bytes": len(raw), "n_removed": gone, "n_spans": spans, "kept_sha256": digest, "kept_text": kept})
+        return pa.array(out, pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+                                        ("kept_sha256", pa.string()), ("kept_text", pa.string())]))
+
+    whole = docs.select(*row_key(), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    got = whole.join(info, ["k1", "k2"], "left").select("doc", cut("doc.text", "places").alias("cut"))
+    return got.select("doc", "cut.n_bytes", "cut.n_removed", "cut.n_spans", "cut.kept_sha256",
+                      F.coalesce("cut.kept_text", "doc.text").alias("kept_text"))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    cut = remove_repeats(docs).select("row_id", "n_removed", "n_spans", "kept_sha256")
-    raw = F.coalesce("text", F.lit("")).cast("binary")
-    whole = _rows_of(docs).select("doc_id", "row_id", F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("all_sha256"))
-    return whole.join(cut, "row_id", "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "all_sha256").alias("kept_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
