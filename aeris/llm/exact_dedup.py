@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import scratch_path
+from aeris.llm.common import pick_rows, row_key, scratch_path, stored, table
 
 #: White space that does not count when texts are compared (fixed value).
 BLANKS = r"[\x20\x09-\x0D]"
@@ -25,8 +25,9 @@ def text_digest(text: Column) -> Column:
 
 
 def row_keys(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_id, n_points, text_sha256) of every row. row_id tells rows apart that repeat a doc_id."""
-    return docs.select("doc_id", F.monotonically_increasing_id().alias("row_id"),
+    """(doc_id, k1, k2, row_id, n_points, text_sha256) of every row. k1 and k2 name a row by its content; row_id tells rows
+    apart that repeat it, and holds for one reading, so the keys are stored before use."""
+    return docs.select("doc_id", *row_key(), F.monotonically_increasing_id().alias("row_id"),
                        F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"),
                        text_digest(F.col("text")).alias("text_sha256"))
 
@@ -69,15 +70,13 @@ class DigestIndex:
         by the adaptive skew join, which a bucketed side would not allow."""
         index = self.spark.read.schema(self.read().schema).parquet(self.path)
         return keys.join(index, "text_sha256").select(
-            "doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"), "text_sha256", "row_id")
+            "doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"), "text_sha256", "k1", "k2")
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, keep_id, group_size, kept,
-    text_sha256, row_id. Texts are equal when identical without blanks; null and blank-only texts equal the empty
+    text_sha256, k1, k2. Texts are equal when identical without blanks; null and blank-only texts equal the empty
     text. Of rows that repeat a doc_id and text exactly one is kept. An empty table gives an empty table."""
-    from aeris.llm.common import stored
-
     index = index or DigestIndex(docs.sparkSession)
     keys = stored(row_keys(docs), "keys")
     if not index.exists():
@@ -87,9 +86,12 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     return index.lookup(keys)
 
 
-def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from aeris.llm.common import table
+def without_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay."""
+    return pick_rows(docs, stored(exact_dedup(docs, index).where("kept").select("k1", "k2"), "kept"))
 
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 

@@ -20,10 +20,10 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import map_rows, table
+from aeris.llm.common import table
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3)
@@ -112,7 +112,7 @@ class LanguageModel:
             reliability[b] = ((one - zero) * weights[:, b]).sum()
         if code.shape[1]:
             reliability /= max(reliability.mean(), 1e-12)
-        return cls(languages, code, weights, reliability, (min_distance(code) - 1) // 2)
+        return cls(languages, code, weights, reliability, max(0, min_distance(code) - 1) // 2)
 
     def predict(self, text: str | None) -> tuple[str, float, bool, int]:
         """(language, score 0 to 1, ambiguous, hard bits that differ from the codeword)."""
@@ -158,19 +158,30 @@ def fit(docs: DataFrame, buckets: int = BUCKETS) -> LanguageModel:
     return LanguageModel.from_counts(counts)
 
 
+def prediction(docs: DataFrame, model: LanguageModel) -> Column:
+    """Struct of lang_pred, score, ambiguous and wrong_bits, predicted from the column ``text`` of ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets, whatever the rows
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_()), ("wrong_bits", pa.int32())])
+
+    @F.arrow_udf("lang_pred string, score double, ambiguous boolean, wrong_bits int")
+    def predicted(text: pa.Array) -> pa.Array:
+        names = [f.name for f in kind]
+        return pa.array([dict(zip(names, shared.value.predict(t.as_py()))) for t in text], kind)
+
+    return predicted("text")
+
+
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, lang_pred, score, ambiguous,
     wrong_bits. Null texts and texts without a letter are ``und`` with score 0; very long texts are read whole."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets, whatever the rows
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", prediction(docs, model).alias("p")).select("doc_id", "p.*")
 
-    def run(c):
-        got = [shared.value.predict(t) for t in c["text"]]
-        lang, score, unsure, wrong = map(list, zip(*got)) if got else ([], [], [], [])
-        return {"doc_id": c["doc_id"], "lang_pred": lang, "score": score, "ambiguous": unsure, "wrong_bits": wrong}
 
-    return map_rows(docs.select("doc_id", "text"), run,
-                    f"doc_id {kind}, lang_pred string, score double, ambiguous boolean, wrong_bits int")
+def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a language: neither ``und`` nor ambiguous."""
+    names = docs.columns
+    told = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), prediction(docs, model).alias("p"))
+    return told.where((F.col("p.lang_pred") != UNKNOWN) & ~F.col("p.ambiguous")).select("doc.*")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -17,10 +17,11 @@ from __future__ import annotations
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeris.llm.common import map_rows, stored, table
+from aeris.llm.common import pick_rows, row_key, stored, table
 from aeris.llm.components import connected_components
 
 BITS = 64
@@ -53,14 +54,13 @@ def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long; every row and whole text."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """(doc_id, k1, k2, fp) with the fingerprint as a signed long; every row and whole text. k1 and k2 name the row."""
 
-    def run(c):
-        fp = np.array([simhash(t, shingle, seed) for t in c["text"]], dtype=np.uint64).view(np.int64)
-        return {"doc_id": c["doc_id"], "fp": fp}
+    @F.arrow_udf("long")
+    def marked(text: pa.Array) -> pa.Array:
+        return pa.array(np.array([simhash(t.as_py(), shingle, seed) for t in text], dtype=np.uint64).view(np.int64))
 
-    return map_rows(docs.select("doc_id", "text"), run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", *row_key(), marked("text").alias("fp"))
 
 
 def _signed(mask: int) -> int:
@@ -128,7 +128,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, paired: int = PAIRED) -
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, fp, component_id (smallest
-    doc_id of the group). Documents with no word share fingerprint zero and are linked like any other. A null doc_id
+    doc_id of the group), k1, k2 and component, which names the group also where ids are null. Documents with no word share fingerprint zero and are linked like any other. A null doc_id
     stands in a group but never names one unless the group has no other. An empty table gives an empty table."""
     marked = stored(fingerprints(docs, shingle, seed), "simhash")
     classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
@@ -136,8 +136,16 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: i
     named = classes.join(parts, classes["fp"] == parts["node"], "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component"))
     names = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_fp = named.join(names, "component").select(F.col("fp").alias("k"), "component_id")
-    return marked.join(by_fp, F.col("fp") == F.col("k"), "left").select("doc_id", "fp", "component_id")
+    by_fp = named.join(names, "component").select(F.col("fp").alias("k"), "component", "component_id")
+    return marked.join(by_fp, F.col("fp") == F.col("k"), "left").select(
+        "doc_id", "fp", "component_id", "component", "k1", "k2")
+
+
+def without_near_copies(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
+    """One row of each group, with all its columns: that of the smallest doc_id (nulls last; ties by row name)."""
+    groups = simhash_groups(docs, shingle, max_bits, seed)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("b")
+    return pick_rows(docs, stored(groups.groupBy("component").agg(first).select("b.k1", "b.k2"), "kept"))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

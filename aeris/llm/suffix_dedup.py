@@ -284,6 +284,15 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                       F.coalesce("cut.kept_text", "doc.text").alias("kept_text"))
 
 
+def without_repeats(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Every row of ``docs``, with all its columns: text is what remains of it and n_chars (if there is one) its length."""
+    cut = remove_repeats(docs, threshold).select("doc", "n_removed", "kept_text")
+    new = {"text": F.col("kept_text"),
+           "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("doc.n_chars"))
+           if "n_chars" in docs.columns else None}
+    return cut.select(*[(new[c] if c in new else F.col("doc")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -61,7 +61,7 @@ def test_without_labels_all_is_unknown(docs):
 
 def test_one_language(spark):
     model = L.fit(spark.createDataFrame([("the cat", "en")], "text string, lang string"))
-    assert model.predict("anything")[:2] == ("en", 1.0)
+    assert model.predict("anything") == ("en", 1.0, False, 0)
 
 
 def test_held_out_accuracy(spark):
