@@ -18,14 +18,15 @@ from pyspark.sql import SparkSession
 from aeris.plans.etl import Landing, run_daily_etl
 from aeris.plans.load import Warehouse
 from aeris.session import cluster_conf, ensure_checkpoint_dir
+from aeris.sources.landed import LAYOUTS
 
 
-def landing_from_root(root: str) -> Landing:
+def landing_from_root(root: str, layout: str = "auto") -> Landing:
     root = root.rstrip("/")
     local = root[len("file:"):] if root.startswith("file:") else root
     communes = f"{root}/communes" if "://" in root or os.path.isdir(f"{local}/communes") else None
     return Landing(parameters=f"{root}/parameters", countries=f"{root}/countries", providers=f"{root}/providers",
-                   locations=f"{root}/locations", measurements=f"{root}/measurements", communes=communes)
+                   locations=f"{root}/locations", measurements=f"{root}/measurements", communes=communes, layout=layout)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -41,7 +42,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--since", default="2025-01-01")
     ap.add_argument("--cell-size", type=float, default=0.05)
     ap.add_argument("--refresh-dimensions", action="store_true")
+    ap.add_argument("--layout", choices=LAYOUTS, default="auto", help="how landed pages lie in files")
+    ap.add_argument("--fact-mode", choices=("replace", "merge", "append"), default="replace")
     args = ap.parse_args(argv)
+    if bool(args.start) != bool(args.end):
+        ap.error("--start and --end go together")
 
     if spark is None:
         builder = SparkSession.builder.appName("aeris-daily")
@@ -55,10 +60,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ensure_checkpoint_dir(spark)
     wh = (Warehouse(spark, "path", root=args.warehouse) if args.warehouse
           else Warehouse(spark, "catalog", database=args.database))
-    window = (args.start, args.end) if args.start and args.end else None
-    results = run_daily_etl(spark, landing_from_root(args.landing), wh, run_date=args.run_date, window=window,
+    window = (args.start, args.end) if args.start else None
+    results = run_daily_etl(spark, landing_from_root(args.landing, args.layout), wh, run_date=args.run_date, window=window,
                             country_id=args.country_id, since=args.since, cell_size=args.cell_size,
-                            refresh_dimensions=args.refresh_dimensions)
+                            refresh_dimensions=args.refresh_dimensions, fact_mode=args.fact_mode)
     for r in results.values():
         print(f"{r.name:24s} {r.action:10s} {r.seconds:8.2f}s")
     return 0

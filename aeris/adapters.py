@@ -27,23 +27,9 @@ COMMUNE_SIDE = 1.8
 _PARAM_ARRAY = "array<struct<id:int,name:string,units:string,displayName:string,description:string>>"
 
 
-# Tables of fixed tiny size; every other test table grows with the scale factor.
-FIXED_SIZE_TABLES = ("nation", "region")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Each test table is one Parquet file of a single row group,
-    i.e. a single scan task; when a table has fewer files than the session has
-    cores, its rows are spread round-robin so the stand-in construction (string
-    formatting, JSON) runs on every core. Inputs of many files already scan in
-    parallel and get nothing added."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in FIXED_SIZE_TABLES:
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < cores:
-        df = df.repartition(cores)
-    return df
+    """A test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def ntz_text(ts: Column, chars: int = 19) -> Column:
@@ -249,6 +235,27 @@ def _build_communes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def communes_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Communes of several rings from ``nation``: the square of ``communes`` with a hole (n % 3 = 0) or with a second part
+    that reaches into the next square (n % 3 = 1), and one commune ``zz`` over nearly all of them."""
+    n = F.col("n_nationkey")
+    x, y = (F.pmod(n, F.lit(5)) * 2).cast("double"), F.floor(n / 5).cast("double") * 2.0
+
+    def box(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+        return F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))])
+
+    square = box(x, y, x + F.lit(COMMUNE_SIDE), y + F.lit(COMMUNE_SIDE))
+    rings = (F.when(F.pmod(n, F.lit(3)) == 0, F.array(square, box(x + 0.5, y + 0.5, x + 1.0, y + 1.0)))
+             .when(F.pmod(n, F.lit(3)) == 1, F.array(square, box(x + 2.25, y, x + 2.75, y + 1.0)))
+             .otherwise(F.array(square)))
+    nation = table(spark, sf_dir, "nation")
+    fields = [F.array().cast("array<string>").alias("codesPostaux"), F.lit(1).alias("population")]
+    low, high = F.lit(0.0), F.lit(9.5)
+    everything = nation.where(n == 0).select(F.lit("zz").alias("code"), F.lit("ALL").alias("nom"), *fields,
+                                             F.array(box(low, low, high, high)).alias("rings"))
+    return nation.select(n.cast("string").alias("code"), F.col("n_name").alias("nom"), *fields, rings.alias("rings")).union(everything)
+
+
 # ---------------------------------------------------------------- landing zones
 
 def _day_page() -> Column:
@@ -305,7 +312,49 @@ def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folder
                     one_page_per_file=one_page_per_file)
 
 
-def land_all(spark: SparkSession, sf_dir: str, root: str, one_page_per_file: bool = True):
+def land_measurements_by_sensor(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land measurements as JSON lines in ``sensor_id=<id>`` folders. Every seventh event lies in the folder of the sensor
+    after its own and carries its own sensor in the document; the others carry none."""
+    docs = raw_measurements(spark, sf_dir, with_event_id=True)
+    own = F.pmod(F.col("event_id"), F.lit(7)) == 0
+    body = F.struct(F.when(own, F.col("sensor_id")).alias("sensor_id"), "value", "parameter", "period", "coverage")
+    pages = (docs.select((F.col("sensor_id") + own.cast("int")).alias("folder"), F.floor(F.col("event_id") / 1000).alias("page"),
+                         body.alias("doc"))
+             .groupBy("folder", "page").agg(F.to_json(F.struct(F.collect_list("doc").alias("results"))).alias("value")))
+    pages.select(F.col("folder").alias("sensor_id"), "value").write.mode("overwrite").partitionBy("sensor_id").text(path)
+
+
+def land_odd_measurements(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Land measurement pages of 1000 events, with faults by event id and by page number (modulo 10).
+
+    Event % 11: 0 has no local datetime, 1 a broken one, 2 one to the minute. Page % 10: 1 holds an element that is no
+    object, 2 is pretty-printed, 3 has text after it, 4 is truncated, 5 and 6 lie as two lines of one file with an empty
+    page between, the rest are files of one line."""
+    docs = raw_measurements(spark, sf_dir, with_event_id=True)
+    fault = F.pmod(F.col("event_id"), F.lit(11))
+    local = F.col("period.datetimeFrom.local")
+    local = (F.when(fault == 0, F.lit(None).cast("string")).when(fault == 1, F.concat(F.lit("n/a "), local))
+             .when(fault == 2, F.substring(local, 1, 16)).otherwise(local))
+    period = F.struct(F.col("period.label").alias("label"), F.col("period.interval").alias("interval"),
+                      F.struct(F.col("period.datetimeFrom.utc").alias("utc"), local.alias("local")).alias("datetimeFrom"),
+                      F.col("period.datetimeTo").alias("datetimeTo"))
+    doc = F.struct("sensor_id", "value", "parameter", period.alias("period"), "coverage")
+    page, kind = F.floor(F.col("event_id") / 1000), F.col("page") % 10
+    pages = docs.select(page.alias("page"), doc.alias("doc")).groupBy("page").agg(
+        F.to_json(F.struct(F.collect_list("doc").alias("results"))).alias("value"))
+    text = (F.when(kind == 1, F.regexp_replace("value", r"^\{\"results\":\[", '{"results":["no object",'))
+            .when(kind == 2, F.regexp_replace("value", r"^\{\"results\":\[", '{\n  "results": [\n'))
+            .when(kind == 3, F.concat("value", F.lit(" and more")))
+            .when(kind == 4, F.expr("substring(value, 1, length(value) div 2)"))
+            .when(kind == 6, F.concat(F.lit('{"results":[]}\n'), F.col("value")))
+            .otherwise(F.col("value")))
+    file = F.when(kind == 6, F.col("page") - 1).otherwise(F.col("page"))
+    files = (pages.select(file.alias("page"), F.struct(F.col("page").alias("at"), text.alias("text")).alias("t"))
+             .groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["text"]), "\n").alias("value")))
+    files.write.mode("overwrite").partitionBy("page").text(path)
+
+
+def land_all(spark: SparkSession, sf_dir: str, root: str, one_page_per_file: bool = True, measurements: bool = True):
     """Land every stand-in source under ``root``; return an ``etl.Landing``.
 
     ``one_page_per_file=False`` lands JSON lines (many pages per file)."""
@@ -318,7 +367,8 @@ def land_all(spark: SparkSession, sf_dir: str, root: str, one_page_per_file: boo
     write_pages(raw_countries(spark, sf_dir), f"{root}/countries", F.floor(F.col("id") / 10).cast("int"), **kw)
     write_pages(raw_providers(spark, sf_dir), f"{root}/providers", F.floor(F.col("id") / 100).cast("int"), **kw)
     land_locations(spark, sf_dir, f"{root}/locations", **kw)
-    land_measurements(spark, sf_dir, f"{root}/measurements", **kw)
+    if measurements:
+        land_measurements(spark, sf_dir, f"{root}/measurements", **kw)
     communes(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/communes")
     return Landing(
         parameters=f"{root}/parameters",
@@ -327,7 +377,7 @@ def land_all(spark: SparkSession, sf_dir: str, root: str, one_page_per_file: boo
         locations=f"{root}/locations",
         measurements=f"{root}/measurements",
         communes=f"{root}/communes",
-        one_page_per_file=one_page_per_file,
+        layout="page" if one_page_per_file else "lines",
     )
 
 
@@ -390,23 +440,25 @@ def _build_limit_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# ---------------------------------------------------------------- materialized stand-ins
-# A stand-in input is built once per Spark application and input folder, and
-# kept as a reliable checkpoint in the shared checkpoint folder, the way real
-# inputs are landed tables: reports then run their operators over the whole
-# input without rebuilding it (and size checks do not rebuild it either).
+# ---------------------------------------------------------------- stored stand-ins
+# A stand-in input is built once per Spark application and input folder, as a
+# Parquet table under the shared folder, the way real inputs are landed tables:
+# reports then scan it with pushed filters and only the columns they need.
 
-_MATERIALIZED: dict = {}
+_STORED: dict = {}
 
 
 def _materialized(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    from aeris.session import ensure_checkpoint_dir
+    from aeris.session import scratch_path
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _MATERIALIZED:
-        ensure_checkpoint_dir(spark)
-        _MATERIALIZED[key] = build().checkpoint(eager=True)
-    return _MATERIALIZED[key]
+    if key not in _STORED:
+        df = build()
+        path = scratch_path(spark, f"input-{name}")
+        df.write.parquet(path)
+        _STORED[key] = (path, df.schema)
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def raw_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:

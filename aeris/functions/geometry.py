@@ -33,6 +33,11 @@ def point_in_ring(ring: Column, px: Column, py: Column) -> Column:
     return F.when(F.size(ring) >= 3, odd).otherwise(F.lit(False))
 
 
+def point_in_rings(rings: Column, px: Column, py: Column) -> Column:
+    """TRUE when (px, py) lies in an odd number of the rings (parts of a polygon and their holes)."""
+    return F.coalesce(F.size(F.filter(rings, lambda r: point_in_ring(r, px, py))) % 2 == 1, F.lit(False))
+
+
 def ring_bounds(ring: Column) -> tuple[Column, Column, Column, Column]:
     """Bounding box (min x, min y, max x, max y) of a ring."""
     xs = F.transform(ring, lambda p: p["x"])

@@ -3,7 +3,7 @@
 Spark's ``round`` on a double is HALF_UP on the decimal text of the double;
 other engines round the binary value, so ties such as 23.385 can differ. For
 results that must agree with an outside engine we round through a decimal
-first (``decimal(18,6)``), which makes both sides round the same decimal.
+first (``decimal(38,6)``), which makes both sides round the same decimal.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ def round_half_up(c: Column, digits: int) -> Column:
 
 
 def stable_round(c: Column, digits: int) -> Column:
-    """Round through ``decimal(18,6)`` and return a double."""
-    return F.round(c.cast("double").cast("decimal(18,6)"), digits).cast("double")
+    """Round through ``decimal(38,6)`` and return a double."""
+    return F.round(c.cast("double").cast("decimal(38,6)"), digits).cast("double")
 
 
 def rounder(exact: bool):

@@ -21,6 +21,11 @@ def day_text(local: Column) -> Column:
     return F.substring_index(local, "T", 1)
 
 
+def a_day(day: Column) -> Column:
+    """Whether a ``day_text`` is a calendar day (never NULL)."""
+    return F.coalesce(day.rlike(r"^\d{4}-\d{2}-\d{2}$") & day.try_cast("date").isNotNull(), F.lit(False))
+
+
 def local_timestamp(text: Column, mode: str = "reference") -> Column:
     """Parse an ISO datetime with an optional UTC offset into ``timestamp_ntz``.
 

@@ -11,7 +11,6 @@ from aeris.operators.dims import (
     providers_dim,
     sensors_dim,
 )
-from aeris.operators.joins import sized_broadcast
 from aeris.operators.measurements import (
     daily_sensor_stats,
     daily_stats_of_raw_fact,
@@ -43,7 +42,6 @@ __all__ = [
     "providers_dim",
     "raw_measurements",
     "sensors_dim",
-    "sized_broadcast",
 ]
 
 from aeris.operators.geo import assign_communes, commune_cells  # noqa: E402

@@ -8,27 +8,30 @@ commune reference table (``schemas.COMMUNE``):
    sorted by code — a cell row is small because a cell only meets the
    communes around it; communes much larger than a cell go to a coarser grid
    so that no polygon is copied into many cells;
-2. every point looks up its single cell on each grid with an equi-join
-   (broadcast when the cell table passes the size check, else a shuffle join
-   that AQE can split for a hot cell) — many-to-one joins, so points are never
-   multiplied and no groupBy follows;
-3. the lowest-code candidate whose ring contains the point wins
-   (crossing-number test in higher-order functions); no hit keeps the point
-   with NULL commune fields.
-
-A point inside a polygon is inside its bounding box, so its cell is among the
-commune's cells: the grid only prunes, the result equals testing every
-commune. Cells are half-open, so a point on a shared border matches one side.
+2. every point looks up its single cell on each grid with an equi-join, whose
+   kind Spark picks from the sizes it knows or measures (AQE splits a hot
+   cell) — many-to-one joins, so points are never multiplied and no groupBy
+   follows;
+3. after each join the lowest-code candidate that contains the point is kept
+   and the candidates are dropped, so no ring travels on with a point; the
+   lower code of both grids wins, and no hit keeps the point with NULL fields.
+
+A commune may have several rings (``rings``: parts and holes): a point is
+inside when it lies in an odd number of them. A point inside a polygon is
+inside its bounding box, so its cell is among the commune's cells: the grid
+only prunes, the result equals testing every commune. Cells are half-open, so a
+point on a shared border matches one side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from aeris.functions.geometry import point_in_ring, ring_bounds
-from aeris.operators.joins import DEFAULT_BROADCAST_ROWS, measure
+from aeris.functions.geometry import point_in_rings, ring_bounds
+
+#: What a hit tells about its commune.
+COMMUNE_FIELDS = ("code", "nom", "codesPostaux", "population")
 
 
 def _by_code(a: Column, b: Column) -> Column:
@@ -43,26 +46,37 @@ def _by_code(a: Column, b: Column) -> Column:
     )
 
 
+def with_rings(communes: DataFrame) -> DataFrame:
+    """The communes with all their rings in ``rings``: that column, or the one ``ring`` where it is absent or NULL."""
+    ring = F.array("ring") if "ring" in communes.columns else None
+    rings = F.col("rings") if "rings" in communes.columns else None
+    both = rings if ring is None else ring if rings is None else F.coalesce(rings, ring)
+    return communes.select(*COMMUNE_FIELDS, both.alias("rings"))
+
+
+def _spans(rings: Column, cell_size: float) -> tuple[Column, Column, Column, Column]:
+    """First and last cell of the rings' bounding box on each axis."""
+    minx, miny, maxx, maxy = ring_bounds(F.flatten(rings))
+    size = F.lit(float(cell_size))
+    return F.floor(minx / size), F.floor(maxx / size), F.floor(miny / size), F.floor(maxy / size)
+
+
 def commune_cells(communes: DataFrame, cell_size: float) -> DataFrame:
     """(cx, cy, candidates): communes whose bounding box meets each grid cell."""
-    minx, miny, maxx, maxy = ring_bounds(F.col("ring"))
-    c = F.struct("code", "nom", "codesPostaux", "population", "ring").alias("c")
-    size = F.lit(float(cell_size))
-    xs = F.sequence(F.floor(minx / size), F.floor(maxx / size))
-    ys = F.sequence(F.floor(miny / size), F.floor(maxy / size))
+    c = F.struct(*COMMUNE_FIELDS, "rings").alias("c")
+    x0, x1, y0, y1 = _spans(F.col("rings"), cell_size)
     return (
-        communes.select(c, F.explode(xs).alias("cx"), ys.alias("ys"))
+        with_rings(communes).select(c, F.explode(F.sequence(x0, x1)).alias("cx"), F.sequence(y0, y1).alias("ys"))
         .select("c", "cx", F.explode("ys").alias("cy"))
         .groupBy("cx", "cy")
         .agg(F.array_sort(F.collect_list("c"), _by_code).alias("candidates"))
     )
 
 
-def cells_spanned(ring: Column, cell_size: float) -> Column:
-    """Number of grid cells a ring's bounding box touches."""
-    minx, miny, maxx, maxy = ring_bounds(ring)
-    size = F.lit(float(cell_size))
-    return (F.floor(maxx / size) - F.floor(minx / size) + 1) * (F.floor(maxy / size) - F.floor(miny / size) + 1)
+def cells_spanned(rings: Column, cell_size: float) -> Column:
+    """Number of grid cells the rings' bounding box touches."""
+    x0, x1, y0, y1 = _spans(rings, cell_size)
+    return (x1 - x0 + 1) * (y1 - y0 + 1)
 
 
 def assign_communes(
@@ -73,8 +87,6 @@ def assign_communes(
     lat: str = "city_latitude",
     max_cells: int = 64,
     coarse_factor: int = 16,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    max_broadcast_vertices: int = 4_000_000,
 ) -> DataFrame:
     """Points (location_id, city_longitude, city_latitude) → one row per point:
     location_id, longitude, latitude, nom, code, codesPostaux, population.
@@ -84,39 +96,28 @@ def assign_communes(
     on a second grid ``coarse_factor`` times coarser, so a very large polygon
     is not copied into thousands of cells; each point looks up its cell on
     both grids (two many-to-one joins) and the lowest code among the
-    containing candidates of both wins. Each cell table is broadcast only when
-    it has at most ``max_broadcast_rows`` cells and ``max_broadcast_vertices``
-    ring vertices in total (~16 bytes each); otherwise both sides shuffle on
-    the cell.
+    containing candidates of both wins.
     """
     px, py = F.col(lon), F.col(lat)
-    candidate = communes.select(F.struct("code", "nom", "codesPostaux", "population", "ring")).schema[0].dataType
-    span = cells_spanned(F.col("ring"), cell_size)
+    shaped = with_rings(communes)
+    span = cells_spanned(F.col("rings"), cell_size)
     levels = [
-        ("fine", float(cell_size), communes.where(span <= max_cells)),
-        ("coarse", float(cell_size) * coarse_factor, communes.where(~(span <= max_cells))),
+        ("fine", float(cell_size), shaped.where(span <= max_cells)),
+        ("coarse", float(cell_size) * coarse_factor, shaped.where(~(span <= max_cells))),
     ]
     joined = points
     for name, size, subset in levels:
         cx, cy = f"__{name}_x", f"__{name}_y"
         joined = joined.withColumn(cx, F.floor(px.cast("double") / F.lit(size))).withColumn(
             cy, F.floor(py.cast("double") / F.lit(size)))
-        cells = commune_cells(subset, size).select(
-            F.col("cx").alias(cx), F.col("cy").alias(cy), F.col("candidates").alias(f"__{name}"))
-        vertices = F.aggregate(F.transform(f"__{name}", lambda c: F.size(c["ring"])), F.lit(0), lambda a, b: a + b)
-        n, v = measure(cells, max_broadcast_rows, vertices)
-        if n == 0:  # no commune on this grid: no join
-            joined = joined.withColumn(f"__{name}", F.lit(None).cast(T.ArrayType(candidate)))
-        else:
-            small = n <= max_broadcast_rows and v <= max_broadcast_vertices
-            joined = joined.join(F.broadcast(cells) if small else cells, [cx, cy], "left")
-        joined = joined.drop(cx, cy)
-    empty = F.array().cast(T.ArrayType(candidate))
-    hits = F.concat(*[
-        F.filter(F.coalesce(F.col(f"__{name}"), empty), lambda c: point_in_ring(c["ring"], px, py))
-        for name, _, _ in levels
-    ])
-    hit = F.get(F.array_sort(hits, _by_code), 0)
+        cells = commune_cells(subset, size).select(F.col("cx").alias(cx), F.col("cy").alias(cy), "candidates")
+        # the candidates are sorted, so the first that contains the point is the lowest
+        hit = F.get(F.filter("candidates", lambda c: point_in_rings(c["rings"], px, py)), 0)
+        joined = joined.join(cells, [cx, cy], "left")
+        joined = joined.select(*[c for c in joined.columns if c not in (cx, cy, "candidates")],
+                               F.when(hit.isNotNull(), F.struct(*[hit[f].alias(f) for f in COMMUNE_FIELDS])).alias(f"__{name}"))
+    hits = F.array_sort(F.filter(F.array(*[f"__{name}" for name, _, _ in levels]), lambda h: h.isNotNull()), _by_code)
+    hit = F.get(hits, 0)
     return joined.select(
         "location_id",
         px.alias("longitude"),

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeris.functions import text as X
-from aeris.operators.joins import sized_broadcast
 
 INFO_FIELDS = ("indicateur", "valeurs", "origine", "critere")
 
@@ -56,15 +55,14 @@ def limit_rows(cells: DataFrame, keep_dropped: bool = False, bucket_rows: int =
     ``" "`` counts as non-empty); rows whose cleaned value is empty are dropped
     (``keep_dropped=True`` keeps them with ``kept = false``). The fill-forward
     is bucketed (``fill_forward``) and the title is joined from the title rows
-    (one per table, size-checked broadcast), so no step holds a whole table in
-    one task.
+    (one per table), so no step holds a whole table in one task.
     """
     titles = cells.where(F.col("row_no") == 0).select(
         "table_no", X.pollutant_title(F.col("c0")).alias("__title"))
     body = cells.where(F.col("row_no") > 0)
     raw_ind = F.coalesce(F.col("c0"), F.lit(""))
     body = fill_forward(body, "table_no", "row_no", F.when(raw_ind != "", raw_ind), "__filled", bucket_rows)
-    rows = body.join(sized_broadcast(titles), "table_no", "left").select(
+    rows = body.join(titles, "table_no", "left").select(
         "table_no",
         "row_no",
         F.coalesce(F.col("__title"), F.lit(X.UNKNOWN_POLLUTANT)).alias("nom"),

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from aeris.functions.numeric import rounder
 from aeris.functions.time import day_text, local_timestamp
-from aeris.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 
 def raw_measurements(raw: DataFrame, time_mode: str = "reference", keep: list[str] | tuple = ()) -> DataFrame:
@@ -44,16 +43,14 @@ def measurements_between(df: DataFrame, start, end, column: str = "period_dateti
     return df.filter((F.col(column) >= lo) & (F.col(column) < hi))
 
 
-def measurements_of_sensors(
-    measurements: DataFrame, sensors: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
+def measurements_of_sensors(measurements: DataFrame, sensors: DataFrame) -> DataFrame:
     """Keep the measurements of the selected sensors (left semi join).
 
     Replaces the driver-side ``collect`` of sensor ids; a repeated sensor id
     does not repeat its measurements.
     """
     keys = sensors.select("sensor_id").where(F.col("sensor_id").isNotNull())
-    return measurements.join(sized_broadcast(keys, max_broadcast_rows), "sensor_id", "left_semi")
+    return measurements.join(keys, "sensor_id", "left_semi")
 
 
 def daily_sensor_stats(raw: DataFrame, expected_per_day: int = 24, exact: bool = False) -> DataFrame:
@@ -65,7 +62,7 @@ def daily_sensor_stats(raw: DataFrame, expected_per_day: int = 24, exact: bool =
     is the text before ``T`` of the local period start. NULL values are
     ignored; a one-value group has a NULL stddev.
 
-    ``exact=True`` rounds through ``decimal(18,6)`` (and stddev to 6 digits) so
+    ``exact=True`` rounds through ``decimal(38,6)`` (and stddev to 6 digits) so
     results can be compared with another engine bit for bit.
 
     Plan: partial aggregation on the map side (the median keeps a value→count

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeris.functions.numeric import rounder
-from aeris.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 
 def completeness_ratio(observed, expected):
@@ -19,7 +18,6 @@ def parameter_profile(
     sensors: DataFrame,
     exact: bool = False,
     sort: bool = True,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Per ``sensor_parameter_displayName`` of the joined sensors:
 
@@ -33,9 +31,7 @@ def parameter_profile(
     """
     rnd = rounder(exact)
     joined = daily.select("sensor_id", "observed_count", "expected_count").join(
-        sized_broadcast(sensors.select("sensor_id", "sensor_parameter_displayName"), max_broadcast_rows),
-        "sensor_id",
-    )
+        sensors.select("sensor_id", "sensor_parameter_displayName"), "sensor_id")
     ratio = completeness_ratio(F.col("observed_count"), F.col("expected_count"))
     out = (
         joined.withColumn("completeness_ratio", ratio)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeris.operators.joins import DEFAULT_BROADCAST_ROWS, sized_broadcast
-
 
 def active_locations(
     locations: DataFrame,
@@ -23,14 +21,12 @@ def active_locations(
     return locations.filter((F.col("location_country_id") == F.lit(country_id)) & (F.col(column) >= cut))
 
 
-def country_sensors(
-    sensors: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
+def country_sensors(sensors: DataFrame, locations: DataFrame) -> DataFrame:
     """Sensors of the given locations: inner join USING ``location_id``.
 
     Columns: location_id, the sensor columns, then the location columns.
     """
-    return sensors.join(sized_broadcast(locations, max_broadcast_rows), "location_id", "inner")
+    return sensors.join(locations, "location_id", "inner")
 
 
 def enrich_measurements(
@@ -41,30 +37,25 @@ def enrich_measurements(
     providers: DataFrame | None = None,
     countries: DataFrame | None = None,
     cities: DataFrame | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """The star-schema read path: fact → sensors → locations → cities /
     providers / countries, and fact → parameters, all left joins on the drawn
-    keys. Each dimension is broadcast when its size check passes, so the fact
-    is scanned once with no shuffle."""
-
-    def dim(df: DataFrame) -> DataFrame:
-        return sized_broadcast(df, max_broadcast_rows)
-
-    out = facts.join(dim(sensors), "sensor_id", "left")
+    keys. No side is hinted: from the sizes that Spark knows or measures at
+    run time, small dimensions are broadcast and the fact isn't shuffled."""
+    out = facts.join(sensors, "sensor_id", "left")
     if parameters is not None:
-        out = out.join(dim(parameters), out["parameter_id"] == parameters["param_id"], "left")
+        out = out.join(parameters, out["parameter_id"] == parameters["param_id"], "left")
     if locations is not None:
         loc = locations.drop(*[c for c in locations.columns if c in out.columns and c != "location_id"])
-        out = out.join(dim(loc), "location_id", "left")
+        out = out.join(loc, "location_id", "left")
     if providers is not None and "provider_id" in out.columns:
         prov = providers.drop(*[c for c in providers.columns if c in out.columns and c != "provider_id"])
-        out = out.join(dim(prov), "provider_id", "left")
+        out = out.join(prov, "provider_id", "left")
     if countries is not None and "location_country_id" in out.columns:
-        out = out.join(dim(countries), out["location_country_id"] == countries["country_id"], "left")
+        out = out.join(countries, out["location_country_id"] == countries["country_id"], "left")
     if cities is not None:
         cit = cities.drop(*[c for c in cities.columns if c in out.columns and c != "location_id"])
-        out = out.join(dim(cit), "location_id", "left")
+        out = out.join(cit, "location_id", "left")
     return out
 
 

@@ -10,8 +10,9 @@
 dimension is skipped (unless ``refresh``); an existing fact gets the new
 batch. Unlike the original (which appended blindly, so a re-run duplicated a
 day, and which treated a failed existence check as "absent" and overwrote),
-facts *replace* the days present in the batch (dynamic partition overwrite)
-and existence-check errors propagate. Every step returns the stored table,
+facts *replace* the days present in the batch (dynamic partition overwrite),
+and with a window also the days of it that the batch no longer has, and
+existence-check errors propagate. Every step returns the stored table,
 read back, so downstream steps start from written data (lineage is cut and a
 lost executor never re-runs upstream steps).
 """
@@ -26,6 +27,7 @@ from typing import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class Warehouse:
@@ -73,9 +75,10 @@ class Warehouse:
             return self.spark.catalog.tableExists(self.location(name))
         if self.backend == "jdbc":
             tables = self.spark.read.jdbc(self.jdbc_url, "information_schema.tables", properties=self.jdbc_properties)
-            cond = F.lower(F.col("table_name")) == name.lower()
+            # plain equality on stored names, which the database filters itself
+            cond = F.col("table_name") == name
             if self.database:
-                cond = cond & (F.lower(F.col("table_schema")) == self.database.lower())
+                cond = cond & (F.col("table_schema") == self.database)
             return not tables.where(cond).limit(1).isEmpty()
         return self._stored_schema(name) is not None
 
@@ -127,51 +130,83 @@ class Warehouse:
 
         ``mode="replace_partitions"`` overwrites only the partitions present in
         ``df`` (dynamic partition overwrite); other modes are Spark's.
-        Rows are sorted inside each task by ``partition_by`` then ``cluster_by``
-        (no shuffle, no global sort): each task writes one file per partition
-        value, and Parquet min/max statistics on ``cluster_by`` let readers skip
-        row groups (e.g. one sensor's history).
+        A partitioned table is rebalanced by ``partition_by`` first: a
+        partition's rows meet in as few tasks as their size allows (a large one
+        is split), so the number of files follows the data and not tasks x
+        partitions. Rows are sorted inside each task by ``partition_by`` then
+        ``cluster_by``, and Parquet min/max statistics on ``cluster_by`` let
+        readers skip row groups (e.g. one sensor's history).
+        A batch may bring new columns (NULL in the rows stored before); a
+        column of another type is an error.
         """
         partition_by = list(partition_by or [])
         order = partition_by + [c for c in (cluster_by or []) if c not in partition_by]
-        if order:
-            df = df.sortWithinPartitions(*order)
         if self.backend == "jdbc":
             if mode == "replace_partitions":
-                raise NotImplementedError("JDBC tables cannot replace partitions; use mode='append'")
+                raise NotImplementedError("JDBC tables cannot replace partitions; use fact_mode='append'")
             df.write.jdbc(self.jdbc_url, self.location(name), mode=mode, properties=self.jdbc_write_properties)
             return
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        if order:
+            df = df.sortWithinPartitions(*order)
+        if self.backend == "catalog":
+            self._write_catalog(df, name, mode, partition_by)
+            return
+        schema = df.schema
+        if mode != "overwrite":
+            stored = self._stored_schema(name)
+            if stored is not None:
+                schema = _evolved(stored, df.schema, name)
         writer = df.write
         if mode == "replace_partitions":
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         else:
             writer = writer.mode(mode)
-        if self.backend == "catalog":
-            if mode == "replace_partitions" and self.exists(name):
-                # insertInto resolves columns by position: align to the table.
-                target = self.spark.read.table(self.location(name)).columns
-                key = "spark.sql.sources.partitionOverwriteMode"
-                before = self.spark.conf.get(key, "static")
-                self.spark.conf.set(key, "dynamic")
-                try:
-                    df.select(*target).write.mode("overwrite").insertInto(self.location(name))
-                finally:
-                    self.spark.conf.set(key, before)
-                return
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.format("parquet").saveAsTable(self.location(name))
-            return
+        if mode == "overwrite":
+            # a table is replaced as a whole, whatever the session's overwrite mode is
+            writer = writer.option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.location(name))
-        if mode == "overwrite" or self._marker_schema(name) is None:
+        if mode == "overwrite" or self._marker_schema(name) != schema:
             # A partitioned table whose batch was empty has no file to carry its
-            # schema; an empty, unpartitioned Parquet file next to it keeps it
-            # (rewritten with every overwrite, so it never goes stale).
-            empty = self.spark.createDataFrame([], df.schema)
+            # schema, and one that grew a column has files without it; an empty,
+            # unpartitioned Parquet file next to the table keeps the whole schema.
+            empty = self.spark.createDataFrame([], schema)
             empty.coalesce(1).write.mode("overwrite").parquet(self._schema_marker(name))
 
+    def _write_catalog(self, df: DataFrame, name: str, mode: str, partition_by: list[str]) -> None:
+        table = self.location(name)
+        if mode == "replace_partitions" and self.exists(name):
+            # The partitions are overwritten in the table's folder, as a write of
+            # one table can name its overwrite mode there (``insertInto`` would
+            # need the session's), and then made known to the catalog.
+            target = self.spark.read.table(table)
+            if _evolved(target.schema, df.schema, name) != target.schema:
+                raise ValueError(f"{name}: a catalog table's columns are altered in the catalog, not by a batch")
+            where = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE EXTENDED {table}").collect()}["Location"]
+            (df.select(*target.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*partition_by).parquet(where))
+            self.spark.catalog.recoverPartitions(table)
+            self.spark.catalog.refreshTable(table)
+            return
+        writer = df.write.mode("overwrite" if mode == "replace_partitions" else mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.format("parquet").saveAsTable(table)
+
+    def drop_partitions(self, name: str, column: str, values: list[str]) -> None:
+        """Remove whole partitions ``column = value`` of a Parquet table."""
+        for value in values:
+            if self.backend == "catalog":
+                literal = str(value).replace("'", "\\'")
+                self.spark.sql(f"ALTER TABLE {self.location(name)} DROP IF EXISTS PARTITION ({column} = '{literal}')")
+            else:
+                jvm = self.spark.sparkContext._jvm
+                folder = jvm.org.apache.hadoop.fs.Path(f"{self.location(name)}/{column}={value}")
+                folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
     # ------------------------------------------------------------ SNK5
     def export(self, name: str, path: str, fmt: str = "csv") -> None:
         """Read-only export of a table to files (CSV with a header by default)."""
@@ -182,6 +217,16 @@ class Warehouse:
             writer.format(fmt).save(path)
 
 
+def _evolved(stored: T.StructType, batch: T.StructType, name: str) -> T.StructType:
+    """The stored schema with the batch's new columns; another type of a stored column is an error."""
+    known = {f.name: f.dataType for f in stored.fields}
+    for f in batch.fields:
+        if f.name in known and known[f.name] != f.dataType:
+            raise ValueError(f"{name}: column {f.name} is stored as {known[f.name].simpleString()}, "
+                             f"the batch has {f.dataType.simpleString()}")
+    return T.StructType(stored.fields + [T.StructField(f.name, f.dataType) for f in batch.fields if f.name not in known])
+
+
 @dataclass
 class StepResult:
     """Outcome of one load step.
@@ -233,6 +278,7 @@ def load_step(
     count: bool = False,
     description: str | None = None,
     cluster_by: list[str] | None = None,
+    window: tuple[str, str] | None = None,
 ) -> StepResult:
     """Create / skip / load one table.
 
@@ -245,6 +291,11 @@ def load_step(
       rows of its partitions and keep one row per ``merge_keys`` (late data for
       an old day); ``"append"`` the original plain append.
 
+    ``window`` is the half-open range of the first partition column's values
+    that the batch stands for. A replacing load also removes the stored
+    partitions of the window that the batch no longer has; a merging load
+    reads only the window's stored partitions.
+
     ``build`` runs only when needed. ``writer(df, name)`` replaces the default
     writer; ``cluster_by`` orders rows inside each written file. The step's
     jobs are labelled with ``name``; ``count=True`` counts the stored table
@@ -274,34 +325,70 @@ def load_step(
             elif fact_mode == "merge":
                 if not (partition_by and merge_keys):
                     raise ValueError("merging facts needs partition_by and merge_keys")
-                df = _merge_with_stored(warehouse, name, df, partition_by, merge_keys)
+                df = _merge_with_stored(warehouse, name, df, partition_by, merge_keys, window)
                 action, mode = "merged", "replace_partitions"
             else:
                 raise ValueError(f"unknown fact_mode {fact_mode!r}")
             if writer is not None:
                 writer(df, name)
             else:
+                before = []
+                if action == "replaced" and window:
+                    before, df = _emptied_days(warehouse, name, df, partition_by[0], window)
                 warehouse.write(df, name, mode=mode, partition_by=partition_by if kind == "fact" else None,
                                 cluster_by=cluster_by)
+                if before:
+                    warehouse.drop_partitions(name, partition_by[0], before)
     result = StepResult(name, action, round(time.perf_counter() - started, 3), warehouse)
     if count:
         result.rows  # noqa: B018 - count now, on request
     return result
 
 
+def _within(df: DataFrame, column: str, window: tuple[str, str]) -> DataFrame:
+    lo, hi = (F.lit(x).cast(df.schema[column].dataType) for x in window)
+    return df.where((F.col(column) >= lo) & (F.col(column) < hi))
+
+
+def _emptied_days(warehouse: Warehouse, name: str, df: DataFrame, column: str,
+                  window: tuple[str, str]) -> tuple[list[str], DataFrame]:
+    """(stored partition values of the window that the batch doesn't have, the batch). The values are one per partition of
+    the window. The batch is written to the shared folder once, as it is read for its days and for the load."""
+    from aeris.session import scratch_path
+
+    path = scratch_path(warehouse.spark, f"batch-{name}")
+    df.write.parquet(path)
+    df = warehouse.spark.read.schema(df.schema).parquet(path)
+    held = _within(warehouse.read(name), column, window).select(column).distinct()
+    gone = held.join(df.select(column).distinct(), column, "left_anti")
+    return [r[0] for r in gone.collect()], df
+
+
 def _merge_with_stored(warehouse: Warehouse, name: str, batch: DataFrame, partition_by: list[str],
-                       keys: list[str]) -> DataFrame:
+                       keys: list[str], window: tuple[str, str] | None = None) -> DataFrame:
     """Batch ∪ stored rows of the batch's partitions, one row per key (batch wins).
 
-    The result is checkpointed to the shared checkpoint folder before it is
-    written, because it reads the very partitions it will overwrite.
+    Partitions are matched null-safe, so the rows of a NULL partition are kept
+    too. ``window`` prunes the stored partitions by a literal filter; rows of
+    the batch outside of it (or with a NULL day) are an error, as their stored
+    neighbours would not be read. The result is checkpointed to the shared
+    checkpoint folder before it is written, because it reads the very
+    partitions it will overwrite.
     """
-    stored = warehouse.read(name)
-    touched = batch.select(*partition_by).distinct()
-    old = stored.join(touched, partition_by, "left_semi").select(*batch.columns)
-    both = batch.withColumn("__batch", F.lit(1)).unionByName(old.withColumn("__batch", F.lit(0)))
     from pyspark.sql import Window
 
+    stored = warehouse.read(name)
+    if window:
+        stored = _within(stored, partition_by[0], window)
+        inside = _within(batch, partition_by[0], window)
+        if not batch.exceptAll(inside).isEmpty():
+            raise ValueError(f"{name}: the batch has rows outside of the window {window}")
+    touched = batch.select(*[F.col(c).alias(f"__{c}") for c in partition_by]).distinct()
+    same = F.lit(True)
+    for c in partition_by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    old = stored.join(touched, same, "left_semi")
+    both = batch.withColumn("__batch", F.lit(1)).unionByName(old.withColumn("__batch", F.lit(0)), allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy(F.desc("__batch"))
     merged = both.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__batch")
     return merged.checkpoint(eager=True)

@@ -151,7 +151,7 @@ PID = ("(CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase'
 
 
 def _r(expr: str, digits: int) -> str:
-    return f"CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38,6)), {digits}) AS DOUBLE)"
 
 
 M = f"""m AS (
@@ -299,7 +299,7 @@ def quarantined_pages(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "bad-pages")
     A.land_locations(spark, d, path, page_size=100)  # small pages: many pages to quarantine from
     A.land_broken_location_pages(spark, d, path, every=5, page_size=100)
-    _, quarantine = landed.split_pages(spark, path, schemas.LOCATION)
+    _, quarantine = landed.split_pages(spark, path, schemas.LOCATION, layout="page")
     return quarantine.select("page", "reason")
 
 
@@ -573,24 +573,236 @@ ORACLE_SQL["limits_document_json"] = ORACLE_SQL["limits_document"]
 
 # ---------------------------------------------------------------- streaming
 
+def _landed_by_sensor(spark: SparkSession, d: str) -> str:
+    """The measurements as ``sensor_id=<id>`` folders, landed once per application and input."""
+    from aeris.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, id(spark), d, "by sensor")
+    if key not in _ETL_RUNS:
+        path = scratch_path(spark, "by-sensor")
+        A.land_measurements_by_sensor(spark, d, path)
+        _ETL_RUNS[key] = path
+    return _ETL_RUNS[key]
+
+
 def stream_daily_stats(spark: SparkSession, d: str) -> DataFrame:
-    """Land the measurements, run the stream to the end of the landed files,
-    and read the sink: the days whose window closed under a 1-day watermark."""
+    """Stream the pages of the ``sensor_id=<id>`` layout into the facts: every group, open days and late rows
+    included."""
+    from aeris.session import scratch_path
+    from aeris.streaming.daily import run_daily_fact_stream
+
+    wh = _warehouse(spark, "stream")
+    run_daily_fact_stream(spark, _landed_by_sensor(spark, d), wh, scratch_path(spark, "stream-ckpt"), exact=True,
+                          layout="lines").awaitTermination()
+    return wh.read("stream_agg_measurements")
+
+
+def stream_closed_days(spark: SparkSession, d: str) -> DataFrame:
+    """The watermarked form on the same pages: the days whose window closed under a 1-day watermark."""
     from aeris.session import scratch_path
     from aeris.streaming.daily import run_daily_stats_stream
 
-    source = scratch_path(spark, "stream-src")
-    A.land_measurements(spark, d, source)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    q = run_daily_stats_stream(spark, source, sink, ckpt, lateness="1 day", exact=True)
-    q.awaitTermination()
+    run_daily_stats_stream(spark, _landed_by_sensor(spark, d), sink, ckpt, lateness="1 day", exact=True,
+                           layout="lines").awaitTermination()
     schema = "day string, sensor_id int, parameter_id int, value double, min_value double, max_value double, " \
              "stddev_value double, median_value double, observed_count bigint, expected_count int"
     return spark.read.schema(schema).parquet(sink)
 
 
 REPORTS["stream_daily_stats"] = stream_daily_stats
-ORACLE_SQL["stream_daily_stats"] = (
+ORACLE_SQL["stream_daily_stats"] = f"WITH {M}, {DAILY} SELECT * FROM daily"
+REPORTS["stream_closed_days"] = stream_closed_days
+ORACLE_SQL["stream_closed_days"] = (
     f"WITH {M}, {DAILY} SELECT * FROM daily WHERE CAST(day AS TIMESTAMP) + INTERVAL 2 DAY "
     "<= (SELECT max(wall_clock_ts) FROM m)"
 )
+
+
+# ---------------------------------------------------------------- pages, folders and odd landings
+
+def paged_parameters(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.session import scratch_path
+    from aeris.sources import landed
+
+    path = scratch_path(spark, "parameters")
+    landed.write_pages(A.raw_parameters(spark, d), path, F.lit(0))
+    return op.parameters_dim(landed.read_parameters(spark, path))
+
+
+def paged_countries(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.session import scratch_path
+    from aeris.sources import landed
+
+    path = scratch_path(spark, "countries")
+    landed.write_pages(A.raw_countries(spark, d), path, F.floor(F.col("id") / 10).cast("int"))
+    return op.countries_dim(landed.read_countries(spark, path))
+
+
+def paged_providers(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.session import scratch_path
+    from aeris.sources import landed
+
+    path = scratch_path(spark, "providers")
+    landed.write_pages(A.raw_providers(spark, d), path, F.floor(F.col("id") / 100).cast("int"), one_page_per_file=False)
+    return op.providers_dim(landed.read_providers(spark, path, layout="lines"))
+
+
+def folder_keyed_measurements(spark: SparkSession, d: str) -> DataFrame:
+    """Measurements whose sensor is the folder's, but for documents with a sensor of their own, which wins."""
+    from aeris.sources import landed
+
+    return op.raw_measurements(landed.read_measurements(spark, _landed_by_sensor(spark, d), layout="lines"))
+
+
+def limits_from_cell_file(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.operators.limits import limit_rows
+    from aeris.session import scratch_path
+    from aeris.sources.cells import read_limit_cells
+
+    path = scratch_path(spark, "cells")
+    A.limit_cells(spark, d).write.json(path)
+    return limit_rows(read_limit_cells(spark, path))
+
+
+def measurements_of_run(spark: SparkSession, d: str) -> DataFrame:
+    """The raw measurements of a run date's default window, by local day."""
+    from aeris.functions.time import day_text, run_window
+
+    raw = A.raw_measurements(spark, d).withColumn("day", day_text(F.col("period.datetimeFrom.local")))
+    return op.raw_measurements(op.measurements_between(raw, *run_window(RUN_DATE), column="day"))
+
+
+def enriched_with_cities(spark: SparkSession, d: str) -> DataFrame:
+    raw_loc = A.raw_locations(spark, d)
+    out = op.enrich_measurements(daily_sensor_stats(spark, d), op.sensors_dim(raw_loc),
+                                 locations=op.locations_dim(raw_loc), cities=cities_of_locations(spark, d))
+    return out.select("day", "sensor_id", "parameter_id", "value", "location_id", "location_name", "city_name",
+                      "city_insee_code")
+
+
+def assign_communes_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Communes of two parts or with a hole, overlapping ones, and one that only fits the coarse grid."""
+    points = op.location_points(locations_dim(spark, d))
+    return op.assign_communes(points, A.communes_with_parts(spark, d), cell_size=0.25, max_cells=100)
+
+
+def merge_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Three overlapping batches of daily statistics merged into one fact, rows of a NULL day among them; each later
+    batch corrects rows that are stored."""
+    from aeris.plans.load import load_step
+
+    wh = _warehouse(spark, "merge")
+    daily = daily_sensor_stats(spark, d).withColumn("day", F.when(F.col("parameter_id") != 3, F.col("day")))
+    keyed = (daily.groupBy("day", "sensor_id", "parameter_id")
+             .agg(F.sum("observed_count").alias("observed_count"), F.count(F.lit(1)).alias("n")))
+    wrong = keyed.withColumn("n", F.lit(-1).cast("long"))
+    even = F.col("sensor_id") % 2 == 0
+    for batch in (wrong.where(even), keyed.where("sensor_id % 3 = 0"), keyed.where("sensor_id % 3 <> 0")):
+        load_step(wh, "f", lambda b=batch: b, kind="fact", partition_by=["day"], fact_mode="merge",
+                  merge_keys=["day", "sensor_id", "parameter_id"])
+    return wh.read("f")
+
+
+def landing_reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    """What became of every landed measurement document and page: loaded, out of window, unselected, or quarantined with its
+    reason. The landing holds pages with a NULL, a minute-precision and a broken datetime, bad elements, several JSON
+    values in one file, text after a page, a truncated page and an empty one."""
+    from aeris.plans.etl import Landing, run_daily_etl
+    from aeris.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, id(spark), d, "odd")
+    if key not in _ETL_RUNS:
+        root = scratch_path(spark, "odd-landing")
+        A.land_all(spark, d, root, one_page_per_file=False, measurements=False)
+        A.land_odd_measurements(spark, d, f"{root}/measurements")
+        landing = Landing(*[f"{root}/{x}" for x in ("parameters", "countries", "providers", "locations", "measurements")])
+        wh = _warehouse(spark, "odd")
+        run_daily_etl(spark, landing, wh, run_date=ODD_WINDOW[1], window=ODD_WINDOW, country_id=COUNTRY, since=SINCE, exact=True)
+        _ETL_RUNS[key] = wh
+    wh = _ETL_RUNS[key]
+    from aeris.functions.time import a_day, day_text
+    from aeris.sources import landed
+
+    rows = landed.measurement_rows(landed.page_rows(wh.read("staged_measurements"))).select(
+        day_text(F.col("period.datetimeFrom.local")).alias("day"), "sensor_id").where(a_day(F.col("day")))
+    inside = (F.col("day") >= ODD_WINDOW[0]) & (F.col("day") < ODD_WINDOW[1])
+    known = wh.read("france_sensors").select("sensor_id").distinct().withColumn("selected", F.lit(True))
+    fate = rows.join(known, "sensor_id", "left").select(
+        F.when(~inside, "out_of_window").when(F.col("selected").isNull(), "unselected").alias("fate"))
+    parts = [
+        fate.where("fate is not null"),
+        wh.read("raw_measurements").select(F.lit("loaded").alias("fate")),
+        wh.read("quarantine_pages").select(F.concat(F.lit("quarantined_"), "reason").alias("fate")),
+    ]
+    return parts[0].union(parts[1]).union(parts[2]).groupBy("fate").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Run date of ``measurements_of_run`` and window of ``landing_reconciliation``.
+RUN_DATE = "2024-01-17"
+ODD_WINDOW = ("2024-01-05", "2024-01-25")
+
+REPORTS.update({
+    "paged_parameters": paged_parameters,
+    "paged_countries": paged_countries,
+    "paged_providers": paged_providers,
+    "folder_keyed_measurements": folder_keyed_measurements,
+    "limits_from_cell_file": limits_from_cell_file,
+    "measurements_of_run": measurements_of_run,
+    "enriched_with_cities": enriched_with_cities,
+    "assign_communes_parts": assign_communes_parts,
+    "merge_late_rows": merge_late_rows,
+    "landing_reconciliation": landing_reconciliation,
+})
+
+# rectangles of ``adapters.communes_with_parts``: n % 3 = 0 has a hole, n % 3 = 1 a second part, code 'zz' covers all
+PARTS = """parts AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS code, n_name AS nom, CAST((n_nationkey % 5) * 2 AS DOUBLE) AS x0,
+         CAST((n_nationkey // 5) * 2 AS DOUBLE) AS y0, n_nationkey % 3 AS kind FROM nation
+  UNION ALL SELECT 'zz', 'ALL', CAST(0 AS DOUBLE), CAST(0 AS DOUBLE), 9),
+hit AS (
+  SELECT p.location_id, p.longitude, p.latitude, c.nom, c.code FROM loc p JOIN parts c ON
+    (c.kind < 9 AND CAST(p.longitude AS DOUBLE) >= c.x0 AND CAST(p.longitude AS DOUBLE) < c.x0 + CAST(1.8 AS DOUBLE)
+       AND CAST(p.latitude AS DOUBLE) >= c.y0 AND CAST(p.latitude AS DOUBLE) < c.y0 + CAST(1.8 AS DOUBLE)
+       AND NOT (c.kind = 0 AND CAST(p.longitude AS DOUBLE) >= c.x0 + 0.5 AND CAST(p.longitude AS DOUBLE) < c.x0 + 1.0
+                AND CAST(p.latitude AS DOUBLE) >= c.y0 + 0.5 AND CAST(p.latitude AS DOUBLE) < c.y0 + 1.0))
+    OR (c.kind = 1 AND CAST(p.longitude AS DOUBLE) >= c.x0 + 2.25 AND CAST(p.longitude AS DOUBLE) < c.x0 + 2.75
+        AND CAST(p.latitude AS DOUBLE) >= c.y0 AND CAST(p.latitude AS DOUBLE) < c.y0 + 1.0)
+    OR (c.kind = 9 AND CAST(p.longitude AS DOUBLE) < 9.5 AND CAST(p.latitude AS DOUBLE) < 9.5)),
+best AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY location_id ORDER BY code) = 1)"""
+
+ORACLE_SQL.update({
+    "paged_parameters": ORACLE_SQL["parameters_dim"],
+    "paged_countries": ORACLE_SQL["countries_dim"],
+    "paged_providers": ORACLE_SQL["providers_dim"],
+    "folder_keyed_measurements": ORACLE_SQL["raw_measurements"],
+    "limits_from_cell_file": ORACLE_SQL["limits_rows"],
+    "measurements_of_run": f"WITH {M} {RAW} WHERE day = '2024-01-16'",
+    "enriched_with_cities": f"""WITH {M}, {DAILY}, {LOC}, {SENS}, {COM}, {ASSIGN}
+  SELECT d.day, d.sensor_id, d.parameter_id, d.value, s.location_id, l.location_name, a.nom AS city_name,
+         a.code AS city_insee_code
+  FROM daily d LEFT JOIN sens s ON d.sensor_id = s.sensor_id LEFT JOIN loc l ON s.location_id = l.location_id
+  LEFT JOIN (SELECT * FROM assigned WHERE rn = 1) a ON s.location_id = a.location_id""",
+    "assign_communes_parts": f"""WITH {LOC}, {PARTS}
+  SELECT l.location_id, l.longitude, l.latitude, b.nom, b.code,
+         CASE WHEN b.code IS NOT NULL THEN CAST([] AS VARCHAR[]) END AS codesPostaux,
+         CASE WHEN b.code IS NOT NULL THEN 1 END AS population
+  FROM loc l LEFT JOIN best b ON l.location_id = b.location_id""",
+    "merge_late_rows": f"""WITH {M}, {DAILY}
+  SELECT CASE WHEN parameter_id <> 3 THEN day END AS day, sensor_id, parameter_id,
+         CAST(sum(observed_count) AS BIGINT) AS observed_count, count(*) AS n
+  FROM daily GROUP BY 1, 2, 3""",
+    "landing_reconciliation": f"""WITH {M}, {LOC}, {ACTIVE}, {SENS},
+  e AS (SELECT e.event_id, e.event_id // 1000 AS page, m2.day, m2.sensor_id
+        FROM (SELECT event_id, ts, user_id, event_type FROM events) e,
+             LATERAL (SELECT strftime(e.ts, '%Y-%m-%d') AS day, CAST(e.user_id * 10 + {PID} AS INTEGER) AS sensor_id) m2),
+  read AS (SELECT * FROM e WHERE page % 10 NOT IN (3, 4)),
+  fate AS (
+    SELECT CASE WHEN event_id % 11 IN (0, 1) THEN 'quarantined_no_day'
+                WHEN day < '{ODD_WINDOW[0]}' OR day >= '{ODD_WINDOW[1]}' THEN 'out_of_window'
+                WHEN sensor_id IN (SELECT sensor_id FROM sens JOIN active USING (location_id)) THEN 'loaded'
+                ELSE 'unselected' END AS fate FROM read
+    UNION ALL SELECT 'quarantined_malformed' FROM (SELECT DISTINCT page FROM e WHERE page % 10 IN (3, 4))
+    UNION ALL SELECT 'quarantined_bad_element' FROM (SELECT DISTINCT page FROM e WHERE page % 10 = 1))
+  SELECT fate, count(*) AS n FROM fate GROUP BY fate""",
+})

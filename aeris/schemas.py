@@ -98,31 +98,20 @@ MEASUREMENT = T.StructType([
     T.StructField("coverage", COVERAGE),
 ])
 
-# A measurement document as landed, before the request key is attached.
-MEASUREMENT_DOCUMENT = T.StructType([f for f in MEASUREMENT.fields if f.name != "sensor_id"])
-
-# Result of a reverse-geocode lookup, merged with the point that was looked up.
-CITY = T.StructType([
-    T.StructField("location_id", T.IntegerType()),
-    T.StructField("longitude", T.FloatType()),
-    T.StructField("latitude", T.FloatType()),
-    T.StructField("nom", T.StringType()),
-    T.StructField("code", T.StringType()),
-    T.StructField("codesPostaux", T.ArrayType(T.StringType())),
-    T.StructField("population", T.IntegerType()),
-])
-
 # Commune reference table for the spatial join (replaces the per-point HTTP
-# lookup): one polygon ring per commune, x = longitude, y = latitude.
+# lookup), x = longitude, y = latitude: one ``ring``, or in ``rings`` the rings
+# of all parts and holes.
+_RING = T.ArrayType(T.StructType([
+    T.StructField("x", T.DoubleType()),
+    T.StructField("y", T.DoubleType()),
+]))
 COMMUNE = T.StructType([
     T.StructField("code", T.StringType()),
     T.StructField("nom", T.StringType()),
     T.StructField("codesPostaux", T.ArrayType(T.StringType())),
     T.StructField("population", T.IntegerType()),
-    T.StructField("ring", T.ArrayType(T.StructType([
-        T.StructField("x", T.DoubleType()),
-        T.StructField("y", T.DoubleType()),
-    ]))),
+    T.StructField("ring", _RING),
+    T.StructField("rings", T.ArrayType(_RING)),
 ])
 
 # Cells of the regulatory-limits document: row 0 of a table holds the title.

@@ -66,8 +66,10 @@ def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    The cluster names it; we only set our own when it is unset (tests on a
-    laptop), never overriding a configured one.
+    The cluster names it, and it is never overridden. In a local session, whose
+    executors are the driver's own threads, a folder of our own is set when it
+    is unset; on a cluster that would be a folder of one machine, so an unset
+    ``spark.checkpoint.dir`` is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,6 +77,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="aeris-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -5,6 +5,7 @@ from aeris.sources.landed import (
     measurement_rows,
     page_quarantine,
     page_rows,
+    page_warnings,
     parse_documents,
     parse_pages,
     read_countries,
@@ -21,6 +22,7 @@ __all__ = [
     "measurement_rows",
     "page_quarantine",
     "page_rows",
+    "page_warnings",
     "parse_documents",
     "parse_pages",
     "read_countries",

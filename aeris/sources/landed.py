@@ -2,22 +2,27 @@
 
 The original job fetched pages over HTTP and parsed them one by one on the
 driver. Here a fetcher (outside this package) lands each response body as a
-file; Spark reads all page files in parallel, parses them with an explicit
-schema and unpacks ``results`` with ``inline``. A page whose ``results``
-cannot be read is not lost: it goes to a quarantine frame with its file name
-and raw text.
-
-Layouts:
-
-* one page per file (pretty-printed or not): ``one_page_per_file=True``
-* JSON lines, one page envelope per line: ``one_page_per_file=False``
-* measurements: ``<root>/sensor_id=<id>/…`` — the request key comes from the
-  folder name (partition discovery), like the key the original attached to
-  each row.
+file; Spark reads all page files in parallel and parses them with an explicit
+schema, first the envelope, then each element of ``results`` by itself. What
+cannot be read is not lost: a bad page goes to the quarantine whole, a bad
+element alone with its place in the page, while its neighbours are read.
+
+Layouts (``layout``):
+
+* ``"auto"``: a file with a line that is a page of its own is JSON lines; any
+  other file is one page (pretty-printed), read whole
+* ``"page"``: one page per file; a file that holds anything after its page is
+  quarantined
+* ``"lines"``: JSON lines, one page envelope per line
+* folders: partition columns of the path, e.g. measurements landed as
+  ``<root>/fetch_date=<day>/sensor_id=<id>/…``; the request key comes from the
+  folder name, like the key the original attached to each row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +30,11 @@ from pyspark.sql import types as T
 from aeris import schemas
 
 CORRUPT = "_corrupt_record"
-
-
-def _envelope(entity: T.StructType) -> T.StructType:
-    return T.StructType(schemas.envelope(entity).fields + [T.StructField(CORRUPT, T.StringType())])
+#: Columns of ``parse_pages`` besides the folder keys.
+PAGE_COLUMNS = ("source_file", "element", "doc", "reason", "raw_text")
+#: Reason of an element whose readable fields are rows all the same.
+PARTLY = "partly_corrupt"
+LAYOUTS = ("auto", "page", "lines")
 
 
 def parse_documents(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
@@ -36,76 +42,115 @@ def parse_documents(df: DataFrame, column: str, schema: T.StructType) -> DataFra
     return df.withColumn("__doc", F.from_json(F.col(column), schema)).select("*", "__doc.*").drop("__doc")
 
 
-def _read_text(spark: SparkSession, path: str, one_page_per_file: bool) -> DataFrame:
-    reader = spark.read
-    if one_page_per_file:
-        return reader.text(path, wholetext=True)
-    return reader.text(path)
+def _envelopes(value: Column) -> Column:
+    """The pages of a text as an array of envelopes, NULL when it isn't JSON of that shape. Read as the one element of a
+    JSON array, a text with anything after its first value is malformed, which a plain parse would overlook."""
+    return F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<results:array<string>>>")
+
 
+def _files(spark: SparkSession, path: str, whole: bool, restrict: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    text = spark.read.text(path, wholetext=whole)
+    text = text.withColumn("source_file", F.col("_metadata.file_path"))
+    return restrict(text) if restrict else text
 
-def parse_pages(
-    spark: SparkSession, path: str, entity: T.StructType, one_page_per_file: bool = True
-) -> DataFrame:
+
+def _texts(spark: SparkSession, path: str, layout: str, restrict) -> DataFrame:
+    """Page texts with their file and folder keys."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}")
+    if layout == "page":
+        return _files(spark, path, True, restrict)
+    lines = _files(spark, path, False, restrict).where(F.trim("value") != "")
+    if layout == "lines":
+        return lines
+    # a file is read whole if none of its lines is a page; one row per file here
+    a_page = F.coalesce(F.exists(_envelopes(F.col("value")), lambda p: p["results"].isNotNull()), F.lit(False))
+    whole = (lines.groupBy("source_file").agg(F.max(a_page).alias("ok")).where("not ok")
+             .select(F.col("source_file").alias("__file")))
+    hit = F.col("source_file") == F.col("__file")
+    return (lines.join(whole, hit, "left_anti")
+            .unionByName(_files(spark, path, True, restrict).join(whole, hit, "left_semi")))
+
+
+def parse_text(text: DataFrame, entity: T.StructType) -> DataFrame:
+    """Pages (columns ``value``, ``source_file`` and folder keys) → one row per element of their ``results`` and one per
+    unreadable page; see ``parse_pages``. Works on batches and streams."""
+    names = set(entity.fieldNames())
+    keys = [F.col(c).alias(f"{c}__key" if c in names else c) for c in text.columns if c not in ("value", "source_file")]
+    item = "array<struct<element:int,raw:string,reason:string>>"
+    none = F.lit(None)
+
+    def fault(reason: str) -> Column:
+        return F.array(F.struct(none.cast("int").alias("element"), F.col("value").alias("raw"),
+                                F.lit(reason).alias("reason"))).cast(item)
+
+    pages = F.col("__pages")
+    elements = F.flatten(F.transform(pages, lambda p: F.transform(p["results"], lambda x, i: F.struct(
+        i.cast("int").alias("element"), x.alias("raw"), none.cast("string").alias("reason"))))).cast(item)
+    items = (F.when(pages.isNull() | (F.size(pages) < 1), fault("malformed"))
+             .when(F.exists(pages, lambda p: p["results"].isNull()), fault("no_results")).otherwise(elements))
+    rows = (text.withColumn("__pages", _envelopes(F.col("value")))
+            .select(*keys, "source_file", F.explode(items).alias("__item")).select("*", "__item.*").drop("__item"))
+    wide = T.StructType(entity.fields + [T.StructField(CORRUPT, T.StringType())])
+    doc = F.from_json(F.col("raw"), wide, {"columnNameOfCorruptRecord": CORRUPT})
+    rows = rows.withColumn("__doc", F.when(F.col("reason").isNull(), doc))
+    an_object = F.coalesce(F.ltrim("raw").startswith("{"), F.lit(False))
+    reason = (F.when(F.col("reason").isNotNull(), F.col("reason")).when(~an_object, F.lit("bad_element"))
+              .when(F.col(f"__doc.{CORRUPT}").isNotNull(), F.lit(PARTLY)))
+    return rows.select(
+        *[c for c in rows.columns if c not in ("raw", "reason", "__doc", "element", "source_file")], "source_file", "element",
+        F.struct(*[F.col("__doc")[f].alias(f) for f in entity.fieldNames()]).alias("doc"), reason.alias("reason"),
+        F.when(reason.isNotNull(), F.col("raw")).alias("raw_text"))
+
+
+def parse_pages(spark: SparkSession, path: str, entity: T.StructType, layout: str = "auto",
+                restrict: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Parse every page under ``path`` once.
 
-    Columns: the layout's partition columns (renamed ``<c>__key`` when they
-    collide with an entity field), ``source_file``, ``results`` (NULL when the
-    page is unreadable), ``reason`` (NULL, ``malformed`` when the text is not
-    JSON of the envelope, ``no_results`` when it parses without a ``results``
-    array) and ``raw_text`` (kept for unreadable pages only). Written as
-    Parquet, it is the staging table that rows and quarantine are read from.
+    One row per element of every page's ``results``, and one per page that
+    cannot be read. Columns: the layout's folder keys (renamed ``<c>__key``
+    when they collide with an entity field), ``source_file``, ``element``
+    (place in the page; NULL for a page), ``doc`` (the typed document),
+    ``reason`` and ``raw_text`` (kept where there is a reason). Reasons:
+    ``malformed`` (no JSON of the envelope, or text after it), ``no_results``
+    (no ``results`` array), ``bad_element`` (no object) and ``partly_corrupt``
+    (a field of the wrong type, read as NULL; the document is kept). An empty
+    ``results`` array gives no row. ``restrict`` filters the page texts by
+    their folder keys before anything is parsed. Written as Parquet, it is the
+    staging table that rows and quarantine are read from.
     """
-    text = _read_text(spark, path, one_page_per_file)
-    extra = [c for c in text.columns if c != "value"]
-    names = set(entity.fieldNames())
-    env = F.from_json(F.col("value"), _envelope(entity), {"columnNameOfCorruptRecord": CORRUPT})
-    parsed = text.select(
-        *[F.col(c).alias(f"{c}__key" if c in names else c) for c in extra],
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("value"),
-        env.alias("__env"),
-    )
-    bad = F.col("__env.results").isNull()
-    return parsed.select(
-        *[c for c in parsed.columns if c not in ("value", "__env")],
-        F.col("__env.results").alias("results"),
-        F.when(bad & F.col(f"__env.{CORRUPT}").isNotNull(), F.lit("malformed"))
-        .when(bad, F.lit("no_results")).alias("reason"),
-        F.when(bad, F.col("value")).alias("raw_text"),
-    )
+    return parse_text(_texts(spark, path, layout, restrict), entity)
+
+
+def _page_keys(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c not in PAGE_COLUMNS]
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
-    """Rows of the readable pages of ``parse_pages`` output (``inline`` of results)."""
-    keys = [c for c in pages.columns if c not in ("source_file", "results", "reason", "raw_text")]
-    return pages.where(F.col("results").isNotNull()).select(*keys, F.inline("results"))
+    """Documents of ``parse_pages`` output, with the folder keys."""
+    return pages.where(F.col("reason").isNull() | (F.col("reason") == PARTLY)).select(*_page_keys(pages), "doc.*")
 
 
 def page_quarantine(pages: DataFrame) -> DataFrame:
-    """Unreadable pages of ``parse_pages`` output: keys, source_file, raw_text, reason."""
-    keys = [c for c in pages.columns if c not in ("source_file", "results", "reason", "raw_text")]
-    # ``reason`` is set exactly when ``results`` is NULL: filtering on the small
-    # column spares reading the nested results from staged Parquet.
-    return pages.where(F.col("reason").isNotNull()).select(*keys, "source_file", "raw_text", "reason")
-
-
-def split_pages(
-    spark: SparkSession, path: str, entity: T.StructType, one_page_per_file: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine) of the pages under ``path``.
-
-    rows: the ``results`` elements with the entity's top-level columns, plus any
-    partition columns of the layout. quarantine: ``source_file``,
-    ``raw_text``, ``reason``. An empty ``results`` array is an empty page: no
-    row, no quarantine.
-    """
-    pages = parse_pages(spark, path, entity, one_page_per_file)
+    """What is no row: keys, source_file, element, raw_text, reason."""
+    return pages.where(F.col("reason").isNotNull() & (F.col("reason") != PARTLY)).select(
+        *_page_keys(pages), "source_file", "element", "raw_text", "reason")
+
+
+def page_warnings(pages: DataFrame) -> DataFrame:
+    """(source_file, n): documents per page file that were read with a field of the wrong type as NULL."""
+    return pages.where(F.col("reason") == PARTLY).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+
+
+def split_pages(spark: SparkSession, path: str, entity: T.StructType, layout: str = "auto") -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of the pages under ``path`` (see ``parse_pages``)."""
+    pages = parse_pages(spark, path, entity, layout)
     return page_rows(pages), page_quarantine(pages)
 
 
-def read_pages(spark: SparkSession, path: str, entity: T.StructType, one_page_per_file: bool = True) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, entity: T.StructType, layout: str = "auto") -> DataFrame:
     """Rows of all pages under ``path`` (see ``split_pages``)."""
-    return split_pages(spark, path, entity, one_page_per_file)[0]
+    return split_pages(spark, path, entity, layout)[0]
 
 
 def read_parameters(spark: SparkSession, path: str, **kw) -> DataFrame:

@@ -1,53 +1,73 @@
-"""Daily statistics per sensor and pollutant as a Structured Streaming job.
-
-Landed measurement pages are read as a file stream, unpacked like the batch
-source, stamped with an event time (the local wall clock of the period start),
-and aggregated per 1-day event-time window with a watermark. In append mode a
-day is written once its window has closed (watermark = latest event time seen
-minus ``lateness``); rows later than the watermark are dropped by Spark. The
-Parquet sink plus the checkpoint make the output exactly-once across restarts
-and lost executors.
-
-Same statistics as ``operators.daily_sensor_stats`` (mean, min, max, sample
-stddev, median, observed sum, expected constant).
+"""Daily statistics per sensor and pollutant from a stream of landed pages.
+
+Two forms over the same file stream, which reads pages like the batch source
+(the sensor comes from the ``sensor_id=<id>`` folder unless the document has
+its own):
+
+* ``run_daily_fact_stream``: each micro-batch puts its rows into the raw fact,
+  under its own batch number so that a repeated batch replaces itself, and
+  recomputes the statistics of the days it touched. Open days and rows of any
+  lateness are in the result; unreadable pages, bad elements and rows without
+  a day go to a quarantine table.
+* ``run_daily_stats_stream``: a windowed aggregation with a watermark, whose
+  state is bounded by the open days. In append mode a day is written once its
+  window has closed (watermark = latest event time seen minus ``lateness``);
+  later rows are dropped, which is the watermark's contract.
+
+Both are exactly-once across restarts and lost executors. Same statistics as
+``operators.daily_sensor_stats``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from aeris import operators as op
 from aeris import schemas
 from aeris.functions.numeric import rounder
+from aeris.functions.time import a_day, day_text, local_timestamp
+from aeris.sources import landed
 
+_SENSOR_FOLDER = r"/sensor_id=([0-9]+)/"
 
-def measurement_stream(spark: SparkSession, path: str, one_page_per_file: bool = True,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming rows of landed measurement pages (documents carry ``sensor_id``).
+
+def page_stream(spark: SparkSession, path: str, layout: str = "page", max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming ``parse_pages`` output of landed measurement pages (``layout``: ``page`` or ``lines``).
 
     ``max_files_per_trigger`` bounds a micro-batch, so a backlog is worked off
     in batches of bounded size instead of one giant batch.
     """
+    if layout not in ("page", "lines"):
+        raise ValueError(f"a stream reads pages or lines, not {layout!r}")
     reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    text = reader.text(path, wholetext=one_page_per_file)
-    env = T.StructType(schemas.envelope(schemas.MEASUREMENT).fields)
-    return text.select(F.from_json("value", env).alias("p")).select(F.inline("p.results"))
+    text = reader.text(path, wholetext=layout == "page")
+    file = F.col("_metadata.file_path")
+    text = text.select("value", file.alias("source_file"),
+                       F.regexp_extract(file, _SENSOR_FOLDER, 1).try_cast("int").alias("sensor_id"))
+    return landed.parse_text(text if layout == "page" else text.where(F.trim("value") != ""), schemas.MEASUREMENT)
+
+
+def measurement_stream(spark: SparkSession, path: str, layout: str = "page",
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming rows of landed measurement pages, with their sensor."""
+    return landed.measurement_rows(landed.page_rows(page_stream(spark, path, layout, max_files_per_trigger)))
 
 
 def daily_stats_stream(rows: DataFrame, lateness: str = "1 day", expected_per_day: int = 24,
                        exact: bool = False) -> DataFrame:
     """Windowed daily statistics of a (streaming or batch) measurement frame.
 
-    The event time is the local wall clock of ``period.datetimeFrom.local``
-    read as UTC, so the 1-day windows are the local calendar days whatever the
-    session time zone; ``day`` is the window's date as text.
+    The event time is the local wall clock of ``period.datetimeFrom.local`` (to
+    the minute, or a date alone, as they come) read as UTC, so the 1-day
+    windows are the local calendar days whatever the session time zone; ``day``
+    is the window's date as text. Rows without such a time have no window.
     """
     rnd = rounder(exact)
-    local = F.col("period.datetimeFrom.local")
-    event_time = F.concat(F.substring(local, 1, 19), F.lit("Z")).try_cast("timestamp")
+    wall = local_timestamp(F.col("period.datetimeFrom.local"), "wall_clock")
+    event_time = F.concat(wall.cast("string"), F.lit("Z")).try_cast("timestamp")
     v = F.col("value")
     stats = (
         rows.select(
@@ -77,6 +97,12 @@ def daily_stats_stream(rows: DataFrame, lateness: str = "1 day", expected_per_da
     )
 
 
+def _triggered(writer, available_now: bool, processing_time: str | None):
+    if available_now:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time) if processing_time else writer
+
+
 def run_daily_stats_stream(
     spark: SparkSession,
     source: str,
@@ -87,23 +113,57 @@ def run_daily_stats_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
+    layout: str = "page",
 ):
-    """Start the stream from ``source`` into a ``day``-partitioned Parquet sink.
+    """Start the watermarked stream from ``source`` into a ``day``-partitioned Parquet sink.
 
     ``available_now=True`` processes what has landed and stops (a scheduled
     daily run); otherwise it runs every ``processing_time``. Returns the
     ``StreamingQuery``.
     """
-    rows = measurement_stream(spark, source, max_files_per_trigger=max_files_per_trigger)
+    rows = measurement_stream(spark, source, layout, max_files_per_trigger)
     out = daily_stats_stream(rows, lateness=lateness, exact=exact)
-    writer = (
-        out.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("day")
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start(sink)
+    writer = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+              .partitionBy("day"))
+    return _triggered(writer, available_now, processing_time).start(sink)
+
+
+def run_daily_fact_stream(
+    spark: SparkSession,
+    source: str,
+    warehouse,
+    checkpoint: str,
+    exact: bool = False,
+    expected_per_day: int = 24,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
+    layout: str = "page",
+):
+    """Start the stream into three tables of ``warehouse``: ``stream_raw_measurements`` (by day and batch number),
+    ``stream_agg_measurements`` (by day) and ``stream_quarantine_pages`` (by batch number). Returns the ``StreamingQuery``."""
+
+    def load(pages: DataFrame, batch_id: int) -> None:
+        pages = pages.persist()
+        try:
+            rows = landed.measurement_rows(landed.page_rows(pages)).withColumn(
+                "day", day_text(F.col("period.datetimeFrom.local")))
+            bad = landed.page_quarantine(pages).select("source_file", "element", "raw_text", "reason")
+            undated = rows.where(~a_day(F.col("day"))).select(
+                F.lit(None).cast("string").alias("source_file"), F.lit(None).cast("int").alias("element"),
+                F.to_json(F.struct(*[c for c in rows.columns if c != "day"])).alias("raw_text"), F.lit("no_day").alias("reason"))
+            number = F.lit(batch_id).cast("long")
+            warehouse.write(bad.unionByName(undated).withColumn("batch", number), "stream_quarantine_pages",
+                            mode="replace_partitions", partition_by=["batch"])
+            dated = op.raw_measurements(rows.where(a_day(F.col("day"))), keep=["day"]).withColumn("batch", number)
+            warehouse.write(dated, "stream_raw_measurements", mode="replace_partitions", partition_by=["day", "batch"])
+            days = sorted(r[0] for r in dated.select("day").distinct().collect())  # a row per day of a micro-batch
+            fact = warehouse.read("stream_raw_measurements").where(F.col("day").isin(days))
+            warehouse.write(op.daily_stats_of_raw_fact(fact, expected_per_day, exact), "stream_agg_measurements",
+                            mode="replace_partitions", partition_by=["day"])
+        finally:
+            pages.unpersist()
+
+    pages = page_stream(spark, source, layout, max_files_per_trigger)
+    writer = pages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return _triggered(writer, available_now, processing_time).start()

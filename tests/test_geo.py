@@ -54,18 +54,31 @@ def test_overlap_lowest_code_wins(spark):
     assert op.assign_communes(pts, communes, cell_size=0.7).collect()[0].code == "10"
 
 
-def test_large_cell_table_is_not_broadcast(spark):
-    import contextlib
-    import io
-
-    buf = io.StringIO()
-    df = op.assign_communes(_points(spark), _communes(spark), cell_size=0.5, max_broadcast_vertices=10)
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    assert "BroadcastHashJoin" not in buf.getvalue() or "AdaptiveSparkPlan" in buf.getvalue()
-    communes, points = _communes(spark), _points(spark)
-    want = op.assign_communes(points, communes, cell_size=0.5)
-    assert df.select("location_id", "code").exceptAll(want.select("location_id", "code")).count() == 0
+def test_candidates_do_not_travel_past_their_join(spark):
+    plan = op.assign_communes(_points(spark), _communes(spark), cell_size=0.5)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    joins = [i for i, line in enumerate(lines) if "Join LeftOuter" in line]
+    assert len(joins) == 2 and "strategy=" not in plan
+    # what enters the upper join beside the points is the lower join's hit
+    enters = lines[joins[0] + 1]
+    assert "Project" in enters and "__fine" in enters
+    assert enters.count(", candidates#") == 0
+
+
+def test_parts_and_holes(spark):
+    def box(a, b, c, d):
+        return [{"x": float(x), "y": float(y)} for x, y in ((a, b), (c, b), (c, d), (a, d))]
+
+    communes = spark.createDataFrame([
+        ("1", "ring with a hole and an island", [], 1, None, [box(0, 0, 4, 4), box(1, 1, 2, 2), box(6.0, 0, 7, 1)]),
+        ("2", "one ring", [], 1, box(1, 1, 2, 2), None)],
+        "code string, nom string, codesPostaux array<string>, population int, ring array<struct<x:double,y:double>>, "
+        "rings array<array<struct<x:double,y:double>>>")
+    pts = [(1, 0.5, 0.5), (2, 1.5, 1.5), (3, 6.5, 0.5), (4, 5.0, 0.5)]
+    points = spark.createDataFrame(pts, "location_id int, city_longitude double, city_latitude double")
+    for cell in (0.3, 2.0, 50.0):
+        got = {r.location_id: r.code for r in op.assign_communes(points, communes, cell_size=cell, max_cells=9).collect()}
+        assert got == {1: "1", 2: "2", 3: "1", 4: None}
 
 
 def test_large_polygons_use_the_coarse_grid(spark):

@@ -90,3 +90,90 @@ def test_export_csv(spark, scratch):
     wh.export("f", out)
     back = spark.read.option("header", True).schema(wh.read("f").schema).csv(out)
     assert back.exceptAll(wh.read("f")).count() == 0 and back.count() == 2
+
+
+def test_merge_keeps_the_rows_of_a_null_day(spark, scratch):
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    kw = {"kind": "fact", "partition_by": ["day"], "fact_mode": "merge", "merge_keys": ["day", "sensor_id"]}
+    rows = lambda *r: (lambda: spark.createDataFrame(list(r), "day string, sensor_id int, value double"))
+    load_step(wh, "f", rows((None, 1, 1.0), ("2025-03-01", 1, 1.0), ("2025-03-02", 1, 1.0)), **kw)
+    load_step(wh, "f", rows((None, 2, 2.0), ("2025-03-01", 1, 3.0)), **kw)
+    got = sorted(((r.day or "", r.sensor_id, r.value) for r in wh.read("f").collect()))
+    assert got == [("", 1, 1.0), ("", 2, 2.0), ("2025-03-01", 1, 3.0), ("2025-03-02", 1, 1.0)]
+
+
+def test_merge_window_prunes_the_stored_partitions(spark, scratch):
+    from aeris.plans.load import _merge_with_stored, _within
+    from tests.test_plans import plan
+
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    wh.write(_facts(spark, ["2025-03-01", "2025-03-02", "2025-03-03"]), "f", partition_by=["day"])
+    p = plan(_within(wh.read("f"), "day", ("2025-03-02", "2025-03-03")))
+    scan = next(line for line in p.splitlines() if line.startswith("PartitionFilters"))
+    assert ">= 2025-03-02" in scan and "< 2025-03-03" in scan
+    merged = _merge_with_stored(wh, "f", _facts(spark, ["2025-03-02"], 5.0), ["day"], ["day", "sensor_id"], ("2025-03-02", "2025-03-03"))
+    assert sorted((r.day, r.value) for r in merged.collect()) == [("2025-03-02", 5.0)] * 2
+    with pytest.raises(ValueError, match="outside"):
+        _merge_with_stored(wh, "f", _facts(spark, ["2025-03-01"]), ["day"], ["day", "sensor_id"], ("2025-03-02", "2025-03-03"))
+
+
+def test_replacing_a_window_removes_its_emptied_days(spark, scratch):
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    kw = {"kind": "fact", "partition_by": ["day"], "window": ("2025-03-01", "2025-03-03")}
+    load_step(wh, "f", lambda: _facts(spark, ["2025-03-01", "2025-03-02", "2025-03-03"]), kind="fact", partition_by=["day"])
+    load_step(wh, "f", lambda: _facts(spark, ["2025-03-02"], 2.0), **kw)
+    assert sorted({(r.day, r.value) for r in wh.read("f").collect()}) == [("2025-03-02", 2.0), ("2025-03-03", 1.0)]
+    load_step(wh, "f", lambda: _facts(spark, []), **kw)
+    assert {r.day for r in wh.read("f").collect()} == {"2025-03-03"}
+
+
+def test_catalog_window_and_session_setting(spark, scratch):
+    db = "aeris_window_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch('db')}'")
+    wh = Warehouse(spark, "catalog", database=db)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        load_step(wh, "w", lambda: _facts(spark, ["2025-03-01", "2025-03-02", "2025-03-03"]), kind="fact", partition_by=["day"])
+        load_step(wh, "w", lambda: _facts(spark, ["2025-03-02"], 2.0), kind="fact", partition_by=["day"],
+                  window=("2025-03-01", "2025-03-03"))
+        assert spark.conf.get(key) == "static"
+        assert sorted({(r.day, r.value) for r in wh.read("w").collect()}) == [("2025-03-02", 2.0), ("2025-03-03", 1.0)]
+    finally:
+        spark.conf.set(key, before)
+        spark.sql(f"DROP TABLE IF EXISTS {db}.w")
+
+
+def test_a_batch_with_other_columns(spark, scratch):
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    kw = {"kind": "fact", "partition_by": ["day"]}
+    load_step(wh, "f", lambda: _facts(spark, ["2025-03-01"]), **kw)
+    load_step(wh, "f", lambda: _facts(spark, ["2025-03-02"]).withColumn("extra", F.lit("new")), **kw)
+    got = {r.day: r.extra for r in wh.read("f").collect()}
+    assert got == {"2025-03-01": None, "2025-03-02": "new"}
+    with pytest.raises(ValueError, match="value"):
+        load_step(wh, "f", lambda: _facts(spark, ["2025-03-03"]).withColumn("value", F.lit("text")), **kw)
+
+
+def test_files_of_a_day_follow_its_size(spark, scratch):
+    import os
+
+    from aeris.session import local_fs_path
+
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    days = [f"2025-03-{d:02d}" for d in range(1, 32)]
+    wh.write(_facts(spark, days).repartition(8), "f", partition_by=["day"], cluster_by=["sensor_id"])
+    files = [f for d, _, names in os.walk(local_fs_path(wh.location("f"))) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * len(days)  # not tasks x days
+
+
+def test_custom_writer(spark, scratch):
+    seen = []
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+
+    def writer(df, name):
+        seen.append(name)
+        wh.write(df, name)
+
+    assert load_step(wh, "d", lambda: spark.range(3).toDF("k"), writer=writer).rows == 3 and seen == ["d"]

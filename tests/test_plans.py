@@ -51,28 +51,41 @@ def test_nested_column_pruning_through_explode(spark, scratch):
     assert "coordinates" not in read and "units" not in read
 
 
-def test_dimension_joins_broadcast(spark):
+def test_dimension_joins_leave_the_choice_to_the_planner(spark):
+    """No hint, no check that runs a job while the plan is built, and the small side broadcast from its known size."""
     raw = A.raw_locations(spark, SF001)
-    p = plan(op.country_sensors(op.sensors_dim(raw), op.active_locations(op.locations_dim(raw), 22, "2001-01-01")))
-    assert "BroadcastHashJoin" in p
-    pts = op.location_points(op.locations_dim(raw))
-    p = plan(op.assign_communes(pts, A.communes(spark, SF001), cell_size=0.5))
-    assert "BroadcastHashJoin" in p and "LeftOuter" in p
-
+    locations = op.active_locations(op.locations_dim(raw), 22, "2001-01-01")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-building", "")
+    try:
+        joined = [op.country_sensors(op.sensors_dim(raw), locations),
+                  op.measurements_of_sensors(A.raw_measurements(spark, SF001), op.sensors_dim(raw)),
+                  op.assign_communes(op.location_points(op.locations_dim(raw)), A.communes(spark, SF001), cell_size=0.5)]
+        assert len(tracker.getJobIdsForGroup("plan-building")) <= 1  # the inputs' own, if they were not stored yet
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for df in joined:
+        assert "strategy=" not in df._jdf.queryExecution().analyzed().toString()
+        assert "SinglePartition" not in plan(df)
+    assert "BroadcastHashJoin" in plan(joined[0])
+
+
+def test_reports_scan_stored_inputs_with_pushed_filters(spark):
+    import __spark_entry__ as E
 
-def test_broadcast_refused_above_the_bound(spark):
-    m = A.raw_measurements(spark, SF001)
-    sensors = op.sensors_dim(A.raw_locations(spark, SF001))
-    p = plan(op.measurements_of_sensors(m, sensors, max_broadcast_rows=10))
-    assert "BroadcastHashJoin" not in p or "AdaptiveSparkPlan" in p
-    assert "ResolvedHint" not in plan(m)  # no hint leaks into the input
+    p = plan(E.queries()["sensors_dim"](spark, SF001))
+    read = next(line for line in p.splitlines() if line.startswith("ReadSchema"))
+    assert "sensors" in read and "coordinates" not in read and "ExistingRDD" not in p
+    p = plan(E.queries()["measurements_of_run"](spark, SF001))
+    assert "Scan parquet" in p and "units" not in p.split("ReadSchema")[1].split("coverage")[0].split("parameter")[0]
 
 
 def test_no_python_in_any_report(spark):
-    import __spark_entry__ as E
+    from aeris.plans.reports import REPORTS
 
-    skip = {"etl_agg_measurements", "etl_france_sensors", "load_create_skip_append", "stream_daily_stats"}
-    for name, fn in E.queries().items():
+    skip = {"etl_agg_measurements", "etl_france_sensors", "load_create_skip_append", "stream_daily_stats", "stream_closed_days",
+            "merge_late_rows", "landing_reconciliation", "folder_keyed_measurements"}
+    for name, fn in REPORTS.items():
         if name in skip:
             continue
         p = plan(fn(spark, SF001))
@@ -93,18 +106,3 @@ def test_fact_files_are_clustered_for_row_group_skipping(spark, scratch):
     p = plan(wh.read("agg").where(F.col("sensor_id") == 42))
     assert "PushedFilters: [IsNotNull(sensor_id), EqualTo(sensor_id,42)]" in p
     assert wh.read("agg").count() == daily.count()
-
-
-def test_broadcast_needs_row_and_byte_bounds(spark):
-    from aeris.operators.joins import sized_broadcast
-
-    def hinted(df) -> bool:
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain(mode="extended")
-        return "strategy=broadcast" in buf.getvalue()
-
-    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("pad"))  # ~100 KB as JSON
-    assert not hinted(sized_broadcast(wide, max_bytes=50_000))
-    assert hinted(sized_broadcast(wide, max_bytes=10_000_000))
-    assert not hinted(sized_broadcast(wide, max_rows=50))

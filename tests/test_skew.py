@@ -1,5 +1,6 @@
 """Hot keys: one group holding a third of all rows, and the non-broadcast paths."""
 
+import contextlib
 import math
 import random
 from decimal import ROUND_HALF_UP, Decimal
@@ -11,6 +12,17 @@ from aeris import operators as op
 from aeris import schemas
 
 
+@contextlib.contextmanager
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def half_up(x: float) -> float:
     """Spark's round(x, 2): HALF_UP on the shortest decimal text of the double."""
     return float(Decimal(repr(float(x))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
@@ -50,7 +62,8 @@ def test_hot_cell_shuffle_join_equals_broadcast(spark):
     points = spark.createDataFrame(pts, "location_id int, city_longitude double, city_latitude double")
     communes = _communes(spark)
     broadcast = op.assign_communes(points, communes, cell_size=0.5)
-    shuffled = op.assign_communes(points, communes, cell_size=0.5, max_broadcast_rows=0)
+    with no_broadcast(spark):
+        shuffled = op.assign_communes(points, communes, cell_size=0.5).checkpoint()
     assert shuffled.count() == broadcast.count() == 3000
     assert shuffled.select("location_id", "code").exceptAll(broadcast.select("location_id", "code")).count() == 0
 
@@ -59,6 +72,9 @@ def test_semi_join_without_broadcast(spark):
     m = spark.range(0, 30000).select((F.col("id") % 100).cast("int").alias("sensor_id"), F.col("id").alias("v"))
     s = spark.createDataFrame([(i,) for i in range(0, 100, 3)], "sensor_id int")
     a = op.measurements_of_sensors(m, s)
-    b = op.measurements_of_sensors(m, s, max_broadcast_rows=1)
+    with no_broadcast(spark):
+        b = op.measurements_of_sensors(m, s)
+        assert "SortMergeJoin" in b._jdf.queryExecution().executedPlan().toString()
+        b = b.checkpoint()
     assert a.count() == b.count() == 30000 * 34 // 100
     assert a.exceptAll(b).count() == 0

@@ -34,7 +34,7 @@ def test_json_lines_pages(spark, scratch):
     root = scratch("jsonl")
     lines = "\n".join(json.dumps({"results": [{"id": i}]}) for i in range(5))
     _write(root, "all.jsonl", lines + "\n")
-    rows = landed.read_parameters(spark, root, one_page_per_file=False)
+    rows = landed.read_parameters(spark, root, layout="lines")
     assert sorted(r.id for r in rows.collect()) == [0, 1, 2, 3, 4]
 
 
@@ -90,6 +90,35 @@ def test_page_files_equal_one_json_lines_file(spark, scratch):
     lines = scratch("lines")
     spark.read.text(pages, wholetext=True).select("value").coalesce(1).write.text(lines)
     a = landed.read_locations(spark, pages).drop("page")
-    b = landed.read_locations(spark, lines, one_page_per_file=False)
+    b = landed.read_locations(spark, lines, layout="lines")
     assert a.count() == b.count() == 150
     assert a.exceptAll(b).count() == 0
+
+
+def _reasons(spark, root, layout="auto"):
+    pages = landed.parse_pages(spark, root, schemas.PARAMETER, layout)
+    bad = sorted((os.path.basename(r.source_file), r.element, r.reason) for r in landed.page_quarantine(pages).collect())
+    warned = {os.path.basename(r.source_file): r.n for r in landed.page_warnings(pages).collect()}
+    return sorted(str(r.id) for r in landed.page_rows(pages).collect()), bad, warned
+
+
+def test_one_bad_element_costs_only_itself(spark, scratch):
+    root = scratch("elements")
+    _write(root, "a.json", '{"results": [{"id": 1}, "junk", null, 7, [1], {"id": "x", "name": "n"}, {"id": 2}]}')
+    rows, bad, warned = _reasons(spark, root)
+    assert rows == ["1", "2", "None"] and warned == {"a.json": 1}
+    assert bad == [("a.json", i, "bad_element") for i in (1, 2, 3, 4)]
+
+
+def test_layout_follows_the_content(spark, scratch):
+    root = scratch("mixed")
+    _write(root, "lines.json", '{"results": [{"id": 1}]}\n\n{"results": []}\n{"results": [{"id": 2}]}\n{"results": [{"id"\n')
+    _write(root, "pretty.json", json.dumps({"results": [{"id": 3}]}, indent=1))
+    _write(root, "one.json", '{"results": [{"id": 4}]}')
+    _write(root, "trailing.json", json.dumps({"results": [{"id": 9}]}, indent=1) + "\nand more")
+    rows, bad, _ = _reasons(spark, root)
+    assert rows == ["1", "2", "3", "4"]
+    assert bad == [("lines.json", None, "malformed"), ("trailing.json", None, "malformed")]
+    # a file said to be one page loses nothing silently either
+    rows, bad, _ = _reasons(spark, root, "page")
+    assert rows == ["3", "4"] and [b[0] for b in bad] == ["lines.json", "trailing.json"]

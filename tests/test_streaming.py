@@ -59,13 +59,59 @@ def test_late_rows_after_the_watermark_are_dropped(spark, scratch):
     assert "2025-03-06" not in got  # still open
 
 
+def _land(src, name, docs):
+    import json
+    import os
+
+    from aeris.session import local_fs_path
+
+    path = os.path.join(local_fs_path(src), name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(docs if isinstance(docs, str) else json.dumps({"results": docs}))
+
+
+def _doc(local, value, **more):
+    return {"value": value, "parameter": {"id": 2}, "period": {"datetimeFrom": {"local": local}}, "coverage": {"observedCount": 1}, **more}
+
+
 def test_bounded_micro_batches_same_result(spark, scratch):
     src = scratch("src")
-    A.land_measurements(spark, SF001, src, sensor_folders=False)
-    outs = []
+    for day in (1, 2, 3):
+        _land(src, f"d{day}.json", [_doc(f"2025-03-0{day}T10:00:00Z", float(day), sensor_id=1)])
+    _land(src, "d9.json", [_doc("2025-03-09T10:00:00Z", 9.0, sensor_id=1)])
+    batches = []
     for cap in (None, 1):
         sink, ckpt = scratch("sink"), scratch("ckpt")
-        run_daily_stats_stream(spark, src, sink, ckpt, max_files_per_trigger=cap).awaitTermination()
-        outs.append(spark.read.parquet(sink))
-    # one landed page file at sf0.001, so both runs see the same single batch of data
-    assert outs[0].count() == outs[1].count() > 0
+        q = run_daily_stats_stream(spark, src, sink, ckpt, max_files_per_trigger=cap)
+        q.awaitTermination()
+        batches.append((len([p for p in q.recentProgress if p.numInputRows]), sorted((str(r.day), r.value) for r in spark.read.parquet(sink).collect())))
+    assert batches[0][0] == 1 and batches[1][0] >= 4
+    assert batches[0][1] == batches[1][1] == [(f"2025-03-0{d}", float(d)) for d in (1, 2, 3)]
+
+
+def test_event_times_of_any_precision(spark, scratch):
+    src, sink, ckpt = scratch("src"), scratch("sink"), scratch("ckpt")
+    docs = [_doc(t, 1.0, sensor_id=i) for i, t in enumerate(("2025-03-01T10:00:00+01:00", "2025-03-01T10:00", "2025-03-01", "2025-03-01T10:00:00.123Z"))]
+    _land(src, "a.json", docs + [_doc("2025-03-09T00:00:00Z", 1.0, sensor_id=9)])
+    run_daily_stats_stream(spark, src, sink, ckpt).awaitTermination()
+    assert sorted((str(r.day), r.sensor_id) for r in spark.read.parquet(sink).collect()) == [("2025-03-01", i) for i in range(4)]
+
+
+def test_fact_stream_keeps_sensors_late_rows_and_bad_pages(spark, scratch):
+    from aeris.plans.load import Warehouse
+    from aeris.streaming import run_daily_fact_stream
+
+    src, ckpt = scratch("src"), scratch("ckpt")
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    run = lambda: run_daily_fact_stream(spark, src, wh, ckpt).awaitTermination()
+    _land(src, "sensor_id=7/a.json", [_doc("2025-03-01T10:00:00Z", 5.0), _doc(None, 1.0)])
+    _land(src, "sensor_id=8/a.json", [_doc("2025-03-01T10:00:00Z", 9.0), _doc("2025-03-09T10:00", 1.0, sensor_id=70), "junk"])
+    run()
+    _land(src, "sensor_id=7/b.json", [_doc("2025-03-01T11:00:00Z", 7.0)])  # far behind the latest day
+    _land(src, "sensor_id=7/c.json", '{"results": [{"val')
+    run()
+    run()  # nothing new
+    got = {(r.day, r.sensor_id): r.value for r in wh.read("stream_agg_measurements").collect()}
+    assert got == {("2025-03-01", 7): 6.0, ("2025-03-01", 8): 9.0, ("2025-03-09", 70): 1.0}
+    assert sorted(r.reason for r in wh.read("stream_quarantine_pages").collect()) == ["bad_element", "malformed", "no_day"]
