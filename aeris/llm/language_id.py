@@ -177,11 +177,13 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select("doc_id", prediction(docs, model).alias("p")).select("doc_id", "p.*")
 
 
-def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text has a language: neither ``und`` nor ambiguous."""
+def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a language. Rejected are ``und`` and ambiguous texts
+    whose best language has a score below ``least``; a text that is ambiguous but mostly in one language stays."""
     names = docs.columns
     told = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), prediction(docs, model).alias("p"))
-    return told.where((F.col("p.lang_pred") != UNKNOWN) & ~F.col("p.ambiguous")).select("doc.*")
+    unsure = F.col("p.ambiguous") & (F.col("p.score") < least)
+    return told.where((F.col("p.lang_pred") != UNKNOWN) & ~unsure).select("doc.*")
 
 
 def held_out(doc_id: str = "doc_id"):
