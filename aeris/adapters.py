@@ -321,7 +321,8 @@ def land_measurements_by_sensor(spark: SparkSession, sf_dir: str, path: str) ->
     pages = (docs.select((F.col("sensor_id") + own.cast("int")).alias("folder"), F.floor(F.col("event_id") / 1000).alias("page"),
                          body.alias("doc"))
              .groupBy("folder", "page").agg(F.to_json(F.struct(F.collect_list("doc").alias("results"))).alias("value")))
-    pages.select(F.col("folder").alias("sensor_id"), "value").write.mode("overwrite").partitionBy("sensor_id").text(path)
+    lines = pages.select(F.col("folder").alias("sensor_id"), "value").repartition("sensor_id")  # one file per folder
+    lines.write.mode("overwrite").partitionBy("sensor_id").text(path)
 
 
 def land_odd_measurements(spark: SparkSession, sf_dir: str, path: str) -> None:
