@@ -175,8 +175,9 @@ def _raw(text) -> bytes:
 def settle(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(settled, open) ranges (k1, k2, place): those repeated as a whole, and one of each union under a shared core
     that has several."""
-    kinds = (names.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("union").alias("lo"), F.max("union").alias("hi"))
-             .where("n > 1").select(F.col("core").alias("k"), (F.col("lo") == F.col("hi")).alias("alike")))
+    # stored, so that both sides of the join are shuffled for it alone and a core that very many rows share is split
+    kinds = stored(names.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("union").alias("lo"), F.max("union").alias("hi"))
+                   .where("n > 1").select(F.col("core").alias("k"), (F.col("lo") == F.col("hi")).alias("alike")), "cores")
     shared = stored(names.join(kinds, F.col("core") == F.col("k")).select("core", "union", "k1", "k2", "place", "alike"), "shared")
     mixed = shared.where("not alike")
     classes = stored(mixed.groupBy("core", "union").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one")),
