@@ -312,14 +312,14 @@ def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folder
                     one_page_per_file=one_page_per_file)
 
 
-def land_measurements_by_sensor(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Land measurements as JSON lines in ``sensor_id=<id>`` folders. Every seventh event lies in the folder of the sensor
-    after its own and carries its own sensor in the document; the others carry none."""
+def land_measurements_by_sensor(spark: SparkSession, sf_dir: str, path: str, block: int = 500) -> None:
+    """Land measurements as JSON lines in ``sensor_id=<id>`` folders, one folder for each ``block`` of sensor ids, named by the
+    first. Documents of that sensor carry none, the others carry their own."""
     docs = raw_measurements(spark, sf_dir, with_event_id=True)
-    own = F.pmod(F.col("event_id"), F.lit(7)) == 0
-    body = F.struct(F.when(own, F.col("sensor_id")).alias("sensor_id"), "value", "parameter", "period", "coverage")
-    pages = (docs.select((F.col("sensor_id") + own.cast("int")).alias("folder"), F.floor(F.col("event_id") / 1000).alias("page"),
-                         body.alias("doc"))
+    folder = F.col("sensor_id") - F.pmod(F.col("sensor_id"), F.lit(block)) + 1
+    body = F.struct(F.when(F.col("sensor_id") != folder, F.col("sensor_id")).alias("sensor_id"), "value", "parameter", "period",
+                    "coverage")
+    pages = (docs.select(folder.alias("folder"), F.floor(F.col("event_id") / 1000).alias("page"), body.alias("doc"))
              .groupBy("folder", "page").agg(F.to_json(F.struct(F.collect_list("doc").alias("results"))).alias("value")))
     lines = pages.select(F.col("folder").alias("sensor_id"), "value").repartition("sensor_id")  # one file per folder
     lines.write.mode("overwrite").partitionBy("sensor_id").text(path)

@@ -585,14 +585,25 @@ def _landed_by_sensor(spark: SparkSession, d: str) -> str:
     return _ETL_RUNS[key]
 
 
+def _landed_pages(spark: SparkSession, d: str) -> str:
+    """The measurements as JSON lines whose documents carry their sensor, landed once per application and input."""
+    from aeris.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, id(spark), d, "pages")
+    if key not in _ETL_RUNS:
+        path = scratch_path(spark, "stream-src")
+        A.land_measurements(spark, d, path, one_page_per_file=False)
+        _ETL_RUNS[key] = path
+    return _ETL_RUNS[key]
+
+
 def stream_daily_stats(spark: SparkSession, d: str) -> DataFrame:
-    """Stream the pages of the ``sensor_id=<id>`` layout into the facts: every group, open days and late rows
-    included."""
+    """Stream landed pages into the facts: every group, open days and late rows included."""
     from aeris.session import scratch_path
     from aeris.streaming.daily import run_daily_fact_stream
 
     wh = _warehouse(spark, "stream")
-    run_daily_fact_stream(spark, _landed_by_sensor(spark, d), wh, scratch_path(spark, "stream-ckpt"), exact=True,
+    run_daily_fact_stream(spark, _landed_pages(spark, d), wh, scratch_path(spark, "stream-ckpt"), exact=True,
                           layout="lines").awaitTermination()
     return wh.read("stream_agg_measurements")
 
@@ -603,7 +614,7 @@ def stream_closed_days(spark: SparkSession, d: str) -> DataFrame:
     from aeris.streaming.daily import run_daily_stats_stream
 
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    run_daily_stats_stream(spark, _landed_by_sensor(spark, d), sink, ckpt, lateness="1 day", exact=True,
+    run_daily_stats_stream(spark, _landed_pages(spark, d), sink, ckpt, lateness="1 day", exact=True,
                            layout="lines").awaitTermination()
     schema = "day string, sensor_id int, parameter_id int, value double, min_value double, max_value double, " \
              "stddev_value double, median_value double, observed_count bigint, expected_count int"
