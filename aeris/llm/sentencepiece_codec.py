@@ -23,11 +23,12 @@ LOOK = 64
 
 def stream_ids(text: str, v: Vocabulary, look: int = LOOK) -> Iterator[list[int]]:
     """Final ids of a normal form, in the order and at the time that they are certain."""
-    n, longest, unknown = len(text), v.longest, v.unknown_score
-    find = v.prefixes.get
-    base = 0  # all before it is committed; the lists start there
-    best: list[float | None] = [0.0] + [None] * longest
-    back, ids = [0] * (longest + 1), [0] * (longest + 1)  # start of the last piece, from base, and its id or -1
+    n, longest, unknown, root, singles = len(text), v.longest, v.unknown_score, v.trie, v.singles
+    never = float("-inf")
+    base = 0  # all before it is committed; the lists start there and reach a window ahead
+    room = min(n, look + longest)
+    best = [0.0] + [never] * room
+    back, ids = [0] * (room + 1), [-1] * (room + 1)  # start of the last piece, from base, and its id or -1
 
     def committed(upto: int) -> list[int]:
         out: list[int] = []
@@ -43,29 +44,27 @@ def stream_ids(text: str, v: Vocabulary, look: int = LOOK) -> Iterator[list[int]
 
     for start in range(n):
         i = start - base
-        here = best[i]
-        single = False
-        for end in range(start + 1, min(start + longest, n) + 1):
-            piece = text[start:end]
-            entry = find(piece, 0)
-            if entry == 0:
+        if i + longest >= len(best) and base + len(best) <= n:
+            more = min(look, n + 1 - base - len(best))
+            best += [never] * more
+            back += [0] * more
+            ids += [-1] * more
+        here, node, k = best[i], root, i
+        for char in text[start:start + longest]:
+            node = node.get(char)
+            if node is None:
                 break
-            if entry is None:
-                continue
-            k = end - base
-            score = here + entry[1]
-            if best[k] is None or score > best[k]:
-                best[k], back[k], ids[k] = score, i, entry[0]
-            if k == i + 1:
-                single = True
-        if not single and (best[i + 1] is None or here + unknown > best[i + 1]):
+            k += 1
+            entry = node.get(0)
+            if entry is not None:
+                score = here + entry[1]
+                if score > best[k]:
+                    best[k], back[k], ids[k] = score, i, entry[0]
+        if text[start] not in singles and here + unknown > best[i + 1]:
             best[i + 1], back[i + 1], ids[i + 1] = here + unknown, i, -1
-        best.append(None)
-        back.append(0)
-        ids.append(0)
         if i >= look and i % look == 0:
             # a path of the whole text runs through one of these nodes
-            nodes = {k for k in range(i + 1, i + 1 + longest) if best[k] is not None}
+            nodes = {k for k in range(i + 1, min(i + 1 + longest, len(best))) if best[k] > never}
             while len(nodes) > 1:
                 last = max(nodes)
                 nodes.remove(last)
@@ -75,7 +74,7 @@ def stream_ids(text: str, v: Vocabulary, look: int = LOOK) -> Iterator[list[int]
                 yield committed(upto)
                 # scores from here on count from the boundary, which changes no comparison
                 zero = best[upto]
-                best = [None if s is None else s - zero for s in best[upto:]]
+                best = [s - zero for s in best[upto:]]
                 back = [b - upto for b in back[upto:]]
                 ids = ids[upto:]
                 base += upto

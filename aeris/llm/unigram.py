@@ -13,7 +13,8 @@ from functools import lru_cache
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Segments that a worker process keeps with their result, and their greatest length. A cache only; no result depends on it.
+#: Segments that a worker process keeps with their result in each of two generations, and their greatest length. A cache
+#: only; no result depends on it.
 KEPT_SEGMENTS, KEPT_LENGTH = 300_000, 40
 
 
@@ -37,12 +38,14 @@ class Vocabulary:
         self.unknown_id = p.unk_id()
         self.unknown_score = min(s for _, s in self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.scores))
-        #: every prefix of a piece: its (id, score), or None if it is no piece itself
-        self.prefixes: dict[str, tuple[int, float] | None] = {}
+        #: pieces by character: a node maps the next character to its node, and 0 to the (id, score) of its piece
+        self.trie: dict = {}
         for piece, entry in self.scores.items():
-            for k in range(1, len(piece)):
-                self.prefixes.setdefault(piece[:k], None)
-            self.prefixes[piece] = entry
+            node = self.trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[0] = entry
+        self.singles = frozenset(x for x in self.scores if len(x) == 1)
         #: bytes of each id, for decoding
         self.raw = [pieces[i].encode() for i in range(n)]
         for value, i in self.byte_ids.items():
@@ -81,16 +84,20 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class Kept(dict):
-    """Results by segment. A segment that is missing is computed, and kept if short; a full cache starts anew."""
+    """Results by segment. A missing one is computed, and kept if short; when the cache is full, what it holds becomes the
+    older generation, from which segments that are met again are taken over."""
 
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.older = compute, {}
 
     def __missing__(self, segment: str):
-        found = self.compute(segment)
+        found = self.older.get(segment)
+        if found is None:
+            found = self.compute(segment)
         if len(segment) <= KEPT_LENGTH:
             if len(self) >= KEPT_SEGMENTS:
+                self.older = dict(self)
                 self.clear()
             self[segment] = found
         return found
