@@ -29,6 +29,20 @@ SPACES = frozenset("br td th wbr img option".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
 NEVER = frozenset("head nav footer aside form button select dialog menu".split()) | RAW
+# What ends an element whose end tag may be left out. HEADS: what a head may hold; SCOPES: where the search for
+# an open element stops; SPECIAL: what an inline end tag doesn't reach through; TEXTS: content that is never markup.
+HEADS = frozenset("base basefont bgsound link meta title style script noscript noframes template".split())
+TEXTS = frozenset("script style textarea title iframe".split())
+CELLS = frozenset("td th".split())
+TABLES = CELLS | frozenset("table caption tbody thead tfoot tr".split())
+SCOPES = CELLS | frozenset("table caption html object template".split())
+SPECIAL = BLOCKS | CELLS | frozenset("button select".split())
+ITEM_STOPS = SPECIAL - frozenset("address div p".split())
+ENDED_BY = {"li": (frozenset(["li"]), ITEM_STOPS), "dd": (frozenset(["dd", "dt"]), ITEM_STOPS),
+            "dt": (frozenset(["dd", "dt"]), ITEM_STOPS), "option": (frozenset(["option"]), frozenset(["select"])),
+            "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])), "td": (CELLS, frozenset(["table"])),
+            "th": (CELLS, frozenset(["table"])), "tr": (CELLS | {"tr"}, frozenset(["table"])),
+            **dict.fromkeys(("tbody", "thead", "tfoot"), (TABLES - {"table"}, frozenset(["table"])))}
 SECTIONING = frozenset("html body main article".split())
 # Words of class, id and role that name parts which are no article text.
 PARTS = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar "
@@ -64,50 +78,157 @@ def _is_part(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     return False
 
 
+class _Open(list):
+    """Names of the open elements, outermost first; ``number`` tells without a search how many there are of a name."""
+
+    def __init__(self):
+        super().__init__()
+        self.number: Counter = Counter()
+
+    def push(self, name: str) -> None:
+        self.append(name)
+        self.number[name] += 1
+
+    def cut(self, keep: int) -> None:
+        if keep < len(self):
+            self.number.subtract(self[keep:])
+            del self[keep:]
+
+
+def _after_opening(stack: _Open, name: str) -> int:
+    """How many of the open elements stay open when ``name`` starts: a start tag may end elements of its kind."""
+    keep = len(stack)
+    rules = [ENDED_BY[name]] if name in ENDED_BY else []
+    if name in BLOCKS:
+        rules.append((frozenset(["p"]), SCOPES | {"button"}))
+    for ended, stops in rules:
+        if not any(stack.number[e] for e in ended):
+            continue
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i] in ended:
+                keep = min(keep, i)
+                if name in TABLES:  # a row also ends the row around the cell
+                    continue
+                break
+            if stack[i] in stops:
+                break
+    return keep
+
+
+def _after_closing(stack: _Open, name: str) -> int:
+    """How many of the open elements stay open at the end tag of ``name``; all of them if it ends none."""
+    if not stack.number[name]:
+        return len(stack)
+    if name in SECTIONING:
+        stops = frozenset()
+    elif name in TABLES:
+        stops = frozenset(["table"])
+    elif name == "li":
+        stops = SCOPES | {"ul", "ol"}
+    else:
+        stops = SCOPES if name in SPECIAL else SPECIAL
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i] == name:
+            return i
+        if stack[i] in stops:
+            break
+    return len(stack)
+
+
+def _past_texts(page: str, at: int, name: str, unclosed: set[str]) -> int | None:
+    """Where the end tag of the raw element ``name`` starts; None if it has none and its content counts as markup."""
+    if name not in unclosed:
+        close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(page, at)
+        if close:
+            return close.start()
+        unclosed.add(name)
+    return len(page) if name in TEXTS else None
+
+
+def _tag(m: re.Match) -> tuple[str, bool, str]:
+    return ((m["name"] or m["name2"] or "").lower(), bool(m["close"] or m["close2"]), m["rest"] or m["rest2"] or "")
+
+
+def _part_end(page: str, at: int, stack: _Open, unclosed: set[str]) -> int:
+    """Where the subtree of the innermost open element ends, that is left out from ``at`` on: behind its end tag, or
+    before the tag (or the text, after a head) that ends it without one. ``stack`` then ends at its parent."""
+    base = len(stack) - 1
+    part = stack[base]
+    n = len(page)
+    while at < n:
+        m = _TOKEN.search(page, at)
+        if part == "head" and len(stack) == base + 1 and page[at:m.start() if m else n].strip():
+            break
+        if not m:
+            at = n
+            break
+        name, closing, rest = _tag(m)
+        if not name or (name in VOID and closing):
+            at = m.end()
+            continue
+        if closing:
+            keep = _after_closing(stack, name)
+            if keep <= base:
+                at = m.end() if keep == base else m.start()
+                break
+            at = m.end()
+            stack.cut(keep)
+            continue
+        keep = _after_opening(stack, name)
+        if keep <= base or (part == "head" and name not in HEADS):
+            at = m.start()
+            break
+        at = m.end()
+        stack.cut(keep)
+        if name in RAW:
+            past = _past_texts(page, at, name, unclosed)
+            if past is not None:
+                at = past
+                stack.push(name)
+                continue
+        if name not in VOID and not rest.endswith("/"):
+            stack.push(name)
+    stack.cut(base)
+    return at
+
+
 def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
     """(kind, class, text): ``word`` runs with the enclosing block's name, ``tag`` with its name and slash, and ``part``
     for a subtree that is left out. Characters of a run are decoded. The article element tells its own class."""
     page = page or ""
     at, n = 0, len(page)
     blocks: list[str] = []
-    skip, depth, article = "", 0, 0
+    stack = _Open()
+    unclosed: set[str] = set()
+    article = 0
     while at < n:
         m = _TOKEN.search(page, at)
         end = m.start() if m else n
-        if end > at and not skip:
+        if end > at:
             yield "word", blocks[-1] if blocks else "", html_codec.unescape(page[at:end])
         if not m:
             return
         at = m.end()
-        if m["cdata"] is not None and not skip:
+        if m["cdata"] is not None:
             yield "word", blocks[-1] if blocks else "", m["cdata"]
-        name = (m["name"] or m["name2"] or "").lower()
+        name, closing, rest = _tag(m)
         if not name:
             continue
-        closing, rest = bool(m["close"] or m["close2"]), m["rest"] or m["rest2"] or ""
-        if skip == "p" and (name in BLOCKS):  # a paragraph ends where another block starts or its parent ends
-            skip = ""
-            if closing and name == "p":
-                continue
-        if skip:
-            if name == skip:
-                depth += -1 if closing else not rest.endswith("/")
-                if depth <= 0:
-                    skip = ""
-            continue
-        if not closing:
+        if closing:
+            stack.cut(_after_closing(stack, name))
+        else:
+            stack.cut(_after_opening(stack, name))
             attributes = {k.lower(): html_codec.unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(rest)}
             if name not in VOID and _is_part(name, attributes, article > 0):
                 yield "part", name, ""
-                if name in RAW:
-                    close = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)", re.I).search(page, at)
-                    if not close:
-                        return
-                    at = close.start()
-                skip, depth = name, 1
+                stack.push(name)
+                past = _past_texts(page, at, name, unclosed) if name in RAW else None
+                at = _part_end(page, at if past is None else past, stack, unclosed)
                 continue
             if name in VOID and ("hidden" in attributes):
                 continue
+            if name not in VOID:
+                stack.push(name)
         if name == "article":
             article = max(0, article + (-1 if closing else 1))
         if name in BLOCKS:

@@ -56,6 +56,28 @@ def test_odd_markup():
     assert len(text_of("<b>" * 50_000 + "deep")) == 4
 
 
+def test_parts_end_where_their_end_tag_is_left_out():
+    body = "<h1>Head</h1><p>one two</p>"
+    want = "Head\n\none two"
+    assert text_of(f"<html><head><title>T</title><body><article>{body}</article>") == want
+    assert text_of(f"<head><meta charset=utf-8><script>'</head><p>x'</script><article>{body}</article>") == want
+    assert text_of("<head><title>T</title>\nplain words") == "plain words"
+    for page in ("<article><ul><li class=share>tell<li>one</ul><p>two</p></article>",
+                 "<article><ul><li class=share>tell<b>a</b></ul><p>one</p><p>two</p></article>",
+                 "<article><ul><li>one<div class=ad>buy<li>two</ul></article>",
+                 "<article><dl><dt class=ad>buy<dd>one<dd class=ad>buy<dt>two</dl></article>",
+                 "<article><table><tr><td class=ad>buy<td>one<tr class=ad><td>buy<th>now<tr><th class=ad>buy</table><p>two</article>",
+                 "<article><table><tbody class=ad><tr><td>buy<tbody><tr><td>one</table>two</article>",
+                 "<main><article><p>one<div class=ad>buy<p>now</article><p>two</p></main>",
+                 "<main><article><p>one</p><table class=ad><tr><td>buy</article><p>two</p></main>",
+                 "<div><form><p>sign</div><p>one</p><p>two</p>", "<div><svg><path d=1></div><p>one</p><p>two</p>",
+                 "<p>one<span class=ad>buy</p><p>two</p>", "<p><b>one</b><select><option>x<option>y</select><p>two</p>",
+                 "<ul><li class=ad><ul><li>buy</li><li>now</ul><li>one</ul><p>two"):
+        kept = [t.strip() for k, _, t in H.tokens(page) if k == "word" and t.strip()]
+        assert kept == ["one", "two"], page
+    assert text_of("<div class=ad><b>buy<table><tr><td>a</div>now</table></div><p>c") == "c"
+
+
 def test_table_edge_rows(spark):
     rows = [(1, "u", LABELLED), (1, "u", LABELLED), (2, None, None), (None, "v", ""), (3, "w", "<p>q</p>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' AS text", "1 AS n_chars")
