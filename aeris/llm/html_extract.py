@@ -2,8 +2,8 @@
 
 A page is read as a sequence of words and tags. Words score positive and tags negative; the weights are log-odds of
 standing inside or outside the article, counted on the pages that label theirs (an ``article`` element). One linear
-scan finds the contiguous region with the greatest sum; its blocks, without the subtrees that can't be article text
-(menus, forms, adverts, comments, scripts, ...), are the text.
+scan finds the contiguous region with the greatest sum, which then grows to the whole element that holds most of it; its
+blocks, without the subtrees that can't be article text (menus, forms, adverts, comments, scripts, ...), are the text.
 """
 
 from __future__ import annotations
@@ -44,6 +44,7 @@ ENDED_BY = {"li": (frozenset(["li"]), ITEM_STOPS), "dd": (frozenset(["dd", "dt"]
             "th": (CELLS, frozenset(["table"])), "tr": (CELLS | {"tr"}, frozenset(["table"])),
             **dict.fromkeys(("tbody", "thead", "tfoot"), (TABLES - {"table"}, frozenset(["table"])))}
 SECTIONING = frozenset("html body main article".split())
+CONTAINERS = frozenset("article main section div center td th".split())
 # Words of class, id and role that name parts which are no article text.
 PARTS = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar "
                   "navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent gdpr "
@@ -268,7 +269,7 @@ class RegionWeights:
     @classmethod
     def from_counts(cls, counts: dict[tuple[bool, str, str], int]) -> RegionWeights:
         """Log-odds of inside against outside, words kept above zero and tags below: a word scores 0.05 to 1, a tag -0.01
-        where articles have it and up to -50 where it only stands outside of them."""
+        where articles have it more often than the rest."""
         weights = cls({}, {})
         keys = {(k, c) for _, k, c in counts if k != "part"}
         for kind, name in sorted(keys):
@@ -277,7 +278,7 @@ class RegionWeights:
             if kind == "word":
                 weights.words[name] = min(1.0, max(0.05, odds))
             else:
-                weights.tags[name] = -0.01 if odds >= 0 else max(-50.0, 10 * odds)
+                weights.tags[name] = min(-0.01, odds)
         return weights
 
 
@@ -297,6 +298,50 @@ def main_region(found: list[tuple[str, str, str]], weights: RegionWeights) -> tu
     return *best, top
 
 
+def whole_region(found: list[tuple[str, str, str]], start: int, end: int) -> tuple[int, int]:
+    """The region grown to the whole element that holds most of its words: the innermost article or main, else the innermost
+    container of whose words the region holds most. Where the page has one article (or main), as labelled pages do, the region
+    is that element's content; else it keeps what it had besides."""
+    before, n = [0], 0
+    for kind, _, text in found:
+        n += len(text.split()) if kind == "word" else 0
+        before.append(n)
+
+    spans: list[tuple[str, int, int]] = []
+    stack: list[tuple[str, int]] = []
+    number: Counter = Counter()
+
+    def close(to: int) -> str:
+        name, at = stack.pop()
+        number[name] -= 1
+        spans.append((name, at, to))
+        return name
+
+    for i, (kind, name, _) in enumerate(found):
+        if kind == "tag" and name in CONTAINERS:
+            stack.append((name, i + 1))
+            number[name] += 1
+        elif kind == "tag" and name.startswith("/") and number[name[1:]]:
+            while close(i) != name[1:]:
+                pass
+    while stack:
+        close(len(found))
+
+    def words(a: int, b: int) -> int:
+        return max(0, before[b] - before[a]) if b > a else 0
+
+    held = words(start, end)
+    most = [(name, a, b) for name, a, b in spans if 2 * words(max(a, start), min(b, end)) > held]  # nested, innermost first
+    for name, a, b in most:
+        if name in ("article", "main"):
+            one = sum(other == name for other, _, _ in spans) == 1
+            return (a, b) if one else (min(a, start), max(b, end))
+    for _, a, b in most:
+        if 2 * words(max(a, start), min(b, end)) > words(a, b):
+            return min(a, start), max(b, end)
+    return start, end
+
+
 def block_texts(found: list[tuple[str, str, str]]) -> list[str]:
     """Text of each block: white space runs are one space, blocks without text are left out."""
     blocks, run = [], []
@@ -324,6 +369,7 @@ def block_texts(found: list[tuple[str, str, str]]) -> list[str]:
 def extract(page: str | None, weights: RegionWeights) -> tuple[str, float]:
     found = list(tokens(page))
     start, end, score = main_region(found, weights)
+    start, end = whole_region(found, start, end)
     return "\n\n".join(block_texts(found[start:end])), score
 
 

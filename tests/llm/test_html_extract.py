@@ -78,6 +78,25 @@ def test_parts_end_where_their_end_tag_is_left_out():
     assert text_of("<div class=ad><b>buy<table><tr><td>a</div>now</table></div><p>c") == "c"
 
 
+def test_articles_are_whole_whatever_stands_outside():
+    """Wrapper divs, lists and tables stand mostly outside of articles; an article that has some keeps all of its text."""
+    loose = "<ul>" + "<li>out side" * 20 + "</ul><table><tr><td>cell</table>"
+    train = [f"<div id=page><div>top</div>{loose}<article><h1>Head</h1><p>{'one two ' * 30}</p></article>{loose}</div>"] * 20
+    train.append(f"<div>{loose}<article><p>one<ul><li>a</ul><div>figure</div><table><tr><td>x</table></article></div>")
+    counts = sum((H.labelled_counts(p) for p in train), start=H.Counter())
+    w = H.RegionWeights.from_counts(counts)
+    inner = ("<h1>Head</h1><p>one two three</p><ul><li>a b<li>c</ul><p>four</p><div><div>figure</div></div><table><tr><td>x<td>y z"
+             "</table><p>five six</p><div class=ad>buy</div><p>end</p>")
+    want = "Head\n\none two three\n\na b\n\nc\n\nfour\n\nfigure\n\nx y z\n\nfive six\n\nend"
+    for page in (f"<div id=page><div>some loose words</div>{loose}<article>{inner}</article>{loose}</div>",
+                 f"<div><div><div><main>{inner}</main></div></div>{loose}</div>",
+                 f"<body><div><div>top</div>{loose}<div id=content>{inner.replace('three', 'three' + ' more' * 40)}</div>{loose}</div>"):
+        assert H.extract(page, w)[0].replace(" more", "") == want
+    two = "<main><article><p>" + "a " * 30 + "</article><article><p>" + "b " * 20 + "</article></main>"
+    assert text_of(two).split() == ["a"] * 30 + ["b"] * 20
+    assert H.extract("<div>" * 20_000 + "deep", w)[0] == "deep"
+
+
 def test_table_edge_rows(spark):
     rows = [(1, "u", LABELLED), (1, "u", LABELLED), (2, None, None), (None, "v", ""), (3, "w", "<p>q</p>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' AS text", "1 AS n_chars")
