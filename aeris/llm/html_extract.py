@@ -51,6 +51,11 @@ PARTS = frozenset("ad ads advert adverts advertisement advertising adsense banne
                   "notice notices alert popup modal overlay comment comments commentlist disqus reply replies discussion "
                   "share sharing social newsletter subscribe signup related recommended pagination pager search login "
                   "complementary contentinfo toolbar widget".split())
+# Words of PARTS that are subjects of headings as well.
+SUBJECTS = frozenset("advertising alert aside banner discussion header login masthead nav navigation notice notices overlay promotion "
+                     "related reply replies search share sharing social sponsor sponsored subscribe toolbar widget".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = frozenset("p pre blockquote figure figcaption caption li dd dt td th".split())
 PART_BEFORE = frozenset("with has no without".split())
 
 _TOKEN = re.compile(
@@ -58,23 +63,29 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|itemprop|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_MAIN = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
 _WORDS = re.compile(r"[^\W_]+")
 
 
 def _is_part(name: str, attributes: dict[str, str], in_article: bool) -> bool:
-    """Whether the element's whole subtree is no article text."""
-    if name in NEVER or (name == "header" and not in_article):
-        return True
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or re.search(
-            r"display\s*:\s*none", attributes.get("style", "")):
-        return True
-    if name in ("html", "body", "main"):
+    """Whether the element's whole subtree is no article text, whatever its labels say."""
+    return bool(name in NEVER or (name == "header" and not in_article) or "hidden" in attributes
+                or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")))
+
+
+def _is_labelled(name: str, attributes: dict[str, str], in_article: bool, in_main: bool) -> bool:
+    """Whether class, id or role tell a part. Any word of a label counts; but an article element and what stands in one is a
+    part only if all words of a label say so, and likewise by the id of text or of what stands in main: ids are often made
+    of a heading's words. Headings are no parts."""
+    if name in ("html", "body", "main") or name in HEADINGS:
         return False
     for key in ("class", "id", "role"):
+        whole = in_article or name == "article" or (key == "id" and (in_main or name in PROSE))
         for label in attributes.get(key, "").lower().split():
             words = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label))
-            if any(w in PARTS and not (i and words[i - 1] in PART_BEFORE) and not (in_article and w == "header")
-                   for i, w in enumerate(words)):
+            hits = [w in PARTS and not (i and words[i - 1] in PART_BEFORE) and not (in_article and w == "header")
+                    and not (whole and key == "id" and w in SUBJECTS) for i, w in enumerate(words)]
+            if all(hits) and hits if whole else any(hits):
                 return True
     return False
 
@@ -193,6 +204,42 @@ def _part_end(page: str, at: int, stack: _Open, unclosed: set[str]) -> int:
     return at
 
 
+def _attributes(rest: str) -> dict[str, str]:
+    return {k.lower(): html_codec.unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(rest)}
+
+
+def _holders(page: str) -> frozenset[int]:
+    """Where the labelled elements start that hold the page's main element or, without one, its article: of several the first
+    inside of fewest elements that a whole label, then any word of one, tells as parts. A layout's wrapper may be named after the sidebar that it has beside the article."""
+    stack, unclosed = _Open(), set()
+    labelled: list[tuple[int, int, bool]] = []  # (depth, start, by a whole label) of the open elements that labels tell as parts
+    best, held = (2, 0, 0), frozenset()
+    at = 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        name, closing, rest = _tag(m)
+        if not name:
+            continue
+        stack.cut(_after_closing(stack, name) if closing else _after_opening(stack, name))
+        while labelled and labelled[-1][0] >= len(stack):
+            labelled.pop()
+        if closing or name in VOID:
+            continue
+        attributes = _attributes(rest)
+        start, depth = m.start(), len(stack)
+        stack.push(name)
+        if _is_part(name, attributes, stack.number["article"] > 0):
+            past = _past_texts(page, at, name, unclosed) if name in RAW else None
+            at = _part_end(page, at if past is None else past, stack, unclosed)
+        elif _is_labelled(name, attributes, False, False):
+            labelled.append((depth, start, _is_labelled(name, attributes, True, True)))
+        elif name in ("article", "main"):
+            rank = (name != "main", sum(whole for *_, whole in labelled), len(labelled))
+            if rank < best:
+                best, held = rank, frozenset(x for _, x, _ in labelled)
+    return held
+
+
 def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
     """(kind, class, text): ``word`` runs with the enclosing block's name, ``tag`` with its name and slash, and ``part``
     for a subtree that is left out. Characters of a run are decoded. The article element tells its own class."""
@@ -201,7 +248,7 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
     blocks: list[str] = []
     stack = _Open()
     unclosed: set[str] = set()
-    article = 0
+    known, holders = False, frozenset()
     while at < n:
         m = _TOKEN.search(page, at)
         end = m.start() if m else n
@@ -219,19 +266,24 @@ def tokens(page: str | None) -> Iterator[tuple[str, str, str]]:
             stack.cut(_after_closing(stack, name))
         else:
             stack.cut(_after_opening(stack, name))
-            attributes = {k.lower(): html_codec.unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(rest)}
-            if name not in VOID and _is_part(name, attributes, article > 0):
-                yield "part", name, ""
+            attributes = _attributes(rest)
+            inside, in_main = stack.number["article"] > 0, stack.number["main"] > 0
+            told = name not in VOID and _is_part(name, attributes, inside)
+            labelled = not told and name not in VOID and _is_labelled(name, attributes, inside, in_main)
+            if told or (labelled and m.start() not in holders):
                 stack.push(name)
                 past = _past_texts(page, at, name, unclosed) if name in RAW else None
-                at = _part_end(page, at if past is None else past, stack, unclosed)
-                continue
+                past = _part_end(page, at if past is None else past, stack, unclosed)
+                if labelled and not inside and not in_main and not known and _MAIN.search(page, at, past):
+                    known, holders = True, _holders(page)
+                if told or m.start() not in holders:
+                    yield "part", name, ""
+                    at = past
+                    continue
             if name in VOID and ("hidden" in attributes):
                 continue
             if name not in VOID:
                 stack.push(name)
-        if name == "article":
-            article = max(0, article + (-1 if closing else 1))
         if name in BLOCKS:
             if not closing:
                 blocks.append(name)

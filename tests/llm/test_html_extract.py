@@ -97,6 +97,23 @@ def test_articles_are_whole_whatever_stands_outside():
     assert H.extract("<div>" * 20_000 + "deep", w)[0] == "deep"
 
 
+def test_slugs_and_wrappers_are_no_parts():
+    for name, label in (("h2", "id=related-work"), ("h2", "id=how-search-works"), ("section", "id=discussion"), ("h3", "class=related"),
+                        ("section", "id=social-history"), ("p", "id=reply-to-referees"), ("div", "class=search-engines")):
+        assert text_of(f"<article><p>one</p><{name} {label}>two</{name}><p>three</article>") == "one\n\ntwo\n\nthree", label
+    for label in ("class=ad", "class='cookie-notice x'", "id=comments", "role=search"):
+        assert text_of(f"<article><p>one</p><div {label}>two</div><p>three</article>") == "one\n\nthree", label
+    for label in ("class='layout sidebar-left'", "id=page-with-ads-sidebar", "class=header"):
+        for name in ("article", "main"):
+            page = (f"<body><div class=sidebar><article class=card>card</article>side</div><div {label}><div {label}><div class=ad>buy</div>"
+                    f"<{name}><p>one two</p></{name}><div class=related><article>other</article></div></div></div>")
+            assert text_of(page) == "one two", page
+    assert text_of("<article id=how-search-works class=post>one</article>") == "one"
+    assert text_of("<div id=a><h2 id=related-work>One</h2><p id=reply-to-referees>two</p><ul id=site-nav><li>x</ul></div>") == "One\n\ntwo"
+    assert text_of("<main><section id=discussion>one</section><section class=discussion>x</section></main>") == "one"
+    assert text_of("<div class=sidebar>" * 5000 + "<article>deep" + "</div>" * 5000) == "deep"
+
+
 def test_table_edge_rows(spark):
     rows = [(1, "u", LABELLED), (1, "u", LABELLED), (2, None, None), (None, "v", ""), (3, "w", "<p>q</p>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' AS text", "1 AS n_chars")
