@@ -36,7 +36,8 @@ class DigestIndex:
     """A digest index kept as a bucketed table; ``path`` is a folder that all executors share.
 
     ``add`` may be called with batch after batch: the row that stays of a group is the best row (most code points,
-    then smallest doc_id, nulls last, then row order) of the first batch that held its digest."""
+    then smallest doc_id, nulls last, then row order) of the first batch that held its digest. Row ids hold for one batch
+    alone, so the index keeps the batch of each."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, name: str | None = None, buckets: int = 16):
         self.spark, self.buckets = spark, buckets
@@ -53,37 +54,40 @@ class DigestIndex:
         (groups.write.format("parquet").mode("append").option("path", self.path)
          .bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name))
 
-    def add(self, keys: DataFrame) -> None:
-        """Append the digests of ``keys`` (see ``row_keys``) that the index doesn't hold yet."""
+    def add(self, keys: DataFrame, batch: str) -> None:
+        """Append the digests of ``keys`` (see ``row_keys``) that the index doesn't hold yet. No other call may have the same
+        ``batch``."""
         best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col("doc_id").isNull().alias("no_id"),
                               F.col("doc_id").alias("keep_id"), F.col("row_id").alias("keep_row")))
         groups = (keys.groupBy("text_sha256").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
-                  .select("text_sha256", "b.keep_id", "b.keep_row", "group_size"))
+                  .select("text_sha256", "b.keep_id", "b.keep_row", "group_size", F.lit(batch).alias("batch")))
         if self.exists():
             groups = groups.join(self.read().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
         self._append(groups)
 
-    def lookup(self, keys: DataFrame) -> DataFrame:
-        """Every row of ``keys`` with keep_id, group_size (rows of the batch that brought the digest) and kept.
+    def lookup(self, keys: DataFrame, batch: str) -> DataFrame:
+        """Every row of ``keys`` with keep_id, group_size (rows of the batch that brought the digest) and kept: whether it is
+        the row that stays, which no row of a later batch is.
 
         The index is read as plain files here: with a shuffle on both sides a digest of very many rows is split
         by the adaptive skew join, which a bucketed side would not allow."""
         index = self.spark.read.schema(self.read().schema).parquet(self.path)
+        kept = (F.col("batch") == batch) & (F.col("row_id") == F.col("keep_row"))
         return keys.join(index, "text_sha256").select(
-            "doc_id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"), "text_sha256", "k1", "k2")
+            "doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", "k1", "k2")
 
 
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, keep_id, group_size, kept,
     text_sha256, k1, k2. Texts are equal when identical without blanks; null and blank-only texts equal the empty
     text. Of rows that repeat a doc_id and text exactly one is kept. An empty table gives an empty table."""
-    index = index or DigestIndex(docs.sparkSession)
+    index, batch = index or DigestIndex(docs.sparkSession), uuid.uuid4().hex
     keys = stored(row_keys(docs), "keys")
     if not index.exists():
         index._append(keys.where("false").select("text_sha256", F.col("doc_id").alias("keep_id"),
-                                                 F.col("row_id").alias("keep_row"), F.lit(0).cast("long").alias("group_size")))
-    index.add(keys)
-    return index.lookup(keys)
+                                                 F.col("row_id").alias("keep_row"), F.lit(0).cast("long").alias("group_size"), F.lit(batch).alias("batch")))
+    index.add(keys, batch)
+    return index.lookup(keys, batch)
 
 
 def without_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:

@@ -3,7 +3,7 @@ import re
 
 import duckdb
 
-from aeris.llm.exact_dedup import OP2_SQL, DigestIndex, exact_dedup, op2_exact_dedup, row_keys
+from aeris.llm.exact_dedup import OP2_SQL, DigestIndex, exact_dedup, op2_exact_dedup, row_keys, without_copies
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,6 +51,15 @@ def test_later_batches_are_held_against_the_index(spark, docs):
     assert index.read().count() == 3
 
 
+def test_the_same_table_again_keeps_no_row(spark, docs):
+    index, given = DigestIndex(spark), docs([(1, "a"), (2, "b b"), (3, "b b "), (None, "c")])
+    assert without_copies(given, index).count() == 3
+    again = exact_dedup(given, index).collect()
+    assert len(again) == 4 and not any(r.kept for r in again) and {r.keep_id for r in again} == {1, 3, None}
+    assert without_copies(given.union(docs([(9, "new")])), index).collect()[0].doc_id == 9
+    assert without_copies(given, index).count() == 0 and index.read().count() == 4
+
+
 def test_anti_join_reads_the_index_without_shuffle(spark, docs):
     index = DigestIndex(spark)
     exact_dedup(docs(["a", "b"]), index).collect()
