@@ -23,11 +23,11 @@ Each landed source is parsed at most once per run, into a Parquet staging
 table (``staged_<source>``) that the steps and the quarantine read; steps read
 the *stored* upstream tables, so a failure never re-runs finished steps. Of the
 measurements only what the run needs is parsed: pages in ``fetch_date=<day>``
-folders from the window's first day to the run date, and in
-``sensor_id=<id>`` folders of the selected sensors. Facts are partitioned by
+folders from the window's first day to the run date, and of these what is in
+``sensor_id=<id>`` folders of the selected sensors or has a key of its own. Facts are partitioned by
 ``day`` and replace the days of the run's window, so re-running a day is
 idempotent and a day that became empty is removed. Pages, elements and
-measurements without a day that cannot be loaded land in ``quarantine_pages``
+measurements without a day or sensor that cannot be loaded land in ``quarantine_pages``
 with a reason; a dimension whose pages were quarantined is built again by the
 next run.
 """
@@ -109,11 +109,12 @@ class _Staging:
             bad = landed.page_quarantine(self.pages(src)).select(
                 F.lit(src).alias("source"), "source_file", "element", "raw_text", "reason")
             if src == "measurements":
-                rows = self.measurements()
-                bad = bad.unionByName(rows.where(~a_day(F.col("day"))).select(
+                fault = F.when(~a_day(F.col("day")), "no_day").when(F.col("sensor_id").isNull(), "no_sensor")
+                rows = self.measurements().withColumn("__reason", fault)
+                bad = bad.unionByName(rows.where("__reason is not null").select(
                     F.lit(src).alias("source"), F.lit(None).cast("string").alias("source_file"),
                     F.lit(None).cast("int").alias("element"),
-                    F.to_json(F.struct(*schemas.MEASUREMENT.fieldNames())).alias("raw_text"), F.lit("no_day").alias("reason")))
+                    F.to_json(F.struct(*schemas.MEASUREMENT.fieldNames())).alias("raw_text"), F.col("__reason").alias("reason")))
             out = out.unionByName(bad.withColumn("run_date", F.lit(run_date)))
         return out
 
@@ -122,16 +123,24 @@ class _Staging:
         return [src for src in self.done if src != "measurements" and not landed.page_quarantine(self.pages(src)).isEmpty()]
 
 
+#: A text that may hold a document with a key of its own: JSON may also spell the key's characters as escapes.
+OWN_KEY = r"sensor_id|\\u00(?:5[fF]|6[0-9a-fA-F]|7[0-9])"
+
+
 def _needed(start: str, run_date: str, sensors: DataFrame):
-    """Restriction of landed measurement texts, before they are parsed, to the folders that a run needs."""
+    """Restriction of landed measurement texts, before they are parsed, to what a run needs: folders of its days and selected
+    sensors, folders without a key that can be read, and any text that may hold a document with a sensor key of its own."""
 
     def restrict(text: DataFrame) -> DataFrame:
         if "fetch_date" in text.columns:
-            kind = text.schema["fetch_date"].dataType
-            text = text.where((F.col("fetch_date") >= F.lit(start).cast(kind)) & (F.col("fetch_date") <= F.lit(run_date).cast(kind)))
+            day, kind = F.col("fetch_date"), text.schema["fetch_date"].dataType
+            undated = (day.try_cast("date") if kind.typeName() == "string" else day).isNull()
+            text = text.where(undated | ((day >= F.lit(start).cast(kind)) & (day <= F.lit(run_date).cast(kind))))
         if "sensor_id" in text.columns:
-            text = text.join(sensors.select(F.col("sensor_id").alias("__sensor")),
-                             F.col("sensor_id").cast("int") == F.col("__sensor"), "left_semi")
+            chosen = sensors.select(F.col("sensor_id").alias("__sensor")).where("__sensor is not null").distinct()
+            folder = F.col("sensor_id").try_cast("int")
+            text = (text.join(chosen, folder == F.col("__sensor"), "left")
+                    .where(F.col("__sensor").isNotNull() | folder.isNull() | F.col("value").rlike(OWN_KEY)).drop("__sensor"))
         return text
 
     return restrict

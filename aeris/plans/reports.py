@@ -736,7 +736,7 @@ def landing_reconciliation(spark: SparkSession, d: str) -> DataFrame:
     from aeris.sources import landed
 
     rows = landed.measurement_rows(landed.page_rows(wh.read("staged_measurements"))).select(
-        day_text(F.col("period.datetimeFrom.local")).alias("day"), "sensor_id").where(a_day(F.col("day")))
+        day_text(F.col("period.datetimeFrom.local")).alias("day"), "sensor_id").where(a_day(F.col("day")) & F.col("sensor_id").isNotNull())
     inside = (F.col("day") >= ODD_WINDOW[0]) & (F.col("day") < ODD_WINDOW[1])
     known = wh.read("france_sensors").select("sensor_id").distinct().withColumn("selected", F.lit(True))
     fate = rows.join(known, "sensor_id", "left").select(

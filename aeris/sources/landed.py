@@ -184,7 +184,7 @@ def measurement_rows(rows: DataFrame) -> DataFrame:
     others = [c for c in rows.columns if c not in schemas.MEASUREMENT.fieldNames() and c != "sensor_id__key"]
     key = F.col("sensor_id")
     if "sensor_id__key" in rows.columns:
-        key = F.coalesce(F.col("sensor_id"), F.col("sensor_id__key").cast("int"))
+        key = F.coalesce(F.col("sensor_id"), F.col("sensor_id__key").try_cast("int"))
     return rows.select(key.alias("sensor_id"), *doc_cols, *others)
 
 

@@ -130,6 +130,22 @@ def test_only_the_needed_folders_are_parsed(spark, scratch):
     assert ">= 2025-03-04" in scan and "<= 2025-03-05" in scan
 
 
+def test_documents_with_a_key_of_their_own_are_not_lost_with_their_folder(spark, scratch):
+    root = scratch("landing")
+    escaped = '{"results": [' + '{"sensor\\u005fid": 8, "value": 4.0, "parameter": {"id": 2}, "period": {"datetimeFrom": {"local": "2025-03-01T13:00:00Z"}}}]}'
+    landing = _small_landing(spark, root, **{
+        "fetch_date_eq_2025_d_03_d_02__sensor_id_eq_9": [_doc("2025-03-01T10:00:00Z", 1.0, sensor_id=7), _doc("2025-03-01T10:00:00Z", 9.0)],
+        "fetch_date_eq_2025_d_03_d_02__sensor_id_eq_10": [_doc("2025-03-01T10:00:00Z", 9.0)],
+        "fetch_date_eq_2025_d_03_d_02__sensor_id_eq_11": escaped,
+        "fetch_date_eq_2025_d_03_d_02__sensor_id_eq_x": [_doc("2025-03-01T11:00:00Z", 2.0, sensor_id=8), _doc("2025-03-01T11:00:00Z", 9.0)]})
+    _page(spark, f"{landing.measurements}/fetch_date=__HIVE_DEFAULT_PARTITION__/sensor_id=7", [_doc("2025-03-01T12:00:00Z", 3.0)])
+    wh = Warehouse(spark, "path", root=scratch("wh"))
+    run_daily_etl(spark, landing, wh, run_date="2025-03-02", since="2025-01-01")
+    assert sorted((r.sensor_id, r.value) for r in wh.read("raw_measurements").collect()) == [(7, 1.0), (7, 3.0), (8, 2.0), (8, 4.0)]
+    assert [(r.source, r.reason) for r in wh.read("quarantine_pages").collect()] == [("measurements", "no_sensor")]
+    assert 10 not in {int(r.sensor_id__key) for r in wh.read("staged_measurements").where("sensor_id__key <> 'x'").collect()}
+
+
 def test_days_without_a_date_are_quarantined_and_emptied_days_removed(spark, scratch):
     root = scratch("landing")
     landing = _small_landing(spark, root, sensor_id_eq_7=[
