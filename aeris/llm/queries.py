@@ -11,6 +11,7 @@ from aeris.llm import (
     packing,
     sentencepiece_codec,
     simhash,
+    spelling,
     suffix_dedup,
     token_count,
 )
@@ -26,7 +27,9 @@ QUERIES = {
     "op8_token_count": token_count.op8_token_count,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_html_extract": html_extract.op10_html_extract,
+    "op11_spelling": spelling.op11_spelling,
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op11_spelling": spelling.OP11_SQL,
 }
