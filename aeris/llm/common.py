@@ -35,6 +35,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: What parts words, as bytes of UTF-8 after A-Z are lower-cased: all of ASCII but 0-9 and a-z (fixed value).
+_WORD_BYTES = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def words_of(text: str) -> list[bytes]:
+    """Maximal runs of 0-9, a-z and code points from U+0080 (as UTF-8) after A-Z, and nothing else, are lower-cased."""
+    return text.encode().lower().translate(_WORD_BYTES).split()
+
+
 def row_key() -> list[Column]:
     """k1 and k2, 128 bits that name a row by doc_id and text wherever and however often it is read. Rows that repeat
     both share the name; nothing depends on which of them is meant."""

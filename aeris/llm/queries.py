@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from aeris.llm import (
     chat_format,
+    decontamination,
     exact_dedup,
     fingerprint,
     html_extract,
@@ -28,8 +29,10 @@ QUERIES = {
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_html_extract": html_extract.op10_html_extract,
     "op11_spelling": spelling.op11_spelling,
+    "op12_decontaminate": decontamination.op12_decontaminate,
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op11_spelling": spelling.OP11_SQL,
+    "op12_decontaminate": decontamination.OP12_SQL,
 }
