@@ -9,6 +9,7 @@ from aeris.llm import (
     fingerprint,
     html_extract,
     language_id,
+    lexical_search,
     packing,
     sentencepiece_codec,
     simhash,
@@ -30,9 +31,11 @@ QUERIES = {
     "op10_html_extract": html_extract.op10_html_extract,
     "op11_spelling": spelling.op11_spelling,
     "op12_decontaminate": decontamination.op12_decontaminate,
+    "op13_search": lexical_search.op13_search,
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op11_spelling": spelling.OP11_SQL,
     "op12_decontaminate": decontamination.OP12_SQL,
+    "op13_search": lexical_search.OP13_SQL,
 }

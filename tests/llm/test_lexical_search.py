@@ -1,0 +1,130 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from aeris.llm import lexical_search as L
+
+SF = "/root/testdata/sf0.001"
+
+
+def words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def brute(docs, items, k=10):
+    """Ranked (item, rank, doc, score) rows, each item row by itself."""
+    counts = [(d, Counter(words(t))) for d, t in docs]
+    counts = [(d, c) for d, c in counts if c]
+    n_docs, n_terms = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in items:
+        query, scored = Counter(words(text)), []
+        for d, c in counts:
+            m = 25 + (75 * sum(c.values()) * n_docs) // n_terms
+            score = sum(times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+                        for t, times in query.items() if t in c)
+            if score > 0:
+                scored.append((-score, d is None, d if d is not None else 0))
+        out += [(item, r, None if null else d, -s) for r, (s, null, d) in enumerate(sorted(scored)[:k], 1)]
+    return out
+
+
+def run(spark, docs, items, **kw):
+    tests = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, score string")
+    return sorted(map(str, (tuple(r) for r in L.top_documents(docs, tests, **kw).collect())))
+
+
+def case(seed):
+    rnd = random.Random(seed)
+    vocabulary = ["w" + str(i) for i in range(60)] + ["É", "日本", "Ab_C", "x1"]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+
+    def text(n):
+        return " ".join(rnd.choices(vocabulary, weights, k=n))
+
+    docs = [(i, text(rnd.choice([1, 3, 20, 200]))) for i in range(150)]
+    docs += [(1000 + i, docs[3][1]) for i in range(40)]  # copies tie
+    docs += [(3, docs[3][1]), (None, docs[3][1]), (None, docs[3][1]), (2000, None), (2001, ""), (2002, " .. "), (2003, "w1 " * 30_000)]
+    items = [(i, text(rnd.choice([1, 5, 40]))) for i in range(12)] + [(77, docs[3][1]), (77, docs[3][1]), (None, "w1 w1 É"), (80, None),
+                                                                      (81, "?"), (82, "absent words"), (83, "Ab c X1 x1")]
+    return docs, items
+
+
+@pytest.mark.parametrize("kw", [{}, {"k": 3}, {"block_terms": 20, "tree_docs": 40}, {"tree_docs": 1}])
+def test_against_brute_force(spark, docs, kw):
+    rows, items = case(13)
+    table = docs(rows, extra=["item_id", "score", "rank", "block", "query", "n"])
+    assert run(spark, table, items, **kw) == sorted(map(str, brute(rows, items, kw.get("k", 10))))
+
+
+def test_no_documents_or_items(spark, docs):
+    assert run(spark, docs([]), [(1, "a b")]) == []
+    assert run(spark, docs([None, ""]), [(1, "a b")]) == []
+    assert run(spark, docs(["a b"]), [(1, None)]) == []
+
+
+@st.composite
+def trees(draw):
+    terms = draw(st.integers(1, 12))
+    vector = st.dictionaries(st.integers(0, terms - 1), st.integers(1, 10**6), min_size=1)
+    vectors = draw(st.lists(vector, min_size=1, max_size=40))
+    query = draw(st.lists(st.integers(0, 44_000 * 1000), min_size=terms, max_size=terms))
+    return terms, vectors, np.array(query, dtype=np.int64)
+
+
+def tree_of(terms, vectors, leaf):
+    rows = L.Rows(np.cumsum([0, *map(len, vectors)]), np.array([t for v in vectors for t in sorted(v)]),
+                  np.array([v[t] for v in vectors for t in sorted(v)], dtype=np.int64))
+    return rows, L.Node(rows, np.array([*range(len(vectors)), None], dtype=object)[:-1], terms, leaf)
+
+
+@settings(max_examples=300, deadline=None)
+@given(trees(), st.integers(1, 4), st.integers(1, 12))
+def test_bounds_hold_and_search_is_exact(case, leaf, k):
+    terms, vectors, query = case
+    rows, root = tree_of(terms, vectors, leaf)
+    scores = rows.dot(query)
+    doubles = query.astype(float)
+    norm = math.sqrt(float(doubles @ doubles)) * (1 + L.SLACK)
+
+    def check(node):
+        if node.rows is not None:
+            below = node.docs.tolist()
+        else:
+            below = [d for c in node.children for d in check(c)]
+        ball = (float(doubles[node.terms] @ node.centroid) + norm * node.radius) * (1 + L.SLACK)
+        assert max(int(scores[d]) for d in below) <= min(node.bound(query, doubles, norm), math.ceil(ball) + 1)
+        return below
+
+    assert sorted(check(root)) == list(range(len(vectors)))
+    best = L.Best(k)
+    L.search(root, query, best)
+    expected = sorted((-int(s), d) for d, s in enumerate(scores) if s > 0)[:k]
+    assert [(s, d) for s, _, d in best.rows] == expected
+
+
+def test_subtrees_are_pruned():
+    """Clusters of documents on different terms: a query opens its own cluster alone."""
+    rnd = random.Random(1)
+    vectors = [{t: rnd.randint(800_000, 900_000) for t in range(10 * (i % 16), 10 * (i % 16) + 10)} for i in range(1024)]
+    _, root = tree_of(160, vectors, 32)
+    query = np.zeros(160, dtype=np.int64)
+    query[30:40] = 3000
+    best = L.Best(10)
+    assert L.search(root, query, best) <= 256 and all(d % 16 == 3 for _, _, d in best.rows)
+
+
+def test_query_over_whole_tables_against_brute_force(spark):
+    docs, items = ([tuple(r) for r in spark.read.parquet(f"{SF}/{n}.parquet").select(i, "text").collect()]
+                   for n, i in (("documents", "doc_id"), ("benchmark", "item_id")))
+    got = L.op13_search(spark, SF)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(brute(docs, items))
