@@ -326,7 +326,8 @@ def land_measurements_by_sensor(spark: SparkSession, sf_dir: str, path: str, blo
 
 
 def land_odd_measurements(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Land measurement pages of 1000 events, with faults by event id and by page number (modulo 10).
+    """Land measurement pages of 1000 events, with faults by event id and by page number (modulo 10), each in the folder of
+    its file's first sensor: documents of that sensor carry none, the others their own.
 
     Event % 11: 0 has no local datetime, 1 a broken one, 2 one to the minute. Page % 10: 1 holds an element that is no
     object, 2 is pretty-printed, 3 has text after it, 4 is truncated, 5 and 6 lie as two lines of one file with an empty
@@ -339,20 +340,23 @@ def land_odd_measurements(spark: SparkSession, sf_dir: str, path: str) -> None:
     period = F.struct(F.col("period.label").alias("label"), F.col("period.interval").alias("interval"),
                       F.struct(F.col("period.datetimeFrom.utc").alias("utc"), local.alias("local")).alias("datetimeFrom"),
                       F.col("period.datetimeTo").alias("datetimeTo"))
-    doc = F.struct("sensor_id", "value", "parameter", period.alias("period"), "coverage")
-    page, kind = F.floor(F.col("event_id") / 1000), F.col("page") % 10
-    pages = docs.select(page.alias("page"), doc.alias("doc")).groupBy("page").agg(
-        F.to_json(F.struct(F.collect_list("doc").alias("results"))).alias("value"))
+    page, kind = F.floor(F.col("event_id") / 1000).alias("page"), F.col("page") % 10
+    file = F.when(kind == 6, F.col("page") - 1).otherwise(F.col("page"))
+    folders = docs.select("sensor_id", page).groupBy(file.alias("file")).agg(F.min("sensor_id").alias("folder"))
+    doc = F.struct(F.when(F.col("sensor_id") != F.col("folder"), F.col("sensor_id")).alias("sensor_id"), "value", "parameter",
+                   period.alias("period"), "coverage")
+    pages = (docs.withColumn("page", page).withColumn("file", file).join(folders, "file")
+             .select("page", "folder", doc.alias("doc")).groupBy("page", "folder").agg(
+                 F.to_json(F.struct(F.collect_list("doc").alias("results"))).alias("value")))
     text = (F.when(kind == 1, F.regexp_replace("value", r"^\{\"results\":\[", '{"results":["no object",'))
             .when(kind == 2, F.regexp_replace("value", r"^\{\"results\":\[", '{\n  "results": [\n'))
             .when(kind == 3, F.concat("value", F.lit(" and more")))
             .when(kind == 4, F.expr("substring(value, 1, length(value) div 2)"))
             .when(kind == 6, F.concat(F.lit('{"results":[]}\n'), F.col("value")))
             .otherwise(F.col("value")))
-    file = F.when(kind == 6, F.col("page") - 1).otherwise(F.col("page"))
-    files = (pages.select(file.alias("page"), F.struct(F.col("page").alias("at"), text.alias("text")).alias("t"))
-             .groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["text"]), "\n").alias("value")))
-    files.write.mode("overwrite").partitionBy("page").text(path)
+    files = (pages.select(file.alias("page"), F.col("folder").alias("sensor_id"), F.struct(F.col("page").alias("at"), text.alias("text")).alias("t"))
+             .groupBy("sensor_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["text"]), "\n").alias("value")))
+    files.write.mode("overwrite").partitionBy("sensor_id", "page").text(path)
 
 
 def land_all(spark: SparkSession, sf_dir: str, root: str, one_page_per_file: bool = True, measurements: bool = True):

@@ -45,6 +45,7 @@ from aeris import schemas
 from aeris.functions.time import a_day, day_text
 from aeris.plans.load import StepResult, Warehouse, load_step
 from aeris.sources import landed
+from aeris.sources.manifest import LandingManifest
 
 
 @dataclass
@@ -85,12 +86,13 @@ class _Staging:
         self.tables = Warehouse(spark, "path", root=root)
         self.done: list[str] = []
         self.restrict = {}
+        self.files: dict[str, list[str]] = {}
 
     def pages(self, source: str) -> DataFrame:
         name = f"staged_{source}"
         if source not in self.done:
             parsed = landed.parse_pages(self.spark, getattr(self.landing, source), SOURCES[source],
-                                        self.landing.layout, self.restrict.get(source))
+                                        self.landing.layout, self.restrict.get(source), self.files.get(source))
             self.tables.write(parsed, name, mode="overwrite")
             self.done.append(source)
         return self.tables.read(name)
@@ -160,6 +162,7 @@ def run_daily_etl(
     exact: bool = False,
     fact_mode: str = "replace",
     staging_root: str | None = None,
+    manifest: str | None = None,
 ) -> dict[str, StepResult]:
     """Run the twelve steps; return each step's result (action, row count, table).
 
@@ -169,6 +172,9 @@ def run_daily_etl(
     ``fact_mode`` is ``load_step``'s (a JDBC warehouse needs ``append``);
     ``staging_root`` is the folder of the staging tables (default: in a path
     warehouse its root, else a new folder under the shared checkpoint folder).
+    ``manifest`` is the folder of the measurements' ``LandingManifest``: it is
+    brought up to date, and the run opens only the files that may hold
+    something for it, with the same facts and quarantine.
     """
     from aeris.functions.time import run_window
 
@@ -204,6 +210,10 @@ def run_daily_etl(
         step("france_cities_sensors", lambda: op.city_points(op.assign_communes(
             op.location_points(locations), spark.read.parquet(landing.communes), cell_size=cell_size)), "locations")
 
+    if manifest:
+        listed = LandingManifest(spark, landing.measurements, manifest, landing.layout)
+        listed.refresh()
+        stage.files["measurements"] = listed.files(listed.needed(start, end, sensors, fetched=(start, run_date)))
     stage.restrict["measurements"] = _needed(start, run_date, sensors)
 
     def selected() -> DataFrame:

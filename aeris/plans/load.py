@@ -219,11 +219,11 @@ class Warehouse:
 
 def _evolved(stored: T.StructType, batch: T.StructType, name: str) -> T.StructType:
     """The stored schema with the batch's new columns; another type of a stored column is an error."""
-    known = {f.name: f.dataType for f in stored.fields}
+    # types are told apart without their nullability, which files don't keep
+    known = {f.name: f.dataType.simpleString() for f in stored.fields}
     for f in batch.fields:
-        if f.name in known and known[f.name] != f.dataType:
-            raise ValueError(f"{name}: column {f.name} is stored as {known[f.name].simpleString()}, "
-                             f"the batch has {f.dataType.simpleString()}")
+        if f.name in known and known[f.name] != f.dataType.simpleString():
+            raise ValueError(f"{name}: column {f.name} is stored as {known[f.name]}, the batch has {f.dataType.simpleString()}")
     return T.StructType(stored.fields + [T.StructField(f.name, f.dataType) for f in batch.fields if f.name not in known])
 
 
@@ -345,9 +345,13 @@ def load_step(
     return result
 
 
-def _within(df: DataFrame, column: str, window: tuple[str, str]) -> DataFrame:
+def _inside(df: DataFrame, column: str, window: tuple[str, str]):
     lo, hi = (F.lit(x).cast(df.schema[column].dataType) for x in window)
-    return df.where((F.col(column) >= lo) & (F.col(column) < hi))
+    return (F.col(column) >= lo) & (F.col(column) < hi)
+
+
+def _within(df: DataFrame, column: str, window: tuple[str, str]) -> DataFrame:
+    return df.where(_inside(df, column, window))
 
 
 def _emptied_days(warehouse: Warehouse, name: str, df: DataFrame, column: str,
@@ -380,8 +384,7 @@ def _merge_with_stored(warehouse: Warehouse, name: str, batch: DataFrame, partit
     stored = warehouse.read(name)
     if window:
         stored = _within(stored, partition_by[0], window)
-        inside = _within(batch, partition_by[0], window)
-        if not batch.exceptAll(inside).isEmpty():
+        if not batch.where(~F.coalesce(_inside(batch, partition_by[0], window), F.lit(False))).isEmpty():
             raise ValueError(f"{name}: the batch has rows outside of the window {window}")
     touched = batch.select(*[F.col(c).alias(f"__{c}") for c in partition_by]).distinct()
     same = F.lit(True)

@@ -817,3 +817,103 @@ ORACLE_SQL.update({
     UNION ALL SELECT 'quarantined_bad_element' FROM (SELECT DISTINCT page FROM e WHERE page % 10 = 1))
   SELECT fate, count(*) AS n FROM fate GROUP BY fate""",
 })
+
+
+# ---------------------------------------------------------------- manifest, partials, ledger
+
+def _manifest(spark: SparkSession, d: str):
+    """The manifest of the landing by sensor folder, brought up to date."""
+    from aeris.session import scratch_path
+    from aeris.sources.manifest import LandingManifest
+
+    key = (spark.sparkContext.applicationId, id(spark), d, "manifest")
+    if key not in _ETL_RUNS:
+        _ETL_RUNS[key] = scratch_path(spark, "manifest")
+    listed = LandingManifest(spark, _landed_by_sensor(spark, d), _ETL_RUNS[key])
+    listed.refresh()
+    return listed
+
+
+def manifest_files(spark: SparkSession, d: str) -> DataFrame:
+    """What the manifest knows of each landed folder (one file each)."""
+    folder = F.regexp_extract("file", "/sensor_id=([0-9]+)/", 1).cast("int").alias("folder")
+    return _manifest(spark, d).read().select(folder, "rows", "undated", "unkeyed", "faults", "min_day", "max_day", "sensors")
+
+
+def manifest_pruned_measurements(spark: SparkSession, d: str) -> DataFrame:
+    """The raw measurements of a window and of every hundredth station's sensors, from the files that the manifest names."""
+    from aeris import schemas
+    from aeris.functions.time import day_text
+    from aeris.sources import landed
+
+    listed = _manifest(spark, d)
+    sensors = sensors_dim(spark, d).where(F.col("location_id") % 100 == 7)
+    files = listed.files(listed.needed(*ODD_WINDOW, sensors))
+    rows = landed.measurement_rows(landed.page_rows(landed.parse_pages(spark, listed.landing, schemas.MEASUREMENT, files=files)))
+    rows = rows.withColumn("day", day_text(F.col("period.datetimeFrom.local")))
+    return op.raw_measurements(op.measurements_of_sensors(op.measurements_between(rows, *ODD_WINDOW, column="day"), sensors))
+
+
+def incremental_daily_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Four batches of measurements, all of which hold every day, merged as partials; the first is given twice."""
+    from aeris.functions.time import day_text
+    from aeris.operators.partials import add_batch
+
+    wh = _warehouse(spark, "partials")
+    raw = A.raw_measurements(spark, d, with_event_id=True).withColumn("day", day_text(F.col("period.datetimeFrom.local")))
+    fact = op.raw_measurements(raw, keep=["day", "event_id"])
+    for batch in (0, 1, 0, 2, 3):
+        add_batch(wh, fact.where(F.col("event_id") % 4 == batch), batch, exact=True)
+    return wh.read("agg_measurements")
+
+
+def _ledger(spark: SparkSession, d: str, waves: list) -> object:
+    """The ledger's warehouse after one run for each wave of measurements that lands."""
+    from aeris.session import scratch_path
+    from aeris.sources.landed import write_pages
+    from aeris.streaming.ledger import run_ledger_stream
+
+    root, ckpt, manifest = (scratch_path(spark, x) for x in ("waves", "ledger-ckpt", "ledger-manifest"))
+    wh = _warehouse(spark, "ledger")
+    for i, wave in enumerate(waves):
+        docs = A.raw_measurements(spark, d, with_event_id=True).where(wave)
+        write_pages(docs, f"{root}/wave{i}", F.floor(F.col("event_id") / 1000).cast("int"), drop=["event_id"], one_page_per_file=False)
+        run_ledger_stream(spark, root, wh, ckpt, manifest, exact=True, layout="lines", max_files_per_trigger=4).awaitTermination()
+    return wh
+
+
+def stream_ledger_days(spark: SparkSession, d: str) -> DataFrame:
+    """Closed days of a backlog that is read in small batches, in whatever order its files come."""
+    from aeris.streaming.ledger import STATS
+
+    return _ledger(spark, d, [F.lit(True)]).read(STATS)
+
+
+def stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A tenth of the measurements lands after the days of the others were closed: late rows by day."""
+    from aeris.streaming.ledger import late_counts
+
+    return late_counts(_ledger(spark, d, [F.col("event_id") % 10 != 0, F.col("event_id") % 10 == 0]))
+
+
+REPORTS.update({
+    "manifest_files": manifest_files,
+    "manifest_pruned_measurements": manifest_pruned_measurements,
+    "incremental_daily_stats": incremental_daily_stats,
+    "stream_ledger_days": stream_ledger_days,
+    "stream_late_rows": stream_late_rows,
+})
+ORACLE_SQL.update({
+    "manifest_files": f"""WITH {M}
+  SELECT sensor_id - sensor_id % 500 + 1 AS folder, count(*) AS rows, CAST(0 AS BIGINT) AS undated, CAST(0 AS BIGINT) AS unkeyed,
+         CAST(0 AS BIGINT) AS faults, min(day) AS min_day, max(day) AS max_day, count(DISTINCT sensor_id) AS sensors
+  FROM m GROUP BY 1""",
+    "manifest_pruned_measurements": f"""WITH {M}, {SENS} {RAW} WHERE day >= '{ODD_WINDOW[0]}' AND day < '{ODD_WINDOW[1]}'
+    AND sensor_id IN (SELECT sensor_id FROM sens WHERE location_id % 100 = 7)""",
+    "incremental_daily_stats": f"WITH {M}, {DAILY} SELECT * FROM daily",
+    "stream_ledger_days": ORACLE_SQL["stream_closed_days"],
+    "stream_late_rows": """WITH m AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events),
+  first AS (SELECT DISTINCT day FROM m WHERE event_id % 10 <> 0)
+  SELECT day, count(*) AS n FROM m WHERE event_id % 10 = 0 AND day IN (
+    SELECT day FROM first WHERE CAST(day AS DATE) + 2 <= (SELECT CAST(max(day) AS DATE) FROM first)) GROUP BY day""",
+})

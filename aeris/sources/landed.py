@@ -21,6 +21,7 @@ Layouts (``layout``):
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,8 @@ PAGE_COLUMNS = ("source_file", "element", "doc", "reason", "raw_text")
 #: Reason of an element whose readable fields are rows all the same.
 PARTLY = "partly_corrupt"
 LAYOUTS = ("auto", "page", "lines")
+#: Column of a text's envelopes where they are parsed already.
+PAGES = "__pages"
 
 
 def parse_documents(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
@@ -48,35 +51,64 @@ def _envelopes(value: Column) -> Column:
     return F.from_json(F.concat(F.lit("["), value, F.lit("]")), "array<struct<results:array<string>>>")
 
 
-def _files(spark: SparkSession, path: str, whole: bool, restrict: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
-    text = spark.read.text(path, wholetext=whole)
+#: Files up to this size are read whole to tell their layout, in the task that reads them (fixed bound in bytes).
+WHOLE_FILE = 32 << 20
+
+
+def _glob_safe(uri: str) -> str:
+    """A ``_metadata.file_path`` as a path to read: without URI escapes, and with none of its characters a wildcard."""
+    from urllib.parse import unquote
+
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", unquote(uri))
+
+
+def _files(spark: SparkSession, path: str, whole: bool, restrict: Callable[[DataFrame], DataFrame] | None,
+           files: list[str] | None = None) -> DataFrame:
+    if files:  # folder keys are those below ``path``
+        text = spark.read.option("basePath", path).text([_glob_safe(f) for f in files], wholetext=whole)
+    else:
+        text = spark.read.text(path, wholetext=whole)
     text = text.withColumn("source_file", F.col("_metadata.file_path"))
+    if files is not None and not files:
+        text = text.where(F.lit(False))
     return restrict(text) if restrict else text
 
 
-def _texts(spark: SparkSession, path: str, layout: str, restrict) -> DataFrame:
+def _texts(spark: SparkSession, path: str, layout: str, restrict, files: list[str] | None = None) -> DataFrame:
     """Page texts with their file and folder keys."""
     if layout not in LAYOUTS:
         raise ValueError(f"unknown layout {layout!r}")
     if layout == "page":
-        return _files(spark, path, True, restrict)
-    lines = _files(spark, path, False, restrict).where(F.trim("value") != "")
+        return _files(spark, path, True, restrict, files)
     if layout == "lines":
-        return lines
-    # a file is read whole if none of its lines is a page; one row per file here
-    a_page = F.coalesce(F.exists(_envelopes(F.col("value")), lambda p: p["results"].isNotNull()), F.lit(False))
-    whole = (lines.groupBy("source_file").agg(F.max(a_page).alias("ok")).where("not ok")
-             .select(F.col("source_file").alias("__file")))
+        return _files(spark, path, False, restrict, files).where(F.trim("value") != "")
+    # a file is read whole if none of its lines is a page. Usual files are told apart in the task that reads them, and their
+    # pages are parsed there once; of larger files one row per file is compared
+    size = F.col("_metadata.file_size")
+    a_page = lambda pages: F.coalesce(F.exists(pages, lambda p: p["results"].isNotNull()), F.lit(False))
+    small = _files(spark, path, True, None, files).where(size <= WHOLE_FILE)
+    small = restrict(small) if restrict else small
+    line = F.filter(F.split("value", r"\r\n|[\r\n]"), lambda x: F.trim(x) != "")
+    small = small.withColumn("__lines", F.transform(line, lambda x: F.struct(x.alias("value"), _envelopes(x).alias("pages"))))
+    whole = F.array(F.struct(F.col("value"), _envelopes(F.col("value")).alias("pages")))
+    text = F.when(F.exists("__lines", lambda x: a_page(x["pages"])), F.col("__lines")).otherwise(whole)
+    small = small.withColumn("__text", F.explode(text)).select(
+        "__text.value", *[c for c in small.columns if c not in ("value", "__lines")], F.col("__text.pages").alias(PAGES))
+
+    lines = _files(spark, path, False, None, files).where((size > WHOLE_FILE) & (F.trim("value") != ""))
+    lines = (restrict(lines) if restrict else lines).withColumn(PAGES, _envelopes(F.col("value")))
+    plain = lines.groupBy("source_file").agg(F.max(a_page(F.col(PAGES))).alias("ok")).where("not ok").select(F.col("source_file").alias("__file"))
     hit = F.col("source_file") == F.col("__file")
-    return (lines.join(whole, hit, "left_anti")
-            .unionByName(_files(spark, path, True, restrict).join(whole, hit, "left_semi")))
+    pages = _files(spark, path, True, None, files).where(size > WHOLE_FILE)
+    pages = (restrict(pages) if restrict else pages).join(plain, hit, "left_semi").withColumn(PAGES, _envelopes(F.col("value")))
+    return small.unionByName(lines.join(plain, hit, "left_anti")).unionByName(pages)
 
 
 def parse_text(text: DataFrame, entity: T.StructType) -> DataFrame:
     """Pages (columns ``value``, ``source_file`` and folder keys) → one row per element of their ``results`` and one per
     unreadable page; see ``parse_pages``. Works on batches and streams."""
     names = set(entity.fieldNames())
-    keys = [F.col(c).alias(f"{c}__key" if c in names else c) for c in text.columns if c not in ("value", "source_file")]
+    keys = [F.col(c).alias(f"{c}__key" if c in names else c) for c in text.columns if c not in ("value", "source_file", PAGES)]
     item = "array<struct<element:int,raw:string,reason:string>>"
     none = F.lit(None)
 
@@ -84,13 +116,14 @@ def parse_text(text: DataFrame, entity: T.StructType) -> DataFrame:
         return F.array(F.struct(none.cast("int").alias("element"), F.col("value").alias("raw"),
                                 F.lit(reason).alias("reason"))).cast(item)
 
-    pages = F.col("__pages")
+    pages = F.col(PAGES)
     elements = F.flatten(F.transform(pages, lambda p: F.transform(p["results"], lambda x, i: F.struct(
         i.cast("int").alias("element"), x.alias("raw"), none.cast("string").alias("reason"))))).cast(item)
     items = (F.when(pages.isNull() | (F.size(pages) < 1), fault("malformed"))
              .when(F.exists(pages, lambda p: p["results"].isNull()), fault("no_results")).otherwise(elements))
-    rows = (text.withColumn("__pages", _envelopes(F.col("value")))
-            .select(*keys, "source_file", F.explode(items).alias("__item")).select("*", "__item.*").drop("__item"))
+    if PAGES not in text.columns:
+        text = text.withColumn(PAGES, _envelopes(F.col("value")))
+    rows = (text.select(*keys, "source_file", F.explode(items).alias("__item")).select("*", "__item.*").drop("__item"))
     wide = T.StructType(entity.fields + [T.StructField(CORRUPT, T.StringType())])
     doc = F.from_json(F.col("raw"), wide, {"columnNameOfCorruptRecord": CORRUPT})
     rows = rows.withColumn("__doc", F.when(F.col("reason").isNull(), doc))
@@ -104,8 +137,8 @@ def parse_text(text: DataFrame, entity: T.StructType) -> DataFrame:
 
 
 def parse_pages(spark: SparkSession, path: str, entity: T.StructType, layout: str = "auto",
-                restrict: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Parse every page under ``path`` once.
+                restrict: Callable[[DataFrame], DataFrame] | None = None, files: list[str] | None = None) -> DataFrame:
+    """Parse every page under ``path``, or in its ``files`` alone, once.
 
     One row per element of every page's ``results``, and one per page that
     cannot be read. Columns: the layout's folder keys (renamed ``<c>__key``
@@ -119,7 +152,7 @@ def parse_pages(spark: SparkSession, path: str, entity: T.StructType, layout: st
     their folder keys before anything is parsed. Written as Parquet, it is the
     staging table that rows and quarantine are read from.
     """
-    return parse_text(_texts(spark, path, layout, restrict), entity)
+    return parse_text(_texts(spark, path, layout, restrict, files), entity)
 
 
 def _page_keys(pages: DataFrame) -> list[str]:

@@ -12,7 +12,9 @@ its own):
 * ``run_daily_stats_stream``: a windowed aggregation with a watermark, whose
   state is bounded by the open days. In append mode a day is written once its
   window has closed (watermark = latest event time seen minus ``lateness``);
-  later rows are dropped, which is the watermark's contract.
+  later rows are dropped, which is the watermark's contract. It takes all that
+  has landed as one batch; ``ledger.run_ledger_stream`` closes days whatever the
+  size and order of batches, and counts late rows.
 
 Both are exactly-once across restarts and lost executors. Same statistics as
 ``operators.daily_sensor_stats``.
@@ -27,6 +29,7 @@ from aeris import operators as op
 from aeris import schemas
 from aeris.functions.numeric import rounder
 from aeris.functions.time import a_day, day_text, local_timestamp
+from aeris.operators.partials import add_batch, partials_of_raw_fact
 from aeris.sources import landed
 
 _SENSOR_FOLDER = r"/sensor_id=([0-9]+)/"
@@ -97,6 +100,19 @@ def daily_stats_stream(rows: DataFrame, lateness: str = "1 day", expected_per_da
     )
 
 
+def split_batch(pages: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
+    """(raw fact rows with their day, quarantine rows) of a micro-batch of parsed pages, both with the batch's number: unreadable
+    pages, bad elements and rows without a day can't be loaded."""
+    rows = landed.measurement_rows(landed.page_rows(pages)).withColumn("day", day_text(F.col("period.datetimeFrom.local")))
+    bad = landed.page_quarantine(pages).select("source_file", "element", "raw_text", "reason")
+    undated = rows.where(~a_day(F.col("day"))).select(
+        F.lit(None).cast("string").alias("source_file"), F.lit(None).cast("int").alias("element"),
+        F.to_json(F.struct(*[c for c in rows.columns if c != "day"])).alias("raw_text"), F.lit("no_day").alias("reason"))
+    number = F.lit(batch_id).cast("long")
+    dated = op.raw_measurements(rows.where(a_day(F.col("day"))), keep=["day"])
+    return dated.withColumn("batch", number), bad.unionByName(undated).withColumn("batch", number)
+
+
 def _triggered(writer, available_now: bool, processing_time: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -112,16 +128,17 @@ def run_daily_stats_stream(
     exact: bool = False,
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
     layout: str = "page",
 ):
     """Start the watermarked stream from ``source`` into a ``day``-partitioned Parquet sink.
 
     ``available_now=True`` processes what has landed and stops (a scheduled
     daily run); otherwise it runs every ``processing_time``. Returns the
-    ``StreamingQuery``.
+    ``StreamingQuery``. A batch is all that has landed: files come in no order of their
+    events, and between batches of a bounded backlog the watermark would pass rows not yet
+    read. For bounded batches in any order see ``run_ledger_stream``.
     """
-    rows = measurement_stream(spark, source, layout, max_files_per_trigger)
+    rows = measurement_stream(spark, source, layout)
     out = daily_stats_stream(rows, lateness=lateness, exact=exact)
     writer = (out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
               .partitionBy("day"))
@@ -140,27 +157,21 @@ def run_daily_fact_stream(
     max_files_per_trigger: int | None = None,
     layout: str = "page",
 ):
-    """Start the stream into three tables of ``warehouse``: ``stream_raw_measurements`` (by day and batch number),
-    ``stream_agg_measurements`` (by day) and ``stream_quarantine_pages`` (by batch number). Returns the ``StreamingQuery``."""
+    """Start the stream into four tables of ``warehouse``: ``stream_raw_measurements`` and ``stream_partial_measurements`` (by day and
+    batch number), ``stream_agg_measurements`` (by day, from the partials of the days that a batch touches) and
+    ``stream_quarantine_pages`` (by batch number). Returns the ``StreamingQuery``."""
+    raw, partials = "stream_raw_measurements", "stream_partial_measurements"
 
     def load(pages: DataFrame, batch_id: int) -> None:
         pages = pages.persist()
         try:
-            rows = landed.measurement_rows(landed.page_rows(pages)).withColumn(
-                "day", day_text(F.col("period.datetimeFrom.local")))
-            bad = landed.page_quarantine(pages).select("source_file", "element", "raw_text", "reason")
-            undated = rows.where(~a_day(F.col("day"))).select(
-                F.lit(None).cast("string").alias("source_file"), F.lit(None).cast("int").alias("element"),
-                F.to_json(F.struct(*[c for c in rows.columns if c != "day"])).alias("raw_text"), F.lit("no_day").alias("reason"))
-            number = F.lit(batch_id).cast("long")
-            warehouse.write(bad.unionByName(undated).withColumn("batch", number), "stream_quarantine_pages",
-                            mode="replace_partitions", partition_by=["batch"])
-            dated = op.raw_measurements(rows.where(a_day(F.col("day"))), keep=["day"]).withColumn("batch", number)
-            warehouse.write(dated, "stream_raw_measurements", mode="replace_partitions", partition_by=["day", "batch"])
-            days = sorted(r[0] for r in dated.select("day").distinct().collect())  # a row per day of a micro-batch
-            fact = warehouse.read("stream_raw_measurements").where(F.col("day").isin(days))
-            warehouse.write(op.daily_stats_of_raw_fact(fact, expected_per_day, exact), "stream_agg_measurements",
-                            mode="replace_partitions", partition_by=["day"])
+            dated, bad = split_batch(pages, batch_id)
+            if warehouse.exists(raw) and not warehouse.exists(partials):  # a fact that was stored before there were partials
+                warehouse.write(partials_of_raw_fact(warehouse.read(raw).where(F.col("batch") < batch_id), keep=["batch"]), partials,
+                                partition_by=["day", "batch"], cluster_by=["sensor_id"])
+            warehouse.write(bad, "stream_quarantine_pages", mode="replace_partitions", partition_by=["batch"])
+            warehouse.write(dated, raw, mode="replace_partitions", partition_by=["day", "batch"])
+            add_batch(warehouse, dated, batch_id, partials, "stream_agg_measurements", expected_per_day, exact)
         finally:
             pages.unpersist()
 

@@ -177,3 +177,14 @@ def test_custom_writer(spark, scratch):
         wh.write(df, name)
 
     assert load_step(wh, "d", lambda: spark.range(3).toDF("k"), writer=writer).rows == 3 and seen == ["d"]
+
+
+def test_jobs_of_a_step_carry_its_label(spark, scratch):
+    from aeris.plans.load import Warehouse, load_step
+
+    wh, tracker = Warehouse(spark, "path", root=scratch("wh")), spark.sparkContext.statusTracker()
+    load_step(wh, "labelled_step", lambda: spark.range(10).toDF("k"))
+    assert len(tracker.getJobIdsForGroup("labelled_step")) >= 1
+    before = list(tracker.getJobIdsForGroup("labelled_step"))
+    spark.range(5).count()  # after the step, jobs have no label
+    assert list(tracker.getJobIdsForGroup("labelled_step")) == before

@@ -1,0 +1,131 @@
+import json
+import os
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from aeris import schemas
+from aeris.session import local_fs_path
+from aeris.sources import landed
+from aeris.sources import manifest as M
+
+
+def land(root, name, docs):
+    path = os.path.join(local_fs_path(root), name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(docs if isinstance(docs, str) else json.dumps({"results": docs}))
+
+
+def doc(day, value=1.0, **more):
+    return {"value": value, "parameter": {"id": 2}, "period": {"datetimeFrom": {"local": day and f"{day}T10:00:00Z"}}, **more}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(-2**31, 2**31 - 1), max_size=300), st.lists(st.integers(-2**31, 2**31 - 1), max_size=50))
+def test_filter_holds_what_was_put_in(keys, others):
+    got = M.bloom(np.array(sorted(keys), dtype=np.int64))
+    assert M.holds(got, np.array(sorted(keys), dtype=np.int64)).all()
+    if not keys:
+        assert not M.holds(got, np.array(others, dtype=np.int64)).any()
+
+
+def test_filter_seldom_holds_others():
+    rnd = np.random.default_rng(2)
+    for n in (1, 7, 100, 5000):
+        got = M.bloom(np.arange(n) * 3)
+        assert M.holds(got, rnd.integers(10**6, 2**31, 20_000)).mean() < 0.012 and len(got) <= max(8, n * 2 * M.BLOOM_BITS / 8)
+
+
+def rows_of(spark, root, files):
+    m = landed.measurement_rows(landed.page_rows(landed.parse_pages(spark, root, schemas.MEASUREMENT, files=files)))
+    return sorted((r.sensor_id or -1, r.period.datetimeFrom.local or "", r.value) for r in m.collect())
+
+
+def landing(scratch):
+    root = scratch("landing")
+    for s in range(40):
+        land(root, f"fetch_date=2025-03-02/sensor_id={s}/p.json", [doc(f"2025-03-0{1 + s % 3}", s)])
+    land(root, "fetch_date=2025-03-02/sensor_id=100/own.json", [doc("2025-03-01", 7.0, sensor_id=5), doc("2025-03-09", 8.0)])
+    land(root, "fetch_date=2025-03-02/sensor_id=101/undated.json", [doc(None, 9.0)])
+    land(root, "fetch_date=2025-03-02/sensor_id=102/broken.json", '{"results": [{"val')
+    land(root, "fetch_date=2025-03-02/sensor_id=x/un keyed {1}*.json", [doc("2025-03-01", 10.0)])
+    land(root, "fetch_date=2025-03-07/sensor_id=5/other.json", [doc("2025-03-01", 11.0)])
+    land(root, "fetch_date=2025-03-02/sensor_id=103/lines.json", json.dumps({"results": []}) + "\n" + json.dumps({"results": [doc("2025-03-01", 12.0)]}))
+    land(root, "fetch_date=2025-03-02/sensor_id=104/empty.json", [])
+    return root
+
+
+def test_rows_of_the_manifest(spark, scratch):
+    root = landing(scratch)
+    m = M.LandingManifest(spark, root, scratch("manifest"))
+    assert m.refresh(file_block=20) == 47 and m.refresh() == 0
+    got = {r.file.rsplit("/", 1)[-1] if "p.json" not in r.file else r.file.split("sensor_id=")[1].split("/")[0]: r for r in m.read().collect()}
+    assert len(got) == 47 and all(got[str(s)].min_day == got[str(s)].max_day == f"2025-03-0{1 + s % 3}" for s in range(40))
+    own, empty, lines = got["own.json"], got["empty.json"], got["lines.json"]
+    assert (own.rows, own.sensors, own.min_day, own.max_day) == (2, 2, "2025-03-01", "2025-03-09")
+    assert (empty.rows, empty.sensors, empty.faults, empty.min_day, lines.rows) == (0, 0, 0, None, 1)
+    assert (got["undated.json"].undated, got["broken.json"].faults, got["broken.json"].rows) == (1, 1, 0)
+    assert [f.split("%20")[0] for f, r in got.items() if r.unkeyed] == ["un"]
+    assert {r.fetch_date for r in got.values()} == {"2025-03-02", "2025-03-07"}
+
+
+def test_a_run_opens_few_files_and_finds_every_row(spark, scratch):
+    root = landing(scratch)
+    m = M.LandingManifest(spark, root, scratch("manifest"))
+    m.refresh()
+    sensors = spark.createDataFrame([(5,), (5,), (6,), (None,), (12345,)], "sensor_id int")
+    files = m.files(m.needed("2025-03-01", "2025-03-02", sensors))
+    # sensor 6 has its row on the 1st; sensor 5 in a folder of another sensor and on another fetch day; three files have something to report
+    names = {f.split("/")[-1] if "p.json" not in f else f.split("/")[-2] for f in files}
+    assert names >= {"sensor_id=6", "own.json", "other.json", "undated.json", "broken.json"} and len(files) <= 8
+    wanted = lambda rows: [r for r in rows if r[0] in (5, 6) and r[1].startswith("2025-03-01")]
+    assert wanted(rows_of(spark, root, files)) == wanted(rows_of(spark, root, None)) != []
+    plan = landed.parse_pages(spark, root, schemas.MEASUREMENT, files=files)
+    assert {local_fs_path(f) for f in plan.inputFiles()} == {local_fs_path(f) for f in files}
+    fetched = m.files(m.needed("2025-03-01", "2025-03-02", sensors, fetched=("2025-03-01", "2025-03-03")))
+    assert set(files) - set(fetched) == {f for f in files if "2025-03-07" in f}
+    assert len(m.files(m.needed("2025-03-01", "2025-03-02", spark.createDataFrame([], "sensor_id int")))) == 3
+    assert len(m.files(m.needed("2025-03-09", "2025-03-10"))) == 4
+
+
+def test_changed_and_removed_files(spark, scratch):
+    root = scratch("landing")
+    for i in range(3):
+        land(root, f"f{i}.json", [doc("2025-03-01", sensor_id=i)])
+    m = M.LandingManifest(spark, root, scratch("manifest"))
+    assert m.refresh() == 3
+    land(root, "f1.json", [doc("2025-03-05", sensor_id=77), doc("2025-03-06", sensor_id=78)])
+    os.unlink(os.path.join(local_fs_path(root), "f2.json"))
+    assert m.refresh() == 1
+    assert sorted((r.file[-7:], r.rows, r.max_day) for r in m.read().collect()) == [("f0.json", 1, "2025-03-01"), ("f1.json", 2, "2025-03-06")]
+
+
+def test_no_file_opens_no_file(spark, scratch):
+    root = landing(scratch)
+    assert rows_of(spark, root, []) == [] and len(rows_of(spark, root, None)) == 46
+
+
+def test_daily_run_with_a_manifest_loads_the_same(spark, scratch):
+    from aeris import adapters as A
+    from aeris.plans.etl import Landing, run_daily_etl
+    from aeris.plans.load import Warehouse
+    from tests.conftest import SF001
+
+    root, manifest = scratch("landing"), scratch("manifest")
+    A.land_all(spark, SF001, root, one_page_per_file=False, measurements=False)
+    A.land_measurements_by_sensor(spark, SF001, f"{root}/measurements", block=20)
+    land(root, "measurements/sensor_id=1000001/a.json", [doc("2024-01-06", 1.0), doc(None, 2.0)])
+    land(root, "measurements/sensor_id=x/a.json", '{"results": [{"val')
+    land(root, "measurements/sensor_id=1000003/a.json", json.dumps({"results": ["junk", doc("2024-01-07", 3.0)]}))
+    parts = ("parameters", "countries", "providers", "locations", "measurements")
+    landing, runs = Landing(*[f"{root}/{x}" for x in parts]), []
+    for m in (None, manifest):
+        wh = Warehouse(spark, "path", root=scratch("wh"))
+        run_daily_etl(spark, landing, wh, run_date="2024-01-25", window=("2024-01-05", "2024-01-25"), country_id=2,
+                      since="1990-01-01", manifest=m, exact=True)
+        runs.append({t: sorted(map(str, wh.read(t).collect())) for t in ("raw_measurements", "agg_measurements", "quarantine_pages")})
+        opened = wh.read("staged_measurements").select("source_file").distinct().count()
+    assert runs[0] == runs[1] and all(runs[0].values())
+    assert opened < M.LandingManifest(spark, f"{root}/measurements", manifest).read().count()

@@ -75,19 +75,24 @@ def _doc(local, value, **more):
     return {"value": value, "parameter": {"id": 2}, "period": {"datetimeFrom": {"local": local}}, "coverage": {"observedCount": 1}, **more}
 
 
-def test_bounded_micro_batches_same_result(spark, scratch):
+def test_fact_stream_in_bounded_batches(spark, scratch):
+    """Whatever the order and number of batches, the fact stream has every row; the watermarked one takes no bound."""
+    import inspect
+
+    from aeris.plans.load import Warehouse
+    from aeris.streaming import run_daily_fact_stream
+
+    assert "max_files_per_trigger" not in inspect.signature(run_daily_stats_stream).parameters
     src = scratch("src")
-    for day in (1, 2, 3):
-        _land(src, f"d{day}.json", [_doc(f"2025-03-0{day}T10:00:00Z", float(day), sensor_id=1)])
-    _land(src, "d9.json", [_doc("2025-03-09T10:00:00Z", 9.0, sensor_id=1)])
-    batches = []
-    for cap in (None, 1):
-        sink, ckpt = scratch("sink"), scratch("ckpt")
-        q = run_daily_stats_stream(spark, src, sink, ckpt, max_files_per_trigger=cap)
+    for day in (9, 3, 1, 2):
+        _land(src, f"d{day}.json", [_doc(f"2025-03-0{day}T10:00:00Z", float(day), sensor_id=1), _doc("2025-03-05T10:00:00Z", float(day), sensor_id=1)])
+    for cap, n in ((None, 1), (1, 4)):
+        wh, ckpt = Warehouse(spark, "path", root=scratch("wh")), scratch("ckpt")
+        q = run_daily_fact_stream(spark, src, wh, ckpt, max_files_per_trigger=cap)
         q.awaitTermination()
-        batches.append((len([p for p in q.recentProgress if p.numInputRows]), sorted((str(r.day), r.value) for r in spark.read.parquet(sink).collect())))
-    assert batches[0][0] == 1 and batches[1][0] >= 4
-    assert batches[0][1] == batches[1][1] == [(f"2025-03-0{d}", float(d)) for d in (1, 2, 3)]
+        assert len([p for p in q.recentProgress if p.numInputRows]) == n
+        assert sorted((r.day, r.value) for r in wh.read("stream_agg_measurements").collect()) == [
+            ("2025-03-01", 1.0), ("2025-03-02", 2.0), ("2025-03-03", 3.0), ("2025-03-05", 3.75), ("2025-03-09", 9.0)]
 
 
 def test_event_times_of_any_precision(spark, scratch):
