@@ -1,17 +1,20 @@
 """Exact deduplication through a persistent digest index.
 
-The index is a Parquet table bucketed and sorted by digest. A batch of rows is first reduced to one row per digest
-(map-side combined, so a digest shared by a third of all rows is one row per task before the shuffle); these go
-through a sort-merge anti-join with the index, whose side needs neither shuffle nor sort, and what is new is
-appended. The rows then read their group from the index.
+The index is a Parquet table bucketed and sorted by digest, which lies in a folder: whoever opens the folder, in any session and under any
+table name, finds what is stored. A batch of rows is first reduced to one row per digest (map-side combined, so a digest shared by a
+third of all rows is one row per task before the shuffle); these go through a sort-merge anti-join with the index, whose side
+is not shuffled, and what is new is appended. A bucket has a sorted file of each batch, which the task that reads it sorts into one. The rows
+then read their group from the index.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aeris.llm.common import pick_rows, row_key, scratch_path, stored, table
 
@@ -32,27 +35,63 @@ def row_keys(docs: DataFrame) -> DataFrame:
                        text_digest(F.col("text")).alias("text_sha256"))
 
 
+#: Digests of a bucket that a new index reckons with, and its least and greatest number of buckets.
+BUCKET_ROWS, BUCKETS = 2_000_000, (16, 50_000)
+
+
 class DigestIndex:
-    """A digest index kept as a bucketed table; ``path`` is a folder that all executors share.
+    """A digest index kept as a bucketed table; ``path`` is a folder that all executors share, ``name`` the table's name in this session's
+    catalog. The stored index tells its number of buckets; a new one gets ``buckets``, or one for each ``BUCKET_ROWS`` of
+    the ``expected`` rows (default: those of its first batch).
 
     ``add`` may be called with batch after batch: the row that stays of a group is the best row (most code points,
     then smallest doc_id, nulls last, then row order) of the first batch that held its digest. Row ids hold for one batch
     alone, so the index keeps the batch of each."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, name: str | None = None, buckets: int = 16):
-        self.spark, self.buckets = spark, buckets
-        self.path = path or scratch_path(spark, "digests")
+    def __init__(self, spark: SparkSession, path: str | None = None, name: str | None = None, buckets: int | None = None,
+                 expected: int | None = None):
+        self.spark, self.buckets, self.expected = spark, buckets, expected
+        self.path = (path or scratch_path(spark, "digests")).rstrip("/")
         self.name = name or f"digest_index_{uuid.uuid4().hex[:12]}"
 
+    def _stored(self):
+        """(number of buckets, schema) of the index at the path, or None. They lie in a folder whose name readers of the table pass over."""
+        try:
+            note = self.spark.read.parquet(f"{self.path}/_index")
+        except AnalysisException as e:
+            if (e.getCondition() or "") != "PATH_NOT_FOUND":
+                raise
+            return None
+        row = note.first()
+        return row.buckets, T.StructType.fromDDL(row.columns)
+
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+        return self._stored() is not None
 
     def read(self) -> DataFrame:
+        """The stored digests as a bucketed table, registered in this session's catalog over the files if it is not yet."""
+        buckets, schema = self._stored()
+        if not self.spark.catalog.tableExists(self.name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet CLUSTERED BY (text_sha256) SORTED BY (text_sha256) "
+                           f"INTO {buckets} BUCKETS LOCATION '{self.path}'")
+        else:
+            self.spark.catalog.refreshTable(self.name)  # files that others have added
         return self.spark.table(self.name)
 
+    def create(self, schema: T.StructType, rows: int) -> None:
+        """Note a new index at the path, which must hold none."""
+        least, most = BUCKETS
+        buckets = self.buckets or min(max(-(-(self.expected or rows) // BUCKET_ROWS), least), most)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.spark.createDataFrame([(buckets, columns)], "buckets int, columns string").coalesce(1).write.parquet(f"{self.path}/_index")
+
     def _append(self, groups: DataFrame) -> None:
-        (groups.write.format("parquet").mode("append").option("path", self.path)
-         .bucketBy(self.buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name))
+        self.read()  # the table is there before files are added: a new table would replace them
+        buckets, schema = self._stored()
+        (groups.select(*schema.names).write.format("parquet").mode("append")
+         .bucketBy(buckets, "text_sha256").sortBy("text_sha256").saveAsTable(self.name))
+        self.spark.catalog.refreshTable(self.name)
 
     def add(self, keys: DataFrame, batch: str) -> None:
         """Append the digests of ``keys`` (see ``row_keys``) that the index doesn't hold yet. No other call may have the same
@@ -61,7 +100,9 @@ class DigestIndex:
                               F.col("doc_id").alias("keep_id"), F.col("row_id").alias("keep_row")))
         groups = (keys.groupBy("text_sha256").agg(best.alias("b"), F.count(F.lit(1)).alias("group_size"))
                   .select("text_sha256", "b.keep_id", "b.keep_row", "group_size", F.lit(batch).alias("batch")))
-        if self.exists():
+        if not self.exists():
+            self.create(groups.schema, keys.count())
+        else:
             groups = groups.join(self.read().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
         self._append(groups)
 
@@ -83,9 +124,6 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     text. Of rows that repeat a doc_id and text exactly one is kept. An empty table gives an empty table."""
     index, batch = index or DigestIndex(docs.sparkSession), uuid.uuid4().hex
     keys = stored(row_keys(docs), "keys")
-    if not index.exists():
-        index._append(keys.where("false").select("text_sha256", F.col("doc_id").alias("keep_id"),
-                                                 F.col("row_id").alias("keep_row"), F.lit(0).cast("long").alias("group_size"), F.lit(batch).alias("batch")))
     index.add(keys, batch)
     return index.lookup(keys, batch)
 

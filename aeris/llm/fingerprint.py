@@ -101,6 +101,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         f"doc_id {kind}, fingerprint string")
 
 
+#: Slots of consecutive ids at most, and sampled ids for each.
+MOST_SLOTS, SAMPLED = 100_000, 20
+
+
 def edited(text: str, following: str) -> str:
     """The last floor(n / 2) code points replaced by the first as many (or all) of the following text."""
     half = len(text) // 2
@@ -118,15 +122,22 @@ def with_next(docs: DataFrame, slots: int | None = None) -> DataFrame:
     (``ahead``; the last slot has the table's first row) after its own, in tasks sorted by slot and place. doc_id is an
     integer; rows of one doc_id are ordered by text, null doc_ids come first.
 
-    The cuts between slots are quantiles of doc_id and the slots' first ids their minima: a number or two per slot
-    on the driver, and four slots per shuffle partition of the session unless ``slots`` is given. Every text is shuffled
-    once (first rows twice)."""
+    There are four slots per shuffle partition of the session, ``MOST_SLOTS`` at most, unless ``slots`` is given. Slots are cut
+    at quantiles of a random sample of ``SAMPLED`` ids for each (all ids if there are fewer), which only decides how even they are: every row
+    is dealt by the cuts. Sample, cuts and the slots' first ids are all that reaches the driver. Every text is shuffled once (first
+    rows twice)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slots = slots or 4 * parts
+    slots = slots or min(4 * parts, MOST_SLOTS)
     ids = docs.select("doc_id")
-    found = ids.select(F.percentile_approx("doc_id", [i / slots for i in range(1, slots)] or [0.5], 20 * slots)).first()[0]
-    cuts = np.array(sorted(set(found or [])) if slots > 1 else [], dtype=np.int64)
+    cuts = np.array([], dtype=np.int64)
+    if slots > 1:
+        known = ids.where("doc_id is not null").select(F.col("doc_id").cast("long"))
+        # a random sample is near its expected size; half as many again is never exceeded by chance
+        share = min(1.0, slots * SAMPLED / max(1, known.count()))
+        sample = np.sort(known.sample(share, seed=3).limit(slots * SAMPLED * 3 // 2).toPandas()["doc_id"].to_numpy(dtype=np.int64))
+        if len(sample):
+            cuts = np.unique(sample[np.arange(1, slots) * len(sample) // slots])
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -52,6 +52,10 @@ PARTS = frozenset("ad ads advert adverts advertisement advertising adsense banne
                   "share sharing social newsletter subscribe signup related recommended pagination pager search login "
                   "complementary contentinfo toolbar widget".split())
 # Words of PARTS that are subjects of headings as well.
+# Words that only tell how a part is laid out: beside a word of PARTS the label still names that part.
+LAYOUT = frozenset("slot box list container wrapper wrap section item items link links post posts article articles button buttons bar block area "
+                   "panel inner outer content body row col column group unit zone place holder placeholder form title icon icons count "
+                   "counter feed top bottom left right label text teaser teasers card cards thread".split())
 SUBJECTS = frozenset("advertising alert aside banner discussion header login masthead nav navigation notice notices overlay promotion "
                      "related reply replies search share sharing social sponsor sponsored subscribe toolbar widget".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -62,7 +66,9 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|itemprop|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# A tag's name-value pairs one by one, so that a name is never looked for in another's name or value.
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_TOLD_BY = frozenset("class id role style aria-hidden itemprop hidden".split())
 _MAIN = re.compile(r"<(?:article|main)(?=[\s/>])", re.I)
 _WORDS = re.compile(r"[^\W_]+")
 
@@ -73,19 +79,19 @@ def _is_part(name: str, attributes: dict[str, str], in_article: bool) -> bool:
                 or attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")))
 
 
-def _is_labelled(name: str, attributes: dict[str, str], in_article: bool, in_main: bool) -> bool:
+def _is_labelled(name: str, attributes: dict[str, str], in_article: bool, in_main: bool, layout: frozenset = LAYOUT) -> bool:
     """Whether class, id or role tell a part. Any word of a label counts; but an article element and what stands in one is a
-    part only if all words of a label say so, and likewise by the id of text or of what stands in main: ids are often made
+    part only if all words of a label say so or are words of layout, and likewise by the id of text or of what stands in main: ids are often made
     of a heading's words. Headings are no parts."""
     if name in ("html", "body", "main") or name in HEADINGS:
         return False
     for key in ("class", "id", "role"):
         whole = in_article or name == "article" or (key == "id" and (in_main or name in PROSE))
-        for label in attributes.get(key, "").lower().split():
-            words = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label))
+        for label in attributes.get(key, "").split():
+            words = _WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", label).lower())
             hits = [w in PARTS and not (i and words[i - 1] in PART_BEFORE) and not (in_article and w == "header")
                     and not (whole and key == "id" and w in SUBJECTS) for i, w in enumerate(words)]
-            if all(hits) and hits if whole else any(hits):
+            if any(hits) and (not whole or all(hit or w in layout or (layout and w.isdigit()) for hit, w in zip(hits, words))):
                 return True
     return False
 
@@ -205,7 +211,13 @@ def _part_end(page: str, at: int, stack: _Open, unclosed: set[str]) -> int:
 
 
 def _attributes(rest: str) -> dict[str, str]:
-    return {k.lower(): html_codec.unescape(v.strip("\"'")) for k, v in _ATTRIBUTE.findall(rest)}
+    found: dict[str, str] = {}
+    if rest:
+        for name, value in _ATTRIBUTE.findall(rest):
+            name = name.lower()
+            if name in _TOLD_BY:  # of an attribute that is given twice the first counts
+                found.setdefault(name, html_codec.unescape(value.strip("\"'")))
+    return found
 
 
 def _holders(page: str) -> frozenset[int]:
@@ -232,7 +244,7 @@ def _holders(page: str) -> frozenset[int]:
             past = _past_texts(page, at, name, unclosed) if name in RAW else None
             at = _part_end(page, at if past is None else past, stack, unclosed)
         elif _is_labelled(name, attributes, False, False):
-            labelled.append((depth, start, _is_labelled(name, attributes, True, True)))
+            labelled.append((depth, start, _is_labelled(name, attributes, True, True, frozenset())))
         elif name in ("article", "main"):
             rank = (name != "main", sum(whole for *_, whole in labelled), len(labelled))
             if rank < best:

@@ -32,6 +32,8 @@ BUCKETS = 1 << 14
 EXHAUSTIVE = 6
 #: A second codeword whose probability is above this makes a text ambiguous.
 SECOND = 0.35
+#: A text whose margin per n-gram is below this share of what the labelled rows of its language have is in none.
+LEAST_FIT = 0.4
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _CHUNK = 1 << 20
 
@@ -88,20 +90,22 @@ def min_distance(code: np.ndarray) -> int:
 
 @dataclass
 class LanguageModel:
-    """languages by codeword row; weights (buckets x bits); reliability per bit; radius in hard bits."""
+    """languages by codeword row; weights (buckets x bits); reliability per bit; radius in hard bits; usual margin towards
+    its codeword that an n-gram of the language's labelled rows has."""
 
     languages: list[str]
     code: np.ndarray
     weights: np.ndarray
     reliability: np.ndarray
     radius: int
+    usual: np.ndarray
 
     @classmethod
     def from_counts(cls, counts: dict[str, np.ndarray], alpha: float = 0.5) -> LanguageModel:
         languages = sorted(counts)
         code = codewords(len(languages))
         if not languages:
-            return cls([], code, np.zeros((BUCKETS, 0)), np.zeros(0), 0)
+            return cls([], code, np.zeros((BUCKETS, 0)), np.zeros(0), 0, np.zeros(0))
         c = np.array([counts[x] for x in languages], dtype=np.float64) + alpha
         p = c / c.sum(1, keepdims=True)
         weights = np.zeros((c.shape[1], code.shape[1]), dtype=np.float32)
@@ -112,22 +116,29 @@ class LanguageModel:
             reliability[b] = ((one - zero) * weights[:, b]).sum()
         if code.shape[1]:
             reliability /= max(reliability.mean(), 1e-12)
-        return cls(languages, code, weights, reliability, max(0, min_distance(code) - 1) // 2)
+        usual = ((p @ weights) * code * reliability).sum(1) / max(reliability.sum(), 1e-12)
+        return cls(languages, code, weights, reliability, max(0, min_distance(code) - 1) // 2, usual)
 
-    def predict(self, text: str | None) -> tuple[str, float, bool, int]:
-        """(language, score 0 to 1, ambiguous, hard bits that differ from the codeword)."""
+    def predict(self, text: str | None) -> tuple[str, float, bool, int, float]:
+        """(language, score 0 to 1, ambiguous, hard bits that differ from the codeword, fit). The score tells which
+        language is nearest and grows with the text; fit, the margin per n-gram as a share of the language's usual one, tells
+        whether the text is in it at all. With a single language fit is 1."""
         plain = letters(text)
         if not plain or not self.languages:
-            return UNKNOWN, 0.0, True, 0
+            return UNKNOWN, 0.0, True, 0, 0.0
         counts = ngram_counts(plain, len(self.weights))
-        margins = (counts.astype(np.float32) @ self.weights) / math.sqrt(max(1, counts.sum()))
+        n = max(1, counts.sum())
+        margins = (counts.astype(np.float32) @ self.weights) / math.sqrt(n)
         loss = (np.logaddexp(0.0, -self.code * margins) * self.reliability).sum(1)
         best = int(loss.argmin())
         odds = np.exp(loss[best] - loss)
         odds /= odds.sum()
         wrong = int((np.where(margins >= 0, 1, -1) != self.code[best]).sum())
         second = float(np.delete(odds, best).max(initial=0.0))
-        return self.languages[best], float(odds[best]), wrong > self.radius or second > SECOND, wrong
+        fit = 1.0
+        if self.usual[best] > 0:
+            fit = float((margins * self.code[best] * self.reliability).sum() / self.reliability.sum() / math.sqrt(n) / self.usual[best])
+        return self.languages[best], float(odds[best]), wrong > self.radius or second > SECOND, wrong, fit
 
 
 def fit(docs: DataFrame, buckets: int = BUCKETS) -> LanguageModel:
@@ -159,11 +170,12 @@ def fit(docs: DataFrame, buckets: int = BUCKETS) -> LanguageModel:
 
 
 def prediction(docs: DataFrame, model: LanguageModel) -> Column:
-    """Struct of lang_pred, score, ambiguous and wrong_bits, predicted from the column ``text`` of ``docs``."""
+    """Struct of lang_pred, score, ambiguous, wrong_bits and fit, predicted from the column ``text`` of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x buckets, whatever the rows
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_()), ("wrong_bits", pa.int32())])
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_()), ("wrong_bits", pa.int32()),
+                      ("fit", pa.float64())])
 
-    @F.arrow_udf("lang_pred string, score double, ambiguous boolean, wrong_bits int")
+    @F.arrow_udf("lang_pred string, score double, ambiguous boolean, wrong_bits int, fit double")
     def predicted(text: pa.Array) -> pa.Array:
         names = [f.name for f in kind]
         return pa.array([dict(zip(names, shared.value.predict(t.as_py()))) for t in text], kind)
@@ -173,17 +185,18 @@ def prediction(docs: DataFrame, model: LanguageModel) -> Column:
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, lang_pred, score, ambiguous,
-    wrong_bits. Null texts and texts without a letter are ``und`` with score 0; very long texts are read whole."""
+    wrong_bits, fit. Null texts and texts without a letter are ``und`` with score and fit 0; very long texts are read whole."""
     return docs.select("doc_id", prediction(docs, model).alias("p")).select("doc_id", "p.*")
 
 
-def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text has a language. Rejected are ``und`` and ambiguous texts
-    whose best language has a score below ``least``; a text that is ambiguous but mostly in one language stays."""
+def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5, least_fit: float = LEAST_FIT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text has a language. Rejected are ``und``, texts whose fit is below ``least_fit``
+    (random letters, scripts and languages that were not learned), and ambiguous texts whose best language has a score below ``least``;
+    a text that is ambiguous but mostly in one language stays."""
     names = docs.columns
     told = docs.select(F.struct(*[docs[c] for c in names]).alias("doc"), prediction(docs, model).alias("p"))
     unsure = F.col("p.ambiguous") & (F.col("p.score") < least)
-    return told.where((F.col("p.lang_pred") != UNKNOWN) & ~unsure).select("doc.*")
+    return told.where((F.col("p.lang_pred") != UNKNOWN) & (F.col("p.fit") >= least_fit) & ~unsure).select("doc.*")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -195,4 +208,4 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(~held_out()))
     return identify(docs, model).select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred",
-                                        "score", "ambiguous", "wrong_bits")
+                                        "score", "ambiguous", "wrong_bits", "fit")

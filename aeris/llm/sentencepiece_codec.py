@@ -1,15 +1,18 @@
 """SentencePiece encoding as a streaming Viterbi search, and decoding.
 
-The search reads a text once. Ahead of the place it has reached it holds only the nodes that a piece can end at, a
-window of the longest piece; behind it the backpointers since the last commit. Whenever the paths of all surviving nodes
-run through one boundary, the ids up to it are final and handed out, and what lies before it is forgotten.
+The search reads a text once; an automaton over the vocabulary names the pieces that end at each place. It holds the nodes that
+a piece to come can start from, a window of the longest piece, and behind them the backpointers since the last commit. Whenever
+the paths of all surviving nodes run through one boundary, the ids up to it are final and handed out, and what lies before it
+is forgotten.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +24,22 @@ from aeris.llm.unigram import SPACE, Kept, Vocabulary, default_file, vocabulary
 LOOK = 64
 
 
-def stream_ids(text: str, v: Vocabulary, look: int = LOOK) -> Iterator[list[int]]:
+def automaton(v: Vocabulary):
+    """Automaton that finds the pieces of the vocabulary: (length, score, id) each, at a place the longest first."""
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for piece, (i, score) in v.scores.items():
+        found.add_word(piece, (len(piece), score, i))
+    found.make_automaton()
+    return found
+
+
+def stream_ids(text: str, v: Vocabulary, pieces, look: int = LOOK) -> Iterator[list[int]]:
     """Final ids of a normal form, in the order and at the time that they are certain."""
-    n, longest, unknown, root, singles = len(text), v.longest, v.unknown_score, v.trie, v.singles
-    never = float("-inf")
-    base = 0  # all before it is committed; the lists start there and reach a window ahead
-    room = min(n, look + longest)
-    best = [0.0] + [never] * room
-    back, ids = [0] * (room + 1), [-1] * (room + 1)  # start of the last piece, from base, and its id or -1
+    n, longest, unknown = len(text), v.longest, v.unknown_score
+    base = 0  # all before it is committed; the lists start there
+    best, back, ids = [0.0], [0], [-1]  # of every closed place: score, start of its last piece (from base), its id or -1
 
     def committed(upto: int) -> list[int]:
         out: list[int] = []
@@ -42,33 +53,30 @@ def stream_ids(text: str, v: Vocabulary, look: int = LOOK) -> Iterator[list[int]
         out.reverse()
         return out
 
-    for start in range(n):
-        i = start - base
-        if i + longest >= len(best) and base + len(best) <= n:
-            more = min(look, n + 1 - base - len(best))
-            best += [never] * more
-            back += [0] * more
-            ids += [-1] * more
-        here, node, k = best[i], root, i
-        for char in text[start:start + longest]:
-            node = node.get(char)
-            if node is None:
-                break
-            k += 1
-            entry = node.get(0)
-            if entry is not None:
-                score = here + entry[1]
-                if score > best[k]:
-                    best[k], back[k], ids[k] = score, i, entry[0]
-        if text[start] not in singles and here + unknown > best[i + 1]:
-            best[i + 1], back[i + 1], ids[i + 1] = here + unknown, i, -1
-        if i >= look and i % look == 0:
-            # a path of the whole text runs through one of these nodes
-            nodes = {k for k in range(i + 1, min(i + 1 + longest, len(best))) if best[k] > never}
+    found = pieces.iter(text)
+    end, (length, score, piece) = next(found, (n, (0, 0.0, -1)))
+    for place in range(1, n + 1):
+        top, start, last, single = None, 0, -1, False
+        while end < place:  # the automaton counts from the last character, so these end here; an earlier start comes first and stays
+            total = best[place - length - base] + score
+            if top is None or total > top:
+                top, start, last = total, place - length - base, piece
+            single = single or length == 1
+            end, (length, score, piece) = next(found, (n, (0, 0.0, -1)))
+        if not single:  # a character without a piece starts last
+            total = best[-1] + unknown
+            if top is None or total > top:
+                top, start, last = total, place - 1 - base, -1
+        best.append(top)
+        back.append(start)
+        ids.append(last)
+        if place - base > look and place % look == 0:
+            # a path of the whole text runs through one of the places that a piece to come can start from
+            nodes = set(range(max(0, place - longest + 1 - base), place + 1 - base))
             while len(nodes) > 1:
-                last = max(nodes)
-                nodes.remove(last)
-                nodes.add(back[last])
+                late = max(nodes)
+                nodes.remove(late)
+                nodes.add(back[late])
             upto = nodes.pop()
             if upto > 0:
                 yield committed(upto)
@@ -82,15 +90,17 @@ def stream_ids(text: str, v: Vocabulary, look: int = LOOK) -> Iterator[list[int]
         yield committed(n - base)
 
 
-def encode(text: str | None, v: Vocabulary, kept: Kept | None = None) -> list[int]:
+def segment_ids(v: Vocabulary) -> Kept:
+    """Ids by segment, as arrays."""
+    pieces = automaton(v)
+    return Kept(lambda s: array("i", [i for ids in stream_ids(s, v, pieces) for i in ids]))
+
+
+def encode(text: str | None, v: Vocabulary, kept: Kept | None = None) -> array:
     """Ids of a text. Segments between places that no piece spans are encoded by themselves, as every path meets
     there."""
-    if kept is None:
-        kept = Kept(lambda s: [i for ids in stream_ids(s, v) for i in ids])
-    out: list[int] = []
-    for segment in v.segments(v.normalize(text)):
-        out += kept[segment]
-    return out
+    kept = segment_ids(v) if kept is None else kept
+    return array("i", b"".join(map(kept.__getitem__, v.segments(v.normalize(text)))))
 
 
 def decode(ids: list[int], v: Vocabulary) -> str:
@@ -102,8 +112,7 @@ def decode(ids: list[int], v: Vocabulary) -> str:
 
 @lru_cache(maxsize=4)
 def _kept(path: str) -> Kept:
-    v = vocabulary(path)
-    return Kept(lambda s: [i for ids in stream_ids(s, v) for i in ids])
+    return segment_ids(vocabulary(path))
 
 
 def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -117,11 +126,10 @@ def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 128):
                 batch = whole.slice(at, 128)
-                flat, ends = [], [0]
-                for text in batch.column(1):
-                    flat += encode(text.as_py(), v, kept)
-                    ends.append(len(flat))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+                rows = [encode(text.as_py(), v, kept) for text in batch.column(1)]
+                ends = np.cumsum([0, *map(len, rows)])
+                flat = np.frombuffer(b"".join(rows), dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>")

@@ -2,7 +2,8 @@
 
 The ids are those of ``tokenizers`` with the JSON file. Texts of Latin characters are encoded with the rank file of the
 same vocabulary, which is several times faster; any other text goes through the JSON file itself, so that a library's
-newer character tables can't make a difference."""
+newer character tables can't make a difference, and so does a text with a long run of white space, on which the faster library's
+pattern may run out of stack, or on which it fails in any other way."""
 
 from __future__ import annotations
 
@@ -12,7 +13,8 @@ from functools import lru_cache
 
 import numpy as np
 
-_BEYOND_LATIN = re.compile("[^\x00-ɏ]")
+#: What the rank file's library is not asked for: characters beyond Latin, and this many white-space characters in a row.
+_NOT_FAST = re.compile(r"[^\x00-ɏ]|\s{1000}")
 
 
 def default_files() -> tuple[str, str]:
@@ -36,9 +38,12 @@ class ByteBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """uint32 ids without added special tokens; a special token's string in the text is that token."""
-        if _BEYOND_LATIN.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return self.latin.encode_to_numpy(text, allowed_special="all")
+        if not _NOT_FAST.search(text):
+            try:
+                return self.latin.encode_to_numpy(text, allowed_special="all")
+            except ValueError:  # the library's pattern gave up
+                pass
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
 @lru_cache(maxsize=4)

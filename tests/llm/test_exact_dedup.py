@@ -70,6 +70,29 @@ def test_anti_join_reads_the_index_without_shuffle(spark, docs):
     assert "Bucketed: true" in scan and scan.count("Exchange hashpartitioning") == 1
 
 
+def test_index_at_a_path_outlives_its_name(spark, docs, scratch):
+    """Opened under another name, as another application with a catalog of its own does: nothing is lost, nothing kept twice."""
+    path, given = scratch("digests"), docs([(1, "a"), (2, "b b"), (3, "b b ")])
+    assert without_copies(given, DigestIndex(spark, path, "first_name", buckets=3)).count() == 2
+    spark.sql("DROP TABLE first_name")  # an external table: its files stay
+    again = DigestIndex(spark, path, "second_name")
+    assert again.exists() and again.read().count() == 2
+    assert without_copies(given, again).count() == 0
+    assert [r.doc_id for r in without_copies(docs([(5, "bb"), (6, "new")]), DigestIndex(spark, path)).collect()] == [6]
+    assert again.read().count() == DigestIndex(spark, path).read().count() == 3
+    plan = DigestIndex(spark, path).read().groupBy("text_sha256").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "out of 3" in plan and "Exchange" not in plan  # buckets come from the index
+
+
+def test_buckets_follow_the_expected_rows(spark, docs, scratch):
+    from aeris.llm.exact_dedup import BUCKET_ROWS
+
+    for expected, buckets in ((None, 16), (BUCKET_ROWS * 40, 40), (10**13, 50_000)):
+        index = DigestIndex(spark, scratch("digests"), expected=expected)
+        index.create(spark.createDataFrame([], "text_sha256 string").schema, 3)
+        assert index._stored()[0] == buckets
+
+
 def test_query_equals_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")

@@ -45,6 +45,29 @@ def test_pages_without_an_article_element():
     assert text_of(page) == "Title\n\nSome words.\n\nMore words.\n\np1\n\np2"
 
 
+def article(inner):
+    return LABELLED.replace("<p>four</p>", inner)
+
+
+def test_words_in_values_and_other_attributes_name_no_part():
+    for inner, want in (('<p title="the hidden valley">kept one</p>', "kept one"), ('<p>see <a href="/hidden-gems">these gems</a></p>', "see these gems"),
+                        ('<p>see <a href="/x?class=ad">this</a></p>', "see this"), ('<p>a <span data-role="share">share</span> b</p>', "a share b"),
+                        ("<p data-hidden=1 data-class=ad>kept</p>", "kept"), ("<p class=x class=ad>kept</p>", "kept"),
+                        ("<p id='a' href=/role=menu>kept</p>", "kept")):
+        assert text_of(article(inner)) == "Head\n\none two three\n\n" + want, inner
+    for inner in ("<p HIDDEN>no</p>", "<p hidden=''>no</p>", "<div aria-hidden = 'true'>no</div>", "<div\nclass\n=\nad>no</div>", "<p style='display: none'>no</p>"):
+        assert text_of(article(inner)) == "Head\n\none two three", inner
+
+
+def test_adverts_and_comments_in_an_article_whatever_holds_them():
+    for label in ("ad-slot", "newsletter-box", "comment-list", "related-posts", "social-links", "ad_container_2", "shareButtons", "cookie-notice-bar"):
+        assert text_of(article(f"<div class='{label}'><p>buy now</p></div>")) == "Head\n\none two three", label
+    for kept in ("<h2 id='related-work'>Related work</h2>", "<section id='how-search-works'><p>kept</p></section>", "<section id='social-history'><p>kept</p></section>",
+                 "<div class='post-content'><p>kept</p></div>", "<div class='list-item'><p>kept</p></div>", "<p id='reply-to-referees'>kept</p>",
+                 "<section class='article-section box'><p>kept</p></section>"):
+        assert len(text_of(article(kept)).split("\n\n")) == 3, kept
+
+
 def test_odd_markup():
     assert text_of("") == text_of(None) == text_of("<p></p><!-- x") == text_of("<script>a") == ""
     assert text_of("a < b <3 & c &lt") == "a < b <3 & c <"

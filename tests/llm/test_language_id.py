@@ -1,3 +1,10 @@
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -36,7 +43,7 @@ def test_decoding_corrects_a_wrong_bit_and_flags_ambiguity():
     model.weights = weights.copy()
     model.weights[:, 3] *= -1  # one classifier is always wrong
     for x, w in words.items():
-        lang, score, unsure, wrong = model.predict(w)
+        lang, score, unsure, wrong, _ = model.predict(w)
         assert lang == x and wrong == 1 and 0 <= score <= 1
     model.weights = weights
     assert model.predict("zzz qqq")[2] or model.predict("alpha bravo")[2]
@@ -56,12 +63,12 @@ def test_edge_rows(spark, docs):
 
 def test_without_labels_all_is_unknown(docs):
     model = L.fit(docs([]))
-    assert model.predict("the cat") == ("und", 0.0, True, 0)
+    assert model.predict("the cat") == ("und", 0.0, True, 0, 0.0)
 
 
 def test_one_language(spark):
     model = L.fit(spark.createDataFrame([("the cat", "en")], "text string, lang string"))
-    assert model.predict("anything") == ("en", 1.0, False, 0)
+    assert model.predict("anything") == ("en", 1.0, False, 0, 1.0)
 
 
 def test_held_out_accuracy(spark):
@@ -82,3 +89,71 @@ def test_labels_of_held_out_rows_are_not_learned(spark, monkeypatch):
     got = {r.doc_id: r for r in L.op1_language_id(spark, SF).collect()}
     assert "zz" not in {r.lang_pred for r in got.values()}
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
+
+
+def gibberish(kind, n, rnd):
+    letters = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "consonants": "bcdfghjklmnpqrstvwxz",
+               "han": [chr(c) for c in range(0x4E00, 0x9FA5)]}[kind]
+    return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(n))
+
+
+def test_texts_in_no_learned_language_are_rejected(spark, docs):
+    rnd = random.Random(8)
+    clean = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.fit(clean)
+    n = clean.count()
+    assert L.accepted(clean, model).count() >= 0.99 * n
+    for kind in ("latin", "cyrillic", "consonants", "han"):
+        bad = docs([(i, gibberish(kind, rnd.choice([20, 60, 300]), rnd)) for i in range(100)])
+        assert L.accepted(bad, model).count() <= 10, kind
+
+
+def brute_predictions(rows, held_out):
+    """The query in plain Python: counts of hashed n-grams in dictionaries, one classifier per split of the languages in two."""
+    def grams(text):
+        plain = re.sub(r"[\W\d_]+", " ", (text or "").lower())
+        points = [ord(c) for c in plain] if any(c.isalpha() for c in plain) else []
+        out = Counter()
+        for k in (1, 2, 3):
+            for i in range(len(points) - k + 1):
+                h = 0
+                for c in points[i:i + k]:
+                    h = (h * 0x01000193 + c) % 2**32
+                out[((h + k) % 2**32 * 0x9E3779B1 % 2**32) >> 18] += 1
+        return out
+
+    counted = {i: grams(t) for i, t, _ in rows}
+    total = {}
+    for i, _, lang in rows:
+        if lang is not None and not held_out(i):
+            total.setdefault(lang, Counter()).update(counted[i])
+    langs, size = sorted(total), 1 << 14
+    p = {x: [(total[x][g] + 0.5) / (sum(total[x].values()) + 0.5 * size) for g in range(size)] for x in langs}
+    splits = [(1, *rest) for rest in itertools.product((1, -1), repeat=len(langs) - 1) if -1 in rest]
+    weights, trust = [], []
+    for split in splits:
+        sides = [[p[x] for x, s in zip(langs, split) if s == side] for side in (1, -1)]
+        one, zero = ([sum(c) / len(side) for c in zip(*side)] for side in sides)
+        weights.append([math.log(a / b) for a, b in zip(one, zero)])
+        trust.append(sum((a - b) * w for a, b, w in zip(one, zero, weights[-1])))
+    trust = [t / (sum(trust) / len(trust)) for t in trust]
+    out = {}
+    for i, _, _ in rows:
+        if not counted[i]:
+            out[i] = ("und", 0.0)
+            continue
+        n = sum(counted[i].values())
+        margins = [sum(k * w[g] for g, k in counted[i].items()) / math.sqrt(n) for w in weights]
+        loss = [sum(t * math.log1p(math.exp(min(-s[x] * m, 500))) for s, m, t in zip(splits, margins, trust)) for x in range(len(langs))]
+        best = min(range(len(langs)), key=loss.__getitem__)
+        out[i] = (langs[best], 1 / sum(math.exp(loss[best] - y) for y in loss))
+    return out
+
+
+def test_query_over_whole_tables_against_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    want = brute_predictions(rows, lambda i: zlib.crc32(str(i).encode()) % 4 == 2)
+    got = {r.doc_id: r for r in L.op1_language_id(spark, SF).collect()}
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i].lang_pred == lang and got[i].score == pytest.approx(score, abs=1e-3)

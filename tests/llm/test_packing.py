@@ -21,6 +21,31 @@ def test_ids_are_those_of_the_json_file(text):
     assert byte_bpe(*default_files()).encode(text).tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_long_runs():
+    """Runs on which the faster library's pattern gives up, and others of that length."""
+    for text in ("a" + " " * 3_000_000 + "b", "a" + "\n" * 1_000_000 + "b", "a" + " \n\t\r" * 300_000 + "b", "a" + "\t" * 999 + "b",
+                 "x" * 300_000, "7" * 300_000, "!" * 300_000, ("w" + " " * 1200) * 50):
+        assert (byte_bpe(*default_files()).encode(text) == np.array(TOKENIZER.encode(text, add_special_tokens=False).ids)).all()
+
+
+def test_a_failure_of_the_faster_library_is_made_good(monkeypatch):
+    b = byte_bpe(*default_files())
+
+    class Fails:
+        def encode_to_numpy(self, *a, **kw):
+            raise ValueError("Regex error")
+
+    monkeypatch.setattr(b, "latin", Fails())
+    assert b.encode("a plain text").tolist() == TOKENIZER.encode("a plain text", add_special_tokens=False).ids
+
+
+def test_packing_takes_long_runs(spark, docs):
+    rows = [(1, "a" + " " * 1_000_000 + "b"), (2, "a" + "\n" * 500_000 + "b"), (3, "short")]
+    got = P.pack_documents(docs(rows)).collect()
+    for i, text in rows:
+        assert sum(r.length for r in got if r.doc_id == i) == len(TOKENIZER.encode(text, add_special_tokens=False).ids) + 1
+
+
 def check(rows, capacity=P.CAPACITY):
     """Gapless sequences within the capacity; returns the number of sequences."""
     by = {}

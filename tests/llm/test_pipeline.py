@@ -45,7 +45,8 @@ def test_every_stage_against_brute_force(spark):
     assert all(r.columns == COLUMNS and r.schema == C.table(spark, SF, "documents").schema for r in (told, exact, near, cut))
 
     rows = told.collect()
-    assert {r.doc_id for r in given} - {r.doc_id for r in rows} <= {r.doc_id for r in given if not re.search(r"[^\W\d_]", r.text or "")}
+    letters = [r for r in given if re.search(r"[^\W\d_]", r.text or "")]
+    assert {r.doc_id for r in rows} <= {r.doc_id for r in letters} and len(rows) >= 0.99 * len(letters)
     want = {keep for _, keep, _, _ in brute_exact([(r.doc_id, r.text) for r in rows])}
     rows = exact.collect()
     assert sorted(r.doc_id for r in rows) == sorted(want)
@@ -89,4 +90,4 @@ def test_run_is_registered(spark):
 
     assert E.queries()["pipeline"] is C.run and "pipeline" not in E.oracle_sql()
     assert [n for n, _ in C.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "suffix_array_dedup", "best_fit_packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in E.queries() if re.match(r"op\d+_", q)}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in E.queries() if re.match(r"op\d+_", q)}
