@@ -91,9 +91,9 @@ def stream_ids(text: str, v: Vocabulary, pieces, look: int = LOOK) -> Iterator[l
 
 
 def segment_ids(v: Vocabulary) -> Kept:
-    """Ids by segment, as arrays."""
+    """Ids by segment, as the bytes of 32-bit numbers."""
     pieces = automaton(v)
-    return Kept(lambda s: array("i", [i for ids in stream_ids(s, v, pieces) for i in ids]))
+    return Kept(lambda s: array("i", [i for ids in stream_ids(s, v, pieces) for i in ids]).tobytes())
 
 
 def encode(text: str | None, v: Vocabulary, kept: Kept | None = None) -> array:

@@ -38,14 +38,6 @@ class Vocabulary:
         self.unknown_id = p.unk_id()
         self.unknown_score = min(s for _, s in self.scores.values()) - UNKNOWN_PENALTY
         self.longest = max(map(len, self.scores))
-        #: pieces by character: a node maps the next character to its node, and 0 to the (id, score) of its piece
-        self.trie: dict = {}
-        for piece, entry in self.scores.items():
-            node = self.trie
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[0] = entry
-        self.singles = frozenset(x for x in self.scores if len(x) == 1)
         #: bytes of each id, for decoding
         self.raw = [pieces[i].encode() for i in range(n)]
         for value, i in self.byte_ids.items():
