@@ -90,10 +90,35 @@ def stream_ids(text: str, v: Vocabulary, pieces, look: int = LOOK) -> Iterator[l
         yield committed(n - base)
 
 
+def window_ids(text: str, pieces) -> list[int]:
+    """Ids of a normal form that is one window of the search, and whose characters all are pieces: the same search, with nothing to commit
+    before the end and no place that only an unknown character reaches."""
+    n = len(text)
+    best = [0.0] + [float("-inf")] * n
+    last: list = [None] * (n + 1)  # length and id of the last piece into a place
+    for end, entry in pieces.iter(text):
+        end += 1
+        total = best[end - entry[0]] + entry[1]
+        if total > best[end]:
+            best[end], last[end] = total, entry
+    out = []
+    while n:
+        out.append(last[n][2])
+        n -= last[n][0]
+    out.reverse()
+    return out
+
+
 def segment_ids(v: Vocabulary) -> Kept:
     """Ids by segment, as the bytes of 32-bit numbers."""
     pieces = automaton(v)
-    return Kept(lambda s: array("i", [i for ids in stream_ids(s, v, pieces) for i in ids]).tobytes())
+
+    def compute(segment: str) -> bytes:
+        if len(segment) <= LOOK and v.singles.issuperset(segment):
+            return array("i", window_ids(segment, pieces)).tobytes()
+        return array("i", [i for ids in stream_ids(segment, v, pieces) for i in ids]).tobytes()
+
+    return Kept(compute)
 
 
 def encode(text: str | None, v: Vocabulary, kept: Kept | None = None) -> array:
