@@ -917,3 +917,105 @@ ORACLE_SQL.update({
   SELECT day, count(*) AS n FROM m WHERE event_id % 10 = 0 AND day IN (
     SELECT day FROM first WHERE CAST(day AS DATE) + 2 <= (SELECT CAST(max(day) AS DATE) FROM first)) GROUP BY day""",
 })
+
+
+# ---------------------------------------------------------------- sketches, history, zones, sessions
+
+def profile_from_sketches(spark: SparkSession, d: str) -> DataFrame:
+    """The completeness profile from sketches that were added in two parts of the days, and whether its sensor counts lie
+    within the sketches' error of the exact ones."""
+    from aeris.operators.sketches import add_days, profile_of_sketches, within_error
+
+    wh, sensors = _warehouse(spark, "sketches"), sensors_dim(spark, d)
+    daily = daily_sensor_stats(spark, d)
+    for part in (F.col("day") >= CHANGED, F.col("day") < CHANGED):
+        add_days(wh, daily.where(part), sensors)
+    exact = op.parameter_profile(daily, sensors, exact=True, sort=False).select("sensor_parameter_displayName", F.col("nb_capteurs").alias("n"))
+    merged = profile_of_sketches(wh.read("profile_sketches"), exact=True).join(exact, "sensor_parameter_displayName")
+    return merged.select("sensor_parameter_displayName", "avg_completeness_ratio", "capteurs_inactifs", "capteurs_sous_80_pct",
+                         within_error(F.col("nb_capteurs"), F.col("n")).alias("nb_capteurs_close"))
+
+
+def as_of_locations(spark: SparkSession, d: str) -> DataFrame:
+    """Daily statistics with the name that their station had on the day: every third station is renamed between two loads, the third load
+    brings nothing new and lacks some stations."""
+    from aeris.operators.history import as_of_join, merge_history, open_history
+
+    locations = locations_dim(spark, d).select("location_id", "location_name", "provider_id")
+    renamed = locations.withColumn("location_name", F.when(F.col("location_id") % 3 == 0, F.concat("location_name", F.lit(" (moved)")))
+                                   .otherwise(F.col("location_name")))
+    wh = _warehouse(spark, "history")
+    wh.write(open_history(locations, "location_id", "2024-01-03"), "locations_0")
+    for i, (day, batch) in enumerate(((CHANGED, renamed), ("2024-01-20", renamed.where("location_id % 2 = 0")))):
+        wh.write(merge_history(wh.read(f"locations_{i}"), batch, "location_id", day), f"locations_{i + 1}")
+    daily = daily_sensor_stats(spark, d).select("day", "sensor_id", "parameter_id", "value")
+    facts = daily.join(sensors_dim(spark, d).select("sensor_id", "location_id"), "sensor_id")
+    return as_of_join(facts, wh.read("locations_2"), "location_id", fields=["location_name"])
+
+
+def local_days_by_zone(spark: SparkSession, d: str) -> DataFrame:
+    """Events of a whole year at an instant in one of five zones: the local day, clock-change days included."""
+    import datetime as dt
+
+    from aeris.operators.zones import with_local_time, zone_transitions
+
+    zone = F.get(F.array(*map(F.lit, ZONES)), F.col("event_id") % len(ZONES))
+    seconds = F.unix_seconds(F.concat(A.ntz_text(F.col("ts")), F.lit("Z")).cast("timestamp")) + (F.col("event_id") % 366) * 86400
+    rows = A.table(spark, d, "events").select("event_id", zone.alias("zone"), F.timestamp_seconds(seconds).alias("instant"))
+    transitions = zone_transitions(rows, dt.date(2023, 12, 1), dt.date(2025, 12, 31))
+    return with_local_time(rows, transitions, "instant").select("event_id", "zone", "local_day", F.hour("local_time").alias("local_hour"))
+
+
+def sensor_outages(spark: SparkSession, d: str) -> DataFrame:
+    from aeris.operators.sessions import outages, sensor_sessions, with_event_time
+
+    found = outages(sensor_sessions(with_event_time(A.raw_measurements(spark, d)), "2 days"))
+    return found.select("sensor_id", F.unix_seconds("silent_from").alias("silent_from"), F.unix_seconds("silent_until").alias("silent_until"), "seconds")
+
+
+def stream_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions that the stream of landed pages has closed."""
+    from aeris.operators.sessions import run_session_stream
+    from aeris.session import scratch_path
+
+    sink, ckpt = scratch_path(spark, "sessions"), scratch_path(spark, "sessions-ckpt")
+    run_session_stream(spark, _landed_pages(spark, d), sink, ckpt, gap="2 days", lateness="1 day", layout="lines").awaitTermination()
+    rows = spark.read.schema("sensor_id int, first_seen timestamp, last_seen timestamp, measurements long").parquet(sink)
+    return rows.select("sensor_id", F.unix_seconds("first_seen").alias("first_seen"), F.unix_seconds("last_seen").alias("last_seen"), "measurements")
+
+
+#: Day on which stations are renamed, and zones of ``local_days_by_zone`` (half and quarter hours, a half-hour clock change, none).
+CHANGED = "2024-01-15"
+ZONES = ("Europe/Paris", "America/New_York", "Asia/Kathmandu", "Australia/Lord_Howe", "America/St_Johns")
+
+REPORTS.update({
+    "profile_from_sketches": profile_from_sketches,
+    "as_of_locations": as_of_locations,
+    "local_days_by_zone": local_days_by_zone,
+    "sensor_outages": sensor_outages,
+    "stream_sessions": stream_sessions,
+})
+
+SESSIONS = f"""{M},
+  steps AS (SELECT sensor_id, wall_clock_ts AS ts, CASE WHEN wall_clock_ts - lag(wall_clock_ts) OVER w <= INTERVAL 2 DAY THEN 0 ELSE 1 END AS new
+            FROM m WINDOW w AS (PARTITION BY sensor_id ORDER BY wall_clock_ts)),
+  islands AS (SELECT sensor_id, ts, sum(new) OVER (PARTITION BY sensor_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island FROM steps),
+  sessions AS (SELECT sensor_id, epoch(min(ts))::BIGINT AS first_seen, epoch(max(ts))::BIGINT AS last_seen, count(*) AS measurements
+               FROM islands GROUP BY sensor_id, island)"""
+ORACLE_SQL.update({
+    "profile_from_sketches": ORACLE_SQL["parameter_profile"].replace("count(DISTINCT sensor_id) AS nb_capteurs", "true AS nb_capteurs_close"),
+    "as_of_locations": f"""WITH {M}, {DAILY}, {SENS}
+  SELECT d.day, d.sensor_id, d.parameter_id, d.value, s.location_id,
+         CASE WHEN d.day < '2024-01-03' THEN NULL WHEN d.day >= '{CHANGED}' AND s.location_id % 3 = 0 THEN c.c_name || ' (moved)' ELSE c.c_name END AS location_name
+  FROM daily d JOIN sens s ON d.sensor_id = s.sensor_id JOIN customer c ON c.c_custkey = s.location_id""",
+    "local_days_by_zone": f"""WITH e AS (
+    SELECT event_id, [{", ".join(f"'{z}'" for z in ZONES)}][1 + event_id % {len(ZONES)}] AS zone,
+           date_trunc('second', ts) + to_days(CAST(event_id % 366 AS INTEGER)) AS utc FROM events),
+  l AS (SELECT event_id, zone, timezone(zone, timezone('UTC', utc)) AS t FROM e)
+  SELECT event_id, zone, strftime(t, '%Y-%m-%d') AS local_day, CAST(hour(t) AS INTEGER) AS local_hour FROM l""",
+    "sensor_outages": f"""WITH {SESSIONS},
+  x AS (SELECT sensor_id, first_seen, lag(last_seen) OVER (PARTITION BY sensor_id ORDER BY first_seen) AS silent_from FROM sessions)
+  SELECT sensor_id, silent_from, first_seen AS silent_until, first_seen - silent_from AS seconds FROM x WHERE silent_from IS NOT NULL""",
+    "stream_sessions": f"""WITH {SESSIONS}
+  SELECT * FROM sessions WHERE last_seen + 2 * 86400 <= (SELECT epoch(max(wall_clock_ts))::BIGINT FROM m) - 86400""",
+})
