@@ -88,3 +88,76 @@ def test_large_polygons_use_the_coarse_grid(spark):
         got = op.assign_communes(points, communes, cell_size=0.3, max_cells=max_cells, coarse_factor=8)
         assert got.count() == points.count()
         assert got.select("location_id", "code").exceptAll(base.select("location_id", "code")).count() == 0
+
+
+def _outline(rnd, n, x, y, r):
+    """A rugged ring of n vertices around (x, y), some of them on a grid line, some repeated."""
+    import math
+
+    out, share = [], 0.8
+    for i in range(n):
+        share = min(1.0, max(0.4, share + rnd.uniform(-0.02, 0.02)))
+        far = r * share
+        px, py = x + far * math.cos(2 * math.pi * i / n), y + far * math.sin(2 * math.pi * i / n)
+        out.append({"x": round(px, 1) if i % 50 == 0 else px, "y": round(py, 1) if i % 50 == 0 else py})
+    return out + out[-1:]
+
+
+def test_detailed_outlines_equal_brute_force(spark):
+    """Communes of ten thousand vertices with holes and parts; points beside, inside, on grid lines and at vertices."""
+    rnd = random.Random(21)
+    rows = [(str(i), "c", [], 1, [_outline(rnd, 10_000, 3 * i, 2.0, 2.5), _outline(rnd, 500, 3 * i, 2.0, 0.5), _outline(rnd, 3, 3 * i, -4, 1)]) for i in range(4)]
+    rows += [("9", "thin", [], 1, [[{"x": 0.0, "y": 0.0}, {"x": 1.0, "y": 1.0}]]), ("8", "none", [], 1, []), ("7", "null", [], 1, None), rows[2]]
+    communes = spark.createDataFrame(rows, "code string, nom string, codesPostaux array<string>, population int, "
+                                           "rings array<array<struct<x:double,y:double>>>")
+    pts = [(rnd.uniform(-4, 13), rnd.uniform(-6, 5)) for _ in range(400)] + [(rnd.randint(-30, 120) / 10, rnd.randint(-50, 50) / 10) for _ in range(200)]
+    pts += [(v["x"], v["y"]) for r in rows[:2] for v in r[4][0][:50]]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(pts)], "location_id int, city_longitude double, city_latitude double")
+
+    def inside(rings, px, py):
+        n = 0
+        for ring in rings or []:
+            for a, b in zip(ring, ring[-1:] + ring[:-1]) if len(ring) >= 3 else ():
+                if (a["y"] > py) != (b["y"] > py) and px < (b["x"] - a["x"]) * (py - a["y"]) / (b["y"] - a["y"]) + a["x"]:
+                    n += 1
+        return n % 2 == 1
+
+    import numpy as np
+
+    points_of = {}
+
+    def inside_fast(rings, px, py):
+        n = 0
+        for ring in rings or []:
+            if len(ring) >= 3:
+                if id(ring) not in points_of:
+                    points_of[id(ring)] = np.array([(v["x"], v["y"]) for v in ring])
+                a = points_of[id(ring)]
+                b = np.roll(a, 1, axis=0)
+                up = (a[:, 1] > py) != (b[:, 1] > py)
+                a, b = a[up], b[up]
+                n += int((px < (b[:, 0] - a[:, 0]) * (py - a[:, 1]) / (b[:, 1] - a[:, 1]) + a[:, 0]).sum())
+        return n % 2 == 1
+
+    assert all(inside(r[4], *p) == inside_fast(r[4], *p) for r in rows[:1] for p in pts[:40])
+    want = {i: min((r[0] for r in rows if inside_fast(r[4], *p)), default=None) for i, p in enumerate(pts)}
+    assert 100 < sum(c is not None for c in want.values()) < len(want)
+    for cell, most in ((0.25, 300), (1.0, 64)):
+        got = {r.location_id: r.code for r in op.assign_communes(points, communes, cell_size=cell, max_cells=most).collect()}
+        assert got == want, (cell, most)
+
+
+def test_a_cell_holds_only_its_edges(spark):
+    """Each edge lies in the few cells that it reaches, and a cell inside a commune is a flag."""
+    ring = _outline(random.Random(2), 10_000, 0.0, 0.0, 4.0)
+    communes = spark.createDataFrame([("1", "c", [], 1, [ring])], "code string, nom string, codesPostaux array<string>, population int, "
+                                                                  "rings array<array<struct<x:double,y:double>>>")
+    cells = op.commune_cells(communes, 0.5).select("cx", "cy", F.explode("candidates").alias("c"))
+    sizes = cells.select(F.size("c.edges").alias("e"), F.size("c.ys").alias("y"), "c.inside").collect()
+    # whole rings in the cells would be 10,000 edges in each
+    assert max(r.e for r in sizes) < 1_000 and sum(r.e for r in sizes) < 30_000 and max(r.y for r in sizes) < 100
+    assert any(r.inside and not r.e and not r.y for r in sizes)
+    square = [{"x": 0.0, "y": 0.0}, {"x": 9.0, "y": 0.0}, {"x": 9.0, "y": 9.0}, {"x": 0.0, "y": 9.0}]
+    one = spark.createDataFrame([("1", "c", [], 1, [square])], communes.schema)
+    middle = {(r.cx, r.cy): r.c for r in op.commune_cells(one, 1.0).select("cx", "cy", F.explode("candidates").alias("c")).collect()}
+    assert middle[4, 4].inside and not middle[4, 4].edges and not middle[4, 4].ys
