@@ -86,10 +86,11 @@ def commune_cells(communes: DataFrame, cell_size: float) -> DataFrame:
     So a cell's size follows the edges that cross it. Communes that repeat in all columns are taken once."""
     size = F.lit(float(cell_size))
     whole = with_rings(communes).withColumn("id", F.sha2(F.to_json(F.struct("*")), 256))
-    one = whole.groupBy("id").agg(F.first(F.struct(*COMMUNE_FIELDS)).alias("c"), F.first("rings").alias("rings"))
-    least_x, _, _, _ = ring_bounds(F.flatten("rings"))
+    least_x, _, _, _ = ring_bounds(F.flatten("rings"))  # in the aggregation: behind the explode it would be worked out for every edge
+    one = whole.groupBy("id").agg(F.first(F.struct(*COMMUNE_FIELDS)).alias("c"), F.first("rings").alias("rings"),
+                                  F.first(F.floor(least_x / size - _MARGIN)).alias("x0"))
     e = F.col("e")
-    edges = one.select("id", "c", F.floor(least_x / size - _MARGIN).alias("x0"), F.explode(_edges(F.col("rings"))).alias("e"))
+    edges = one.select("id", "c", "x0", F.explode(_edges(F.col("rings"))).alias("e"))
     left = F.floor(F.least(e["ax"], e["bx"]) / size - _MARGIN)
     right = F.floor(F.greatest(e["ax"], e["bx"]) / size + _MARGIN)
     rows = F.sequence(F.floor(F.least(e["ay"], e["by"]) / size), F.floor(F.greatest(e["ay"], e["by"]) / size))
@@ -112,9 +113,10 @@ def commune_cells(communes: DataFrame, cell_size: float) -> DataFrame:
         "cx", "cy", F.struct(*[F.col("c")[f].alias(f) for f in COMMUNE_FIELDS], "edges",
                              F.filter("odd", lambda y: row(y) == F.col("cy")).alias("ys"),
                              (F.size(F.filter("odd", lambda y: row(y) > F.col("cy"))) % 2 == 1).alias("inside")).alias("c"))
-    # a commune that lies wholly to one side of the cell contains nothing of it
-    held = held.where((F.size("c.edges") > 0) | (F.size("c.ys") > 0) | F.col("c.inside"))
-    return held.groupBy("cx", "cy").agg(F.array_sort(F.collect_list("c"), _by_code).alias("candidates"))
+    # a commune that lies wholly to one side of the cell contains nothing of it; told here and not by a filter, which
+    # would work the ends out once more
+    some = (F.size("c.edges") > 0) | (F.size("c.ys") > 0) | F.col("c.inside")
+    return held.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(F.when(some, F.col("c"))), _by_code).alias("candidates"))
 
 
 def cell_contains(candidate: Column, px: Column, py: Column) -> Column:
