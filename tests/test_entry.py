@@ -22,21 +22,32 @@ def test_every_report_has_an_oracle():
     assert set(REPORTS) <= set(o)
 
 
+def plain(v):
+    """A value as both engines give it: doubles to 9 digits, timestamps without a zone."""
+    if isinstance(v, float):
+        return "nan" if v != v else f"{v:.9g}"
+    if isinstance(v, (list, tuple)):
+        return [plain(x) for x in v]
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return v
+
+
 def test_oracles_match_at_smallest_scale(spark):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
-    fast = ["daily_sensor_stats", "parameter_profile", "enriched_measurements", "cities_of_locations",
-            "limits_rows", "limits_document"]
+    fast = ["daily_sensor_stats", "parameter_profile", "enriched_measurements", "cities_of_locations", "limits_rows", "limits_document",
+            "as_of_locations", "local_days_by_zone", "sensor_outages", "profile_from_sketches", "manifest_files"]
     for name in fast:
         df = E.queries()[name](spark, SF001)
-        got = sorted(map(repr, (tuple(r[c] for c in sorted(df.columns)) for r in df.collect())))
+        got = sorted(repr([plain(r[c]) for c in sorted(df.columns)]) for r in df.collect())
         rel = con.sql(E.oracle_sql()[name])
         cols = rel.columns
         idx = sorted(range(len(cols)), key=lambda i: cols[i])
-        want = sorted(map(repr, (tuple(r[i] for i in idx) for r in rel.fetchall())))
-        assert len(got) == len(want), name
+        want = sorted(repr([plain(r[i]) for i in idx]) for r in rel.fetchall())
         assert sorted(df.columns) == sorted(cols), name
+        assert got == want and (got or name == "cities_of_locations"), name
 
 
 def test_reports_do_not_depend_on_session_zone(spark):
