@@ -45,6 +45,38 @@ def test_edge_rows(spark):
     assert read(df) == brute(rows)
 
 
+def formatted_chars(rows):
+    own = {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        own.setdefault(conv, []).append((role, text))
+    return {c: sum(len(x[1]) for x in C.examples_of(t)) for c, t in own.items()}
+
+
+def test_hot_conversations_are_cut_into_blocks(spark):
+    """A long conversation, the null one among them, is spread over tasks; texts, digests and characters are as if whole."""
+    rows = [(c, i // 2, "user" if i % 3 else "assistant", f"{i} said ### </turn> \\ é") for c in (7, None) for i in range(600)]
+    rows += [(8, None, "assistant", "same")] * 150 + [(9, 0, "user", "x" * 900), (9, 1, "assistant", "y" * 900), (9, 2, "user", None)]
+    rows += [(c, t, r, f"{c} {t}") for c in range(20, 60) for t, r in enumerate(("user", "assistant", "user"))]
+    df = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be read by one task
+    try:
+        examples = C.expand(df, long_chars=1500, long_turns=40)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held = examples.select("conv_id", "block", "place", "formatted", "whole", "context_chars", "last", "parted").collect()
+    assert {r.conv_id for r in held if r.parted} == {7, None, 8, 9}
+    assert all(r.context_chars == 0 and r.last and r.block == 0 for r in held if not r.parted)
+    tasks = {r.block >> 32 for r in held if r.conv_id == 7}
+    assert len(tasks) > 1 and max(len(C.parse(r.formatted)) for r in held if r.conv_id == 7) <= 40
+    blocks = sorted((r.block, r.formatted) for r in held if r.conv_id == 7 and r.whole)
+    for r in held:  # what context_chars refers to
+        if r.conv_id == 7:
+            assert r.context_chars == sum(len(t) for b, t in blocks if b < r.block) and r.last == (r.block == blocks[-1][0])
+    got = C.read_back(examples).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == brute(rows)
+    assert {r.conv_id: r.formatted_chars for r in got} == formatted_chars(rows) and len(got) == 44
+
+
 def test_empty_table(spark):
     assert read(spark.createDataFrame([], COLUMNS)) == {}
 
@@ -53,7 +85,4 @@ def test_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     got = C.op4_chat_format(spark, SF).collect()
     assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == brute(rows + C.PLANTED)
-    own = {}
-    for conv, turn, role, text in sorted(rows + C.PLANTED, key=lambda r: (r[0], r[1])):
-        own.setdefault(conv, []).append((role, text))
-    assert {r.conv_id: r.formatted_chars for r in got} == {c: sum(len(x[1]) for x in C.examples_of(t)) for c, t in own.items()}
+    assert {r.conv_id: r.formatted_chars for r in got} == formatted_chars(rows + C.PLANTED)
