@@ -1019,3 +1019,58 @@ ORACLE_SQL.update({
     "stream_sessions": f"""WITH {SESSIONS}
   SELECT * FROM sessions WHERE last_seen + 2 * 86400 <= (SELECT epoch(max(wall_clock_ts))::BIGINT FROM m) - 86400""",
 })
+
+
+# ---------------------------------------------------------------- file layout, paged source
+
+def space_filling_reads(spark: SparkSession, d: str) -> DataFrame:
+    """One day of all sensors and all days of some sensors, from a fact whose files lie along a curve over both."""
+    from aeris.functions.time import day_text
+    from aeris.operators.layout import along_curve, day_and_sensor
+
+    wh = _warehouse(spark, "curve")
+    raw = A.raw_measurements(spark, d).withColumn("day", day_text(F.col("period.datetimeFrom.local")))
+    wh.write(along_curve(op.raw_measurements(raw, keep=["day"]), day_and_sensor()), "raw_measurements")
+    fact = wh.read("raw_measurements")
+    return fact.where((F.col("day") == WINDOW[0]) | F.col("sensor_id").between(*SENSORS)).drop("day")
+
+
+def paged_source_locations(spark: SparkSession, d: str) -> DataFrame:
+    """Locations through the paged source: the first pages and the others, read as two ranges of page numbers."""
+    from aeris import schemas
+    from aeris.session import scratch_path
+    from aeris.sources import landed
+    from aeris.sources.paged import page_texts
+
+    path = scratch_path(spark, "paged-source")
+    A.land_locations(spark, d, path, page_size=100)
+    parts = [page_texts(spark, path, where=[("page", test, 3)]) for test in ("<", ">=")]
+    return op.locations_dim(landed.page_rows(landed.parse_text(parts[0].unionByName(parts[1]), schemas.LOCATION)))
+
+
+def paged_source_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same as a stream of page numbers, started anew after it has stopped."""
+    from aeris import schemas
+    from aeris.session import scratch_path
+    from aeris.sources.paged import run_page_stream
+
+    path, sink, ckpt = (scratch_path(spark, x) for x in ("paged-source", "paged-sink", "paged-ckpt"))
+    A.land_locations(spark, d, path, page_size=100)
+    for _ in range(2):
+        run_page_stream(spark, path, schemas.LOCATION, sink, ckpt).awaitTermination()
+    return op.locations_dim(spark.read.schema(schemas.LOCATION).parquet(sink))
+
+
+#: Sensors whose whole history ``space_filling_reads`` asks for.
+SENSORS = (100, 199)
+
+REPORTS.update({
+    "space_filling_reads": space_filling_reads,
+    "paged_source_locations": paged_source_locations,
+    "paged_source_stream": paged_source_stream,
+})
+ORACLE_SQL.update({
+    "space_filling_reads": f"WITH {M} {RAW} WHERE day = '{WINDOW[0]}' OR sensor_id BETWEEN {SENSORS[0]} AND {SENSORS[1]}",
+    "paged_source_locations": ORACLE_SQL["locations_dim"],
+    "paged_source_stream": ORACLE_SQL["locations_dim"],
+})

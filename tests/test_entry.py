@@ -38,7 +38,8 @@ def test_oracles_match_at_smallest_scale(spark):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     fast = ["daily_sensor_stats", "parameter_profile", "enriched_measurements", "cities_of_locations", "limits_rows", "limits_document",
-            "as_of_locations", "local_days_by_zone", "sensor_outages", "profile_from_sketches", "manifest_files"]
+            "as_of_locations", "local_days_by_zone", "sensor_outages", "profile_from_sketches", "manifest_files",
+            "space_filling_reads", "paged_source_locations", "paged_source_stream"]
     for name in fast:
         df = E.queries()[name](spark, SF001)
         got = sorted(repr([plain(r[c]) for c in sorted(df.columns)]) for r in df.collect())
