@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from aeris.plans.load import Warehouse, load_step
+from aeris.plans.load import Warehouse, job_group, load_step
 
 
 def _facts(spark, days, v=1.0):
@@ -180,7 +180,7 @@ def test_custom_writer(spark, scratch):
 
 
 def test_jobs_of_a_step_carry_its_label(spark, scratch):
-    from aeris.plans.load import Warehouse, load_step
+    from aeris.plans.load import Warehouse, job_group, load_step
 
     wh, tracker = Warehouse(spark, "path", root=scratch("wh")), spark.sparkContext.statusTracker()
     load_step(wh, "labelled_step", lambda: spark.range(10).toDF("k"))
@@ -188,3 +188,17 @@ def test_jobs_of_a_step_carry_its_label(spark, scratch):
     before = list(tracker.getJobIdsForGroup("labelled_step"))
     spark.range(5).count()  # after the step, jobs have no label
     assert list(tracker.getJobIdsForGroup("labelled_step")) == before
+
+
+def test_job_group_labels_the_jobs_of_a_step_and_no_others(spark):
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
+    with pytest.raises(ValueError), job_group(spark, "aeris-step", "one step"):
+        assert sc.getLocalProperty("spark.jobGroup.id") == "aeris-step"
+        assert sc.getLocalProperty("spark.job.description") == "one step"
+        spark.range(3).collect()
+        raise ValueError  # a step that fails gives its label back as well
+    labelled = len(tracker.getJobIdsForGroup("aeris-step"))
+    assert labelled >= 1 and sc.getLocalProperty("spark.jobGroup.id") is None
+    spark.range(3).collect()
+    assert len(tracker.getJobIdsForGroup("aeris-step")) == labelled
