@@ -3,15 +3,19 @@
 Documents become pieces of at most ``capacity`` tokens; a full piece is a sequence by itself. The others are dealt to
 blocks of about ``BLOCK`` pieces by a hash of their row. In each block ``ISLANDS`` islands evolve packings of the same
 pieces: crossover injects whole well-filled bins of one parent into the other, removes the bins that hold duplicates of
-the injected pieces, and puts displaced pieces back by best fit, longest first. After each epoch an island's elite
-moves on to its neighbour. A block's best packing keeps its well-filled bins; the pieces of all other bins are dealt
-anew with those of the other blocks, until they fit one block or ``ROUNDS`` is reached, where every bin is kept.
+the injected pieces, and puts displaced pieces back by best fit, longest first; mutation opens the least filled bins and
+as many others, and fills them anew, each as full as a sum of its pieces can be. An island evolves until ``PATIENCE``
+generations bring no gain or no packing can have fewer bins. After each epoch an island's elite moves on to its
+neighbour; a block's epochs end with the first that brings it no gain. A block's best packing keeps its well-filled bins; the pieces of
+all other bins are dealt anew with those of the other blocks, until they fit one block or a round keeps too few of them
+(``SHRINK``), where every bin is kept.
 
 Tasks hold one block at a time, whatever the input; only counts reach the driver.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections.abc import Iterator
@@ -28,10 +32,13 @@ CAPACITY = 2048
 END = 0
 BLOCK = 4096
 ISLANDS = 2
-EPOCHS = 2
-GENERATIONS = 2
-POPULATION = 3
-ROUNDS = 4
+POPULATION = 4
+#: Generations in a row without a gain after which an island's epoch ends.
+PATIENCE = 4
+#: Pieces among which a bin's best sum is looked for.
+SUMMED = 48
+#: A round is the last if more than this share of the pieces of the round before are still open.
+SHRINK = 0.75
 #: A bin that is at least so full is kept as it is in any round.
 WELL_FILLED = 0.999
 
@@ -142,12 +149,52 @@ def crossover(one: list[list[int]], other: list[list[int]], lengths: list[int],
     return child, child_fills
 
 
+def fullest(pieces_: list[int], lengths: list[int], room: int) -> list[int]:
+    """The pieces whose lengths make the largest sum within ``room``; sums are bits of a number."""
+    reached, limit = [1], (1 << (room + 1)) - 1
+    for i in pieces_:
+        reached.append((reached[-1] | reached[-1] << lengths[i]) & limit)
+    left, out = reached[-1].bit_length() - 1, []
+    for k in range(len(pieces_), 0, -1):
+        if not reached[k - 1] >> left & 1:
+            out.append(pieces_[k - 1])
+            left -= lengths[pieces_[k - 1]]
+    return out
+
+
+def mutate(bins: list[list[int]], fills: list[int], lengths: list[int], capacity: int,
+           rnd: np.random.Generator) -> tuple[list[list[int]], list[int]]:
+    """Bins and fills with the least filled bins and as many others opened: each new bin takes the longest piece left and,
+    of ``SUMMED`` others, those that fill it best."""
+    ranked = sorted(range(len(bins)), key=lambda b: fills[b])
+    opened = set(ranked[: max(2, len(bins) // 50)])
+    opened.update(rnd.integers(0, len(bins), len(opened)).tolist())
+    out, out_fills = [b for k, b in enumerate(bins) if k not in opened], [f for k, f in enumerate(fills) if k not in opened]
+    loose = [i for k in opened for i in bins[k]]
+    loose = sorted((loose[k] for k in rnd.permutation(len(loose)).tolist()), key=lambda i: -lengths[i])
+    while loose:
+        first, rest = loose[0], loose[1:]
+        if len(rest) > SUMMED:
+            looked = {rest[k] for k in rnd.choice(len(rest), SUMMED, replace=False).tolist()}
+            tried = [i for i in rest if i in looked]
+        else:
+            tried = rest
+        members = [first, *fullest(tried, lengths, capacity - lengths[first])]
+        out.append(members)
+        out_fills.append(sum(lengths[i] for i in members))
+        placed = set(members)
+        loose = [i for i in rest if i not in placed]
+    return out, out_fills
+
+
 def evolve(lengths: list[int], elites: list[list[int]], seed: int, capacity: int = CAPACITY) -> tuple[list[int], float]:
-    """(bin of each piece, fitness) of an island's best packing after ``GENERATIONS``. ``elites`` are the packings (bin
-    of each piece) that it starts from; the rest of the population is best fit over a disturbed order of length. The
-    first member of an island without elites is best fit decreasing itself, and a child only replaces a worse member."""
+    """(bin of each piece, fitness) of an island's best packing once ``PATIENCE`` generations have brought no gain, or it
+    has as few bins as the sum of lengths allows. ``elites`` are the packings (bin of each piece) that it starts from; the
+    rest of the population is best fit over a disturbed order of length. The first member of an island without elites is
+    best fit decreasing itself, and a child only replaces a worse member."""
     rnd = np.random.default_rng(seed)
     size = np.array(lengths, dtype=np.float64)
+    least = -(-sum(lengths) // capacity)
     people = []
     for bins_of in elites:
         bins: dict[int, list[int]] = {}
@@ -160,14 +207,17 @@ def evolve(lengths: list[int], elites: list[list[int]], seed: int, capacity: int
         bins, fills = [], []
         best_fit(bins, fills, np.argsort(-size * noise, kind="stable").tolist(), lengths, capacity)
         people.append((fitness(fills, capacity), bins))
-    for _ in range(GENERATIONS):
-        people.sort(key=lambda p: -p[0])
+    people.sort(key=lambda p: -p[0])
+    stale = 0
+    while stale < PATIENCE and all(len(bins) > least for _, bins in people):
+        before = people[0][0]
         for k in range(1, len(people)):
-            child, fills = crossover(people[0][1], people[k][1], lengths, capacity, rnd)
+            child, fills = mutate(*crossover(people[0][1], people[k][1], lengths, capacity, rnd), lengths, capacity, rnd)
             score = fitness(fills, capacity)
             if score > people[-1][0]:
                 people[-1] = (score, child)
                 people.sort(key=lambda p: -p[0])
+        stale = 0 if people[0][0] > before else stale + 1
     score, best = max(people, key=lambda p: p[0])
     out = [0] * len(lengths)
     for b, members in enumerate(best):
@@ -200,16 +250,21 @@ def _pack_blocks(dealt: DataFrame, round_: int, capacity: int, blocks: int) -> D
                                                             lambda x: x["length"]).alias("lengths")), "lengths")
     island = F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island")
     homes = lengths.select("block", "lengths", island)
-    elites = None
-    for epoch in range(EPOCHS):
-        if elites is None:
-            states = homes.withColumn("elites", F.lit(None).cast("array<array<int>>"))
-        else:
-            moved = elites.withColumn("island", (F.col("island") + 1) % ISLANDS)
-            near = elites.union(moved).groupBy("block", "island").agg(F.sort_array(F.collect_set("bins")).alias("elites"))
-            states = homes.join(near, ["block", "island"])
+    found, before = None, None
+    states = homes.withColumn("elites", F.lit(None).cast("array<array<int>>"))
+    for epoch in itertools.count():
         elites = stored(_islands(states.repartition(tasks, "block", "island"), round_, epoch, capacity), "elites")
-    return elites.groupBy("block").agg(F.max_by("bins", F.struct("score", -F.col("island"))).alias("bins"))
+        found = elites if found is None else found.union(elites)
+        best = elites.groupBy("block").agg(F.max("score").alias("score"))
+        if before is not None:  # blocks without a gain are done; the others' elites move on
+            best = stored(best.join(before, "block").where(F.col("score") > F.col("before")).select("block", "score"), "gained")
+            if best.isEmpty():
+                break
+        before = best.withColumnRenamed("score", "before")
+        moved = elites.withColumn("island", (F.col("island") + 1) % ISLANDS)
+        near = elites.union(moved).groupBy("block", "island").agg(F.sort_array(F.collect_set("bins")).alias("elites"))
+        states = homes.join(near, ["block", "island"]).join(best.select("block"), "block", "left_semi")
+    return found.groupBy("block").agg(F.max_by("bins", F.struct("score", -F.col("island"), F.hash("bins"))).alias("bins"))
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -220,12 +275,14 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     full = held.where(F.col("length") >= capacity).withColumn("sequence_id", F.col("_row"))
     open_ = held.where(F.col("length") < capacity)
     done = full.select(*names, "_row", "sequence_id")
-    for round_ in range(1, ROUNDS + 1):
+    before = None
+    for round_ in itertools.count(1):
         n = open_.count()
         if n == 0:
             break
         blocks = math.ceil(n / BLOCK)
-        last = blocks == 1 or round_ == ROUNDS
+        last = blocks == 1 or (before is not None and n > SHRINK * before)
+        before = n
         block = F.pmod(F.xxhash64(F.col("_row"), F.lit(round_)), F.lit(blocks))
         dealt = stored(open_.withColumn("block", block).withColumn(
             "idx", F.row_number().over(Window.partitionBy("block").orderBy(F.desc("length"), "_row"))), "dealt")
@@ -238,8 +295,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         open_ = packed.where("not keep").select(*names, "_row")
         if last:
             break
-    before = Window.partitionBy("sequence_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
-    return done.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")).drop("_row")
+    ahead = Window.partitionBy("sequence_id").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    return done.withColumn("offset", F.coalesce(F.sum("length").over(ahead), F.lit(0)).cast("long")).drop("_row")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, files: tuple[str, str] | None = None) -> DataFrame:

@@ -125,3 +125,35 @@ def test_query_against_brute_force(spark):
     got = P.op6_packing(spark, SF).collect()
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=str) == brute_pieces(rows)
     assert check(got) <= 1.01 * math.ceil(sum(r.length for r in got) / 2048) + 1
+
+
+def test_fullest_sum_against_all_sums():
+    rnd = random.Random(8)
+    for _ in range(50):
+        lengths = [rnd.randrange(1, 60) for _ in range(10)]
+        got = P.fullest(list(range(10)), lengths, 100)
+        sums = [sum(n for k, n in enumerate(lengths) if m >> k & 1) for m in range(1 << 10)]
+        assert len(set(got)) == len(got) and sum(lengths[i] for i in got) == max(s for s in sums if s <= 100)
+
+
+def test_search_packs_better_than_best_fit():
+    """Lengths of which about three make a bin, where best fit leaves a tenth more bins than the search."""
+    rnd = random.Random(3)
+    lengths = [rnd.randrange(520, 840) for _ in range(1200)]
+    bins, fills = [], []
+    P.best_fit(bins, fills, sorted(range(len(lengths)), key=lambda i: -lengths[i]), lengths, 2048)
+    got, _ = P.evolve(lengths, [], 1)
+    held = {}
+    for i, b in enumerate(got):
+        held[b] = held.get(b, 0) + lengths[i]
+    assert len(got) == len(lengths) and max(held.values()) <= 2048
+    assert -(-sum(lengths) // 2048) <= len(held) < 0.95 * len(fills)
+
+
+def test_epochs_and_rounds_go_on_while_they_gain(spark):
+    rnd = random.Random(5)
+    lengths = [rnd.randrange(520, 840) for _ in range(5000)]
+    got = P.pack(spark.createDataFrame(list(enumerate(lengths)), "id long, length long")).collect()
+    bins, fills = [], []
+    P.best_fit(bins, fills, sorted(range(len(lengths)), key=lambda i: -lengths[i]), lengths, 2048)
+    assert sorted((r.id, r.length) for r in got) == list(enumerate(lengths)) and check(got) < 0.95 * len(fills)
