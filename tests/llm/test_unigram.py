@@ -107,3 +107,13 @@ def test_queries_against_brute_force(spark):
     assert all(got[i].ids == ids for i, ids in short.items())
     assert all(got[r.doc_id].decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest() for r in rows)
     assert {r.doc_id: r.n_tokens for r in T.op8_token_count(spark, SF).collect()} == {i: r.n_ids for i, r in got.items()}
+
+
+def test_id_lists_are_those_of_arrow():
+    """Nulls, empty lists, and a slice of a batch; ids beyond the slice are not converted."""
+    import pyarrow as pa
+
+    whole = pa.array([[1], [2, 3], None, [], [4, 5, 6], None, [7]], pa.list_(pa.int32()))
+    for at in range(8):
+        for n in range(8 - at):
+            assert list(C.id_lists(whole.slice(at, n))) == whole.slice(at, n).to_pylist()
