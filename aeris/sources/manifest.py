@@ -16,12 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeris import schemas
 from aeris.functions.time import a_day, day_text
 from aeris.sources import landed
 
 SCHEMA = ("file string, bytes long, modified timestamp, fetch_date string, rows long, undated long, unkeyed long, faults long, "
           "min_day string, max_day string, sensors long, bloom binary")
+#: Of a document only its sensor and day are read.
+DESCRIBED = T.StructType([
+    T.StructField("sensor_id", T.IntegerType()),
+    T.StructField("period", T.StructType([T.StructField("datetimeFrom", T.StructType([T.StructField("local", T.StringType())]))])),
+])
 #: Bits per sensor and bits set for each in a filter.
 BLOOM_BITS, BLOOM_HASHES = 10, 7
 #: Selected sensors that travel to the tasks at once, and files whose names the driver hands to one reading.
@@ -93,18 +97,20 @@ class LandingManifest:
         return rows.join(self.listing(), ["file", "bytes", "modified"], "left_semi")
 
     def _describe(self, new: DataFrame, files: list[str]) -> DataFrame:
-        pages = landed.parse_pages(self.spark, self.landing, schemas.MEASUREMENT, self.layout, files=files)
         # a document without a folder key is the same with one; ``source_file`` is the file's name throughout
-        rows = pages.where(F.col("reason").isNull() | (F.col("reason") == landed.PARTLY))
+        pages = landed.parse_pages(self.spark, self.landing, DESCRIBED, self.layout, files=files)
+        # one aggregation tells rows and faults: a filter of either would parse the pages again
+        a_row = F.col("reason").isNull() | (F.col("reason") == landed.PARTLY)
         sensor = F.col("doc.sensor_id")
         if "sensor_id__key" in pages.columns:
             sensor = F.coalesce(sensor, F.col("sensor_id__key").try_cast("int"))
         day = day_text(F.col("doc.period.datetimeFrom.local"))
-        rows = rows.select(F.col("source_file").alias("file"), F.when(a_day(day), day).alias("day"), sensor.alias("sensor"))
+        rows = pages.select(F.col("source_file").alias("file"), a_row.alias("ok"), F.when(a_row & a_day(day), day).alias("day"),
+                            F.when(a_row, sensor).alias("sensor"))
         held = rows.groupBy("file").agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("day").isNull()).alias("undated"), F.count_if(F.col("sensor").isNull()).alias("unkeyed"),
+            F.count_if("ok").alias("rows"), F.count_if(F.col("ok") & F.col("day").isNull()).alias("undated"),
+            F.count_if(F.col("ok") & F.col("sensor").isNull()).alias("unkeyed"), F.count_if(~F.col("ok")).alias("faults"),
             F.min("day").alias("min_day"), F.max("day").alias("max_day"), F.collect_set("sensor").alias("keys"))
-        bad = landed.page_quarantine(pages).groupBy(F.col("source_file").alias("file")).agg(F.count(F.lit(1)).alias("faults"))
 
         @F.pandas_udf("binary")
         def filtered(keys: pd.Series) -> pd.Series:
@@ -113,7 +119,7 @@ class LandingManifest:
         zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
         # no join repeats a file, and files without a row or a fault are in the listing alone
         names = self.spark.createDataFrame([(f,) for f in files], "file string")
-        return (new.join(names, "file", "left_semi").join(held, "file", "left").join(bad, "file", "left").select(
+        return (new.join(names, "file", "left_semi").join(held, "file", "left").select(
             "file", "bytes", "modified", F.regexp_extract("file", "/fetch_date=([^/]*)/", 1).alias("fetch_date"), zero("rows"), zero("undated"),
             zero("unkeyed"), zero("faults"), "min_day", "max_day", F.coalesce(F.size("keys"), F.lit(0)).cast("long").alias("sensors"),
             filtered("keys").alias("bloom")))
