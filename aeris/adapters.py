@@ -293,7 +293,7 @@ def land_broken_location_pages(spark: SparkSession, sf_dir: str, path: str, ever
 
 
 def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folders: bool = False,
-                      one_page_per_file: bool = True) -> None:
+                      one_page_per_file: bool = True, compression: str | None = None) -> None:
     """Land measurement pages.
 
     ``sensor_folders=True``: the per-sensor request layout
@@ -309,20 +309,22 @@ def land_measurements(spark: SparkSession, sf_dir: str, path: str, sensor_folder
     else:
         write_pages(raw_measurements(spark, sf_dir, with_event_id=True), path,
                     F.floor(F.col("event_id") / 1000).cast("int"), drop=["event_id"],
-                    one_page_per_file=one_page_per_file)
+                    one_page_per_file=one_page_per_file, compression=compression)
 
 
 def land_measurements_by_sensor(spark: SparkSession, sf_dir: str, path: str, block: int = 500) -> None:
     """Land measurements as JSON lines in ``sensor_id=<id>`` folders, one folder for each ``block`` of sensor ids, named by the
     first. Documents of that sensor carry none, the others carry their own."""
+    from aeris.sources.landed import page_texts
+
     docs = raw_measurements(spark, sf_dir, with_event_id=True)
     folder = F.col("sensor_id") - F.pmod(F.col("sensor_id"), F.lit(block)) + 1
     body = F.struct(F.when(F.col("sensor_id") != folder, F.col("sensor_id")).alias("sensor_id"), "value", "parameter", "period",
                     "coverage")
-    pages = (docs.select(folder.alias("folder"), F.floor(F.col("event_id") / 1000).alias("page"), body.alias("doc"))
-             .groupBy("folder", "page").agg(F.to_json(F.struct(F.collect_list("doc").alias("results"))).alias("value")))
-    lines = pages.select(F.col("folder").alias("sensor_id"), "value").repartition("sensor_id")  # one file per folder
-    lines.write.mode("overwrite").partitionBy("sensor_id").text(path)
+    dealt = (docs.select(folder.alias("folder"), F.floor(F.col("event_id") / 1000).alias("page"), F.to_json(body).alias("doc"))
+             .repartition("folder"))  # one file per folder
+    lines = page_texts(dealt, ["folder", "page"], "doc").select(F.col("folder").alias("sensor_id"), "value")
+    lines.write.mode("overwrite").partitionBy("sensor_id").text(path, compression="gzip")
 
 
 def land_odd_measurements(spark: SparkSession, sf_dir: str, path: str) -> None:
@@ -373,7 +375,7 @@ def land_all(spark: SparkSession, sf_dir: str, root: str, one_page_per_file: boo
     write_pages(raw_providers(spark, sf_dir), f"{root}/providers", F.floor(F.col("id") / 100).cast("int"), **kw)
     land_locations(spark, sf_dir, f"{root}/locations", **kw)
     if measurements:
-        land_measurements(spark, sf_dir, f"{root}/measurements", **kw)
+        land_measurements(spark, sf_dir, f"{root}/measurements", compression=None if one_page_per_file else "gzip", **kw)
     communes(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/communes")
     return Landing(
         parameters=f"{root}/parameters",

@@ -22,11 +22,13 @@ Layouts (``layout``):
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from aeris import schemas
 
@@ -53,6 +55,8 @@ def _envelopes(value: Column) -> Column:
 
 #: Files up to this size are read whole to tell their layout, in the task that reads them (fixed bound in bytes).
 WHOLE_FILE = 32 << 20
+#: Compressed text files by their names, and how many times larger their text is taken to be.
+COMPRESSED, PACKED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$", 32
 
 
 def _glob_safe(uri: str) -> str:
@@ -86,13 +90,16 @@ def _texts(spark: SparkSession, path: str, layout: str, restrict, files: list[st
     # pages are parsed there once; of larger files one row per file is compared
     size = F.col("_metadata.file_size")
     a_page = lambda pages: F.coalesce(F.exists(pages, lambda p: p["results"].isNotNull()), F.lit(False))
+    # a compressed file's text is larger than the file
+    size = F.when(F.col("_metadata.file_path").rlike(COMPRESSED), size * PACKED).otherwise(size)
     small = _files(spark, path, True, None, files).where(size <= WHOLE_FILE)
     small = restrict(small) if restrict else small
     line = F.filter(F.split("value", r"\r\n|[\r\n]"), lambda x: F.trim(x) != "")
     small = small.withColumn("__lines", F.transform(line, lambda x: F.struct(x.alias("value"), _envelopes(x).alias("pages"))))
     whole = F.array(F.struct(F.col("value"), _envelopes(F.col("value")).alias("pages")))
     text = F.when(F.exists("__lines", lambda x: a_page(x["pages"])), F.col("__lines")).otherwise(whole)
-    small = small.withColumn("__text", F.explode(text)).select(
+    # the outer form, as Spark would check the array of a plain one beforehand, and so parse the envelopes again
+    small = small.withColumn("__text", F.explode_outer(text)).select(
         "__text.value", *[c for c in small.columns if c not in ("value", "__lines")], F.col("__text.pages").alias(PAGES))
 
     lines = _files(spark, path, False, None, files).where((size > WHOLE_FILE) & (F.trim("value") != ""))
@@ -123,7 +130,9 @@ def parse_text(text: DataFrame, entity: T.StructType) -> DataFrame:
              .when(F.exists(pages, lambda p: p["results"].isNull()), fault("no_results")).otherwise(elements))
     if PAGES not in text.columns:
         text = text.withColumn(PAGES, _envelopes(F.col("value")))
-    rows = (text.select(*keys, "source_file", F.explode(items).alias("__item")).select("*", "__item.*").drop("__item"))
+    # the outer form, as Spark would check the array of a plain one beforehand, and so parse the envelopes again
+    rows = (text.select(*keys, "source_file", F.explode_outer(items).alias("__item")).where("__item is not null")
+            .select("*", "__item.*").drop("__item"))
     wide = T.StructType(entity.fields + [T.StructField(CORRUPT, T.StringType())])
     doc = F.from_json(F.col("raw"), wide, {"columnNameOfCorruptRecord": CORRUPT})
     rows = rows.withColumn("__doc", F.when(F.col("reason").isNull(), doc))
@@ -221,8 +230,40 @@ def measurement_rows(rows: DataFrame) -> DataFrame:
     return rows.select(key.alias("sensor_id"), *doc_cols, *others)
 
 
+def page_texts(docs: DataFrame, keys: list[str], doc: str) -> DataFrame:
+    """``keys`` and value: the JSON documents (column ``doc``) of each page as one envelope. ``docs`` has to come dealt by some
+    of ``keys``: it is sorted where it lies, and a task holds one page and one batch of documents at a time."""
+    kinds = [docs.schema[k] for k in keys]
+    schema = T.StructType([*kinds, T.StructField("value", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, held = None, []
+
+        def texts(done: list) -> pa.RecordBatch:
+            columns = [pa.array([p[i] for p, _ in done], arrow.field(i).type) for i in range(len(keys))]
+            value = pa.array(['{"results":[' + ",".join(d) + "]}" for _, d in done], arrow.field(len(keys)).type)
+            return pa.RecordBatch.from_arrays([*columns, value], schema=arrow)
+
+        for batch in batches:
+            done = []
+            for *at, text in zip(*[batch.column(c).to_pylist() for c in (*keys, doc)]):
+                if at != page:
+                    if held:
+                        done.append((page, held))
+                    page, held = at, []
+                held.append(text)
+            if done:
+                yield texts(done)
+        if held:
+            yield texts([(page, held)])
+
+    arrow = to_arrow_schema(schema)
+    return docs.select(*keys, doc).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def write_pages(docs: DataFrame, path: str, page: Column, partition_by: list[str] | None = None,
-                mode: str = "overwrite", drop: list[str] | None = None, one_page_per_file: bool = True) -> None:
+                mode: str = "overwrite", drop: list[str] | None = None, one_page_per_file: bool = True,
+                compression: str | None = None) -> None:
     """Land documents as API pages: one ``{"results": [...]}`` file per page.
 
     ``page`` assigns each document to a page of bounded size (e.g. id div
@@ -230,16 +271,16 @@ def write_pages(docs: DataFrame, path: str, page: Column, partition_by: list[str
     names (``sensor_id=…/page=…``) and are not repeated inside the documents.
     Used to build landing zones from tables (tests, stand-in inputs, backfill).
     ``drop`` names helper columns used by ``page`` that are not document fields.
-    ``one_page_per_file=False`` writes JSON lines (one page per line).
+    ``one_page_per_file=False`` writes JSON lines (one page per line), with
+    ``compression`` (e.g. ``gzip``) in files that a reader can't split.
     """
     partition_by = list(partition_by or [])
     body = [c for c in docs.columns if c not in partition_by and c not in (drop or [])]
-    pages = (
-        docs.withColumn("page", page)
-        .groupBy(*partition_by, "page")
-        .agg(F.to_json(F.struct(F.collect_list(F.struct(*body)).alias("results"))).alias("value"))
-    )
+    doc = F.to_json(F.struct(*body))
+    keys = [*partition_by, "page"]
+    pages = page_texts(docs.withColumn("page", page).select(*keys, doc.alias("__doc")).repartition(*keys), keys, "__doc")
     if one_page_per_file:
         pages.write.mode(mode).partitionBy(*partition_by, "page").text(path)
     else:  # JSON lines: one page envelope per line, many pages per file
-        pages.select(*partition_by, "value").write.mode(mode).partitionBy(*partition_by).text(path)
+        lines = pages.select(*partition_by, "value").write.mode(mode).partitionBy(*partition_by)
+        lines.text(path, compression=compression)

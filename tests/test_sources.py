@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from aeris import schemas
 from aeris.session import local_fs_path
 from aeris.sources import landed
@@ -122,3 +124,30 @@ def test_layout_follows_the_content(spark, scratch):
     # a file said to be one page loses nothing silently either
     rows, bad, _ = _reasons(spark, root, "page")
     assert rows == ["3", "4"] and [b[0] for b in bad] == ["lines.json", "trailing.json"]
+
+
+def test_envelopes_are_parsed_once(spark, scratch):
+    """One parse of the envelopes and one of the documents: Spark adds no check of the exploded array that parses them again."""
+    path = scratch("once")
+    _write(path, "a.json", '{"results":[{"id":1},3]}\n{"results":[]}\n{"bad"')
+    for layout, most in (("lines", 2), ("page", 2)):
+        pages = landed.parse_pages(spark, path, schemas.PARAMETER, layout)
+        assert pages._jdf.queryExecution().optimizedPlan().toString().count("from_json(") <= most
+    rows = landed.parse_pages(spark, path, schemas.PARAMETER, "lines").select("element", "reason", "doc.id").collect()
+    assert sorted(map(tuple, rows), key=str) == [(0, None, 1), (1, "bad_element", None), (None, "malformed", None)]
+
+
+def test_pages_are_dealt_once_and_compressed(spark, scratch):
+    """One shuffle of documents, every one in its page, and lines that read the same from compressed files in any layout."""
+    docs = spark.createDataFrame([(i % 7 if i % 5 else None, i, f"é\"{i}" if i % 3 else None) for i in range(500)], "page int, id int, name string")
+    texts = landed.page_texts(docs.select("page", F.to_json(F.struct("id", "name")).alias("doc")).repartition("page"), ["page"], "doc")
+    assert texts._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    assert "Aggregate" not in texts._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.page: sorted(d["id"] for d in json.loads(r.value)["results"]) for r in texts.collect()}
+    assert got == {p: [i for i in range(500) if (i % 7 if i % 5 else None) == p] for p in (None, *range(7))} and texts.count() == 8
+    path = scratch("packed")
+    landed.write_pages(docs.drop("page"), path, F.col("id") % 7, one_page_per_file=False, compression="gzip")
+    assert all(f.endswith(".gz") for f in [r.f for r in spark.read.text(path).select(F.col("_metadata.file_name").alias("f")).distinct().collect()])
+    for layout in ("auto", "lines"):
+        rows = landed.read_pages(spark, path, schemas.PARAMETER, layout)
+        assert sorted((r.id, r.name) for r in rows.collect()) == [(i, f"é\"{i}" if i % 3 else None) for i in range(500)]
